@@ -119,12 +119,15 @@ def label_by_join(
     """
     # Written out first, so that Spark knows its size when it picks the join.
     weights = materialize(lexicon_units(lexicon), "lexicon")
-    fingerprint = F.sha2(F.col(text), 256)
+    # Never null, and empty for a null text only: the join needs no null check,
+    # and the text itself is not carried through it unless someone asks for it.
+    fingerprint = F.coalesce(F.sha2(F.col(text), 256), F.lit(""))
     totals = (
-        df.select(
-            fingerprint.alias("_fingerprint"),
-            F.explode(tokens(F.col(text))).alias("word"),
-        )
+        # Hashed before the explode: once per text, not once per token. The
+        # outer explode keeps Spark from tokenising again to test for empty
+        # lists; the null words it gives find no partner in the join.
+        df.select(fingerprint.alias("_fingerprint"), tokens(F.col(text)).alias("_tokens"))
+        .select("_fingerprint", F.explode_outer("_tokens").alias("word"))
         .join(weights, "word")
         .groupBy("_fingerprint")
         .agg(F.sum("units").alias("_units"))
@@ -133,7 +136,7 @@ def label_by_join(
     return (
         df.withColumn("_fingerprint", fingerprint)
         .join(totals, "_fingerprint", "left")
-        .withColumn(label, F.when(F.col(text).isNotNull(), label_of(units)))
+        .withColumn(label, F.when(F.col("_fingerprint") != "", label_of(units)))
         .drop("_fingerprint", "_units")
     )
 

@@ -316,9 +316,19 @@ STREAMED = [
     "tip_sentiment_aggregation",
 ]
 
+# Tables that the shared batch build derives from a roll-up.
+BUILT = [
+    "sentiment_aggregation",
+    "review_trend_aggregation",
+    "category_distribution",
+    "top_rated_categories",
+]
+
 
 def oracle_sql() -> dict[str, str]:
     queries = dict(_QUERIES)
+    for name in BUILT:
+        queries[f"built_{name}"] = _QUERIES[name]
     for name in STREAMED:
         queries[f"stream_{name}"] = _QUERIES[name]
     queries["stream_dedup_reviews"] = _QUERIES["sentiment_aggregation"]

@@ -19,7 +19,8 @@ from reviewmill.functions.text import (
 from reviewmill.operators.names import business_names
 from reviewmill.operators.recommend import dense_index, fit_score
 from reviewmill.plans import charts
-from reviewmill.plans.oracle import STREAMED, oracle_sql
+from reviewmill.plans.build import build_tables
+from reviewmill.plans.oracle import BUILT, STREAMED, oracle_sql
 from reviewmill.plans.refresh import CHARTS
 from reviewmill.plans.tables import RESULT_TABLES, result_table
 from reviewmill.session import scratch_path, stream_session
@@ -141,6 +142,17 @@ def _business_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dense_index(ratings, "business_id", "business_index")
 
 
+def _built(name: str) -> Query:
+    """One result table out of the shared batch build."""
+    record_type = RESULT_TABLES[name].record_type
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        records = {record_type: read_fixture(spark, sf_dir, record_type)}
+        return build_tables(records, LEXICON)[name]
+
+    return run
+
+
 class _Topics:
     """Topics in a fresh scratch folder, filled from the record tables."""
 
@@ -232,6 +244,7 @@ def queries() -> dict[str, Query]:
         "user_index": _user_index,
         "business_index": _business_index,
         "predictions": _predictions,
+        **{f"built_{name}": _built(name) for name in BUILT},
         **{f"stream_{name}": _stream_table(name) for name in STREAMED},
         "stream_dedup_reviews": _stream_dedup_reviews,
         "stream_review_daily": _stream_review_daily,

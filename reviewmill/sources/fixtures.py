@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reviewmill.sources.storage import spread_small, total_bytes
+
 # record type -> (source tables, {column: expression})
 EXPRESSIONS: dict[str, tuple[str, dict[str, str]]] = {
     "business": (
@@ -119,15 +121,18 @@ def _columns(record_type: str) -> list[str]:
 def read_fixture(spark: SparkSession, sf_dir: str, record_type: str) -> DataFrame:
     source, _ = EXPRESSIONS[record_type]
 
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    def path(name: str) -> str:
+        return f"{sf_dir}/{name}.parquet"
 
     if record_type == "rating":
-        lines, orders = table("lineitem"), table("orders")
+        lines = spark.read.parquet(path("lineitem"))
+        orders = spark.read.parquet(path("orders"))
+        source = "lineitem"
         frame = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     else:
-        frame = table(source)
-    return frame.selectExpr(*_columns(record_type))
+        frame = spark.read.parquet(path(source))
+    records = frame.selectExpr(*_columns(record_type))
+    return spread_small(records, total_bytes(spark, path(source)))
 
 
 def fixture_sql(record_type: str) -> str:

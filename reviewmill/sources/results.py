@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewmill.schemas import result_schema
+from reviewmill.sources.storage import delete_folder, exists, matching
 
 SNAPSHOTS_KEPT = 2
 
@@ -19,18 +20,10 @@ def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
-def _filesystem(spark: SparkSession, path: str):
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(path)
-    return hadoop, target.getFileSystem(spark._jsc.hadoopConfiguration()), target
-
-
 def _batches(spark: SparkSession, path: str, pattern: str) -> list[int]:
     """Batch ids with a file or folder that matches the pattern, oldest first."""
-    hadoop, fs, _ = _filesystem(spark, path)
-    found = fs.globStatus(hadoop.Path(f"{path}/{pattern}")) or []
-    names = [part for f in found for part in f.getPath().toString().split("/")]
-    return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch_id="))
+    parts = [p for m in matching(spark, f"{path}/{pattern}") for p in m.split("/")]
+    return sorted(int(p.split("=")[1]) for p in parts if p.startswith("batch_id="))
 
 
 def complete_batches(spark: SparkSession, path: str) -> list[int]:
@@ -47,10 +40,9 @@ def drop_old_batches(spark: SparkSession, path: str, kept: int = SNAPSHOTS_KEPT)
     if len(complete) <= kept:
         return
     oldest_kept = complete[-kept]
-    hadoop, fs, _ = _filesystem(spark, path)
     for batch in _batches(spark, path, "batch_id=*"):
         if batch < oldest_kept:
-            fs.delete(hadoop.Path(f"{path}/batch_id={batch}"), True)
+            delete_folder(spark, f"{path}/batch_id={batch}")
 
 
 def write_snapshot(df: DataFrame, batch_id: int, path: str) -> None:
@@ -71,7 +63,6 @@ def read_result(spark: SparkSession, root: str, table: str) -> DataFrame:
     if batches:
         shown = batches if table == "predictions" else batches[-1:]
         return reader.parquet(*[f"{path}/batch_id={b}" for b in shown])
-    _, fs, target = _filesystem(spark, path)
-    if fs.exists(target):
+    if exists(spark, path):
         return reader.parquet(path)
     return spark.createDataFrame([], schema)
