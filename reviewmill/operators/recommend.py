@@ -12,6 +12,7 @@ from reviewmill.session import materialize
 _PARTITION_SHIFT = 33
 
 DEFAULT_SEED = 42
+LEAST_BLOCKS = 10
 
 
 def dense_index(df: DataFrame, key: str, index: str) -> DataFrame:
@@ -52,17 +53,27 @@ def usable_ratings(ratings: DataFrame) -> DataFrame:
 
 
 def index_ratings(ratings: DataFrame) -> DataFrame:
-    """Add integer ids. Small indexes are broadcast, large ones joined by shuffle."""
-    users = dense_index(ratings, "user_id", "user_index")
-    businesses = dense_index(ratings, "business_id", "business_index")
+    """Add integer ids. Small indexes are broadcast, large ones joined by shuffle.
+
+    The indexes are written out first, so that Spark picks the joins by their
+    true sizes.
+    """
+    users = materialize(dense_index(ratings, "user_id", "user_index"), "users")
+    businesses = materialize(
+        dense_index(ratings, "business_id", "business_index"), "businesses"
+    )
     return ratings.join(users, "user_id").join(businesses, "business_id")
 
 
 def fit_ratings(
     indexed: DataFrame, seed: int = DEFAULT_SEED, blocks: int | None = None, **params
 ) -> ALSModel:
-    """Explicit, non-negative ALS; ratings are spread over ``blocks`` blocks."""
-    blocks = blocks or max(10, indexed.sparkSession.sparkContext.defaultParallelism)
+    """Explicit, non-negative ALS.
+
+    The ratings are spread over ``blocks`` blocks, by default one per input
+    partition, so that the blocks keep their size as the data grows.
+    """
+    blocks = blocks or max(LEAST_BLOCKS, indexed.rdd.getNumPartitions())
     als = ALS(
         userCol="user_index",
         itemCol="business_index",

@@ -121,18 +121,16 @@ def _columns(record_type: str) -> list[str]:
 def read_fixture(spark: SparkSession, sf_dir: str, record_type: str) -> DataFrame:
     source, _ = EXPRESSIONS[record_type]
 
-    def path(name: str) -> str:
-        return f"{sf_dir}/{name}.parquet"
+    def table(name: str) -> DataFrame:
+        path = f"{sf_dir}/{name}.parquet"
+        return spread_small(spark.read.parquet(path), total_bytes(spark, path))
 
     if record_type == "rating":
-        lines = spark.read.parquet(path("lineitem"))
-        orders = spark.read.parquet(path("orders"))
-        source = "lineitem"
+        lines, orders = table("lineitem"), table("orders")
         frame = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
     else:
-        frame = spark.read.parquet(path(source))
-    records = frame.selectExpr(*_columns(record_type))
-    return spread_small(records, total_bytes(spark, path(source)))
+        frame = table(source)
+    return frame.selectExpr(*_columns(record_type))
 
 
 def fixture_sql(record_type: str) -> str:
