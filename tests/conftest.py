@@ -1,0 +1,44 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+
+TESTDATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    builder = (
+        SparkSession.builder.master("local[*]")
+        .appName("tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.memory", "8g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+    )
+    scratch = tmp_path_factory.mktemp("scratch")
+    session = builder.config("spark.checkpoint.dir", str(scratch)).getOrCreate()
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return TESTDATA
+
+
+@pytest.fixture
+def rows():
+    """Rows of a frame as a sorted list of tuples."""
+
+    def collect(df, *columns):
+        picked = df.select(*columns) if columns else df
+        return sorted(map(tuple, picked.collect()), key=repr)
+
+    return collect
