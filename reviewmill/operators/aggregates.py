@@ -7,7 +7,7 @@ of the rows costs each task one partial row, not a transfer of the group.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from reviewmill.functions.columns import explode_categories
@@ -19,22 +19,32 @@ def labelled(label: str) -> Column:
     return F.count_if(F.col("sentiment") == label)
 
 
-def sentiment_aggregation(reviews: DataFrame) -> DataFrame:
-    return reviews.groupBy("business_id").agg(*_review_measures())
+def _review_measures() -> dict[str, Column]:
+    return {
+        "average_rating": F.avg("stars"),
+        "review_count": F.count("review_id"),
+        "positive_reviews": labelled(POSITIVE),
+        "negative_reviews": labelled(NEGATIVE),
+    }
 
 
-def review_trend_aggregation(reviews: DataFrame) -> DataFrame:
-    keys = ["review_year", "review_month", "business_id"]
-    return reviews.groupBy(*keys).agg(*_review_measures())
+def _measured(grouped: GroupedData, *names: str) -> DataFrame:
+    measures = _review_measures()
+    return grouped.agg(*[measures[name].alias(name) for name in names])
+
+
+def sentiment_aggregation(reviews: DataFrame) -> DataFrame:
+    return _measured(reviews.groupBy("business_id"), *_review_measures())
 
 
-def _review_measures() -> list[Column]:
-    return [
-        F.avg("stars").alias("average_rating"),
-        F.count("review_id").alias("review_count"),
-        labelled(POSITIVE).alias("positive_reviews"),
-        labelled(NEGATIVE).alias("negative_reviews"),
-    ]
+def review_trend_aggregation(reviews: DataFrame) -> DataFrame:
+    return _measured(
+        reviews.groupBy("review_year", "review_month", "business_id"),
+        "review_count",
+        "average_rating",
+        "positive_reviews",
+        "negative_reviews",
+    )
 
 
 def tip_sentiment_aggregation(tips: DataFrame) -> DataFrame:
@@ -96,9 +106,9 @@ def daily_reviews(reviews: DataFrame) -> DataFrame:
     The window key lets a stream close days behind the watermark, emit them
     once in append mode and forget their state.
     """
+    grouped = reviews.groupBy(F.window("event_time", "1 day"), "business_id")
     return (
-        reviews.groupBy(F.window("event_time", "1 day"), "business_id")
-        .agg(*_review_measures())
+        _measured(grouped, *_review_measures())
         .withColumn("day", F.to_date("window.start"))
         .drop("window")
     )
