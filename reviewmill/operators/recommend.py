@@ -6,6 +6,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewmill.schemas import result_schema
 from reviewmill.session import materialize
 
 # monotonically_increasing_id() holds the partition above bit 33.
@@ -15,7 +16,9 @@ DEFAULT_SEED = 42
 LEAST_BLOCKS = 10
 
 
-def dense_index(df: DataFrame, key: str, index: str) -> DataFrame:
+def dense_index(
+    df: DataFrame, key: str, index: str, folder: str | None = None
+) -> DataFrame:
     """(key, index): ids numbered from 0 by falling frequency, ties by id.
 
     The ids are sorted across the cluster and numbered inside each partition;
@@ -30,7 +33,7 @@ def dense_index(df: DataFrame, key: str, index: str) -> DataFrame:
         .select(key, F.monotonically_increasing_id().alias("_slot"))
     )
     # The slots depend on the sort's sampled bounds: fix them before two reads.
-    slots = materialize(ordered, f"index-{key}").select(
+    slots = materialize(ordered, f"index-{key}", folder).select(
         key,
         F.shiftright("_slot", _PARTITION_SHIFT).alias("_part"),
         F.col("_slot").bitwiseAND((1 << _PARTITION_SHIFT) - 1).alias("_position"),
@@ -52,16 +55,16 @@ def usable_ratings(ratings: DataFrame) -> DataFrame:
     return ratings.select("user_id", "business_id", "stars").dropna()
 
 
-def index_ratings(ratings: DataFrame) -> DataFrame:
+def index_ratings(ratings: DataFrame, folder: str | None = None) -> DataFrame:
     """Add integer ids. Small indexes are broadcast, large ones joined by shuffle.
 
     The indexes are written out first, so that Spark picks the joins by their
     true sizes.
     """
-    users = materialize(dense_index(ratings, "user_id", "user_index"), "users")
-    businesses = materialize(
-        dense_index(ratings, "business_id", "business_index"), "businesses"
-    )
+    users = dense_index(ratings, "user_id", "user_index", folder)
+    users = materialize(users, "users", folder)
+    businesses = dense_index(ratings, "business_id", "business_index", folder)
+    businesses = materialize(businesses, "businesses", folder)
     return ratings.join(users, "user_id").join(businesses, "business_id")
 
 
@@ -97,15 +100,19 @@ def fit_score(
     to_score: DataFrame | None = None,
     seed: int = DEFAULT_SEED,
     blocks: int | None = None,
+    folder: str | None = None,
     **params,
 ) -> DataFrame:
     """Train on ``ratings``; one prediction per row of ``to_score`` (or of ``ratings``).
 
-    Rows to score whose user or business has no rating get no prediction.
+    Rows to score whose user or business has no rating get no prediction. The
+    result reads tables below ``folder``, see ``materialize``.
     """
     # The indexes, the fit and the scoring read the ratings several times.
-    usable = materialize(usable_ratings(ratings), "ratings")
-    indexed = materialize(index_ratings(usable), "indexed-ratings")
+    usable = materialize(usable_ratings(ratings), "ratings", folder)
+    if usable.isEmpty():
+        return usable.sparkSession.createDataFrame([], result_schema("predictions"))
+    indexed = materialize(index_ratings(usable, folder), "indexed-ratings", folder)
     model = fit_ratings(indexed, seed, blocks, **params)
     if to_score is None:
         return score(model, indexed)

@@ -16,6 +16,7 @@ from reviewmill.functions.text import (
     literal_weights,
     polarity,
 )
+from reviewmill.operators.aggregates import category_ratings
 from reviewmill.operators.names import business_names
 from reviewmill.operators.recommend import dense_index, fit_score
 from reviewmill.plans import charts
@@ -66,9 +67,14 @@ def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fit_score(read_fixture(spark, sf_dir, "rating"))
 
 
-# Result tables as the charts read them.
+def _category_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return category_ratings(read_fixture(spark, sf_dir, "business"))
+
+
+# Result tables as the charts read them; stored tables have no order either.
 _RESULTS: dict[str, Query] = {
     **{name: _table(name) for name in RESULT_TABLES},
+    "top_rated_categories": _category_ratings,
     "predictions": _predictions,
 }
 

@@ -72,13 +72,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, and gives the
-    optimizer the true size of the data.
+    optimizer the true size of the data. Like checkpoint files, the tables stay
+    until their folder is removed; a job that runs again and again gives its
+    own ``folder`` below the shared one and removes it at the end.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if folder is not None:
+        path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

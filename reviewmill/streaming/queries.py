@@ -19,7 +19,9 @@ from reviewmill.functions.text import label_sentiment
 from reviewmill.operators.aggregates import daily_reviews
 from reviewmill.operators.recommend import fit_score, usable_ratings
 from reviewmill.plans.tables import RESULT_TABLES, WATERMARK, Lexicon, result_table
+from reviewmill.session import scratch_path
 from reviewmill.sources.results import table_path, write_batch, write_snapshot
+from reviewmill.sources.storage import delete_folder
 from reviewmill.sources.topics import parse_records
 
 # record type -> streaming frame with a ``value`` column
@@ -87,19 +89,17 @@ def start_predictions(
     history = f"{base.rstrip('/')}/history/ratings"
 
     def predict(batch: DataFrame, batch_id: int) -> None:
-        ratings = usable_ratings(batch)
+        spark = batch.sparkSession
+        folder = scratch_path(spark, "predictions")
+        ratings, fresh = usable_ratings(batch), None
         if accumulate:
             write_batch(ratings, batch_id, history)
-            spark = batch.sparkSession
-            kept = spark.read.schema(ratings.schema).parquet(history)
-            kept = kept.select(*ratings.columns)
-            fresh = spark.read.schema(ratings.schema).parquet(
-                f"{history}/batch_id={batch_id}"
-            )
-            if not fresh.isEmpty():
-                write_batch(fit_score(kept, fresh, **options), batch_id, predictions)
-        elif not ratings.isEmpty():
-            write_batch(fit_score(ratings, **options), batch_id, predictions)
+            reader = spark.read.schema(ratings.schema)
+            fresh = reader.parquet(f"{history}/batch_id={batch_id}")
+            ratings = reader.parquet(history).select(*ratings.columns)
+        scored = fit_score(ratings, fresh, folder=folder, **options)
+        write_batch(scored, batch_id, predictions)
+        delete_folder(spark, folder)
 
     records = parse_records(subscribe(record_type), record_type)
     writer = (
