@@ -13,40 +13,59 @@ from reviewmill.session import materialize
 _PARTITION_SHIFT = 33
 
 DEFAULT_SEED = 42
-LEAST_BLOCKS = 10
+LEAST_BLOCKS = 8
+RATINGS_PER_BLOCK = 20_000_000
 
 
-def dense_index(
-    df: DataFrame, key: str, index: str, folder: str | None = None
-) -> DataFrame:
-    """(key, index): ids numbered from 0 by falling frequency, ties by id.
+def dense_indexes(df: DataFrame, keys: list[str], folder: str | None = None) -> DataFrame:
+    """(kind, id, index): the ids of each key column, numbered from 0 by falling
+    frequency, ties by id.
 
-    The ids are sorted across the cluster and numbered inside each partition;
-    only the partition sizes, one row per partition, meet in one place. No id
-    passes through the driver.
+    The ids of all columns are counted in one pass, sorted across the cluster
+    and numbered inside each partition. Only the partition sizes, one row per
+    partition and column, meet in one place; no id passes through the driver.
     """
+    pairs = [F.struct(F.lit(key).alias("kind"), F.col(key).alias("id")) for key in keys]
     ordered = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
+        df.select(F.explode(F.array(*pairs)).alias("pair"))
+        .select("pair.*")
+        .where(F.col("id").isNotNull())
+        .groupBy("kind", "id")
         .count()
-        .orderBy(F.desc("count"), F.asc(key))
-        .select(key, F.monotonically_increasing_id().alias("_slot"))
+        .orderBy("kind", F.desc("count"), "id")
+        .select("kind", "id", F.monotonically_increasing_id().alias("_slot"))
     )
     # The slots depend on the sort's sampled bounds: fix them before two reads.
-    slots = materialize(ordered, f"index-{key}", folder).select(
-        key,
+    slots = materialize(ordered, "slots", folder).select(
+        "kind",
+        "id",
         F.shiftright("_slot", _PARTITION_SHIFT).alias("_part"),
         F.col("_slot").bitwiseAND((1 << _PARTITION_SHIFT) - 1).alias("_position"),
     )
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (
+        Window.partitionBy("kind")
+        .orderBy("_part")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     offsets = (
-        slots.groupBy("_part")
-        .agg(F.count("*").alias("_size"))
-        .select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+        slots.groupBy("kind", "_part")
+        .agg(F.count("*").alias("_size"), F.min("_position").alias("_first"))
+        .withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
     )
-    # One row per sort partition, so the broadcast is bounded by the settings.
-    return slots.join(F.broadcast(offsets), "_part").select(
-        key, (F.col("_offset") + F.col("_position")).cast("int").alias(index)
+    # One row per sort partition and column: bounded by the session's settings.
+    numbered = slots.join(F.broadcast(offsets), ["kind", "_part"]).select(
+        "kind",
+        "id",
+        (F.col("_before") + F.col("_position") - F.col("_first")).cast("int").alias("index"),
+    )
+    # Written out, so that Spark picks the joins against it by its true size.
+    return materialize(numbered, "index", folder)
+
+
+def index_of(indexes: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, name): the numbers of one key column."""
+    return indexes.where(F.col("kind") == key).select(
+        F.col("id").alias(key), F.col("index").alias(name)
     )
 
 
@@ -56,16 +75,11 @@ def usable_ratings(ratings: DataFrame) -> DataFrame:
 
 
 def index_ratings(ratings: DataFrame, folder: str | None = None) -> DataFrame:
-    """Add integer ids. Small indexes are broadcast, large ones joined by shuffle.
-
-    The indexes are written out first, so that Spark picks the joins by their
-    true sizes.
-    """
-    users = dense_index(ratings, "user_id", "user_index", folder)
-    users = materialize(users, "users", folder)
-    businesses = dense_index(ratings, "business_id", "business_index", folder)
-    businesses = materialize(businesses, "businesses", folder)
-    return ratings.join(users, "user_id").join(businesses, "business_id")
+    """Add integer ids. Small indexes are broadcast, large ones joined by shuffle."""
+    indexes = dense_indexes(ratings, ["user_id", "business_id"], folder)
+    return ratings.join(index_of(indexes, "user_id", "user_index"), "user_id").join(
+        index_of(indexes, "business_id", "business_index"), "business_id"
+    )
 
 
 def fit_ratings(
@@ -73,10 +87,10 @@ def fit_ratings(
 ) -> ALSModel:
     """Explicit, non-negative ALS.
 
-    The ratings are spread over ``blocks`` blocks, by default one per input
-    partition, so that the blocks keep their size as the data grows.
+    The number of blocks grows with the ratings, so that a block keeps its
+    size. It depends on the data alone: another cluster gives the same model.
     """
-    blocks = blocks or max(LEAST_BLOCKS, indexed.rdd.getNumPartitions())
+    blocks = blocks or max(LEAST_BLOCKS, -(-indexed.count() // RATINGS_PER_BLOCK))
     als = ALS(
         userCol="user_index",
         itemCol="business_index",
@@ -106,10 +120,10 @@ def fit_score(
     """Train on ``ratings``; one prediction per row of ``to_score`` (or of ``ratings``).
 
     Rows to score whose user or business has no rating get no prediction. The
-    result reads tables below ``folder``, see ``materialize``.
+    ratings are read twice, so hand in a stored table rather than a long plan.
+    The result reads tables below ``folder``, see ``materialize``.
     """
-    # The indexes, the fit and the scoring read the ratings several times.
-    usable = materialize(usable_ratings(ratings), "ratings", folder)
+    usable = usable_ratings(ratings)
     if usable.isEmpty():
         return usable.sparkSession.createDataFrame([], result_schema("predictions"))
     indexed = materialize(index_ratings(usable, folder), "indexed-ratings", folder)

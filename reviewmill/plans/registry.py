@@ -18,13 +18,13 @@ from reviewmill.functions.text import (
 )
 from reviewmill.operators.aggregates import category_ratings
 from reviewmill.operators.names import business_names
-from reviewmill.operators.recommend import dense_index, fit_score
+from reviewmill.operators.recommend import dense_indexes, fit_score, index_of
 from reviewmill.plans import charts
 from reviewmill.plans.build import build_tables
 from reviewmill.plans.oracle import BUILT, STREAMED, oracle_sql
 from reviewmill.plans.refresh import CHARTS
 from reviewmill.plans.tables import RESULT_TABLES, result_table
-from reviewmill.session import scratch_path, stream_session
+from reviewmill.session import materialize, scratch_path, stream_session
 from reviewmill.sources.fixtures import LEXICON, read_fixture
 from reviewmill.sources.results import read_result, table_path
 from reviewmill.sources.tables import limited_export
@@ -64,7 +64,8 @@ def _chart(name: str) -> Query:
 
 
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fit_score(read_fixture(spark, sf_dir, "rating"))
+    # A join gives the ratings: store them once instead of joining twice.
+    return fit_score(materialize(read_fixture(spark, sf_dir, "rating"), "ratings"))
 
 
 def _category_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,13 +140,12 @@ def _limited_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return limited_export(read_fixture(spark, sf_dir, "business"), "business_id")
 
 
-def _user_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dense_index(read_fixture(spark, sf_dir, "rating"), "user_id", "user_index")
-
+def _index(key: str, name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ratings = read_fixture(spark, sf_dir, "rating")
+        return index_of(dense_indexes(ratings, [key]), key, name)
 
-def _business_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ratings = read_fixture(spark, sf_dir, "rating")
-    return dense_index(ratings, "business_id", "business_index")
+    return run
 
 
 def _built(name: str) -> Query:
@@ -247,8 +247,8 @@ def queries() -> dict[str, Query]:
         "limited_export": _limited_export,
         **{name: _chart(name) for name in CHARTS},
         "category_pie": _category_pie,
-        "user_index": _user_index,
-        "business_index": _business_index,
+        "user_index": _index("user_id", "user_index"),
+        "business_index": _index("business_id", "business_index"),
         "predictions": _predictions,
         **{f"built_{name}": _built(name) for name in BUILT},
         **{f"stream_{name}": _stream_table(name) for name in STREAMED},

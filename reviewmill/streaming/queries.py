@@ -19,7 +19,7 @@ from reviewmill.functions.text import label_sentiment
 from reviewmill.operators.aggregates import daily_reviews
 from reviewmill.operators.recommend import fit_score, usable_ratings
 from reviewmill.plans.tables import RESULT_TABLES, WATERMARK, Lexicon, result_table
-from reviewmill.session import scratch_path
+from reviewmill.session import materialize, scratch_path
 from reviewmill.sources.results import table_path, write_batch, write_snapshot
 from reviewmill.sources.storage import delete_folder
 from reviewmill.sources.topics import parse_records
@@ -97,6 +97,8 @@ def start_predictions(
             reader = spark.read.schema(ratings.schema)
             fresh = reader.parquet(f"{history}/batch_id={batch_id}")
             ratings = reader.parquet(history).select(*ratings.columns)
+        else:
+            ratings = materialize(ratings, "ratings", folder)
         scored = fit_score(ratings, fresh, folder=folder, **options)
         write_batch(scored, batch_id, predictions)
         delete_folder(spark, folder)

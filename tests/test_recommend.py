@@ -22,15 +22,19 @@ def predictions(ratings):
 def test_index_orders_by_frequency_then_id(ratings, rows, key):
     model = StringIndexer(inputCol=key, outputCol="index").fit(ratings)
     expected = [(label, i) for i, label in enumerate(model.labels)]
-    assert rows(R.dense_index(ratings, key, "index")) == sorted(expected, key=repr)
+    both = R.dense_indexes(ratings, ["user_id", "business_id"])
+    for indexes in (both, R.dense_indexes(ratings, [key])):
+        assert rows(R.index_of(indexes, key, "index")) == sorted(expected, key=repr)
 
 
 def test_index_is_dense_over_many_partitions(spark):
     df = spark.range(5000).select((F.col("id") % 1777).cast("string").alias("k"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        index = R.dense_index(df.union(spark.createDataFrame([(None,)], "k string")), "k", "i")
-        got = sorted(r.i for r in index.collect())
+        twice = df.union(spark.createDataFrame([(None,)], "k string")).selectExpr("k", "k AS l")
+        index = R.dense_indexes(twice, ["k", "l"])
+        got = sorted(r.i for r in R.index_of(index, "k", "i").collect())
+        assert got == sorted(r.i for r in R.index_of(index, "l", "i").collect())
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert got == list(range(1777))
