@@ -331,6 +331,8 @@ def oracle_sql() -> dict[str, str]:
         queries[f"built_{name}"] = _QUERIES[name]
     for name in STREAMED:
         queries[f"stream_{name}"] = _QUERIES[name]
+    queries["stream_shared_sentiment"] = _QUERIES["sentiment_aggregation"]
+    queries["stream_shared_trend"] = _QUERIES["review_trend_aggregation"]
     queries["stream_dedup_reviews"] = _QUERIES["sentiment_aggregation"]
     return {
         name: "WITH " + ",\n".join(_STEPS[step] for step in steps) + "\n" + select

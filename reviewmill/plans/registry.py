@@ -224,6 +224,20 @@ def _stream_review_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stream_review_tables(name: str) -> Query:
+    """One of the two tables that share a streaming query."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        topics = _Topics(spark, sf_dir, "stream-review-tables")
+        topics.publish("review")
+        streams.start_review_tables(
+            topics.subscribe, topics.base, LEXICON, availableNow=True
+        ).awaitTermination()
+        return topics.result(spark, name)
+
+    return run
+
+
 def _stream_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics = _Topics(spark, sf_dir, "stream-predictions")
     topics.publish("review")
@@ -252,6 +266,8 @@ def queries() -> dict[str, Query]:
         "predictions": _predictions,
         **{f"built_{name}": _built(name) for name in BUILT},
         **{f"stream_{name}": _stream_table(name) for name in STREAMED},
+        "stream_shared_sentiment": _stream_review_tables("sentiment_aggregation"),
+        "stream_shared_trend": _stream_review_tables("review_trend_aggregation"),
         "stream_dedup_reviews": _stream_dedup_reviews,
         "stream_review_daily": _stream_review_daily,
         "stream_predictions": _stream_predictions,

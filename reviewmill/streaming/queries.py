@@ -18,7 +18,18 @@ from reviewmill.functions.columns import with_event_time, with_ingest_time
 from reviewmill.functions.text import label_sentiment
 from reviewmill.operators.aggregates import daily_reviews
 from reviewmill.operators.recommend import fit_score, usable_ratings
-from reviewmill.plans.tables import RESULT_TABLES, WATERMARK, Lexicon, result_table
+from reviewmill.plans.build import (
+    review_rollup,
+    sentiment_from_rollup,
+    trend_from_rollup,
+)
+from reviewmill.plans.tables import (
+    RESULT_TABLES,
+    WATERMARK,
+    Lexicon,
+    prepare_records,
+    result_table,
+)
 from reviewmill.session import materialize, scratch_path
 from reviewmill.sources.results import table_path, write_batch, write_snapshot
 from reviewmill.sources.storage import delete_folder
@@ -164,15 +175,58 @@ def start_deduplicated_table(
     """``start_table`` for topics that deliver a record more than once.
 
     The arrival-time watermark takes the place of the event-time one: Spark
-    allows one watermark per query.
+    allows one watermark per query. Texts are labelled before the copies are
+    dropped, so that the shuffle by key carries labels and no texts.
     """
     table = RESULT_TABLES[name]
     records = parse_records(subscribe(table.record_type), table.record_type)
-    distinct = drop_redelivered(records, key, within)
-    frame = result_table(name, distinct, lexicon, scorer, watermark=None)
+    prepared = prepare_records(
+        records, table.record_type, lexicon, scorer, watermark=None
+    )
+    frame = table.build(drop_redelivered(prepared, key, within))
     return _start(frame, name, table.mode, base, trigger)
 
 
+def start_review_tables(
+    subscribe: Subscribe,
+    base: str,
+    lexicon: Lexicon | None = None,
+    scorer: Callable[[str], float] | None = None,
+    drop_malformed: bool = False,
+    **trigger,
+) -> StreamingQuery:
+    """Keep both review tables from one query.
+
+    Reads and scores every review once instead of once per table: the query
+    keeps the monthly roll-up, and each batch writes both tables from it.
+    """
+    records = parse_records(subscribe("review"), "review", drop_malformed)
+    rollup = review_rollup(prepare_records(records, "review", lexicon, scorer))
+    tables = {
+        "sentiment_aggregation": sentiment_from_rollup,
+        "review_trend_aggregation": trend_from_rollup,
+    }
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        folder = scratch_path(spark, "review-tables")
+        stored = materialize(batch, "rollup", folder)
+        for name, derive in tables.items():
+            path = table_path(results_root(base), name)
+            write_snapshot(derive(stored), batch_id, path)
+        delete_folder(spark, folder)
+
+    writer = (
+        rollup.writeStream.queryName("review_tables")
+        .outputMode("complete")
+        .foreachBatch(write)
+        .option("checkpointLocation", _checkpoint(base, "review_tables"))
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
 def start_all(
     subscribe: Subscribe,
     base: str,
@@ -180,12 +234,22 @@ def start_all(
     scorer: Callable[[str], float] | None = None,
     tables: Iterable[str] = tuple(RESULT_TABLES),
     predictions: bool = True,
+    share_reviews: bool = False,
     **trigger,
 ) -> list[StreamingQuery]:
-    """Start the nine result tables and the predictions, each on its own checkpoint."""
+    """Start the nine result tables and the predictions, each on its own checkpoint.
+
+    With ``share_reviews`` the two review tables come from one query. Decide
+    before the first start: the two ways have different checkpoints.
+    """
+    shared = ["sentiment_aggregation", "review_trend_aggregation"] if share_reviews else []
     queries = [
-        start_table(name, subscribe, base, lexicon, scorer, **trigger) for name in tables
+        start_table(name, subscribe, base, lexicon, scorer, **trigger)
+        for name in tables
+        if name not in shared
     ]
+    if share_reviews:
+        queries.append(start_review_tables(subscribe, base, lexicon, scorer, **trigger))
     if predictions:
         queries.append(start_predictions(subscribe, base, trigger=trigger))
     return queries

@@ -158,6 +158,34 @@ def test_redelivered_records_count_once(rows, topics):
     assert rows(topics.result("sentiment_aggregation")) == [("a", 3.0, 3, 3, 2)]
 
 
+def test_dedup_shuffles_no_texts(topics, capsys):
+    topics.reviews(review(1, "a", "2018-01-01"))
+    query = S.start_deduplicated_table(
+        "sentiment_aggregation", "review_id", topics.subscribe, topics.base, LEX, **NOW
+    )
+    query.awaitTermination()
+    capsys.readouterr()
+    query.explain(True)
+    physical = capsys.readouterr().out.split("== Physical Plan ==")[1]
+    above_shuffle = physical.split("DeduplicateWithinWatermark")[1].split("EventTimeWatermark")[0]
+    projected = above_shuffle.split("Project [")[1].split("CASE WHEN")[0]
+    assert "review_id#" in projected and "text#" not in projected
+
+
+def test_both_review_tables_from_one_query(spark, sf_dir, rows, topics):
+    reviews = read_fixture(spark, sf_dir, "review")
+    topics.publish("review", reviews.repartition(2))
+    started = S.start_all(
+        topics.subscribe, topics.base, LEXICON,
+        tables=["sentiment_aggregation", "review_trend_aggregation"],
+        predictions=False, share_reviews=True, **NOW,
+    )
+    assert [q.name for q in started] == ["review_tables"]
+    S.await_all(topics.spark, started)
+    for name in ("sentiment_aggregation", "review_trend_aggregation"):
+        assert rows(topics.result(name)) == rows(result_table(name, reviews, LEXICON))
+
+
 def test_scorer_on_a_stream(rows, topics):
     topics.reviews(review(1, "a", "2018-01-01", "xyz"))
     topics.run("sentiment_aggregation", None, scorer=lambda text: -float(len(text)))
