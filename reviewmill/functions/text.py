@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 
 from reviewmill.session import materialize
 
-# Labels by sign of the polarity, and the token pattern.
+# Labels by sign of the polarity, and the token pattern: runs of
+# a to z. The possessive "++" finds the same runs as "+" and is faster.
 POSITIVE, NEUTRAL, NEGATIVE = "Positive", "Neutral", "Negative"
-TOKEN = "[a-z]+"
+TOKEN = "[a-z]++"
 
 UNITS = 1_000_000
 MAX_LITERAL_WORDS = 20_000
@@ -121,7 +122,8 @@ def label_by_join(
     weights = materialize(lexicon_units(lexicon), "lexicon")
     # Never null, and empty for a null text only: the join needs no null check,
     # and the text itself is not carried through it unless someone asks for it.
-    fingerprint = F.coalesce(F.sha2(F.col(text), 256), F.lit(""))
+    no_text = F.lit(b"")
+    fingerprint = F.coalesce(F.unhex(F.sha2(F.col(text), 256)), no_text)
     totals = (
         # Hashed before the explode: once per text, not once per token. The
         # outer explode keeps Spark from tokenising again to test for empty
@@ -136,7 +138,7 @@ def label_by_join(
     return (
         df.withColumn("_fingerprint", fingerprint)
         .join(totals, "_fingerprint", "left")
-        .withColumn(label, F.when(F.col("_fingerprint") != "", label_of(units)))
+        .withColumn(label, F.when(F.col("_fingerprint") != no_text, label_of(units)))
         .drop("_fingerprint", "_units")
     )
 

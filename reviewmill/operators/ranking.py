@@ -38,11 +38,15 @@ def with_rest(df: DataFrame, top: DataFrame, key: str, value: str, name: str) ->
 
     The rest is the total less the top, so no row needs a global rank.
     """
-
-    def total(frame: DataFrame) -> DataFrame:
-        return frame.agg(F.coalesce(F.sum(value), F.lit(0)).alias(value))
-
-    rest = total(df).select(
-        F.lit(name).alias(key), (F.col(value) - total(top).scalar()).alias(value)
+    rest = df.agg(F.coalesce(F.sum(value), F.lit(0)).alias(value))
+    rows = top.select(key, value, F.lit(False).alias("_rest")).unionByName(
+        rest.select(F.lit(name).alias(key), value, F.lit(True).alias("_rest"))
+    )
+    # The window holds the top rows and the total, no more.
+    shown = F.sum(F.when(~F.col("_rest"), F.col(value)).otherwise(0)).over(
+        Window.partitionBy()
+    )
+    return rows.select(
+        key,
+        F.when(F.col("_rest"), F.col(value) - shown).otherwise(F.col(value)).alias(value),
     )
-    return top.select(key, value).unionByName(rest)

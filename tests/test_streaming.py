@@ -56,9 +56,9 @@ def topics(spark, tmp_path):
 def test_many_micro_batches_equal_batch(spark, sf_dir, rows, topics, name):
     record_type = RESULT_TABLES[name].record_type
     records = read_fixture(spark, sf_dir, record_type)
-    topics.publish(record_type, records.repartition(3))
+    topics.publish(record_type, records.repartition(2))
     query = topics.run(name, LEXICON)
-    assert sum(p.numInputRows > 0 for p in query.recentProgress) == 3
+    assert sum(p.numInputRows > 0 for p in query.recentProgress) == 2
     assert rows(topics.result(name)) == rows(result_table(name, records, LEXICON))
 
 
