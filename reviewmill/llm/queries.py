@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewmill.llm.exact_copies import exact_groups
+from reviewmill.llm.near_copies import near_groups
+from reviewmill.llm.near_vectors import near_vectors
 from reviewmill.llm.packing import pack
 from reviewmill.llm.shipping import ship_package
 from reviewmill.llm.token_files import read_documents, write_token_files
@@ -46,12 +48,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(_table(spark, sf_dir, "documents"), percent=85)
+
+
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return judge_urls(pages, rules).drop("url")
 
 
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     docs = _table(spark, sf_dir, "documents")
@@ -70,7 +80,9 @@ def op9_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     named = {
+        "op2_near_copies": op2_near_copies,
         "op5_url_rules": op5_url_rules,
+        "op6_near_vectors": op6_near_vectors,
         "op7_token_files": op7_token_files,
         "op8_best_two_fit": op8_best_two_fit,
         "op9_exact_copies": op9_exact_copies,

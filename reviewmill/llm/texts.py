@@ -128,8 +128,8 @@ def shingles(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     extra = []
     for i in np.flatnonzero(short):
         part = words[first[i] : first[i + 1]]
-        total = (part * _PLACES[1 : len(part) + 1]).sum(dtype=np.uint64)
-        extra.append(total + np.uint64(len(part)) * _PLACES[0])
+        total = part @ _PLACES[1 : len(part) + 1] + np.array([len(part)], np.uint64) * _PLACES[0]
+        extra.append(total[0])
     if extra:
         text_of = np.concatenate([text_of, np.flatnonzero(short)])
         values = np.concatenate([values, mix(np.array(extra, np.uint64))])
