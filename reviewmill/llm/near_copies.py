@@ -347,3 +347,10 @@ def near_groups(
         F.col("doc_id").eqNullSafe(component).alias("kept"),
     )
 
+
+
+def keep_near(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    groups = near_groups(docs, id_col=id_col, **options)
+    gone = groups.filter("NOT kept").select(F.col("doc_id").alias(id_col)).distinct()
+    return docs.join(materialize(gone, "near-copies"), id_col, "left_anti")

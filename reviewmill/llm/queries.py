@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewmill.llm.exact_copies import exact_groups
+from reviewmill.llm.mixing import mix_sources
 from reviewmill.llm.near_copies import near_groups
 from reviewmill.llm.near_vectors import near_vectors
 from reviewmill.llm.packing import pack
+from reviewmill.llm.quality import judge_quality
+from reviewmill.llm.repeats import remove_repeats
 from reviewmill.llm.shipping import ship_package
 from reviewmill.llm.token_files import read_documents, write_token_files
 from reviewmill.llm.url_rules import judge_urls
@@ -17,6 +20,9 @@ from reviewmill.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Targets of the mix: part of the largest possible entropy, and passes over a source.
+ENTROPY_SHARE, MAX_REPEATS = 0.95, 2.0
+
 # The rules that the URL query judges by: host, path, verdict.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -48,10 +54,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    judged = judge_quality(docs, labels)
+    return judged.select("doc_id", "text_odds", "host_mean", "path_mean", "quality", "kept")
+
+
 def op2_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_groups(_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return mix_sources(docs, entropy_share=ENTROPY_SHARE, max_repeats=MAX_REPEATS)
+
+
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
@@ -78,14 +95,21 @@ def op9_exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     named = {
+        "op1_site_quality": op1_site_quality,
         "op2_near_copies": op2_near_copies,
+        "op3_source_mix": op3_source_mix,
         "op5_url_rules": op5_url_rules,
         "op6_near_vectors": op6_near_vectors,
         "op7_token_files": op7_token_files,
         "op8_best_two_fit": op8_best_two_fit,
         "op9_exact_copies": op9_exact_copies,
+        "op10_repeats": op10_repeats,
     }
     return {name: _shipped(query) for name, query in named.items()}
 

@@ -23,7 +23,7 @@ _RANDOM = np.random.default_rng(20240229)
 _BYTE_CODES = _RANDOM.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_PLACES = _RANDOM.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+PLACES = _RANDOM.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: dict[int, np.ndarray] = {}
 
 # A slice of a batch holds at most so many bytes, or one text.
@@ -99,7 +99,14 @@ def prefix_sums(data: np.ndarray) -> np.ndarray:
 def range_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     inverse = _power_table(_BASE_INVERSE, len(sums))
     lengths = (ends - starts).astype(np.uint64)
-    return mix((sums[ends] - sums[starts]) * inverse[starts] + lengths * _PLACES[0])
+    return mix((sums[ends] - sums[starts]) * inverse[starts] + lengths * PLACES[0])
+
+
+def window_hashes(sums: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all ranges of ``width`` bytes; equal to range_hashes of them."""
+    count = max(0, len(sums) - width)
+    inverse = _power_table(_BASE_INVERSE, len(sums))[:count]
+    return mix((sums[width:] - sums[:count]) * inverse + np.uint64(width) * PLACES[:1])
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -120,7 +127,7 @@ def shingles(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     short = (counts > 0) & (counts < width)
     rolled = np.zeros(max(0, len(words) - width + 1), np.uint64)
     for place in range(width):
-        rolled += words[place : place + len(rolled)] * _PLACES[place + 1]
+        rolled += words[place : place + len(rolled)] * PLACES[place + 1]
     owner = np.repeat(np.arange(len(counts)), counts)
     whole = np.flatnonzero(owner[: len(rolled)] == owner[width - 1 :]) if len(rolled) else []
     text_of = owner[whole]
@@ -128,7 +135,7 @@ def shingles(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     extra = []
     for i in np.flatnonzero(short):
         part = words[first[i] : first[i + 1]]
-        total = part @ _PLACES[1 : len(part) + 1] + np.array([len(part)], np.uint64) * _PLACES[0]
+        total = part @ PLACES[1 : len(part) + 1] + np.array([len(part)], np.uint64) * PLACES[0]
         extra.append(total[0])
     if extra:
         text_of = np.concatenate([text_of, np.flatnonzero(short)])
