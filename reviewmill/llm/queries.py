@@ -11,6 +11,7 @@ from reviewmill.llm.mixing import mix_sources
 from reviewmill.llm.near_copies import near_groups
 from reviewmill.llm.near_vectors import near_vectors
 from reviewmill.llm.packing import pack
+from reviewmill.llm.pii import find_personal_data
 from reviewmill.llm.quality import judge_quality
 from reviewmill.llm.repeats import remove_repeats
 from reviewmill.llm.shipping import ship_package
@@ -69,6 +70,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs, entropy_share=ENTROPY_SHARE, max_repeats=MAX_REPEATS)
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(_table(spark, sf_dir, "documents")).drop("redacted")
+
+
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
@@ -104,6 +109,7 @@ def queries() -> dict[str, Query]:
         "op1_site_quality": op1_site_quality,
         "op2_near_copies": op2_near_copies,
         "op3_source_mix": op3_source_mix,
+        "op4_personal_data": op4_personal_data,
         "op5_url_rules": op5_url_rules,
         "op6_near_vectors": op6_near_vectors,
         "op7_token_files": op7_token_files,
