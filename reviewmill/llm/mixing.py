@@ -104,10 +104,9 @@ def weigh_sources(
     exponent = mixing_exponent(sources, budget, entropy_share, max_repeats)
     powered = sources.withColumn("power", F.pow(F.col("tokens") / F.lit(float(total or 1)), F.lit(exponent)))
     norm = powered.agg(F.sum("power")).first()[0] or 1.0
-    weight = F.round(F.col("power") / F.lit(norm), 9)
-    return powered.select(
-        "source", "tokens", weight.alias("weight"), F.floor(weight * F.lit(float(budget))).alias("target")
-    )
+    weight = F.col("power") / F.lit(norm)
+    target = F.round(weight * F.lit(float(budget))).cast("long")
+    return powered.select("source", "tokens", weight.alias("weight"), target.alias("target"))
 
 
 def _order(seed: int, *columns) -> Column:
