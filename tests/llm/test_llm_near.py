@@ -34,7 +34,7 @@ def brute(pairs, percent):
             if a < b and both and 100 * both >= percent * len(sets[a] | sets[b]):
                 x, y = sorted((root(a), root(b)))
                 home[y] = x
-    return sorted((i, len(s), root(i), root(i) == i) for i, s in sets.items())
+    return sorted(((i, len(s), root(i), root(i) == i) for i, s in sets.items()), key=repr)
 
 
 def vary(rng, words, edits):
