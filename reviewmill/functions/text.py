@@ -4,31 +4,42 @@ The label is the sign of that mean. Three ways give the same labels:
 
 * ``sentiment(text, weights)`` is one row-local expression that stays in the
   JVM and moves no data. It works on streams. The words are literals of the
-  plan, so it takes lexicons up to ``MAX_LITERAL_WORDS`` words.
-* ``label_by_join`` joins tokens with a lexicon table of any size.
-* ``label_by_scorer`` calls any Python polarity function, in Arrow batches.
+  plan, which suits up to ``LITERAL_WORDS`` words.
+* ``label_by_join`` joins tokens with a lexicon table of any size, in batch.
+* ``label_by_lookup`` looks tokens up in Arrow batches: larger lexicons on streams.
 
-Weights are held as whole millionths. Sums of whole numbers do not depend on
-the order of addition, so a label never flips with the partitioning.
+``label_by_scorer`` calls any other Python polarity function, in Arrow batches.
+
+All ways weigh words by ``lexicon_units``: words are lower-cased, repeated ones
+take their mean weight, and weights are whole millionths. Sums of whole numbers
+do not depend on the order of addition, so a label depends neither on the way
+nor on the partitioning.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.session import materialize
 
-# Labels by sign of the polarity, and the token pattern: runs of
-# a to z. The possessive "++" finds the same runs as "+" and is faster.
+# Labels by sign of the polarity.
 POSITIVE, NEUTRAL, NEGATIVE = "Positive", "Neutral", "Negative"
-TOKEN = "[a-z]++"
+
+# Tokens are runs of letters of any script. The possessive "++" finds the same
+# runs as "+" and is faster.
+TOKEN = r"\p{L}++"
 
 UNITS = 1_000_000
-MAX_LITERAL_WORDS = 20_000
+# Up to this many words go into the plan; more are joined or looked up, with
+# the same labels.
+LITERAL_WORDS = 20_000
 
 
 def tokens(text: Column) -> Column:
@@ -52,14 +63,21 @@ def lexicon_units(lexicon: DataFrame) -> DataFrame:
     )
 
 
-def literal_weights(lexicon: DataFrame | Mapping[str, float]) -> dict[str, int] | None:
-    """Weights as plan literals, or None when the lexicon has too many words."""
+def lexicon_table(spark: SparkSession, lexicon: DataFrame | Mapping[str, float]) -> DataFrame:
+    """A lexicon as (word, weight) rows, whatever form it has."""
     if isinstance(lexicon, Mapping):
-        if len(lexicon) > MAX_LITERAL_WORDS:
-            return None
-        return {word.lower(): round(w * UNITS) for word, w in lexicon.items()}
-    rows = lexicon_units(lexicon).limit(MAX_LITERAL_WORDS + 1).collect()
-    return dict(map(tuple, rows)) if len(rows) <= MAX_LITERAL_WORDS else None
+        rows = [(word, float(weight)) for word, weight in lexicon.items()]
+        return spark.createDataFrame(rows, "word string, weight double")
+    return lexicon.select("word", F.col("weight").cast("double").alias("weight"))
+
+
+def literal_weights(
+    spark: SparkSession, lexicon: DataFrame | Mapping[str, float]
+) -> dict[str, int] | None:
+    """Weights as plan literals, or None when the lexicon has too many words."""
+    units = lexicon_units(lexicon_table(spark, lexicon))
+    rows = units.limit(LITERAL_WORDS + 1).collect()
+    return dict(map(tuple, rows)) if len(rows) <= LITERAL_WORDS else None
 
 
 def _weight_of(word: Column, by_weight: list[tuple[int, list[str]]]) -> Column:
@@ -116,31 +134,66 @@ def label_by_join(
     Tokens are summed per fingerprint of the text, map side first, so neither
     texts nor tokens are shuffled when the lexicon is small enough for Spark
     to broadcast. Copies of a text share a fingerprint: they scale the sum
-    but not its sign.
+    but not its sign. Null texts take no part in the join.
     """
     # Written out first, so that Spark knows its size when it picks the join.
     weights = materialize(lexicon_units(lexicon), "lexicon")
-    # Never null, and empty for a null text only: the join needs no null check,
-    # and the text itself is not carried through it unless someone asks for it.
-    no_text = F.lit(b"")
-    fingerprint = F.coalesce(F.unhex(F.sha2(F.col(text), 256)), no_text)
+    known = df.where(F.col(text).isNotNull())
+    # The text itself is not carried through the join unless someone asks for it.
+    fingerprint = F.unhex(F.sha2(F.col(text), 256))
     totals = (
         # Hashed before the explode: once per text, not once per token. The
         # outer explode keeps Spark from tokenising again to test for empty
         # lists; the null words it gives find no partner in the join.
-        df.select(fingerprint.alias("_fingerprint"), tokens(F.col(text)).alias("_tokens"))
+        known.select(fingerprint.alias("_fingerprint"), tokens(F.col(text)).alias("_tokens"))
         .select("_fingerprint", F.explode_outer("_tokens").alias("word"))
         .join(weights, "word")
         .groupBy("_fingerprint")
         .agg(F.sum("units").alias("_units"))
     )
-    units = F.coalesce("_units", F.lit(0))
-    return (
-        df.withColumn("_fingerprint", fingerprint)
+    labelled = (
+        known.withColumn("_fingerprint", fingerprint)
         .join(totals, "_fingerprint", "left")
-        .withColumn(label, F.when(F.col("_fingerprint") != no_text, label_of(units)))
+        .withColumn(label, label_of(F.coalesce("_units", F.lit(0))))
         .drop("_fingerprint", "_units")
     )
+    unknown = df.where(F.col(text).isNull()).withColumn(label, F.lit(None).cast("string"))
+    return labelled.unionByName(unknown)
+
+
+def label_by_lookup(
+    df: DataFrame, lexicon: DataFrame, text: str = "text", label: str = "sentiment"
+) -> DataFrame:
+    """Label texts row by row against a lexicon of any size; works on streams.
+
+    Every executor holds the lexicon once, so its size is bounded by a
+    vocabulary, never by the texts. Tokens come from the JVM and are looked up
+    a batch at a time.
+    """
+    spark = df.sparkSession
+    table = lexicon_units(lexicon).toPandas()
+    shared = spark.sparkContext.broadcast(
+        (table["word"].tolist(), table["units"].to_numpy(np.int64))
+    )
+    ready: list = []
+
+    @F.pandas_udf("bigint")
+    def total(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        if not ready:
+            words, units = shared.value
+            ready.extend((pa.array(words, pa.string()), np.append(units, 0)))
+        for batch in batches:
+            lists = pa.array(batch, pa.list_(pa.string()))
+            # A word that is not found points at the 0 at the end.
+            places = pc.index_in(lists.flatten(), value_set=ready[0])
+            found = ready[1][pc.fill_null(places, -1).to_numpy(zero_copy_only=False)]
+            sums = np.concatenate([[0], np.cumsum(found)])
+            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(lengths)
+            yield pd.Series(sums[ends] - sums[ends - lengths])
+
+    units = total(F.coalesce(tokens(F.col(text)), F.array().cast("array<string>")))
+    return df.withColumn(label, F.when(F.col(text).isNotNull(), label_of(units)))
 
 
 def label_by_scorer(
@@ -170,16 +223,8 @@ def label_sentiment(
         return label_by_scorer(df, scorer, text, label)
     if lexicon is None:
         raise ValueError("give a lexicon or a scorer")
-    weights = literal_weights(lexicon)
+    weights = literal_weights(df.sparkSession, lexicon)
     if weights is not None:
         return df.withColumn(label, sentiment(F.col(text), weights))
-    if df.isStreaming:
-        raise ValueError(
-            f"a stream takes at most {MAX_LITERAL_WORDS} lexicon words; "
-            "call label_by_join inside foreachBatch for more"
-        )
-    if isinstance(lexicon, Mapping):
-        lexicon = df.sparkSession.createDataFrame(
-            list(lexicon.items()), "word string, weight double"
-        )
-    return label_by_join(df, lexicon, text, label)
+    way = label_by_lookup if df.isStreaming else label_by_join
+    return way(df, lexicon_table(df.sparkSession, lexicon), text, label)

@@ -13,8 +13,10 @@ from reviewmill.session import materialize
 _PARTITION_SHIFT = 33
 
 DEFAULT_SEED = 42
-LEAST_BLOCKS = 8
-RATINGS_PER_BLOCK = 20_000_000
+# Parts that ALS cuts users and businesses into. Start values follow the parts, so
+# the number is a setting of its own and never follows the data: raise it with the
+# cluster, and keep it for as long as predictions have to be comparable.
+DEFAULT_BLOCKS = 10
 
 
 def dense_indexes(df: DataFrame, keys: list[str], folder: str | None = None) -> DataFrame:
@@ -83,14 +85,9 @@ def index_ratings(ratings: DataFrame, folder: str | None = None) -> DataFrame:
 
 
 def fit_ratings(
-    indexed: DataFrame, seed: int = DEFAULT_SEED, blocks: int | None = None, **params
+    indexed: DataFrame, seed: int = DEFAULT_SEED, blocks: int = DEFAULT_BLOCKS, **params
 ) -> ALSModel:
-    """Explicit, non-negative ALS.
-
-    The number of blocks grows with the ratings, so that a block keeps its
-    size. It depends on the data alone: another cluster gives the same model.
-    """
-    blocks = blocks or max(LEAST_BLOCKS, -(-indexed.count() // RATINGS_PER_BLOCK))
+    """Explicit, non-negative ALS."""
     als = ALS(
         userCol="user_index",
         itemCol="business_index",
@@ -113,7 +110,7 @@ def fit_score(
     ratings: DataFrame,
     to_score: DataFrame | None = None,
     seed: int = DEFAULT_SEED,
-    blocks: int | None = None,
+    blocks: int = DEFAULT_BLOCKS,
     folder: str | None = None,
     **params,
 ) -> DataFrame:

@@ -59,6 +59,15 @@ def category_rollup(businesses: DataFrame) -> DataFrame:
     )
 
 
+def categories_from_rollup(rollup: DataFrame) -> dict[str, DataFrame]:
+    return {
+        "category_distribution": rollup.select("category", "count"),
+        "top_rated_categories": rollup.select("category", "average_rating").orderBy(
+            F.desc_nulls_last("average_rating"), "category"
+        ),
+    }
+
+
 def build_tables(
     records: Mapping[str, DataFrame],
     lexicon: Lexicon | None = None,
@@ -74,10 +83,7 @@ def build_tables(
         tables["review_trend_aggregation"] = trend_from_rollup(rollup)
     if "business" in records:
         categories = materialize(category_rollup(records["business"]), "category-rollup")
-        tables["category_distribution"] = categories.select("category", "count")
-        tables["top_rated_categories"] = categories.select(
-            "category", "average_rating"
-        ).orderBy(F.desc_nulls_last("average_rating"), "category")
+        tables |= categories_from_rollup(categories)
     for name, table in RESULT_TABLES.items():
         if name not in tables and table.record_type in records:
             frame = records[table.record_type]

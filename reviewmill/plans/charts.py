@@ -248,4 +248,7 @@ def predictions_top50(predictions: DataFrame, names: DataFrame) -> DataFrame:
         predictions, ["business_id"], [highest("prediction"), lowest("user_id")]
     )
     order = [highest("prediction"), lowest("business_id")]
-    return attach_names(top_k(best, PREDICTIONS_SHOWN, *order), names).orderBy(*order)
+    shown = top_k(best, PREDICTIONS_SHOWN, *order)
+    # The limit bounds the broadcast ids; Spark moves this below the names' aggregate.
+    named = names.join(F.broadcast(shown.select("business_id")), "business_id", "left_semi")
+    return attach_names(shown, named).orderBy(*order)

@@ -7,8 +7,7 @@ are put in on purpose.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from reviewmill.sources.storage import spread_small, total_bytes
+from pyspark.sql import functions as F
 
 # record type -> (source tables, {column: expression})
 EXPRESSIONS: dict[str, tuple[str, dict[str, str]]] = {
@@ -113,6 +112,26 @@ LEXICON = {
 }
 
 
+# Words outside ASCII, as they are in the test prose.
+UNICODE_LEXICON = {"für": 0.5, "ré": -0.5, "é": 0.25, "según": 0.5, "ê": -0.25, "über": -0.75, "la": 0.25}
+
+# Invented words of a lexicon too large for a plan; none occurs in a text.
+RARE_WORDS = 25_000
+
+
+def large_lexicon(spark: SparkSession) -> DataFrame:
+    """Over 20,000 words, and those of LEXICON in two spellings with the same mean."""
+    rare = spark.range(RARE_WORDS).select(
+        F.concat(
+            F.lit("zzz"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")
+        ).alias("word"),
+        F.lit(1.0).alias("weight"),
+    )
+    spellings = [(w.upper(), v + 0.25) for w, v in LEXICON.items()]
+    spellings += [(w, v - 0.25) for w, v in LEXICON.items()]
+    return rare.union(spark.createDataFrame(spellings, "word string, weight double"))
+
+
 def _columns(record_type: str) -> list[str]:
     _, columns = EXPRESSIONS[record_type]
     return [f"{expression} AS {name}" for name, expression in columns.items()]
@@ -122,8 +141,7 @@ def read_fixture(spark: SparkSession, sf_dir: str, record_type: str) -> DataFram
     source, _ = EXPRESSIONS[record_type]
 
     def table(name: str) -> DataFrame:
-        path = f"{sf_dir}/{name}.parquet"
-        return spread_small(spark.read.parquet(path), total_bytes(spark, path))
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     if record_type == "rating":
         lines, orders = table("lineitem"), table("orders")
@@ -138,6 +156,6 @@ def fixture_sql(record_type: str) -> str:
     return f"SELECT {', '.join(_columns(record_type))} FROM {source}"
 
 
-def lexicon_sql() -> str:
-    rows = ", ".join(f"('{word}', {weight})" for word, weight in LEXICON.items())
+def lexicon_sql(lexicon: dict[str, float] = LEXICON) -> str:
+    rows = ", ".join(f"('{word}', {weight})" for word, weight in lexicon.items())
     return f"SELECT * FROM (VALUES {rows}) AS v(word, weight)"

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from reviewmill.sources.fixtures import fixture_sql, lexicon_sql
+from reviewmill.plans.fixtures import UNICODE_LEXICON, fixture_sql, lexicon_sql
 
-_LABELS = """
+_LABELS = r"""
 {name}_labels AS (
     SELECT r.*,
         CASE WHEN r.text IS NULL THEN NULL
@@ -16,7 +16,7 @@ _LABELS = """
     LEFT JOIN (
         SELECT row_id, avg(weight) AS polarity
         FROM (
-            SELECT row_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word
+            SELECT row_id, unnest(regexp_extract_all(lower(text), '\p{{L}}+')) AS word
             FROM {name}_rows
         ) JOIN lexicon USING (word)
         GROUP BY row_id
@@ -32,11 +32,26 @@ _MEASURES = """
 # Named steps; each query lists the ones it needs, in this order.
 _STEPS = {
     "lexicon": f"lexicon AS ({lexicon_sql()})",
+    "unicode_lexicon": f"lexicon AS ({lexicon_sql(UNICODE_LEXICON)})",
+    # Its further words occur in no text, and two spellings share the mean weight.
+    "large_lexicon": f"lexicon AS ({lexicon_sql()})",
+    "made_predictions": (
+        "made_predictions AS (SELECT user_id, "
+        "CASE WHEN CAST(business_id AS BIGINT) % 7 = 0 THEN 'x' || business_id "
+        "ELSE business_id END AS business_id, "
+        "CAST((CAST(user_id AS BIGINT) * 31 + CAST(business_id AS BIGINT) * 17) % 23 AS FLOAT) "
+        "AS prediction FROM rating)"
+    ),
     "business": f"business AS ({fixture_sql('business')})",
     "user": f"users AS ({fixture_sql('user')})",
     "checkin": f"checkin AS ({fixture_sql('checkin')})",
     "rating": f"rating AS ({fixture_sql('rating')})",
     "review": f"review AS ({fixture_sql('review')})",
+    "many_reviews": (
+        "review AS (SELECT * REPLACE (CAST(CASE WHEN CAST(review_id AS BIGINT) % 3 = 0 "
+        "THEN 100 + CAST(review_id AS BIGINT) % 400 ELSE CAST(review_id AS BIGINT) % 16 END "
+        f"AS VARCHAR) AS business_id) FROM ({fixture_sql('review')}))"
+    ),
     "tip": f"tip AS ({fixture_sql('tip')})",
     "review_labels": (
         "review_rows AS (SELECT *, row_number() OVER () AS row_id FROM review),"
@@ -177,7 +192,6 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
     "tip_sentiment_aggregation": (_TIPS, f"SELECT {_TIP_COLUMNS} FROM tip_sentiment"),
     "review_labels": (_LABELLED_REVIEWS, _REVIEW_LABELS),
     "review_labels_by_join": (_LABELLED_REVIEWS, _REVIEW_LABELS),
-    "review_labels_by_scorer": (_LABELLED_REVIEWS, _REVIEW_LABELS),
     "tip_labels": (
         _LABELLED_TIPS,
         "SELECT business_id, compliment_count, sentiment FROM tip_labels",
@@ -187,7 +201,7 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
         "SELECT r.review_id, CASE WHEN r.text IS NULL THEN NULL ELSE "
         "round(coalesce(avg(l.weight), 0), 6) END AS polarity FROM review r "
         "LEFT JOIN (SELECT review_id, "
-        "unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM review) t "
+        "unnest(regexp_extract_all(lower(text), '\\p{L}+')) AS word FROM review) t "
         "ON t.review_id = r.review_id LEFT JOIN lexicon l ON l.word = t.word "
         "GROUP BY r.review_id, r.text",
     ),
@@ -295,12 +309,77 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
     ),
     "user_index": (["rating"], _index_sql("user_id", "user_index")),
     "business_index": (["rating"], _index_sql("business_id", "business_index")),
+    # The newest day is still open when the stream ends.
     "stream_review_daily": (
         _LABELLED_REVIEWS,
         f"SELECT business_id, CAST(event_time AS DATE) AS day, {_MEASURES} "
-        "FROM review_labels WHERE event_time IS NOT NULL "
+        "FROM review_labels WHERE CAST(event_time AS DATE) < "
+        "(SELECT max(CAST(event_time AS DATE)) FROM review_labels) "
         "GROUP BY business_id, CAST(event_time AS DATE)",
     ),
+    # Every review comes again at the end: all but those of the newest day are late.
+    "stream_review_late": (
+        ["review"],
+        "SELECT review_id, business_id, CAST(try_cast(date AS TIMESTAMP) AS DATE) AS day "
+        "FROM review WHERE CAST(try_cast(date AS TIMESTAMP) AS DATE) < "
+        "(SELECT max(CAST(try_cast(date AS TIMESTAMP) AS DATE)) FROM review)",
+    ),
+    "review_labels_unicode": (
+        ["unicode_lexicon", "review", "review_labels"],
+        _REVIEW_LABELS,
+    ),
+    "review_labels_large_lexicon": (
+        ["large_lexicon", "review", "review_labels"],
+        _REVIEW_LABELS,
+    ),
+    "stream_labels_large_lexicon": (
+        ["large_lexicon", "review", "review_labels"],
+        _REVIEW_LABELS,
+    ),
+    "stream_dedup_malformed": (
+        ["review"],
+        'SELECT business_id, count(*) AS "count" FROM review GROUP BY business_id '
+        "UNION ALL SELECT NULL, count(*) FROM customer",
+    ),
+    "predictions_coverage": (
+        ["rating"],
+        "SELECT user_id, business_id, count(*) AS predictions FROM rating "
+        "WHERE user_id IS NOT NULL AND business_id IS NOT NULL AND stars IS NOT NULL "
+        "GROUP BY user_id, business_id",
+    ),
+    "stream_predictions_coverage": (
+        ["review"],
+        "SELECT user_id, business_id, count(*) AS predictions FROM review "
+        "WHERE user_id IS NOT NULL AND business_id IS NOT NULL AND stars IS NOT NULL "
+        "GROUP BY user_id, business_id",
+    ),
+    "predictions_quality": (
+        ["rating"],
+        "SELECT count(*) AS predictions, CAST(0 AS BIGINT) AS negative, "
+        "CAST(0 AS BIGINT) AS undefined, true AS better_than_mean FROM rating",
+    ),
+    "predictions_ranked": (
+        ["business", "names", "rating", "made_predictions"],
+        "SELECT p.user_id, p.business_id, p.prediction, n.name FROM made_predictions p "
+        "LEFT JOIN names n USING (business_id) "
+        "QUALIFY row_number() OVER (PARTITION BY p.business_id "
+        "ORDER BY p.prediction DESC, p.user_id) = 1 "
+        "ORDER BY p.prediction DESC, p.business_id LIMIT 50",
+    ),
+    "business_lookup_last": (
+        [],
+        "SELECT CAST(p_partkey % 50 AS VARCHAR) AS business_id, "
+        "arg_max(p_name, struct_pack(a := p_size, b := p_name)) AS name "
+        "FROM part GROUP BY ALL",
+    ),
+    "json_roundtrip_ids": (
+        ["review"],
+        "SELECT review_id, business_id, user_id, stars, text, date FROM review",
+    ),
+    "list_tables": (
+        [],
+        "SELECT * FROM (VALUES ('business'), ('checkin'), ('review'), ('tip'), ('user')) AS v(name)",
+    ),
 }
 
 # Streams must end with the same rows as the batch query of the same table.
@@ -325,16 +404,49 @@ BUILT = [
 ]
 
 
+# Charts that must be the same when their table holds stale rows too.
+DEDUPED = ["sentiment_top_positive", "popularity_top", "users_top", "categories_top", "cities_top"]
+
+# Charts over tables that the streaming queries keep.
+REFRESHED = [
+    "sentiment_top_positive",
+    "sentiment_top_negative",
+    "popularity_top",
+    "popularity_bottom",
+    "map_points",
+    "users_top",
+    "users_bottom",
+    "category_pie",
+    "categories_top",
+    "categories_worst",
+    "cities_top",
+    "cities_bottom",
+    "tips_top_positive",
+    "tips_top_negative",
+    "tips_scale_bound",
+    "review_trend_series",
+]
+
+# Reviews of some hundred businesses, most of them below the trend's threshold.
+_MANY = {"review": "many_reviews"}
+
+
 def oracle_sql() -> dict[str, str]:
     queries = dict(_QUERIES)
     for name in BUILT:
         queries[f"built_{name}"] = _QUERIES[name]
     for name in STREAMED:
         queries[f"stream_{name}"] = _QUERIES[name]
+    for chart in DEDUPED:
+        queries[f"dedup_{chart}"] = _QUERIES[chart]
+    for chart in REFRESHED:
+        queries[f"refresh_{chart}"] = _QUERIES[chart]
+    steps, select = _QUERIES["review_trend_series"]
+    queries["review_trend_series_many"] = ([_MANY.get(x, x) for x in steps], select)
     queries["stream_shared_sentiment"] = _QUERIES["sentiment_aggregation"]
     queries["stream_shared_trend"] = _QUERIES["review_trend_aggregation"]
     queries["stream_dedup_reviews"] = _QUERIES["sentiment_aggregation"]
     return {
-        name: "WITH " + ",\n".join(_STEPS[step] for step in steps) + "\n" + select
+        name: ("WITH " + ",\n".join(_STEPS[step] for step in steps) + "\n" if steps else "") + select
         for name, (steps, select) in queries.items()
     }

@@ -2,37 +2,43 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.functions.columns import with_date_parts, with_event_time
 from reviewmill.functions.text import (
-    TOKEN,
     label_by_join,
     label_sentiment,
+    lexicon_table,
     literal_weights,
     polarity,
 )
-from reviewmill.operators.aggregates import category_ratings
+from reviewmill.operators.aggregates import category_ratings, popularity_aggregation
 from reviewmill.operators.names import business_names
 from reviewmill.operators.recommend import dense_indexes, fit_score, index_of
 from reviewmill.plans import charts
 from reviewmill.plans.build import build_tables
-from reviewmill.plans.oracle import BUILT, STREAMED, oracle_sql
-from reviewmill.plans.refresh import CHARTS
+from reviewmill.plans.fixtures import (
+    LEXICON,
+    UNICODE_LEXICON,
+    large_lexicon,
+    read_fixture,
+)
+from reviewmill.plans.oracle import BUILT, DEDUPED, REFRESHED, STREAMED, oracle_sql
+from reviewmill.plans.refresh import CHARTS, refresh
 from reviewmill.plans.tables import RESULT_TABLES, result_table
 from reviewmill.session import materialize, scratch_path, stream_session
-from reviewmill.sources.fixtures import LEXICON, read_fixture
 from reviewmill.sources.results import read_result, table_path
-from reviewmill.sources.tables import limited_export
+from reviewmill.sources.tables import limited_export, list_tables
 from reviewmill.sources.topics import (
     encode_records,
     parse_records,
     publish_to_files,
     subscribe_to_files,
+    topic_folder,
 )
 from reviewmill.streaming import queries as streams
 
@@ -41,7 +47,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 __all__ = ["queries", "oracle_sql"]
 
 PREFIX = "records"
-FLUSH_DATE = "2100-01-01 00:00:00"
+# Pieces that a topic is published in; each is a micro-batch of its own.
+BATCHES = 3
 
 
 def _table(name: str) -> Query:
@@ -85,39 +92,22 @@ def _category_pie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pie.withColumn("share", F.round("share", 6))
 
 
-def _labels(record_type: str, columns: list[str]) -> Query:
+def _labels(record_type: str, columns: list[str], lexicon=lambda spark: LEXICON) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         records = read_fixture(spark, sf_dir, record_type)
-        return label_sentiment(records, LEXICON).select(*columns, "sentiment")
+        return label_sentiment(records, lexicon(spark)).select(*columns, "sentiment")
 
     return run
 
 
 def _review_labels_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lexicon = spark.createDataFrame(list(LEXICON.items()), "word string, weight double")
-    reviews = read_fixture(spark, sf_dir, "review").select("review_id", "text")
-    return label_by_join(reviews, lexicon).select("review_id", "sentiment")
-
-
-def _mean_weight(lexicon: dict[str, float]) -> Callable[[str], float]:
-    """A polarity function in plain Python; a closure, so it travels by value."""
-
-    def mean_weight(text: str) -> float:
-        words = re.findall(TOKEN, text.lower())
-        weights = [lexicon[w] for w in words if w in lexicon]
-        return sum(weights) / len(weights) if weights else 0.0
-
-    return mean_weight
-
-
-def _review_labels_by_scorer(spark: SparkSession, sf_dir: str) -> DataFrame:
     reviews = read_fixture(spark, sf_dir, "review").select("review_id", "text")
-    labelled = label_sentiment(reviews, scorer=_mean_weight(LEXICON))
+    labelled = label_by_join(reviews, lexicon_table(spark, LEXICON))
     return labelled.select("review_id", "sentiment")
 
 
 def _review_polarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mean = polarity(F.col("text"), literal_weights(LEXICON))
+    mean = polarity(F.col("text"), literal_weights(spark, LEXICON))
     return read_fixture(spark, sf_dir, "review").select(
         "review_id", F.round(mean, 6).alias("polarity")
     )
@@ -136,8 +126,114 @@ def _json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_records(encode_records(read_fixture(spark, sf_dir, "business")), "business")
 
 
+def _json_roundtrip_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a binary id of the store they come from, as topics carry them."""
+    reviews = read_fixture(spark, sf_dir, "review")
+    documents = reviews.withColumn("_id", F.unhex(F.md5("review_id")))
+    return parse_records(encode_records(documents), "review")
+
+
 def _limited_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return limited_export(read_fixture(spark, sf_dir, "business"), "business_id")
+    return limited_export(read_fixture(spark, sf_dir, "business"), "business_id", 100)
+
+
+def _list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record tables that a session of its own has registered."""
+    session = spark.newSession()
+    for record_type in ("business", "checkin", "review", "tip", "user"):
+        read_fixture(session, sf_dir, record_type).createOrReplaceTempView(record_type)
+    known = {t.name for t in spark.catalog.listTables()}
+    names = [(name,) for name in list_tables(session) if name not in known]
+    return spark.createDataFrame(names, "name string")
+
+
+def _business_lookup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids with many names each; the last one by an order column counts."""
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    named = parts.select(
+        (F.col("p_partkey") % 50).cast("string").alias("business_id"),
+        F.col("p_name").alias("name"),
+        "p_size",
+    )
+    return business_names(named, F.col("p_size"))
+
+
+# Measures by which a stale row falls behind the current one of its key.
+_STALE = {
+    "sentiment_top_positive": ["review_count"],
+    "popularity_top": ["count"],
+    "users_top": ["review_count"],
+    "categories_top": ["average_rating"],
+    "cities_top": ["count"],
+}
+
+
+def _dedup(name: str) -> Query:
+    """A chart over a table that holds an older row of every key as well."""
+    table, build, named = CHARTS[name]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        current = _RESULTS[table](spark, sf_dir)
+        older = current.withColumns(
+            {c: (F.col(c) - 1).cast(current.schema[c].dataType) for c in _STALE[name]}
+        )
+        stored = current.union(older).union(current)
+        if not named:
+            return build(stored)
+        return build(stored, business_names(read_fixture(spark, sf_dir, "business")))
+
+    return run
+
+
+def _review_trend_series_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews of some hundred businesses, most of them below the trend's threshold."""
+    number = F.col("review_id").cast("bigint")
+    business = F.when(number % 3 == 0, 100 + number % 400).otherwise(number % 16)
+    reviews = read_fixture(spark, sf_dir, "review").withColumn("business_id", business.cast("string"))
+    trend = result_table("review_trend_aggregation", reviews, LEXICON)
+    names = business_names(read_fixture(spark, sf_dir, "business"))
+    return charts.review_trend_series(trend, names)
+
+
+def _counted(predictions: DataFrame) -> DataFrame:
+    return predictions.groupBy("user_id", "business_id").agg(F.count("*").alias("predictions"))
+
+
+def _predictions_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counted(_predictions(spark, sf_dir))
+
+
+def _predictions_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many predictions there are, how many are unusable, and whether they beat the mean."""
+    ratings = materialize(read_fixture(spark, sf_dir, "rating"), "ratings")
+    scored = materialize(fit_score(ratings), "scored")
+    keys = ["user_id", "business_id"]
+    each = scored.groupBy(*keys).agg(F.max("prediction").alias("prediction"))
+    mean = ratings.agg(F.avg("stars")).first()[0]
+    error = ratings.join(each, keys).agg(
+        (F.avg(F.pow(F.col("stars") - F.col("prediction"), 2))
+         < F.avg(F.pow(F.col("stars") - mean, 2))).alias("better_than_mean")
+    )
+    counts = scored.agg(
+        F.count("*").alias("predictions"),
+        F.count_if(F.col("prediction") < 0).alias("negative"),
+        F.count_if(F.isnan("prediction") | F.col("prediction").isNull()).alias("undefined"),
+    )
+    # One row each.
+    return counts.join(F.broadcast(error))
+
+
+def _predictions_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top list over predictions by a fixed expression, with ties and unnamed ids."""
+    user, business = F.col("user_id").cast("bigint"), F.col("business_id").cast("bigint")
+    made = read_fixture(spark, sf_dir, "rating").select(
+        "user_id",
+        F.when(business % 7 == 0, F.concat(F.lit("x"), "business_id"))
+        .otherwise(F.col("business_id"))
+        .alias("business_id"),
+        ((user * 31 + business * 17) % 23).cast("float").alias("prediction"),
+    )
+    return charts.predictions_top50(made, business_names(read_fixture(spark, sf_dir, "business")))
 
 
 def _index(key: str, name: str) -> Query:
@@ -167,14 +263,18 @@ class _Topics:
         self.sf_dir = sf_dir
         self.base = scratch_path(spark, label)
 
-    def publish(self, record_type: str) -> None:
-        self.publish_frame(read_fixture(self.spark, self.sf_dir, record_type), record_type)
+    def read(self, record_type: str) -> DataFrame:
+        return read_fixture(self.spark, self.sf_dir, record_type)
 
-    def publish_frame(self, frame: DataFrame, record_type: str) -> None:
-        publish_to_files(frame, self.base, PREFIX, record_type)
+    def publish(self, record_type: str, frame: DataFrame | None = None) -> None:
+        """All records, in BATCHES files."""
+        frame = self.read(record_type) if frame is None else frame
+        publish_to_files(frame.repartition(BATCHES), self.base, PREFIX, record_type)
 
     def subscribe(self, record_type: str) -> DataFrame:
-        return subscribe_to_files(self.spark, self.base, PREFIX, record_type)
+        return subscribe_to_files(
+            self.spark, self.base, PREFIX, record_type, maxFilesPerTrigger="1"
+        )
 
     def result(self, spark: SparkSession, table: str) -> DataFrame:
         return read_result(spark, streams.results_root(self.base), table)
@@ -204,24 +304,64 @@ def _stream_dedup_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.result(spark, name)
 
 
+def _stream_dedup_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews and lines that are no records, all delivered twice."""
+    topics = _Topics(spark, sf_dir, "stream-malformed")
+    customers = topics.spark.read.parquet(f"{sf_dir}/customer.parquet")
+    junk = customers.select(F.concat(F.lit("junk "), F.col("c_custkey").cast("string")).alias("value"))
+    folder = topic_folder(topics.base, PREFIX, "review")
+    for _ in range(2):
+        topics.publish("review")
+        junk.write.mode("append").text(folder)
+    records = parse_records(topics.subscribe("review"), "review", identity=streams.IDENTITY)
+    counted = popularity_aggregation(streams.drop_redelivered(records, "review_id"))
+    streams.start_frame(
+        counted, "popularity_aggregation", "complete", topics.base, availableNow=True
+    ).awaitTermination()
+    return topics.result(spark, "popularity_aggregation")
+
+
+def _stream_labels_large_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topics = _Topics(spark, sf_dir, "stream-labels")
+    topics.publish("review")
+    reviews = parse_records(topics.subscribe("review"), "review")
+    labelled = label_sentiment(reviews, large_lexicon(topics.spark))
+    streams.start_frame(
+        labelled.select("review_id", "sentiment"), "labels", "append", topics.base, availableNow=True
+    ).awaitTermination()
+    return spark.read.parquet(table_path(streams.results_root(topics.base), "labels"))
+
+
+def _in_event_order(topics: _Topics, start: Callable[..., object]) -> None:
+    """Runs a query over the reviews, a part of the event times at a time."""
+    reviews = with_event_time(topics.read("review"))
+    day = F.datediff(F.to_date("event_time"), F.lit("2018-01-01").cast("date"))
+    part = F.floor(F.coalesce(day, F.lit(0)) * BATCHES / 730)
+    for number in range(BATCHES):
+        frame = reviews.where(part == number).drop("event_time").coalesce(1)
+        publish_to_files(frame, topics.base, PREFIX, "review")
+        start(topics.subscribe, topics.base, availableNow=True).awaitTermination()
+
+
 def _stream_review_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All days of the reviews; a last far-off record closes the open ones."""
+    """All closed days; the newest day stays open."""
     topics = _Topics(spark, sf_dir, "stream-daily")
-    reviews = read_fixture(topics.spark, sf_dir, "review")
-    flush = topics.spark.range(1).select(
-        *[
-            F.lit(FLUSH_DATE if c == "date" else None).cast(reviews.schema[c].dataType).alias(c)
-            for c in reviews.columns
-        ]
-    )
-    for frame in (reviews, flush):
-        topics.publish_frame(frame, "review")
-        streams.start_daily_reviews(
-            topics.subscribe, topics.base, LEXICON, availableNow=True
-        ).awaitTermination()
-    return spark.read.parquet(
-        table_path(streams.results_root(topics.base), "daily_reviews")
-    )
+    _in_event_order(topics, partial(streams.start_daily_reviews, lexicon=LEXICON))
+    # A stream with nothing new still closes what the watermark has passed.
+    streams.start_daily_reviews(
+        topics.subscribe, topics.base, LEXICON, availableNow=True
+    ).awaitTermination()
+    return spark.read.parquet(table_path(streams.results_root(topics.base), "daily_reviews"))
+
+
+def _stream_review_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All reviews once more, after their days were closed."""
+    topics = _Topics(spark, sf_dir, "stream-late")
+    _in_event_order(topics, streams.start_late_reviews)
+    publish_to_files(topics.read("review").coalesce(1), topics.base, PREFIX, "review")
+    streams.start_late_reviews(topics.subscribe, topics.base, availableNow=True).awaitTermination()
+    late = spark.read.parquet(table_path(streams.results_root(topics.base), "late_reviews"))
+    return late.select("review_id", "business_id", "day")
 
 
 def _stream_review_tables(name: str) -> Query:
@@ -247,28 +387,65 @@ def _stream_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.result(spark, "predictions")
 
 
+def _stream_predictions_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counted(_stream_predictions(spark, sf_dir))
+
+
+def _refresh(chart: str) -> Query:
+    """A chart over the table that the streaming queries keep."""
+    table = CHARTS[chart][0]
+    group = next((g for g in streams.SHARED if table in g), (table,))
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        topics = _Topics(spark, sf_dir, f"refresh-{chart}")
+        topics.publish(RESULT_TABLES[table].record_type)
+        started = streams.start_all(
+            topics.subscribe, topics.base, LEXICON, tables=group, predictions=False, availableNow=True
+        )
+        streams.await_all(topics.spark, started)
+        root = streams.results_root(topics.base)
+        shown = refresh(spark, root, read_fixture(spark, sf_dir, "business"))[chart]
+        return shown.withColumn("share", F.round("share", 6)) if chart == "category_pie" else shown
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     return {
         **{name: _table(name) for name in RESULT_TABLES},
         "review_labels": _labels("review", ["review_id"]),
         "review_labels_by_join": _review_labels_by_join,
-        "review_labels_by_scorer": _review_labels_by_scorer,
+        "review_labels_unicode": _labels("review", ["review_id"], lambda spark: UNICODE_LEXICON),
+        "review_labels_large_lexicon": _labels("review", ["review_id"], large_lexicon),
         "review_polarity": _review_polarity,
         "tip_labels": _labels("tip", ["business_id", "compliment_count"]),
         "review_date_parts": _review_date_parts,
         "business_lookup": _business_lookup,
+        "business_lookup_last": _business_lookup_last,
         "json_roundtrip": _json_roundtrip,
+        "json_roundtrip_ids": _json_roundtrip_ids,
+        "list_tables": _list_tables,
         "limited_export": _limited_export,
         **{name: _chart(name) for name in CHARTS},
         "category_pie": _category_pie,
+        "review_trend_series_many": _review_trend_series_many,
+        **{f"dedup_{name}": _dedup(name) for name in DEDUPED},
         "user_index": _index("user_id", "user_index"),
         "business_index": _index("business_id", "business_index"),
         "predictions": _predictions,
+        "predictions_coverage": _predictions_coverage,
+        "predictions_quality": _predictions_quality,
+        "predictions_ranked": _predictions_ranked,
         **{f"built_{name}": _built(name) for name in BUILT},
         **{f"stream_{name}": _stream_table(name) for name in STREAMED},
         "stream_shared_sentiment": _stream_review_tables("sentiment_aggregation"),
         "stream_shared_trend": _stream_review_tables("review_trend_aggregation"),
         "stream_dedup_reviews": _stream_dedup_reviews,
+        "stream_dedup_malformed": _stream_dedup_malformed,
+        "stream_labels_large_lexicon": _stream_labels_large_lexicon,
         "stream_review_daily": _stream_review_daily,
+        "stream_review_late": _stream_review_late,
         "stream_predictions": _stream_predictions,
+        "stream_predictions_coverage": _stream_predictions_coverage,
+        **{f"refresh_{name}": _refresh(name) for name in REFRESHED},
     }

@@ -70,6 +70,14 @@ RESULTS = {
     "predictions": "user_id string, business_id string, prediction float",
 }
 
+# Keys of the running tables of which a micro-batch writes the changed rows only.
+RESULT_KEYS = {
+    "sentiment_aggregation": ["business_id"],
+    "popularity_aggregation": ["business_id"],
+    "review_trend_aggregation": ["review_year", "review_month", "business_id"],
+    "tip_sentiment_aggregation": ["business_id"],
+}
+
 
 def record_schema(record_type: str) -> T.StructType:
     return T.StructType.fromDDL(RECORDS[record_type])

@@ -1,33 +1,47 @@
 """Result tables on shared storage.
 
-A snapshot table holds one folder ``batch_id=<n>`` per micro-batch. Spark's
-writer puts a _SUCCESS file into a folder once it is complete, and readers take
-the newest complete folder: a replayed batch replaces its own folder, and
-nobody reads half a table.
+A table kept by a streaming query holds one folder ``batch_id=<n>`` per
+micro-batch. Spark's writer puts a _SUCCESS file into a folder once it is complete,
+and readers take complete folders only: a replayed batch replaces its own folder,
+and nobody reads half a table. What a folder holds depends on the table:
+
+* snapshot tables: the whole table. The newest folder counts.
+* keyed tables (``RESULT_KEYS``): the rows that changed. The newest row of each key counts.
+* ``predictions``: the rows of the batch. All folders count.
+
+``compact_result`` merges the folders of the last two kinds into one folder
+``base_id=<n>``, which stands for all batches up to n. Folders that others have
+replaced stay for RETENTION_SECONDS, so that a reader can finish.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from reviewmill.schemas import result_schema
+from reviewmill.schemas import RESULT_KEYS, result_schema
 from reviewmill.sources.storage import delete_folder, exists, matching
 
-SNAPSHOTS_KEPT = 2
+# Longer than the longest read of a result table.
+RETENTION_SECONDS = 24 * 3600
 
 
 def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
-def _batches(spark: SparkSession, path: str, pattern: str) -> list[int]:
-    """Batch ids with a file or folder that matches the pattern, oldest first."""
-    parts = [p for m in matching(spark, f"{path}/{pattern}") for p in m.split("/")]
-    return sorted(int(p.split("=")[1]) for p in parts if p.startswith("batch_id="))
+def _complete(spark: SparkSession, path: str, kind: str) -> dict[int, float]:
+    """Number and completion time of each complete folder ``<kind>=<number>``."""
+    found = {}
+    for file, changed in matching(spark, f"{path}/{kind}=*/_SUCCESS").items():
+        found[int(file.split("/")[-2].split("=")[1])] = changed
+    return dict(sorted(found.items()))
 
 
 def complete_batches(spark: SparkSession, path: str) -> list[int]:
-    return _batches(spark, path, "batch_id=*/_SUCCESS")
+    return list(_complete(spark, path, "batch_id"))
 
 
 def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
@@ -35,34 +49,84 @@ def write_batch(df: DataFrame, batch_id: int, path: str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def drop_old_batches(spark: SparkSession, path: str, kept: int = SNAPSHOTS_KEPT) -> None:
-    complete = complete_batches(spark, path)
-    if len(complete) <= kept:
-        return
-    oldest_kept = complete[-kept]
-    for batch in _batches(spark, path, "batch_id=*"):
-        if batch < oldest_kept:
-            delete_folder(spark, f"{path}/batch_id={batch}")
+def drop_replaced(
+    spark: SparkSession, path: str, replaced: dict[str, float], retention: float
+) -> None:
+    """Delete folders that were replaced (name, time) longer ago than ``retention``."""
+    for name, since in replaced.items():
+        if time.time() - since >= retention:
+            delete_folder(spark, f"{path}/{name}")
 
 
-def write_snapshot(df: DataFrame, batch_id: int, path: str) -> None:
+def write_snapshot(
+    df: DataFrame, batch_id: int, path: str, retention: float = RETENTION_SECONDS
+) -> None:
+    """Write a whole table; earlier snapshots go once they are old enough."""
     write_batch(df, batch_id, path)
-    drop_old_batches(df.sparkSession, path)
+    spark = df.sparkSession
+    done = list(_complete(spark, path, "batch_id").items())
+    replaced = {f"batch_id={b}": later for (b, _), (_, later) in zip(done, done[1:])}
+    drop_replaced(spark, path, replaced, retention)
+
+
+def _newest(frame: DataFrame, table: str) -> DataFrame:
+    """The newest row of each key; ``batch_id`` orders them."""
+    keys = RESULT_KEYS[table]
+    rest = [c for c in frame.columns if c not in (*keys, "batch_id")]
+    newest = F.max_by(F.struct(*rest), "batch_id").alias("row")
+    columns = result_schema(table).names
+    return frame.groupBy(*keys).agg(newest).select(*keys, "row.*").select(*columns)
+
+
+def _merged(spark: SparkSession, path: str, table: str, bases: list[int], batches: list[int]) -> DataFrame:
+    """State of a table from its newest base and the batches after it."""
+    start = bases[-1] if bases else -1
+    folders = [(f"{path}/base_id={start}", start)] if bases else []
+    folders += [(f"{path}/batch_id={b}", b) for b in batches if b > start]
+    reader = spark.read.schema(result_schema(table))
+    if table not in RESULT_KEYS:
+        return reader.parquet(*[folder for folder, _ in folders])
+    # The file's folder tells the batch, so all are read in one scan.
+    number = F.regexp_extract(F.input_file_name(), r"(?:batch|base)_id=([0-9]+)/[^/]*$", 1)
+    frame = reader.parquet(*[folder for folder, _ in folders])
+    return _newest(frame.withColumn("batch_id", number.cast("bigint")), table)
+
+
+def compact_result(
+    spark: SparkSession, root: str, table: str, retention: float = RETENTION_SECONDS
+) -> None:
+    """Merge all complete batches of a keyed or appended table into one folder.
+
+    Runs beside the query and its readers, in a job of its own.
+    """
+    path = table_path(root, table)
+    bases, batches = _complete(spark, path, "base_id"), _complete(spark, path, "batch_id")
+    last = max(batches, default=-1)
+    if last > max(bases, default=-1):
+        merged = _merged(spark, path, table, list(bases), list(batches))
+        merged.write.mode("overwrite").parquet(f"{path}/base_id={last}")
+        bases = _complete(spark, path, "base_id")
+    done = list(bases.items())
+    replaced = {f"base_id={b}": later for (b, _), (_, later) in zip(done, done[1:])}
+    for b in batches:
+        covered = [since for base, since in done if base >= b]
+        if covered:
+            replaced[f"batch_id={b}"] = covered[0]
+    drop_replaced(spark, path, replaced, retention)
 
 
 def read_result(spark: SparkSession, root: str, table: str) -> DataFrame:
     """The latest state of a result table; empty when nothing was written yet.
 
-    Tables kept by batch folders give their newest folder (snapshots) or all of
-    them (predictions). Append tables are read through Spark's own sink log.
+    Append tables are read through Spark's own sink log.
     """
     schema = result_schema(table)
     path = table_path(root, table)
-    reader = spark.read.schema(schema)
-    batches = complete_batches(spark, path)
-    if batches:
-        shown = batches if table == "predictions" else batches[-1:]
-        return reader.parquet(*[f"{path}/batch_id={b}" for b in shown])
-    if exists(spark, path):
-        return reader.parquet(path)
-    return spark.createDataFrame([], schema)
+    bases, batches = _complete(spark, path, "base_id"), _complete(spark, path, "batch_id")
+    if not bases and not batches:
+        if exists(spark, path) and not matching(spark, f"{path}/b*_id=*"):
+            return spark.read.schema(schema).parquet(path)
+        return spark.createDataFrame([], schema)
+    if table in RESULT_KEYS or table == "predictions":
+        return _merged(spark, path, table, list(bases), list(batches))
+    return spark.read.schema(schema).parquet(f"{path}/batch_id={max(batches)}")

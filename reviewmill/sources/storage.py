@@ -2,11 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-
-# Inputs between these sizes may sit in fewer row groups than there are cores.
-SPREAD_FROM = 1 << 20
-SPREAD_UP_TO = 256 << 20
+from pyspark.sql import SparkSession
 
 
 def _open(spark: SparkSession, path: str):
@@ -19,28 +15,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def total_bytes(spark: SparkSession, path: str) -> int:
-    fs, target = _open(spark, path)
-    return fs.getContentSummary(target).getLength()
-
-
-def matching(spark: SparkSession, pattern: str) -> list[str]:
+def matching(spark: SparkSession, pattern: str) -> dict[str, float]:
+    """Files and folders that match, with the time in seconds of their last change."""
     fs, target = _open(spark, pattern)
-    return [f.getPath().toString() for f in fs.globStatus(target) or []]
+    found = fs.globStatus(target) or []
+    return {f.getPath().toString(): f.getModificationTime() / 1000 for f in found}
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
     fs, target = _open(spark, path)
     fs.delete(target, True)
-
-
-def spread_small(df: DataFrame, size: int) -> DataFrame:
-    """Deal a small input of ``size`` bytes out over all cores.
-
-    A row group is read by one task, so a small file keeps all but one core
-    idle. Beyond SPREAD_UP_TO an input has row groups enough, and moving it
-    would cost more than it gains.
-    """
-    if SPREAD_FROM <= size <= SPREAD_UP_TO:
-        return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-    return df

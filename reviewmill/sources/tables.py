@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from reviewmill.schemas import COLLECTIONS, record_schema
 
-EXPORT_LIMIT = 100
-
 
 def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
     """Names of the tables in the session's catalog, temporary views included."""
@@ -30,7 +28,7 @@ def read_records(
 
 
 def limited_export(
-    df: DataFrame, key: str | list[str], limit: int | None = EXPORT_LIMIT
+    df: DataFrame, key: str | list[str], limit: int | None
 ) -> DataFrame:
     """The first ``limit`` records by key; all records when ``limit`` is None."""
     keys = [key] if isinstance(key, str) else list(key)

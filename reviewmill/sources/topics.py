@@ -33,17 +33,25 @@ def encode_records(df: DataFrame) -> DataFrame:
 
 
 def parse_records(
-    topic: DataFrame, record_type: str, drop_malformed: bool = False
+    topic: DataFrame,
+    record_type: str,
+    drop_malformed: bool = False,
+    identity: str | None = None,
+    columns: list[str] | None = None,
 ) -> DataFrame:
     """Decode the ``value`` column into the columns of the record type.
 
     Text that is no JSON object gives a row of nulls; ``drop_malformed``
-    leaves out rows without any field.
+    leaves out rows without any field. ``identity`` names a further column that
+    tells records apart by their bytes, parsed or not. ``columns`` are the only
+    ones to be parsed: Spark prunes the parser by itself only for single uses.
     """
     schema = record_schema(record_type)
-    parsed = topic.select(
-        F.from_json(F.col("value").cast("string"), schema).alias("record")
-    ).select("record.*")
+    if columns is not None:
+        schema = T.StructType([schema[name] for name in columns])
+    record = F.from_json(F.col("value").cast("string"), schema).alias("record")
+    extra = [F.sha2("value", 256).alias(identity)] if identity else []
+    parsed = topic.select(record, *extra).select("record.*", *([identity] if identity else []))
     if not drop_malformed:
         return parsed
     some_field = [F.col(name).isNotNull() for name in schema.names]

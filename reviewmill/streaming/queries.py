@@ -9,6 +9,7 @@ fresh checkpoint a fresh base folder.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from reviewmill.functions.text import label_sentiment
 from reviewmill.operators.aggregates import daily_reviews
 from reviewmill.operators.recommend import fit_score, usable_ratings
 from reviewmill.plans.build import (
+    categories_from_rollup,
+    category_rollup,
     review_rollup,
     sentiment_from_rollup,
     trend_from_rollup,
@@ -30,8 +33,14 @@ from reviewmill.plans.tables import (
     prepare_records,
     result_table,
 )
+from reviewmill.schemas import RESULT_KEYS
 from reviewmill.session import materialize, scratch_path
-from reviewmill.sources.results import table_path, write_batch, write_snapshot
+from reviewmill.sources.results import (
+    complete_batches,
+    table_path,
+    write_batch,
+    write_snapshot,
+)
 from reviewmill.sources.storage import delete_folder
 from reviewmill.sources.topics import parse_records
 
@@ -47,11 +56,28 @@ def _checkpoint(base: str, name: str) -> str:
     return f"{base.rstrip('/')}/checkpoints/{name}"
 
 
+@contextmanager
+def _scratch(spark: SparkSession, label: str):
+    """A scratch folder that goes with the batch, whether it succeeds or not."""
+    folder = scratch_path(spark, label)
+    try:
+        yield folder
+    finally:
+        delete_folder(spark, folder)
+
+
+def start_frame(frame: DataFrame, name: str, mode: str, base: str, **trigger) -> StreamingQuery:
+    """Keep the result table ``name`` from a streaming frame with its columns."""
+    return _start(frame, name, mode, base, trigger)
+
+
 def _start(frame: DataFrame, name: str, mode: str, base: str, trigger: dict) -> StreamingQuery:
     path = table_path(results_root(base), name)
+    # A keyed table gets the rows that a batch has changed, not its whole state.
+    changes = mode == "complete" and name in RESULT_KEYS
     writer = (
         frame.writeStream.queryName(name)
-        .outputMode(mode)
+        .outputMode("update" if changes else mode)
         .option("checkpointLocation", _checkpoint(base, name))
     )
     if trigger:
@@ -59,9 +85,8 @@ def _start(frame: DataFrame, name: str, mode: str, base: str, trigger: dict) ->
     if mode == "append":
         # Spark's file sink logs each batch, so a replay adds nothing twice.
         return writer.format("parquet").option("path", path).start()
-    return writer.foreachBatch(
-        lambda batch, batch_id: write_snapshot(batch, batch_id, path)
-    ).start()
+    write = write_batch if changes else write_snapshot
+    return writer.foreachBatch(lambda batch, batch_id: write(batch, batch_id, path)).start()
 
 
 def start_table(
@@ -92,8 +117,9 @@ def start_predictions(
     """Train on each micro-batch of reviews and predict its ratings.
 
     With ``accumulate`` the ratings of all batches are kept, and each batch is
-    predicted by a model trained on them. ``trigger`` among the options goes
-    to the writer, the rest to ``fit_score``.
+    predicted by a model trained on them: give the query a trigger as long as
+    a training may take. ``trigger`` among the options goes to the writer, the
+    rest to ``fit_score``.
     """
     trigger = options.pop("trigger", {})
     predictions = table_path(results_root(base), "predictions")
@@ -101,22 +127,24 @@ def start_predictions(
 
     def predict(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        folder = scratch_path(spark, "predictions")
-        ratings, fresh = usable_ratings(batch), None
-        if accumulate:
-            write_batch(ratings, batch_id, history)
-            reader = spark.read.schema(ratings.schema)
-            fresh = reader.parquet(f"{history}/batch_id={batch_id}")
-            ratings = reader.parquet(history).select(*ratings.columns)
-        else:
-            ratings = materialize(ratings, "ratings", folder)
-        scored = fit_score(ratings, fresh, folder=folder, **options)
-        write_batch(scored, batch_id, predictions)
-        delete_folder(spark, folder)
-
-    records = parse_records(subscribe(record_type), record_type)
+        with _scratch(spark, "predictions") as folder:
+            ratings, fresh = batch, None
+            if accumulate:
+                write_batch(ratings, batch_id, history)
+                reader = spark.read.schema(ratings.schema)
+                fresh = reader.parquet(f"{history}/batch_id={batch_id}")
+                kept = [b for b in complete_batches(spark, history) if b <= batch_id]
+                ratings = reader.parquet(*[f"{history}/batch_id={b}" for b in kept])
+            else:
+                ratings = materialize(ratings, "ratings", folder)
+            scored = fit_score(ratings, fresh, folder=folder, **options)
+            write_batch(scored, batch_id, predictions)
+
+    columns = ["user_id", "business_id", "stars"]
+    records = parse_records(subscribe(record_type), record_type, columns=columns)
+    ratings_only = usable_ratings(records)
     writer = (
-        records.writeStream.queryName("predictions")
+        ratings_only.writeStream.queryName("predictions")
         .foreachBatch(predict)
         .option("checkpointLocation", _checkpoint(base, "predictions"))
     )
@@ -143,22 +171,63 @@ def start_daily_reviews(
     return _start(frame, "daily_reviews", "append", base, trigger)
 
 
+IDENTITY = "_identity"
+
+
+def start_late_reviews(
+    subscribe: Subscribe, base: str, delay: str = WATERMARK, **trigger
+) -> StreamingQuery:
+    """Keep the reviews that come after their day was closed, and so are in no daily row.
+
+    Each batch is held against the newest event time of the batches before it, as
+    a watermark is. The newest time is one row per batch on shared storage, so a
+    replayed batch sees the same one.
+    """
+    table = table_path(results_root(base), "late_reviews")
+    newest = f"{base.rstrip('/')}/history/newest_event_time"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = [b for b in complete_batches(spark, newest) if b < batch_id]
+        limit = F.lit(None).cast("timestamp")
+        if before:
+            seen = spark.read.parquet(f"{newest}/batch_id={before[-1]}")
+            limit = F.lit(seen.first()["newest"]).cast("timestamp")
+        day = F.to_date("event_time")
+        closed = F.date_add(day, 1).cast("timestamp") <= limit - F.expr(f"INTERVAL '{delay}'")
+        late = batch.where(closed).withColumn("day", day)
+        write_batch(late.select("review_id", "business_id", "event_time", "day"), batch_id, table)
+        here = batch.agg(F.max("event_time").alias("newest"))
+        here = here.select(F.greatest("newest", limit).alias("newest"))
+        write_batch(here, batch_id, newest)
+
+    columns = ["review_id", "business_id", "date"]
+    records = parse_records(subscribe("review"), "review", columns=columns)
+    writer = (
+        with_event_time(records)
+        .writeStream.queryName("late_reviews")
+        .foreachBatch(write)
+        .option("checkpointLocation", _checkpoint(base, "late_reviews"))
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
 def drop_redelivered(records: DataFrame, key: str, within: str = "1 hour") -> DataFrame:
     """Drop records that arrive again within the given time of arrival.
 
     The clock is the arrival time, not the event time: copies arrive close to
     each other, while event times may be years apart and out of order. Records
-    without a key are all kept apart by the rest of their columns.
+    without a key, malformed ones too, are told apart by their bytes, which
+    ``parse_records`` has put into the IDENTITY column.
     """
-    others = [c for c in records.columns if c != key]
-    identity = F.when(
-        F.col(key).isNull(), F.sha2(F.to_json(F.struct(*others)), 256)
-    )
+    identity = F.when(F.col(key).isNull(), F.col(IDENTITY))
     return (
         with_ingest_time(records, within)
-        .withColumn("_identity", identity)
-        .dropDuplicatesWithinWatermark([key, "_identity"])
-        .drop("_identity", "ingest_time")
+        .withColumn(IDENTITY, identity)
+        .dropDuplicatesWithinWatermark([key, IDENTITY])
+        .drop(IDENTITY, "ingest_time")
     )
 
 
@@ -170,6 +239,7 @@ def start_deduplicated_table(
     lexicon: Lexicon | None = None,
     scorer: Callable[[str], float] | None = None,
     within: str = "1 hour",
+    drop_malformed: bool = False,
     **trigger,
 ) -> StreamingQuery:
     """``start_table`` for topics that deliver a record more than once.
@@ -179,7 +249,9 @@ def start_deduplicated_table(
     dropped, so that the shuffle by key carries labels and no texts.
     """
     table = RESULT_TABLES[name]
-    records = parse_records(subscribe(table.record_type), table.record_type)
+    records = parse_records(
+        subscribe(table.record_type), table.record_type, drop_malformed, IDENTITY
+    )
     prepared = prepare_records(
         records, table.record_type, lexicon, scorer, watermark=None
     )
@@ -198,27 +270,28 @@ def start_review_tables(
     """Keep both review tables from one query.
 
     Reads and scores every review once instead of once per table: the query
-    keeps the monthly roll-up, and each batch writes both tables from it.
+    keeps the monthly roll-up. A batch stores the months it has changed; the
+    trend table gets these, and the sentiment table the new totals of their
+    businesses.
     """
     records = parse_records(subscribe("review"), "review", drop_malformed)
     rollup = review_rollup(prepare_records(records, "review", lexicon, scorer))
-    tables = {
-        "sentiment_aggregation": sentiment_from_rollup,
-        "review_trend_aggregation": trend_from_rollup,
-    }
+    months = f"{base.rstrip('/')}/rollups/review"
+    root = results_root(base)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        folder = scratch_path(spark, "review-tables")
-        stored = materialize(batch, "rollup", folder)
-        for name, derive in tables.items():
-            path = table_path(results_root(base), name)
-            write_snapshot(derive(stored), batch_id, path)
-        delete_folder(spark, folder)
+        write_batch(batch, batch_id, months)
+        changed = rollup_batches(batch.sparkSession, months, batch_id, batch.schema, last_only=True)
+        write_batch(trend_from_rollup(changed), batch_id, table_path(root, "review_trend_aggregation"))
+        touched = changed.select("business_id").distinct()
+        every = rollup_batches(batch.sparkSession, months, batch_id, batch.schema)
+        same = every["business_id"].eqNullSafe(touched["business_id"])
+        totals = sentiment_from_rollup(every.join(touched, same, "left_semi"))
+        write_batch(totals, batch_id, table_path(root, "sentiment_aggregation"))
 
     writer = (
         rollup.writeStream.queryName("review_tables")
-        .outputMode("complete")
+        .outputMode("update")
         .foreachBatch(write)
         .option("checkpointLocation", _checkpoint(base, "review_tables"))
     )
@@ -227,6 +300,63 @@ def start_review_tables(
     return writer.start()
 
 
+def rollup_batches(
+    spark: SparkSession, path: str, batch_id: int, schema, last_only: bool = False
+) -> DataFrame:
+    """Changed months of one batch, or the newest row of every month up to it."""
+    reader = spark.read.schema(schema)
+    if last_only:
+        return reader.parquet(f"{path}/batch_id={batch_id}")
+    kept = [b for b in complete_batches(spark, path) if b <= batch_id]
+    number = F.regexp_extract(F.input_file_name(), r"batch_id=([0-9]+)/[^/]*$", 1)
+    frame = reader.parquet(*[f"{path}/batch_id={b}" for b in kept])
+    keys = ["review_year", "review_month", "business_id"]
+    rest = [c for c in frame.columns if c not in keys]
+    newest = F.max_by(F.struct(*rest), "_batch").alias("row")
+    numbered = frame.withColumn("_batch", number.cast("bigint"))
+    return numbered.groupBy(*keys).agg(newest).select(*keys, "row.*")
+
+
+def start_category_tables(
+    subscribe: Subscribe, base: str, drop_malformed: bool = False, **trigger
+) -> StreamingQuery:
+    """Keep both category tables from one query that splits every list once."""
+    records = parse_records(subscribe("business"), "business", drop_malformed)
+    rollup = category_rollup(prepare_records(records, "business"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        with _scratch(spark, "category-tables") as folder:
+            stored = materialize(batch, "rollup", folder)
+            for name, table in categories_from_rollup(stored).items():
+                write_snapshot(table, batch_id, table_path(results_root(base), name))
+
+    writer = (
+        rollup.writeStream.queryName("category_tables")
+        .outputMode("complete")
+        .foreachBatch(write)
+        .option("checkpointLocation", _checkpoint(base, "category_tables"))
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
+# Tables that one query can keep together, and how.
+SHARED = {
+    ("sentiment_aggregation", "review_trend_aggregation"): (
+        lambda subscribe, base, lexicon, scorer, trigger: start_review_tables(
+            subscribe, base, lexicon, scorer, **trigger
+        )
+    ),
+    ("category_distribution", "top_rated_categories"): (
+        lambda subscribe, base, lexicon, scorer, trigger: start_category_tables(
+            subscribe, base, **trigger
+        )
+    ),
+}
+
+
 def start_all(
     subscribe: Subscribe,
     base: str,
@@ -234,22 +364,20 @@ def start_all(
     scorer: Callable[[str], float] | None = None,
     tables: Iterable[str] = tuple(RESULT_TABLES),
     predictions: bool = True,
-    share_reviews: bool = False,
+    share: bool = True,
     **trigger,
 ) -> list[StreamingQuery]:
-    """Start the nine result tables and the predictions, each on its own checkpoint.
+    """Start the result tables and the predictions, each query on its own checkpoint.
 
-    With ``share_reviews`` the two review tables come from one query. Decide
-    before the first start: the two ways have different checkpoints.
+    With ``share`` the two review tables come from one query, and so do the two
+    category tables. Decide before the first start: the ways have different checkpoints.
     """
-    shared = ["sentiment_aggregation", "review_trend_aggregation"] if share_reviews else []
-    queries = [
-        start_table(name, subscribe, base, lexicon, scorer, **trigger)
-        for name in tables
-        if name not in shared
-    ]
-    if share_reviews:
-        queries.append(start_review_tables(subscribe, base, lexicon, scorer, **trigger))
+    alone, queries = list(tables), []
+    for group, start in SHARED.items():
+        if share and set(group) <= set(alone):
+            alone = [name for name in alone if name not in group]
+            queries.append(start(subscribe, base, lexicon, scorer, trigger))
+    queries += [start_table(name, subscribe, base, lexicon, scorer, **trigger) for name in alone]
     if predictions:
         queries.append(start_predictions(subscribe, base, trigger=trigger))
     return queries

@@ -5,7 +5,7 @@ from reviewmill.operators import aggregates as A
 from reviewmill.plans.build import build_tables
 from reviewmill.plans.tables import RESULT_TABLES, result_table
 from reviewmill.schemas import RECORDS, result_schema
-from reviewmill.sources.fixtures import LEXICON, read_fixture
+from reviewmill.plans.fixtures import LEXICON, read_fixture
 
 LEX = {"good": 1.0, "bad": -1.0}
 

@@ -6,13 +6,16 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from reviewmill.plans import registry
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
+# Too few reviews in the smallest test data for any business to pass the threshold.
+MAY_BE_EMPTY = {"review_trend_series_many"}
 WITHOUT_SQL = {"predictions", "predictions_top50", "stream_predictions"}
 
 
@@ -38,6 +41,8 @@ def _normal(columns, rows):
 
 
 def test_every_query_has_sql_or_a_reason():
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert SQL.items() <= entry_module.oracle_sql().items()
     assert set(SQL) <= set(QUERIES)
     assert set(QUERIES) - set(SQL) == WITHOUT_SQL
 
@@ -49,7 +54,7 @@ def test_same_rows_as_sql(spark, sf_dir, duck, name):
     assert sorted(frame.columns) == sorted(expected.columns)
     ours = _normal(frame.columns, map(tuple, frame.collect()))
     assert ours == _normal(expected.columns, expected.fetchall())
-    assert ours
+    assert ours or name in MAY_BE_EMPTY
 
 
 def test_entry_runs(spark):

@@ -3,7 +3,7 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from reviewmill.operators import recommend as R
-from reviewmill.sources.fixtures import read_fixture
+from reviewmill.plans.fixtures import read_fixture
 
 COLUMNS = "user_id string, business_id string, stars double"
 

@@ -10,7 +10,7 @@ from reviewmill.plans.tables import RESULT_TABLES, result_table
 from reviewmill.schemas import RECORDS, RESULTS
 from reviewmill.session import scratch_root, stream_session
 from reviewmill.sources import results as R
-from reviewmill.sources.fixtures import LEXICON, read_fixture
+from reviewmill.plans.fixtures import LEXICON, read_fixture
 from reviewmill.sources.topics import publish_to_files, subscribe_to_files
 from reviewmill.streaming import queries as S
 
@@ -90,12 +90,45 @@ def test_replayed_batch_changes_nothing(rows, topics):
     assert rows(topics.result("sentiment_aggregation")) == [("a", 3.0, 3, 3, 0)]
 
 
-def test_only_late_snapshots_are_kept(topics):
-    for number in range(4):
-        topics.reviews(review(number, "a", "2018-01-01"))
-    topics.run("sentiment_aggregation")
-    batches = topics.batches("sentiment_aggregation")
-    assert len(batches) == R.SNAPSHOTS_KEPT and batches[-1] >= 3
+def test_a_batch_writes_only_the_keys_it_changes(rows, topics):
+    for number, business in enumerate(["a", "b", "c", "a"]):
+        topics.reviews(review(number, business, "2018-01-01"))
+        topics.run("sentiment_aggregation")
+    path = R.table_path(S.results_root(topics.base), "sentiment_aggregation")
+    last = topics.spark.read.parquet(f"{path}/batch_id={topics.batches('sentiment_aggregation')[-1]}")
+    assert rows(last, "business_id", "review_count") == [("a", 2)]
+    assert rows(topics.result("sentiment_aggregation"), "business_id", "review_count") == [
+        ("a", 2), ("b", 1), ("c", 1),
+    ]
+
+
+def test_compaction_keeps_the_state_and_the_readers(rows, topics):
+    name, root = "sentiment_aggregation", S.results_root(topics.base)
+    for number, business in enumerate(["a", "b", "a"]):
+        topics.reviews(review(number, business, "2018-01-01"))
+        topics.run(name)
+    before = topics.result(name)
+    R.compact_result(topics.spark, root, name)
+    assert rows(before) == rows(topics.result(name))  # old folders are still there
+    topics.reviews(review(9, "c", "2018-01-01"))
+    topics.run(name)
+    assert rows(topics.result(name), "business_id", "review_count") == [("a", 2), ("b", 1), ("c", 1)]
+    R.compact_result(topics.spark, root, name, retention=0)
+    assert topics.batches(name) == []
+    assert rows(topics.result(name), "business_id", "review_count") == [("a", 2), ("b", 1), ("c", 1)]
+
+
+def test_a_snapshot_can_be_read_after_later_ones(rows, topics):
+    path = R.table_path(S.results_root(topics.base), "category_distribution")
+    frame = topics.spark.createDataFrame([("a", 1)], "category string, count bigint")
+    R.write_snapshot(frame, 0, path)
+    reading = topics.result("category_distribution")
+    for batch in range(1, 4):
+        R.write_snapshot(frame.withColumn("count", F.lit(batch + 1).cast("bigint")), batch, path)
+    assert rows(reading) == [("a", 1)]
+    assert rows(topics.result("category_distribution")) == [("a", 4)]
+    R.write_snapshot(frame, 4, path, retention=0)
+    assert topics.batches("category_distribution") == [4]
 
 
 def test_half_written_snapshot_is_not_read(rows, topics):
@@ -158,6 +191,33 @@ def test_redelivered_records_count_once(rows, topics):
     assert rows(topics.result("sentiment_aggregation")) == [("a", 3.0, 3, 3, 2)]
 
 
+def test_malformed_records_are_no_copies_of_one_another(rows, topics):
+    folder = os.path.join(topics.base, "t-checkin")
+    os.makedirs(folder)
+    with open(f"{folder}/part.txt", "w") as file:
+        file.write("one\ntwo\nthree\ntwo\n" + json.dumps({"business_id": "a", "date": "x"}) + "\n")
+    for option, expected in ((False, [("a", 1), (None, 3)]), (True, [("a", 1)])):
+        topics.base = topics.base if not option else topics.base + "/other"
+        if option:
+            os.makedirs(topics.base)
+            os.symlink(folder, os.path.join(topics.base, "t-checkin"))
+        S.start_deduplicated_table(
+            "popularity_aggregation", "business_id", topics.subscribe, topics.base,
+            drop_malformed=option, **NOW,
+        ).awaitTermination()
+        assert rows(topics.result("popularity_aggregation")) == expected
+
+
+def test_predictions_parse_no_texts(topics, capsys):
+    topics.reviews(*ratings(3, 3, 0))
+    query = S.start_predictions(topics.subscribe, topics.base, trigger=NOW, maxIter=1)
+    query.awaitTermination()
+    capsys.readouterr()
+    query.explain(True)
+    physical = capsys.readouterr().out.split("== Physical Plan ==")[1]
+    assert "stars" in physical and "StructField(text" not in physical and "review_id" not in physical
+
+
 def test_dedup_shuffles_no_texts(topics, capsys):
     topics.reviews(review(1, "a", "2018-01-01"))
     query = S.start_deduplicated_table(
@@ -178,7 +238,7 @@ def test_both_review_tables_from_one_query(spark, sf_dir, rows, topics):
     started = S.start_all(
         topics.subscribe, topics.base, LEXICON,
         tables=["sentiment_aggregation", "review_trend_aggregation"],
-        predictions=False, share_reviews=True, **NOW,
+        predictions=False, **NOW,
     )
     assert [q.name for q in started] == ["review_tables"]
     S.await_all(topics.spark, started)
@@ -219,7 +279,8 @@ def test_all_queries_and_refresh(spark, sf_dir, rows, topics):
     for record_type, frame in records.items():
         topics.publish(record_type, frame)
     started = S.start_all(topics.subscribe, topics.base, LEXICON, **NOW)
-    assert len(started) == 10
+    # Two pairs of tables share a query each.
+    assert len(started) == 8
     S.await_all(topics.spark, started)
     tables = refresh(spark, S.results_root(topics.base), records["business"])
     assert set(tables) == set(CHARTS)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewmill.functions import text as T
-from reviewmill.sources.fixtures import LEXICON, read_fixture
+from reviewmill.plans.fixtures import LEXICON, read_fixture
 
 WORDS = "text string"
 
@@ -20,10 +20,11 @@ def test_sign_decides_the_label(spark):
     ]
 
 
-def test_tokens_are_runs_of_ascii_letters(spark):
-    texts = ["goods", "so-good!", "good1bad", "GOOD\nbad bad", "bonégood"]
-    assert labels(spark, texts, {"good": 1.0, "bad": -1.0}) == [
-        "Neutral", "Positive", "Neutral", "Negative", "Positive",
+def test_tokens_are_runs_of_letters(spark):
+    texts = ["goods", "so-good!", "good1bad", "GOOD\nbad bad", "bonégood", "schön für ÜBER über", "добро_x"]
+    lexicon = {"good": 1.0, "bad": -1.0, "schön": 1.0, "über": -1.0, "добро": 1.0}
+    assert labels(spark, texts, lexicon) == [
+        "Neutral", "Positive", "Neutral", "Negative", "Neutral", "Negative", "Positive",
     ]
 
 
@@ -41,14 +42,14 @@ def test_many_words_and_weights(spark):
     words = [chr(97 + i // 26) + chr(97 + i % 26) for i in range(400)]
     lexicon = {w: ((i * 7) % 41 - 20) / 20 for i, w in enumerate(words)}
     df = spark.createDataFrame([(w, float(v)) for w, v in lexicon.items()], "t string, w double")
-    weights = T.literal_weights(lexicon)
+    weights = T.literal_weights(spark, lexicon)
     got = df.select("w", T.polarity(F.col("t"), weights).alias("p")).collect()
     assert all(r.p == pytest.approx(r.w) for r in got)
 
 
 def test_polarity_is_the_mean_weight(spark):
     df = spark.createDataFrame([("good good bad x",), ("x",), (None,)], WORDS)
-    weights = T.literal_weights({"good": 0.5, "bad": -0.25})
+    weights = T.literal_weights(spark, {"good": 0.5, "bad": -0.25})
     got = [r[0] for r in df.select(T.polarity(F.col("text"), weights)).collect()]
     assert got == [0.25, 0.0, None]
 
@@ -57,18 +58,33 @@ def test_repeated_lexicon_words_take_their_mean(spark):
     lexicon = spark.createDataFrame(
         [("Good", 1.0), ("good", 0.5), ("x", None), (None, 1.0)], "word string, weight double"
     )
-    assert T.literal_weights(lexicon) == {"good": 750_000}
+    assert T.literal_weights(spark, lexicon) == {"good": 750_000}
+    assert T.literal_weights(spark, {"Good": 1.0, "good": 0.5}) == {"good": 750_000}
+
+
+def test_labels_do_not_depend_on_the_size_of_the_lexicon(spark, monkeypatch):
+    lexicon = {"Good": -0.8, "good": 0.5, "odd": 0.0000005}
+    texts = ["good good", "Good", "odd", None, "", "good odd"]
+    few = labels(spark, texts, lexicon)
+    monkeypatch.setattr(T, "LITERAL_WORDS", 1)
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    many = T.label_sentiment(df, lexicon).orderBy("i").collect()
+    looked_up = T.label_by_lookup(df, T.lexicon_table(spark, lexicon)).orderBy("i").collect()
+    assert few == [r.sentiment for r in many] == [r.sentiment for r in looked_up]
+    assert few[0] == "Negative" and few[2] == "Positive"
 
 
 def test_all_ways_agree_on_whole_texts(spark, sf_dir, rows, monkeypatch):
     reviews = read_fixture(spark, sf_dir, "review").select("review_id", "text")
     literal = rows(T.label_sentiment(reviews, LEXICON), "review_id", "sentiment")
-    monkeypatch.setattr(T, "MAX_LITERAL_WORDS", 3)
-    assert T.literal_weights(LEXICON) is None
+    monkeypatch.setattr(T, "LITERAL_WORDS", 3)
+    assert T.literal_weights(spark, LEXICON) is None
     joined = T.label_sentiment(reviews, LEXICON)
     assert rows(joined, "review_id", "sentiment") == literal
     table = spark.createDataFrame(list(LEXICON.items()), "word string, weight double")
     assert rows(T.label_sentiment(reviews, table), "review_id", "sentiment") == literal
+    looked_up = T.label_by_lookup(reviews, table)
+    assert rows(looked_up, "review_id", "sentiment") == literal
     assert {label for _, label in literal} == {"Positive", "Neutral", "Negative", None}
 
 
@@ -94,8 +110,12 @@ def test_needs_lexicon_or_scorer(spark):
         labels(spark, ["a"], None)
 
 
-def test_large_lexicon_on_a_stream_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(T, "MAX_LITERAL_WORDS", 1)
-    stream = spark.readStream.format("rate").load().selectExpr("'a' AS text")
-    with pytest.raises(ValueError, match="foreachBatch"):
-        T.label_sentiment(stream, {"a": 1.0, "b": 1.0})
+def test_large_lexicon_on_a_stream(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(T, "LITERAL_WORDS", 1)
+    spark.createDataFrame([("good bad bad",), (None,), ("x",)], WORDS).write.text(str(tmp_path / "in"))
+    stream = spark.readStream.text(str(tmp_path / "in")).withColumnRenamed("value", "text")
+    labelled = T.label_sentiment(stream, {"good": 1.0, "bad": -1.0})
+    query = labelled.writeStream.format("memory").queryName("labelled").trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = {r.text: r.sentiment for r in spark.table("labelled").collect()}
+    assert got["good bad bad"] == "Negative" and got["x"] == "Neutral"

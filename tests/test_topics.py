@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewmill.schemas import RECORDS, record_schema, topic_name
-from reviewmill.sources.fixtures import read_fixture
+from reviewmill.plans.fixtures import read_fixture
 from reviewmill.sources.tables import limited_export, list_tables, read_records
 from reviewmill.sources.topics import (
     encode_records,
@@ -88,7 +88,7 @@ def test_topic_names_and_kafka_options():
 
 def test_limited_export(spark):
     df = spark.range(250).select(F.col("id").cast("string").alias("k"))
-    assert limited_export(df, "k").count() == 100
+    assert limited_export(df, "k", 100).count() == 100
     assert [r.k for r in limited_export(df, "k", 2).collect()] == ["0", "1"]
     assert limited_export(df, ["k"], None).count() == 250
 
