@@ -18,7 +18,7 @@ nor on the partitioning.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Collection, Iterator, Mapping
 
 import numpy as np
 import pandas as pd
@@ -42,8 +42,26 @@ UNITS = 1_000_000
 LITERAL_WORDS = 20_000
 
 
-def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), 0)
+# Put before a token that follows a negator. No token begins with it, and the
+# lexicon holds each word with it as well, with the opposite weight.
+NEGATED = "-"
+
+
+def tokens(text: Column, negators: Collection[str] = ()) -> Column:
+    """Words of a text; those right after a negator are marked as NEGATED."""
+    words = F.regexp_extract_all(F.lower(text), F.lit(TOKEN), 0)
+    if not negators:
+        return words
+    known = sorted({word.lower() for word in negators})
+    marked = F.transform(
+        F.arrays_zip(words.alias("word"), F.concat(F.array(F.lit("")), words).alias("before")),
+        lambda pair: F.when(
+            pair["before"].isin(known) & pair["word"].isNotNull(),
+            F.concat(F.lit(NEGATED), pair["word"]),
+        ).otherwise(pair["word"]),
+    )
+    # Zipped with one more word before than there are words.
+    return F.filter(marked, lambda word: word.isNotNull())
 
 
 def label_of(polarity: Column) -> Column:
@@ -63,6 +81,30 @@ def lexicon_units(lexicon: DataFrame) -> DataFrame:
     )
 
 
+def read_lexicon(
+    spark: SparkSession, path: str, file_format: str = "parquet"
+) -> DataFrame:
+    """A lexicon stored as (word, weight) rows, checked.
+
+    Raises ValueError where a row lacks its word or weight, a weight is beyond
+    [-1, 1], or a word is no run of letters and so could never be found.
+    """
+    reader = spark.read.schema("word string, weight double")
+    lexicon = reader.format(file_format).load(path)
+    bad = ~F.col("word").rlike(r"^\p{L}+$") | ~F.col("weight").between(-1, 1)
+    missing = F.col("word").isNull() | F.col("weight").isNull()
+    wrong = lexicon.where(missing | bad).limit(1).collect()
+    if wrong:
+        raise ValueError(f"not a lexicon entry: {wrong[0].asDict()}")
+    return lexicon
+
+
+def with_negated(lexicon: DataFrame) -> DataFrame:
+    """Each word also as NEGATED, with the opposite weight."""
+    marked = F.concat(F.lit(NEGATED), "word").alias("word")
+    return lexicon.union(lexicon.select(marked, (-F.col("weight")).alias("weight")))
+
+
 def lexicon_table(spark: SparkSession, lexicon: DataFrame | Mapping[str, float]) -> DataFrame:
     """A lexicon as (word, weight) rows, whatever form it has."""
     if isinstance(lexicon, Mapping):
@@ -89,21 +131,25 @@ def _weight_of(word: Column, by_weight: list[tuple[int, list[str]]]) -> Column:
     return F.when(in_left, _weight_of(word, left)).otherwise(_weight_of(word, right))
 
 
-def _found(text: Column, weights: Mapping[str, int]) -> tuple[Column, Callable]:
+def _found(
+    text: Column, weights: Mapping[str, int], negators: Collection[str]
+) -> tuple[Column, Callable]:
     """Lexicon words of one text, repeats kept, and the function that weighs one."""
     groups: dict[int, list[str]] = {}
     for word, units in sorted(weights.items()):
         groups.setdefault(units, []).append(word)
     by_weight = sorted(groups.items())
-    found = F.filter(tokens(text), lambda word: word.isin(sorted(weights)))
+    found = F.filter(tokens(text, negators), lambda word: word.isin(sorted(weights)))
     return found, lambda word: _weight_of(word, by_weight)
 
 
-def sentiment(text: Column, weights: Mapping[str, int]) -> Column:
+def sentiment(
+    text: Column, weights: Mapping[str, int], negators: Collection[str] = ()
+) -> Column:
     """Label of one text. Only the sign counts, so the sum stands for the mean."""
     if not weights:
         return F.when(text.isNotNull(), NEUTRAL)
-    found, weigh = _found(text, weights)
+    found, weigh = _found(text, weights, negators)
     zero = F.lit(0).cast("bigint")
     return F.aggregate(found, zero, lambda acc, word: acc + weigh(word), label_of)
 
@@ -112,7 +158,7 @@ def polarity(text: Column, weights: Mapping[str, int]) -> Column:
     """Mean weight of the lexicon words in the text; 0 without any, null for null."""
     if not weights:
         return F.when(text.isNotNull(), F.lit(0.0))
-    found, weigh = _found(text, weights)
+    found, weigh = _found(text, weights, ())
     zero = F.lit(0).cast("bigint")
     return F.aggregate(
         found,
@@ -127,7 +173,11 @@ def polarity(text: Column, weights: Mapping[str, int]) -> Column:
 
 
 def label_by_join(
-    df: DataFrame, lexicon: DataFrame, text: str = "text", label: str = "sentiment"
+    df: DataFrame,
+    lexicon: DataFrame,
+    text: str = "text",
+    label: str = "sentiment",
+    negators: Collection[str] = (),
 ) -> DataFrame:
     """Label texts against a lexicon table of any size (batch only).
 
@@ -145,7 +195,7 @@ def label_by_join(
         # Hashed before the explode: once per text, not once per token. The
         # outer explode keeps Spark from tokenising again to test for empty
         # lists; the null words it gives find no partner in the join.
-        known.select(fingerprint.alias("_fingerprint"), tokens(F.col(text)).alias("_tokens"))
+        known.select(fingerprint.alias("_fingerprint"), tokens(F.col(text), negators).alias("_tokens"))
         .select("_fingerprint", F.explode_outer("_tokens").alias("word"))
         .join(weights, "word")
         .groupBy("_fingerprint")
@@ -162,7 +212,11 @@ def label_by_join(
 
 
 def label_by_lookup(
-    df: DataFrame, lexicon: DataFrame, text: str = "text", label: str = "sentiment"
+    df: DataFrame,
+    lexicon: DataFrame,
+    text: str = "text",
+    label: str = "sentiment",
+    negators: Collection[str] = (),
 ) -> DataFrame:
     """Label texts row by row against a lexicon of any size; works on streams.
 
@@ -192,7 +246,7 @@ def label_by_lookup(
             ends = np.cumsum(lengths)
             yield pd.Series(sums[ends] - sums[ends - lengths])
 
-    units = total(F.coalesce(tokens(F.col(text)), F.array().cast("array<string>")))
+    units = total(F.coalesce(tokens(F.col(text), negators), F.array().cast("array<string>")))
     return df.withColumn(label, F.when(F.col(text).isNotNull(), label_of(units)))
 
 
@@ -217,14 +271,21 @@ def label_sentiment(
     scorer: Callable[[str], float] | None = None,
     text: str = "text",
     label: str = "sentiment",
+    negators: Collection[str] = (),
 ) -> DataFrame:
-    """Add the sentiment label by the cheapest way that fits the lexicon."""
+    """Add the sentiment label by the cheapest way that fits the lexicon.
+
+    A word right after one of the ``negators`` counts with the opposite weight.
+    """
     if scorer is not None:
         return label_by_scorer(df, scorer, text, label)
     if lexicon is None:
         raise ValueError("give a lexicon or a scorer")
-    weights = literal_weights(df.sparkSession, lexicon)
+    table = lexicon_table(df.sparkSession, lexicon)
+    if negators:
+        table = with_negated(table)
+    weights = literal_weights(df.sparkSession, table)
     if weights is not None:
-        return df.withColumn(label, sentiment(F.col(text), weights))
+        return df.withColumn(label, sentiment(F.col(text), weights, negators))
     way = label_by_lookup if df.isStreaming else label_by_join
-    return way(df, lexicon_table(df.sparkSession, lexicon), text, label)
+    return way(df, table, text, label, negators)

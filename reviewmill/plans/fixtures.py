@@ -115,6 +115,9 @@ LEXICON = {
 # Words outside ASCII, as they are in the test prose.
 UNICODE_LEXICON = {"für": 0.5, "ré": -0.5, "é": 0.25, "según": 0.5, "ê": -0.25, "über": -0.75, "la": 0.25}
 
+# Frequent words that stand before words of the lexicon.
+NEGATORS = ("the", "of", "und", "les", "el", "de")
+
 # Invented words of a lexicon too large for a plan; none occurs in a text.
 RARE_WORDS = 25_000
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewmill.plans.fixtures import UNICODE_LEXICON, fixture_sql, lexicon_sql
+from reviewmill.plans.fixtures import NEGATORS, UNICODE_LEXICON, fixture_sql, lexicon_sql
 
 _LABELS = r"""
 {name}_labels AS (
@@ -328,6 +328,24 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
         ["unicode_lexicon", "review", "review_labels"],
         _REVIEW_LABELS,
     ),
+    "review_labels_negation": (
+        ["lexicon", "review"],
+        r"""SELECT r.review_id, CASE WHEN r.text IS NULL THEN NULL
+            WHEN coalesce(p.total, 0) > 0 THEN 'Positive'
+            WHEN coalesce(p.total, 0) < 0 THEN 'Negative' ELSE 'Neutral' END AS sentiment
+        FROM review r LEFT JOIN (
+            SELECT review_id, sum(weight * flip) AS total
+            FROM (
+                SELECT review_id, words[i] AS word,
+                    CASE WHEN i > 1 AND words[i - 1] IN %s THEN -1 ELSE 1 END AS flip
+                FROM (
+                    SELECT review_id, words, unnest(range(1, len(words) + 1)) AS i
+                    FROM (SELECT review_id, regexp_extract_all(lower(text), '\p{L}+') AS words FROM review)
+                )
+            ) JOIN lexicon USING (word)
+            GROUP BY review_id
+        ) p USING (review_id)""" % (NEGATORS,),
+    ),
     "review_labels_large_lexicon": (
         ["large_lexicon", "review", "review_labels"],
         _REVIEW_LABELS,

@@ -23,6 +23,7 @@ from reviewmill.plans import charts
 from reviewmill.plans.build import build_tables
 from reviewmill.plans.fixtures import (
     LEXICON,
+    NEGATORS,
     UNICODE_LEXICON,
     large_lexicon,
     read_fixture,
@@ -100,6 +101,11 @@ def _labels(record_type: str, columns: list[str], lexicon=lambda spark: LEXICON)
     return run
 
 
+def _review_labels_negation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reviews = read_fixture(spark, sf_dir, "review").select("review_id", "text")
+    return label_sentiment(reviews, LEXICON, negators=NEGATORS).select("review_id", "sentiment")
+
+
 def _review_labels_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     reviews = read_fixture(spark, sf_dir, "review").select("review_id", "text")
     labelled = label_by_join(reviews, lexicon_table(spark, LEXICON))
@@ -416,6 +422,7 @@ def queries() -> dict[str, Query]:
         "review_labels": _labels("review", ["review_id"]),
         "review_labels_by_join": _review_labels_by_join,
         "review_labels_unicode": _labels("review", ["review_id"], lambda spark: UNICODE_LEXICON),
+        "review_labels_negation": _review_labels_negation,
         "review_labels_large_lexicon": _labels("review", ["review_id"], large_lexicon),
         "review_polarity": _review_polarity,
         "tip_labels": _labels("tip", ["business_id", "compliment_count"]),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -64,7 +66,9 @@ def scratch_root(spark: SparkSession) -> str:
         )
     app = spark.sparkContext.applicationId
     if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="reviewmill-")
+        folder = _local_scratch[app] = tempfile.mkdtemp(prefix="reviewmill-")
+        # Made here for a local run without a setting, so it goes with the run.
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     return _local_scratch[app]
 
 

@@ -119,3 +119,30 @@ def test_large_lexicon_on_a_stream(spark, tmp_path, monkeypatch):
     query.awaitTermination()
     got = {r.text: r.sentiment for r in spark.table("labelled").collect()}
     assert got["good bad bad"] == "Negative" and got["x"] == "Neutral"
+
+
+def test_a_negator_turns_the_next_word(spark, monkeypatch):
+    texts = ["not good", "Not, good good good", "not so good", "good not", "not not good", "not bad", None, ""]
+    lexicon, expected = {"good": 1.0, "bad": -1.0, "so": 0.0}, [
+        "Negative", "Positive", "Positive", "Positive", "Negative", "Positive", None, "Neutral",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    table = T.with_negated(T.lexicon_table(spark, lexicon))
+    looked_up = T.label_by_lookup(df, table, negators=["NOT"]).orderBy("i").collect()
+    assert [r.sentiment for r in looked_up] == expected
+    for most in (20_000, 1):
+        monkeypatch.setattr(T, "LITERAL_WORDS", most)
+        got = T.label_sentiment(df, lexicon, negators=["not"]).orderBy("i").collect()
+        assert [r.sentiment for r in got] == expected
+
+
+def test_read_lexicon(spark, tmp_path):
+    good = [("good", 0.5), ("schön", 1.0)]
+    for n, more in enumerate(([], [("two words", 0.5)], [("x", 2.0)], [(None, 0.5)], [("y", None)])):
+        path = str(tmp_path / str(n))
+        spark.createDataFrame(good + more, "word string, weight double").write.parquet(path)
+        if more:
+            with pytest.raises(ValueError, match="lexicon entry"):
+                T.read_lexicon(spark, path)
+        else:
+            assert sorted(map(tuple, T.read_lexicon(spark, path).collect())) == good
