@@ -10,6 +10,7 @@ What is not yet in one component is then compared within each list, in blocks.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -73,16 +74,9 @@ def _signed(values: np.ndarray) -> np.ndarray:
 
 def _set_digest(values: np.ndarray) -> str | None:
     """Tells different sets apart (128 bits); null for the empty set."""
-    import hashlib
-
     return hashlib.md5(values.tobytes()).hexdigest() if len(values) else None
 
 
-def sketch_texts(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_sketch(width, SKETCH), _SKETCHED)
-
-
 def _postings(classes: DataFrame) -> DataFrame:
     """(value, doc_id, hot): the rarest of each sketch's lowest values.
 
@@ -305,26 +299,38 @@ def near_groups(
 
     Null and empty texts, and texts without words, have no shingles and link with
     nothing. Equal sets are one node, whatever their number. Rows that repeat
-    an id should repeat its text: the id is one node. Rows without an id
-    stay alone and are kept. An empty table gives no rows; other columns are ignored.
+    an id all get the result of its smallest text. Rows without an id have the
+    component of an equal set with an id and are not kept, else they stay alone and
+    are. An empty table gives no rows; other columns are ignored.
 
     Each list of the index costs one row per member in the first pass. Texts
-    move only if they are in a pair that the sketches pass.
+    move only if they share a listed value with another one.
     """
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    size = rows.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
+    if size[0] == size[1]:
+        return _groups(rows, percent, width)
+    named = rows.filter("doc_id IS NOT NULL")
+    nodes = named.groupBy("doc_id").agg(F.min("text").alias("text"))
+    nodes = materialize(nodes.union(rows.filter("doc_id IS NULL")), "one-text-an-id")
+    found = materialize(_groups(nodes, percent, width), "groups")
+    again = named.select("doc_id").join(found, "doc_id")
+    return again.union(found.filter("doc_id IS NULL"))
+
+
+def _groups(rows: DataFrame, percent: int, width: int) -> DataFrame:
+    """``near_groups`` of (doc_id, text) without a repeated id."""
     threshold = percent / 100
-    sketched = materialize(sketch_texts(docs, id_col, text_col, width), "sketches")
+    sketched = materialize(rows.mapInArrow(_sketch(width, SKETCH), _SKETCHED), "sketches")
 
     usable = sketched.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
     firsts = usable.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    classes = materialize(
-        usable.join(firsts, ["digest", "doc_id"], "left_semi").dropDuplicates(["doc_id"]), "classes"
-    )
+    classes = materialize(usable.join(firsts, ["digest", "doc_id"], "left_semi"), "classes")
     postings = materialize(_postings(classes), "postings")
     shared = postings.groupBy("value").count().filter("count > 1").select("value")
     met = postings.join(shared, "value", "left_semi").select("doc_id").distinct()
     # Only texts that share a listed value with another one are ever compared.
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    texts = materialize(texts.join(met, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "met-texts")
+    texts = materialize(rows.join(met, "doc_id", "left_semi"), "met-texts")
 
     stars = materialize(_promising(_stars(postings), classes, threshold), "star-pairs")
     links = materialize(confirm_links(stars, texts, width, percent), "star-links")

@@ -48,7 +48,7 @@ def _directions(dim: int, seed: int, count: int) -> np.ndarray:
 
 
 def _emit(threshold: float, seed: int):
-    """Rows (dim, layout, cell, first_id, codes, vector) for each layout of each vector."""
+    """Vectors with the code of their cell in every layout."""
     distance = math.sqrt(2 - 2 * threshold)
 
     def run(batches):
@@ -63,7 +63,9 @@ def _emit(threshold: float, seed: int):
                 codes = (windows.reshape(-1, LAYOUTS, GROUP) * mult).sum(axis=2)
                 yield pd.DataFrame(
                     {
+                        "key": part["key"].to_numpy(),
                         "first_id": part["first_id"].to_numpy(),
+                        "copies": part["copies"].to_numpy(),
                         "codes": list(codes),
                         "unit": part["unit"].to_numpy(),
                     }
@@ -125,6 +127,7 @@ def _meet(threshold: float, seed: int):
             out.append(
                 pd.DataFrame(
                     {
+                        "key": part["key"].to_numpy()[linked],
                         "first_id": ids[linked],
                         "links": links[linked].astype(np.int64),
                         "joined": ids[root[linked]],
@@ -133,7 +136,7 @@ def _meet(threshold: float, seed: int):
             )
         if out:
             return pd.concat(out)
-        return pd.DataFrame({"first_id": [], "links": [], "joined": []}).astype(np.int64)
+        return pd.DataFrame({"key": [], "first_id": [], "links": [], "joined": []})
 
     return run
 
@@ -154,9 +157,9 @@ def near_vectors(
     Vectors that are null, empty, zero, or hold null or non-finite components
     link with nothing; nor do vectors of different lengths. Identical vectors are
     one node with a count, so copies never meet in a task, yet count as links. Rows that
-    repeat an id count as rows, and share a component if their vectors do. Rows
-    without an id count as links of others, but take part under no id:
-    they get 0 links and stay alone. No rows give no rows; other columns are ignored.
+    repeat an id count as rows; if their vectors differ, the id ties the components
+    of these together where it is the smallest id with such a vector. Rows without an id
+    link with nothing. No rows give no rows; other columns are ignored.
 
     A cell beyond BLOCK rows is dealt to pairs of blocks over several tasks. Each
     pair is counted in the first layout that joins it, so a task returns one row
@@ -169,7 +172,7 @@ def near_vectors(
     sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     largest = F.array_max(F.transform("v", F.abs))
     usable = F.col("vec_id").isNotNull() & sound & (largest > 0)
-    rows = rows.withColumn("key", F.when(usable, F.sha2(F.to_json("v"), 256)))
+    rows = rows.withColumn("key", F.when(usable, F.unhex(F.sha2(F.to_json("v"), 256))))
     # Scaled first, so that squares neither overflow nor vanish.
     usable = rows.filter("key IS NOT NULL").withColumn("v", F.transform("v", lambda x: x / largest))
     size = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
@@ -185,34 +188,35 @@ def near_vectors(
     )
     classes = materialize(classes, "vectors")
 
-    coded = classes.select("first_id", "dim", "unit").mapInPandas(
-        _emit(threshold, seed), "first_id long, codes array<long>, unit array<double>"
+    coded = classes.mapInPandas(
+        _emit(threshold, seed),
+        "key binary, first_id long, copies long, codes array<long>, unit array<double>",
     )
     coded = materialize(coded, "vector-codes")
-    cells = coded.select("first_id", F.size("unit").alias("dim"), F.posexplode("codes").alias("layout", "cell"))
+    cells = coded.select("key", F.size("unit").alias("dim"), F.posexplode("codes").alias("layout", "cell"))
     keys = ["layout", "cell", "dim"]
     sizes = cells.groupBy(*keys).count().filter("count > 1")
     sizes = sizes.select(*keys, F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
     dealt = (
         cells.join(sizes, keys)
-        .withColumn("own", F.pmod(F.xxhash64("first_id", "layout"), F.col("blocks")).cast("int"))
+        .withColumn("own", F.pmod(F.xxhash64("key", "layout"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(*keys, "first_id", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
+        .select(*keys, "key", "own", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
     )
     dealt = materialize(dealt, "vector-cells")
     tasks = max(1, dealt.count() // TASK_ROWS)
-    full = dealt.join(coded, "first_id").join(classes.select("first_id", "copies"), "first_id")
+    full = dealt.join(coded, "key")
     full = full.withColumn("task", F.pmod(F.xxhash64(*keys, "x", "y"), F.lit(tasks)))
     found = full.groupBy("task").applyInPandas(
-        _meet(threshold, seed), "first_id long, links long, joined long"
+        _meet(threshold, seed), "key binary, first_id long, links long, joined long"
     )
     found = materialize(found, "vector-links")
     labels = components(found.select("first_id", "joined"), "first_id", "joined")
-    counts = found.groupBy("first_id").agg(F.sum("links").alias("links"))
+    counts = found.groupBy("key").agg(F.sum("links").alias("links"))
 
     labelled = (
         classes.select("key", "first_id", "copies")
-        .join(counts, "first_id", "left")
+        .join(counts, "key", "left")
         .join(labels.toDF("first_id", "component"), "first_id", "left")
     )
     component = F.coalesce("component", "first_id", "vec_id")

@@ -76,8 +76,11 @@ def test_odd_rows(docs, crowded, rows):
     assert rows(N.near_groups(docs(pairs))) == brute(pairs, 85)
     assert rows(N.near_groups(crowded(pairs))) == brute(pairs, 85)
     assert N.near_groups(docs([])).count() == 0
-    twice = rows(N.near_groups(docs([(1, "a b c"), (1, "a b c"), (None, "a b c"), (None, None)])))
-    assert twice == sorted([(1, 1, 1, True)] * 2 + [(None, 1, 1, False), (None, 0, None, True)], key=repr)
+    twice = [(1, "z"), (1, "a b c"), (1, None), (2, "z"), (3, "A B c"), (None, "a b c"), (None, None)]
+    assert rows(N.near_groups(docs(twice))) == sorted(
+        [(1, 1, 1, True)] * 3 + [(2, 1, 2, True), (3, 1, 1, False), (None, 1, 1, False), (None, 0, None, True)],
+        key=repr,
+    )
 
 
 def test_copies_are_one_node(docs, rows):

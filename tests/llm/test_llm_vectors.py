@@ -75,6 +75,13 @@ def test_odd_vectors(spark, rows):
     assert V.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_an_id_with_several_vectors(spark, rows):
+    """It ties its vectors' components together; links count rows of each vector."""
+    pairs = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.999, 0.01]), (3, [0.01, 0.999]), (4, [-1.0, 0.1])]
+    got = V.near_vectors(spark.createDataFrame([(*p, 0) for p in pairs], SCHEMA))
+    assert rows(got) == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 0, 4, True)]
+
+
 def test_calibration():
     """Pairs right at the threshold reach the count, but for the given share."""
     rng = np.random.default_rng(0)
