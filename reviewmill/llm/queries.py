@@ -120,9 +120,38 @@ def queries() -> dict[str, Query]:
     return {name: _shipped(query) for name, query in named.items()}
 
 
+def _components(key: str, table: str) -> str:
+    """Steps from links (a, b) to the smallest id that each row of a table reaches."""
+    return f"""
+            both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+            reach(id, other) AS (
+                SELECT {key}, {key} FROM {table}
+                UNION SELECT r.id, l.b FROM reach r JOIN both_ways l ON r.other = l.a),
+            components AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
     return {
+        "op2_near_copies": r"""
+            WITH RECURSIVE words AS (
+                SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+                FROM documents),
+            places AS (
+                SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0),
+            shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM places),
+            sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+            common AS (
+                SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+                FROM shingles x JOIN shingles y USING (s) WHERE x.doc_id < y.doc_id GROUP BY ALL),
+            links AS (
+                SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+                WHERE 100 * c >= 85 * (x.n + y.n - c)),"""
+        + _components("doc_id", "documents")
+        + """
+            SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+            FROM documents JOIN components ON id = doc_id LEFT JOIN sizes USING (doc_id)""",
         "op5_url_rules": rf"""
             WITH rules(h, p, v) AS (VALUES {rules}),
             parts AS (
@@ -137,6 +166,21 @@ def oracle_sql() -> dict[str, str]:
                 FROM parts)
             SELECT page_id, host, path, won.rule AS rule, coalesce(won.verdict, 'allow') AS verdict
             FROM best""",
+        "op6_near_vectors": """
+            WITH RECURSIVE sound AS (
+                SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v,
+                    CASE WHEN list_count(embedding) = len(embedding)
+                        THEN list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) END AS size
+                FROM embeddings),
+            usable AS (SELECT vec_id, v FROM sound WHERE size > 0 AND isfinite(size)),
+            links AS (
+                SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.vec_id < y.vec_id
+                WHERE len(x.v) = len(y.v) AND list_cosine_similarity(x.v, y.v) >= 0.95),"""
+        + _components("vec_id", "embeddings")
+        + """
+            SELECT vec_id, (SELECT count(*) FROM both_ways WHERE a = vec_id) AS n_links, component_id,
+                vec_id = component_id AS kept
+            FROM embeddings JOIN components ON id = vec_id""",
         "op9_exact_copies": r"""
             WITH base AS (
                 SELECT doc_id, length(coalesce(text, '')) AS size,
