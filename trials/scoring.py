@@ -32,7 +32,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     reviews = read_fixture(spark, sf_dir, "review").select("review_id", "text")
-    many = reviews.crossJoin(F.broadcast(spark.range(copies))).repartition(32)
+    copied = F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("copy")
+    many = reviews.select("review_id", "text", copied).repartition(32)
     many = materialize(many.select("review_id", "text"), "trial")
     # Words of the texts themselves, so that many tokens are found.
     found = many.sample(0.01, 1).select(F.explode(T.tokens(F.col("text"))).alias("w")).distinct()
