@@ -8,7 +8,8 @@ ordered column by column from the right: each round puts one more symbol in
 front of every member, updating the order of the collection (its Burrows-
 Wheeler transform for that column) and the common prefixes of neighbours.
 Runs of common prefixes of LENGTH symbols are equal strings; all but the earliest
-are removed.
+are removed. An anchor with more than MEMBERS different surroundings is split:
+each string around it is dealt by its own digest, so no task gets all members.
 """
 
 from __future__ import annotations
@@ -30,6 +31,11 @@ K = 32
 SPAN = LENGTH - K  # an anchor's place in its string is 0 to SPAN
 # Text bytes for each bucket of anchors or of documents.
 BUCKET_BYTES = 8 << 20
+# Members of one anchor that are ordered in one task; buckets with more than CROWDED
+# anchors are searched for larger ones before they are dealt.
+MEMBERS, CROWDED = 8192, 1 << 20
+# Strings of split anchors for each of their buckets.
+BUCKET_STRINGS = 1 << 19
 # Low bits of a key hold a place in a slice of texts, the high bits the hash.
 _PLACE_BITS = 28
 _PLACE = np.uint64((1 << _PLACE_BITS) - 1)
@@ -37,6 +43,7 @@ _PLACE = np.uint64((1 << _PLACE_BITS) - 1)
 _ANCHOR = np.dtype([("hash", "<u4"), ("region", "<u8"), ("doc", "<i8"), ("twin", "<i4"), ("low", "<i4"), ("high", "<i4"), ("at", "u1")])
 _RANGE = np.dtype([("doc", "<i8"), ("twin", "<i4"), ("low", "<i4"), ("high", "<i4")])
 _REQUEST = np.dtype([("hash", "<u4"), ("doc", "<i8"), ("twin", "<i4"), ("low", "<i4"), ("high", "<i4"), ("at", "u1"), ("bucket", "<i4")])
+_STRING = np.dtype([("digest", "<u8"), ("check", "<u8"), ("doc", "<i8"), ("twin", "<i4"), ("low", "<i4")])
 
 
 def _packed(records: np.ndarray) -> bytes:
@@ -138,7 +145,57 @@ _PACKED = pa.schema([("kind", pa.string()), ("bucket", pa.int32()), ("packed", p
 _PACKED_DDL = "kind string, bucket int, packed binary"
 
 
-def _settle(buckets: int):
+def _requests(found: np.ndarray, bucket: int) -> np.ndarray:
+    asked = np.empty(len(found), _REQUEST)
+    for name in _REQUEST.names:
+        asked[name] = bucket if name == "bucket" else found[name]
+    return asked
+
+
+def _count_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("packed").to_pylist()):
+            hashes, counts = np.unique(_unpacked([blob], _ANCHOR)["hash"], return_counts=True)
+            columns = [np.full(len(hashes), bucket, np.int64), hashes.astype(np.int64), counts.astype(np.int64)]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["bucket", "hash", "members"])
+
+
+def _large_anchors(found: DataFrame, members: int, crowded: int) -> dict[int, np.ndarray]:
+    """Hashes with more than ``members`` members, by bucket, where a bucket is crowded."""
+    weight = F.sum(F.octet_length("packed")) / _ANCHOR.itemsize
+    full = [r[0] for r in found.groupBy("bucket").agg(weight.alias("n")).filter(F.col("n") > crowded).collect()]
+    if not full:
+        return {}
+    counts = found.filter(F.col("bucket").isin(full)).select("bucket", "packed")
+    counts = counts.mapInArrow(_count_members, "bucket long, hash long, members long")
+    large = counts.groupBy("bucket", "hash").agg(F.sum("members").alias("n")).filter(F.col("n") > members)
+    return {int(b): x["hash"].to_numpy(np.uint32) for b, x in large.select("bucket", "hash").toPandas().groupby("bucket")}
+
+
+def _part(large: dict[int, np.ndarray], buckets: int, split: bool):
+    """Requests for the members of large anchors, or the anchors without these."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("packed").to_pylist()):
+                if bucket not in large:
+                    rows += [] if split else [("anchors", bucket, blob)]
+                    continue
+                found = _unpacked([blob], _ANCHOR)
+                own = np.isin(found["hash"], large[bucket])
+                if split:
+                    asked = _requests(found[own], bucket)
+                    rows += [("split", b, x) for b, x in _dealt(asked, _doc_bucket(asked, buckets))]
+                elif not own.all():
+                    rows.append(("anchors", bucket, _packed(found[~own])))
+            if rows:
+                yield pa.RecordBatch.from_pylist([dict(zip(("kind", "bucket", "packed"), r)) for r in rows], _PACKED)
+
+    return run
+
+
+def _settle(buckets: int, members: int = MEMBERS):
     """Which regions occurred before as a whole, and which need a closer look."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -154,37 +211,86 @@ def _settle(buckets: int):
         gone = np.empty(int(again.sum()), _RANGE)
         for name in _RANGE.names:
             gone[name] = a[name][again]
-        asked = np.empty(int(look.sum()), _REQUEST)
-        for name in _REQUEST.names:
-            asked[name] = own if name == "bucket" else a[name][look]
+        large = regions[group] > members
         out = [("gone", b, x) for b, x in _dealt(gone, _doc_bucket(gone, buckets))]
-        out += [("asked", b, x) for b, x in _dealt(asked, _doc_bucket(asked, buckets))]
+        for kind, chosen in (("asked", look & ~large), ("split", look & large)):
+            asked = _requests(a[chosen], own)
+            out += [(kind, b, x) for b, x in _dealt(asked, _doc_bucket(asked, buckets))]
         return pd.DataFrame(out, columns=["kind", "bucket", "packed"])
 
     return run
 
 
-def _surroundings(texts: pd.DataFrame, requests: pd.DataFrame) -> pd.DataFrame:
-    """The bytes of every region asked for, one row per bucket of anchors."""
-    empty = pd.DataFrame({"bucket": [], "packed": [], "bytes": []})
-    if not len(requests) or not len(texts):
-        return empty
-    asked = _unpacked(requests["packed"], _REQUEST)
-    asked = asked[np.lexsort((asked["low"], asked["twin"], asked["doc"], asked["bucket"]))]
-    place = {(k, t): x for k, t, x in zip(texts["key"], texts["twin"], texts["text"])}
-    out = []
-    bounds = np.flatnonzero(np.concatenate([[True], asked["bucket"][1:] != asked["bucket"][:-1]]))
-    encoded: dict[tuple[int, int], bytes] = {}
-    for first, last in zip(bounds, [*bounds[1:], len(asked)]):
-        part = asked[first:last]
-        pieces = []
-        for r in part:
+def _surroundings(buckets: int, strings: int):
+    """The bytes of every region asked for, one row per bucket of anchors; of split
+    anchors the strings, one row per bucket of strings."""
+
+    def run(texts: pd.DataFrame, requests: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        columns = ["kind", "bucket", "packed", "bytes"]
+        if not len(requests) or not len(texts):
+            return pd.DataFrame(out, columns=columns)
+        place = {(k, t): x for k, t, x in zip(texts["key"], texts["twin"], texts["text"])}
+        encoded: dict[tuple[int, int], bytes] = {}
+
+        def text_of(r) -> bytes:
             key = (int(r["doc"]), int(r["twin"]))
             if key not in encoded:
                 encoded[key] = place[key].encode()
-            pieces.append(encoded[key][r["low"] : r["high"] + LENGTH])
-        out.append((int(part["bucket"][0]), _packed(part), b"".join(pieces)))
-    return pd.DataFrame(out, columns=["bucket", "packed", "bytes"])
+            return encoded[key]
+
+        asked = _unpacked(requests["packed"][requests["kind"] == "asked"], _REQUEST)
+        asked = asked[np.lexsort((asked["low"], asked["twin"], asked["doc"], asked["bucket"]))]
+        bounds = np.flatnonzero(np.concatenate([[True], asked["bucket"][1:] != asked["bucket"][:-1]])) if len(asked) else []
+        for first, last in zip(bounds, [*bounds[1:], len(asked)]):
+            part = asked[first:last]
+            pieces = [text_of(r)[r["low"] : r["high"] + LENGTH] for r in part]
+            out.append(("asked", int(part["bucket"][0]), _packed(part), b"".join(pieces)))
+        split = _unpacked(requests["packed"][requests["kind"] == "split"], _REQUEST)
+        if len(split):
+            found, gone = _earliest(_strings(split, text_of))
+            dealt = (mix(found["digest"]) % np.uint64(strings)).astype(np.int64) + buckets
+            out += [("strings", b, x, b"") for b, x in _dealt(found, dealt)]
+            out += [("gone", b, x, b"") for b, x in _dealt(gone, _doc_bucket(gone, buckets))]
+        return pd.DataFrame(out, columns=columns)
+
+    return run
+
+
+def _strings(split: np.ndarray, text_of) -> np.ndarray:
+    """Every string that the anchors serve, by a digest of 128 bits."""
+    digests = bytearray()
+    for r in split:
+        text = text_of(r)
+        for low in range(r["low"], r["high"] + 1):
+            digests += hashlib.blake2b(text[low : low + LENGTH], digest_size=16).digest()
+    counts = (split["high"] - split["low"] + 1).astype(np.int64)
+    out = np.empty(int(counts.sum()), _STRING)
+    out["digest"], out["check"] = np.frombuffer(digests, "<u8").reshape(-1, 2).T
+    out["doc"], out["twin"] = np.repeat(split["doc"], counts), np.repeat(split["twin"], counts)
+    inner = np.arange(len(out)) - np.repeat(np.cumsum(counts) - counts, counts)
+    out["low"] = np.repeat(split["low"], counts) + inner
+    return out
+
+
+def _earliest(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The earliest of each string, and the ranges of all others."""
+    found = found[np.lexsort((found["low"], found["twin"], found["doc"], found["check"], found["digest"]))]
+    again = np.zeros(len(found), bool)
+    again[1:] = (found["digest"][1:] == found["digest"][:-1]) & (found["check"][1:] == found["check"][:-1])
+    later = found[again]
+    later = later[np.lexsort((later["low"], later["twin"], later["doc"]))]
+    new = np.ones(len(later), bool)
+    new[1:] = (
+        (later["doc"][1:] != later["doc"][:-1])
+        | (later["twin"][1:] != later["twin"][:-1])
+        | (later["low"][1:] != later["low"][:-1] + 1)
+    )
+    first = np.flatnonzero(new)
+    gone = np.empty(len(first), _RANGE)
+    gone["doc"], gone["twin"], gone["low"] = later["doc"][first], later["twin"][first], later["low"][first]
+    gone["high"] = later["low"][np.concatenate([first[1:], [len(later)]]) - 1] if len(first) else 0
+    return found[~again], gone
 
 
 def column_orders(table: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -227,9 +333,12 @@ def _least_between(values: np.ndarray, first: np.ndarray, stop: np.ndarray) -> n
 
 
 def _compare(buckets: int):
-    """Strings of the regions of one bucket that occurred before."""
+    """Strings of the regions of one bucket, or of one bucket of strings, that occurred before."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        passed = [("gone", int(b), x) for k, b, x in zip(rows["kind"], rows["bucket"], rows["packed"]) if k == "gone"]
+        strings = _unpacked(rows["packed"][rows["kind"] == "strings"], _STRING)
+        rows = rows[rows["kind"] == "asked"]
         asked = _unpacked(rows["packed"], _REQUEST)
         data = np.frombuffer(b"".join(rows["bytes"]), np.uint8)
         sizes = (asked["high"] - asked["low"] + LENGTH).astype(np.int64)
@@ -238,17 +347,18 @@ def _compare(buckets: int):
         order = np.argsort(asked["hash"], kind="stable")
         # Members around one anchor stay together; pieces of some thousand members.
         hashes = asked["hash"][order]
-        starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
-        cuts = [0]
+        starts = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(order) else []
+        cuts = [0] if len(order) else []
         for s in starts[1:]:
             if s - cuts[-1] >= 8192:
                 cuts.append(int(s))
         for first, last in zip(cuts, [*cuts[1:], len(order)]):
             part = order[first:last]
             out.append(_repeated(asked[part], data, (ends - sizes)[part], sizes[part]))
-        gone = np.concatenate(out) if out else np.empty(0, _RANGE)
+        out.append(_earliest(strings)[1])
+        gone = np.concatenate(out)
         return pd.DataFrame(
-            [("gone", b, x) for b, x in _dealt(gone, _doc_bucket(gone, buckets))],
+            passed + [("gone", b, x) for b, x in _dealt(gone, _doc_bucket(gone, buckets))],
             columns=["kind", "bucket", "packed"],
         )
 
@@ -329,7 +439,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Tasks get buckets of anchors or documents in packed form, dealt by hash, of
     about BUCKET_BYTES of text each. Copies of a region are settled where
     they are found, so a passage in a third of all texts reaches a bucket once
-    per slice of texts.
+    per slice of texts. Around its edges the texts differ: anchors with more than MEMBERS
+    different regions are split into their strings, dealt by a digest of 128 bits, of which
+    each bucket of documents sends its earliest only.
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")
@@ -349,15 +461,22 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     found = rows.select("key", "twin", "text").mapInArrow(_find_anchors(buckets), _PACKED_DDL)
     found = materialize(found, "anchors")
-    settled = found.filter("kind = 'anchors'").groupBy("bucket").applyInPandas(_settle(buckets), _PACKED_DDL)
+    anchored = found.filter("kind = 'anchors'")
+    large = _large_anchors(anchored, MEMBERS, CROWDED)
+    small = anchored.mapInArrow(_part(large, buckets, False), _PACKED_DDL) if large else anchored
+    settled = small.groupBy("bucket").applyInPandas(_settle(buckets, MEMBERS), _PACKED_DDL)
     settled = materialize(settled, "settled")
+    asked = settled.filter("kind IN ('asked', 'split')")
+    if large:
+        asked = asked.union(anchored.mapInArrow(_part(large, buckets, True), _PACKED_DDL))
+    split = asked.filter("kind = 'split'").agg(F.sum(F.octet_length("packed"))).first()[0] or 0
+    strings = split // _REQUEST.itemsize * (SPAN + 1) // BUCKET_STRINGS + 1
 
     texts = rows.mapInArrow(_bucketed(buckets), "doc_id long, key long, twin int, copies long, text string, bucket int")
-    asked = settled.filter("kind = 'asked'").select("bucket", "packed")
     regions = (
         texts.groupBy("bucket")
         .cogroup(asked.groupBy("bucket"))
-        .applyInPandas(_surroundings, "bucket int, packed binary, bytes binary")
+        .applyInPandas(_surroundings(buckets, strings), "kind string, bucket int, packed binary, bytes binary")
     )
     compared = materialize(
         regions.groupBy("bucket").applyInPandas(_compare(buckets), _PACKED_DDL), "compared"

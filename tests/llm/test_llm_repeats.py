@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from reviewmill.llm import repeats as R
@@ -83,3 +84,24 @@ def test_column_orders(members):
                 same += 1
             assert n == same
         assert common[0] == 0
+
+
+@pytest.mark.parametrize("crowded", [1, 1 << 20])
+def test_split_anchors(docs, rows, monkeypatch, crowded):
+    """Large anchors are split before or after they are dealt, with the same result."""
+    monkeypatch.setattr(R, "BUCKET_BYTES", 2000)
+    monkeypatch.setattr(R, "MEMBERS", 3)
+    monkeypatch.setattr(R, "CROWDED", crowded)
+    monkeypatch.setattr(R, "BUCKET_STRINGS", 500)
+    pairs = made(1)
+    assert rows(R.remove_repeats(docs(pairs))) == sorted(brute(pairs), key=repr)
+
+
+def test_no_task_gets_all_members():
+    """20,000 texts that differ around one anchor are not ordered in one piece."""
+    found = np.zeros(20_000 + 50, R._ANCHOR)
+    found["region"], found["doc"], found["high"] = np.arange(len(found)), np.arange(len(found)), 68
+    found["hash"][20_000:] = 1
+    out = R._settle(16)(pd.DataFrame({"bucket": [3], "packed": [R._packed(found)]}))
+    sizes = {k: len(R._unpacked(x["packed"], R._REQUEST)) for k, x in out.groupby("kind")}
+    assert sizes == {"split": 20_000, "asked": 50}
