@@ -30,6 +30,8 @@ WINDOW, REACH = 5.06, 2.0
 MISSED = 1e-4
 # Rows of one cell that a task compares, and rows a task gets in all.
 BLOCK, TASK_ROWS = 2048, 16384
+# Queries of a cell that are counted and verified at a time.
+SLAB = 256
 
 
 def calibrated_count() -> int:
@@ -78,9 +80,9 @@ def _meet(threshold: float, seed: int):
     least, distance = calibrated_count(), math.sqrt(2 - 2 * threshold)
 
     def cell_pairs(units, codes, layout, own, crossing):
-        """Verified pairs of one cell that no earlier layout has joined."""
+        """Verified pairs of one cell that no earlier layout has joined, slab by slab."""
         along = units @ _directions(units.shape[1], seed + 3, PROJECTIONS)
-        counts = np.zeros((len(units), len(units)), np.int8)
+        ranges = []
         for values in along.T:
             order = np.argsort(values)
             ranked = values[order]
@@ -88,15 +90,22 @@ def _meet(threshold: float, seed: int):
             stop = np.searchsorted(ranked, values + REACH * distance, "right")
             place = np.empty(len(values), np.int64)
             place[order] = np.arange(len(values))
-            counts += (place[None, :] >= first[:, None]) & (place[None, :] < stop[:, None])
-        i, j = np.nonzero(np.triu(counts >= least, 1))
-        if crossing:
-            keep = own[i] != own[j]
-            i, j = i[keep], j[keep]
-        keep = ~(codes[i, :layout] == codes[j, :layout]).any(axis=1)
-        i, j = i[keep], j[keep]
-        found = np.einsum("nd,nd->n", units[i], units[j]) >= threshold
-        return i[found], j[found]
+            ranges.append((place, first, stop))
+        for start in range(0, len(units), SLAB):
+            rows = slice(start, start + SLAB)
+            counts = np.zeros((len(units[rows]), len(units) - start), np.int8)
+            for place, first, stop in ranges:
+                after = place[None, start:]
+                counts += (after >= first[rows, None]) & (after < stop[rows, None])
+            good = np.triu(counts >= least, 1)
+            if crossing:
+                good &= own[rows, None] != own[None, start:]
+            for earlier in range(layout):
+                good &= codes[rows, earlier][:, None] != codes[None, start:, earlier]
+            if good.any():
+                good &= units[rows] @ units[start:].T >= threshold
+                i, j = np.nonzero(good)
+                yield i + start, j + start
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -104,25 +113,32 @@ def _meet(threshold: float, seed: int):
             if len(part) < 2:
                 continue
             ids, weights = part["first_id"].to_numpy(), part["copies"].to_numpy()
-            i, j = cell_pairs(
+            pairs = cell_pairs(
                 np.stack(part["unit"].to_list()),
                 np.stack(part["codes"].to_list()),
                 key[0],
                 part["own"].to_numpy(),
                 key[3] != key[4],
             )
-            if not len(i):
-                continue
-            links = np.bincount(i, weights[j], len(ids)) + np.bincount(j, weights[i], len(ids))
+            links = np.zeros(len(ids))
             root = np.arange(len(ids))
-            for a, b in zip(i, j):  # the smallest place reachable within this cell
-                while root[a] != a:
-                    a = root[a]
-                while root[b] != b:
-                    b = root[b]
-                root[max(a, b)] = min(a, b)
-            for place in range(len(root)):
-                root[place] = root[root[place]]
+            for i, j in pairs:
+                links += np.bincount(i, weights[j], len(ids)) + np.bincount(j, weights[i], len(ids))
+                # The smallest place reachable within this cell; most pairs are joined already.
+                while len(i):
+                    for a, b in zip(i[:BLOCK], j[:BLOCK]):
+                        while root[a] != a:
+                            a = root[a]
+                        while root[b] != b:
+                            b = root[b]
+                        root[max(a, b)] = min(a, b)
+                    while (root != root[root]).any():
+                        root = root[root]
+                    i, j = i[BLOCK:], j[BLOCK:]
+                    apart = root[i] != root[j]
+                    i, j = i[apart], j[apart]
+            if not links.any():
+                continue
             linked = np.flatnonzero(links)
             out.append(
                 pd.DataFrame(

@@ -1,5 +1,8 @@
+import tracemalloc
+
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 from reviewmill.llm import near_vectors as V
@@ -88,3 +91,34 @@ def test_calibration():
     distances = rng.standard_normal((20_000, V.PROJECTIONS))
     counts = (np.abs(distances) <= V.REACH).sum(axis=1)
     assert (counts < V.calibrated_count()).mean() <= V.MISSED + 3e-4
+
+
+def noisy(count, dim=64):
+    rng = np.random.default_rng(11)
+    found = rng.standard_normal(dim) + 0.1 * rng.standard_normal((count, dim))
+    return found / np.linalg.norm(found, axis=1)[:, None]
+
+
+def test_crossing_blocks_of_near_copies_fit_a_task():
+    """Two full blocks whose pairs all collide are verified without a copy per pair."""
+    units = noisy(2 * V.BLOCK)
+    ids = np.arange(len(units))
+    rows = pd.DataFrame({"key": [b"%d" % i for i in ids], "first_id": ids, "copies": 1, "own": ids % 2})
+    rows = rows.assign(layout=1, cell=5, dim=64, x=0, y=1, unit=list(units), codes=[[int(i), 0] for i in ids])
+    tracemalloc.start()
+    got = V._meet(0.95, 7)(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    linked = (units @ units.T >= 0.95) & (ids[:, None] % 2 != ids % 2)
+    assert linked.any(axis=1).all() and (got["joined"] == 0).all()
+    assert got["links"].tolist() == linked.sum(axis=1).tolist()
+    assert peak < 300e6
+
+
+def test_5000_noisy_copies(spark):
+    units = noisy(5000)
+    pairs = list(enumerate(units.tolist()))
+    frame = spark.createDataFrame(pairs, "vec_id long, embedding array<double>").repartition(3)
+    got = V.near_vectors(frame).orderBy("vec_id").toPandas()
+    assert got["n_links"].tolist() == ((units @ units.T >= 0.95).sum(axis=1) - 1).tolist()
+    assert (got["component_id"] == 0).all()
