@@ -2,18 +2,20 @@
 
 Fixed patterns give the base spans, which always stay. Beside them, generators
 of high recall propose overlapping spans; trees boosted on the format and the
-context of spans score them, and a threshold per kind, calibrated on held-out
-documents, selects what is redacted as well.
+context of spans score them, and a threshold per kind, calibrated on all documents
+that the trees were not fitted on, selects what is redacted as well.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
@@ -25,11 +27,13 @@ from reviewmill.llm.texts import slices
 KINDS = ["email", "ip", "card", "phone"]
 EMAIL, IP, CARD, PHONE = range(4)
 
-# Documents and candidates that the trees are fitted and calibrated on, at most.
+# Documents and candidates that the trees are fitted on, at most.
 FIT_DOCUMENTS, FIT_CANDIDATES = 6_000, 20_000
 TREES, DEPTH = 16, 4
 # Share of true spans among those selected in the held-out documents, at least.
 PRECISION = 0.99
+# Scores are counted in so many bins.
+BINS = 10_000
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -177,21 +181,25 @@ def _loosened(text: str, start: int, kind: int, end: int) -> Iterator[tuple[str,
         yield text[:start] + form + text[end:], start, kind, start + len(form)
 
 
+def _example_rows(text: str | None) -> Iterator[tuple[int, float, list[float]]]:
+    """(kind, label, features) of all base spans and candidates of a text."""
+    if not text or not _HINT.search(text):
+        return
+    base = base_spans(text)
+    for start, kind, end in base:
+        first = max(0, start - 40)
+        for around, s, k, e in _loosened(text[first : end + 40], start - first, kind, end - first):
+            yield k, 1.0, list(map(float, features(around, s, k, e)))
+    for start, kind, end in candidates(text):
+        if not any(s < end and start < e for s, _, e in base):
+            yield kind, 0.0, list(map(float, features(text, start, kind, end)))
+
+
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for held, text in zip(batch.column("held").to_pylist(), batch.column("text").to_pylist()):
-            if not text or not _HINT.search(text):
-                continue
-            base = base_spans(text)
-            for start, kind, end in base:
-                for changed, s, k, e in _loosened(text, start, kind, end):
-                    around = changed[max(0, s - 40) : e + 40]
-                    s, e = min(s, 40), min(s, 40) + e - s
-                    rows.append((held, k, 1.0, list(map(float, features(around, s, k, e)))))
-            for start, kind, end in candidates(text):
-                if not any(s < end and start < e for s, _, e in base):
-                    rows.append((held, kind, 0.0, list(map(float, features(text, start, kind, end)))))
+            rows += [(held, *row) for row in _example_rows(text)]
         columns = list(zip(*rows)) or [(), (), (), ()]
         kinds = [pa.bool_(), pa.int32(), pa.float64(), pa.list_(pa.float64())]
         yield pa.RecordBatch.from_arrays(
@@ -199,6 +207,29 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _score_counts(trees: Trees):
+    """How many examples of a task have each score, by kind and label."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: Counter = Counter()
+        for batch in batches:
+            for part in slices(batch, "text"):
+                rows = []
+                for fitted, text in zip(part.column("fitted").to_pylist(), part.column("text").to_pylist()):
+                    rows += [(fitted, *row) for row in _example_rows(text)]
+                if rows:
+                    scores = trees.scores(np.array([r[3] for r in rows]))
+                    bins = np.floor(scores * BINS).astype(np.int64).tolist()
+                    total.update((f, k, int(label), b) for (f, k, label, _), b in zip(rows, bins))
+        columns = [*zip(*total)] or [(), (), (), ()]
+        names = ["fitted", "kind", "label", "bin", "n"]
+        types = [pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+        arrays = [pa.array(c, t) for c, t in zip([*columns, list(total.values())], types)]
+        yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return run
+
+
 @dataclass(frozen=True)
 class Trees:
     """Boosted regression trees as flat arrays; a leaf points to itself."""
@@ -246,10 +277,12 @@ NO_TREES = Trees(*[np.zeros(0, np.int64)] * 4, np.zeros(0), np.zeros(0, np.int64
 
 def fit_trees(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 5) -> Trees:
     """Fits on FIT_DOCUMENTS documents with a hint of personal data at most, taken by a
-    hash of their ids; every fourth is held out for the thresholds.
+    hash of their ids; every fourth of these and all other documents are held out for
+    the thresholds.
 
     Base spans, also in looser forms, are the true examples, candidates that touch no
-    base span the false ones. A kind whose held-out spans never reach PRECISION gets
+    base span the false ones. A kind whose true spans all lie in documents fitted on is
+    calibrated on these as well. A kind whose spans never reach PRECISION gets
     no threshold; without both sorts of examples nothing is added at all.
     """
     spark = docs.sparkSession
@@ -275,28 +308,34 @@ def fit_trees(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     nodes, roots = _flatten(model)
     feature, threshold, left, right, value = map(np.array, zip(*nodes))
     trees = Trees(feature, threshold, left, right, value, np.array(roots), np.array(model.treeWeights), ())
-    held = rows[rows["held"]]
-    scores = trees.scores(np.array(held["features"].to_list()))
+    last = chosen.agg(F.max(order)).first()[0]
+    fit = F.coalesce(F.col("id").isNotNull() & (order <= last) & (F.pmod(order, F.lit(4)) != 0), F.lit(False))
+    counts = texts.select(fit.alias("fitted"), "text").mapInArrow(
+        _score_counts(trees), "fitted boolean, kind int, label int, bin int, n long"
+    )
+    # A row for each kind, label and bin at most.
+    counts = counts.groupBy("fitted", "kind", "label", "bin").agg(F.sum("n").alias("n")).toPandas()
     cuts = []
     for kind in range(len(KINDS)):
-        own = (held["kind"] == kind).to_numpy()
-        cuts.append(_cut(scores[own], held["label"].to_numpy()[own]))
+        own = counts[counts["kind"] == kind]
+        held = own[~own["fitted"].astype(bool)]
+        cuts.append(_cut(held if held["label"].any() else own))
     return Trees(feature, threshold, left, right, value, trees.roots, trees.weights, tuple(cuts))
 
 
-def _cut(scores: np.ndarray, labels: np.ndarray) -> float:
+def _cut(counts: pd.DataFrame) -> float:
     """The lowest score from which on the share of true spans is PRECISION."""
-    if not labels.any():
+    if not counts["label"].any():
         return 2.0
-    order = np.argsort(-scores, kind="stable")
-    share = np.cumsum(labels[order]) / np.arange(1, len(order) + 1)
-    good = np.flatnonzero(share >= PRECISION)
+    bins = counts.assign(true=counts["n"] * counts["label"]).groupby("bin")[["true", "n"]].sum().sort_index(ascending=False)
+    totals = bins.cumsum()
+    good = np.flatnonzero(totals["true"] / totals["n"] >= PRECISION)
     if not len(good):
         return 2.0
-    last = scores[order[good[-1]]]
-    lower = scores[scores < last]
     # Half way to the next lower score, at an even chance or better.
-    return max(0.5, float(last + lower.max()) / 2 if len(lower) else float(last))
+    last = bins.index[good[-1]]
+    lower = bins.index[good[-1] + 1] + 1 if good[-1] + 1 < len(bins) else last
+    return max(0.5, float(last + lower) / 2 / BINS)
 
 
 def all_spans(text: str, trees: Trees) -> tuple[list, list]:

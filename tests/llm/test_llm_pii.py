@@ -3,6 +3,7 @@ import re
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from reviewmill.llm import pii
 
@@ -85,3 +86,17 @@ def test_tables_without_examples(docs, crowded, rows):
     assert pii.find_personal_data(docs([])).count() == 0
     got = pii.find_personal_data(crowded([(1, "no data"), (1, "a@b.cd"), (2, None)]))
     assert rows(got, "doc_id", "spans") == [(1, ""), (1, "email:0:6"), (2, "")]
+
+
+def test_thresholds_cover_documents_beyond_the_sample(spark, docs, monkeypatch):
+    """A kind that no held-out document of the sample has gets its threshold from the others."""
+    monkeypatch.setattr(pii, "FIT_DOCUMENTS", 160)
+    order = F.xxhash64(F.lit(5), "id")
+    ids = spark.range(400).select("id", (F.pmod(order, F.lit(4)) == 0).alias("held")).orderBy(order).collect()
+    made = []
+    for n, (i, held) in enumerate(ids):
+        card = f"4{i:014d}"
+        card += next(d for d in "0123456789" if pii.luhn(card + d))
+        wrong = card[:-1] + str((int(card[-1]) + 1) % 10)
+        made.append((i, f"text {i} paid {'nothing' if held and n < 160 else card} but not {wrong} to a{i}@b.example.com"))
+    assert pii.fit_trees(docs(made)).cuts[pii.CARD] <= 1
