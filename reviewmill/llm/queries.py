@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reviewmill.llm.exact_copies import exact_groups
 from reviewmill.llm.mixing import mix_sources
@@ -14,6 +15,7 @@ from reviewmill.llm.packing import pack
 from reviewmill.llm.pii import find_personal_data
 from reviewmill.llm.quality import judge_quality
 from reviewmill.llm.repeats import remove_repeats
+from reviewmill.llm.sharding import LAW, shard_documents
 from reviewmill.llm.shipping import ship_package
 from reviewmill.llm.token_files import read_documents, write_token_files
 from reviewmill.llm.url_rules import judge_urls
@@ -24,6 +26,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Targets of the mix: part of the largest possible entropy, and passes over a source.
 ENTROPY_SHARE, MAX_REPEATS = 0.95, 2.0
 
+SHARDS, SHARD_SEED = 16, 7
+
 # The rules that the URL query judges by: host, path, verdict.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -104,6 +108,19 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op11_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_documents(_table(spark, sf_dir, "documents"), shards=SHARDS, seed=SHARD_SEED)
+    return placed.select(
+        "doc.doc_id",
+        "size",
+        "text_crc32",
+        F.lit(LAW).alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def queries() -> dict[str, Query]:
     named = {
         "op1_site_quality": op1_site_quality,
@@ -116,6 +133,7 @@ def queries() -> dict[str, Query]:
         "op8_best_two_fit": op8_best_two_fit,
         "op9_exact_copies": op9_exact_copies,
         "op10_repeats": op10_repeats,
+        "op11_stratified_shards": op11_stratified_shards,
     }
     return {name: _shipped(query) for name, query in named.items()}
 
@@ -130,6 +148,21 @@ def _components(key: str, table: str) -> str:
             components AS (SELECT id, min(other) AS component_id FROM reach GROUP BY id)"""
 
 
+# Unsigned crc32 of a text's UTF-8 bytes; the table of its 256 steps comes from the polynomial.
+_CRC_TABLE = """
+            crc_table AS (
+                SELECT list(list_reduce(list_prepend(i, range(8)),
+                    lambda c, _: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS steps
+                FROM (SELECT unnest(range(256)) AS i))"""
+
+
+def _crc32(text: str) -> str:
+    """SQL for rows that are joined with crc_table."""
+    codes = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT))"
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295, {codes}),
+                lambda c, b: xor(c >> 8, steps[xor(c, b) % 256 + 1])))"""
+
+
 def oracle_sql() -> dict[str, str]:
     rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
     return {
@@ -192,4 +225,22 @@ def oracle_sql() -> dict[str, str]:
                 FROM base GROUP BY content)
             SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(content) AS text_sha256
             FROM base JOIN groups USING (content)""",
+        "op11_stratified_shards": f"""
+            WITH {_CRC_TABLE.strip()},
+            keyed AS (
+                SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS name, source IS NULL AS unnamed,
+                    md5('{SHARD_SEED}:' || doc_id || ':' || md5(coalesce(text, ''))) AS spot
+                FROM documents),
+            ranked AS (
+                SELECT *, (2 * row_number() OVER (PARTITION BY name, unnamed ORDER BY spot) - 1)::DOUBLE
+                    / (2 * count(*) OVER (PARTITION BY name, unnamed))::DOUBLE AS fraction
+                FROM keyed),
+            placed AS (
+                SELECT *, row_number() OVER (ORDER BY fraction, unnamed, name, spot) AS place, count(*) OVER () AS total
+                FROM ranked),
+            cut AS (SELECT *, ({SHARDS} * place - 1) // total AS shard FROM placed)
+            SELECT doc_id, strlen(text) + 1 AS size, {_crc32("text")} AS text_crc32, '{LAW}' AS law,
+                CAST(shard AS INTEGER) AS shard, place - 1 - shard * total // {SHARDS} AS slot,
+                CAST(NULL AS INTEGER) AS grown_shard
+            FROM cut, crc_table""",
     }
