@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.llm.texts import slices
-from reviewmill.llm.tokens import encoder
+from reviewmill.llm.tokens import ENCODED_BYTES, encoder
 from reviewmill.session import materialize
 
 _PIECE = (
@@ -26,7 +26,7 @@ def _pieces(vocabulary: str, space_led: bool, end_id: int, size: int):
         part = TaskContext.get().partitionId()
         seen = np.zeros(size + 1, np.int64)
         for batch in batches:
-            for some in slices(batch, "text"):
+            for some in slices(batch, "text", ENCODED_BYTES):
                 rows = []
                 for doc_id, own in zip(some.column("doc_id").to_pylist(), encode(some.column("text"))):
                     ids = np.append(own, np.uint32(end_id)).astype("<u4")

@@ -62,14 +62,14 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def slices(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """Cuts a batch so that no piece but a single long text exceeds SLICE_BYTES."""
+def slices(batch: pa.RecordBatch, text: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cuts a batch so that no piece but a single long text exceeds ``size`` bytes."""
     lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0)
     ends = np.cumsum(lengths.to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
     while start < batch.num_rows:
         done = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, done + SLICE_BYTES, "right")))
+        stop = max(start + 1, int(np.searchsorted(ends, done + size, "right")))
         yield batch.slice(start, stop - start)
         start = stop
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.llm.texts import slices
-from reviewmill.llm.tokens import encoder
+from reviewmill.llm.tokens import ENCODED_BYTES, encoder
 
 BLOCK_IDS = 1 << 20
 SAMPLE = 256
@@ -118,7 +118,7 @@ def _blocks(vocabulary: str, space_led: bool, end_id: int):
             return pa.RecordBatch.from_pylist([_block_row(part, block, done, docs, ids)], _BLOCK_ARROW)
 
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", ENCODED_BYTES):
                 found = encode(piece.column("text"))
                 for doc_id, own in zip(piece.column("doc_id").to_pylist(), found):
                     if docs and held + len(own) + 1 > BLOCK_IDS:

@@ -2,8 +2,8 @@
 
 The library spends about a microsecond a byte. Both public vocabularies cut a
 text into pieces that do not see one another, so a text is cut here at places
-where the library cuts too, and each distinct piece is encoded by the library
-once per worker. A text in which such places are not certain is cut at fewer
+where the library cuts too. Pieces are told apart by their bytes a slice of texts at
+a time, and each different one is encoded by the library once per worker. A text in which such places are not certain is cut at fewer
 places, or not at all.
 """
 
@@ -11,16 +11,21 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from reviewmill.llm.texts import flat
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 # Pieces kept per worker process. Bounds memory; others are encoded when met.
-CACHED_PIECES = 600_000
+CACHED_PIECES = 2_000_000
+
+# Texts are encoded in slices of so many bytes, or one text.
+ENCODED_BYTES = 8 << 20
 
 # Spaces that the library may keep together with white space around them.
 _JOINED_SPACE = re.compile(r"\s \s|\s \Z|[\x1c-\x1f\x85]")
@@ -60,81 +65,107 @@ def simple_texts(column: pa.Array) -> np.ndarray:
     return full & (sums[bounds[1:]] == sums[bounds[:-1]])
 
 
-def _space_led(text: str, simple: bool) -> list[str]:
-    """Pieces for a vocabulary whose words begin with their space."""
-    if simple:
-        cut = text.replace("\n", "\0\n\0").replace(" ", "\0 ")
-        cut = cut.replace(".\0", "\0.\0").replace(",\0", "\0,\0").replace("\0\0", "\0")
-        # A mark led by a space keeps it.
-        cut = cut.replace("\0 \0.", "\0 .").replace("\0 \0,", "\0 ,")
-        return cut.strip("\0").split("\0")
-    if not _JOINED_SPACE.search(text):
-        head, *rest = text.split(" ")
-        pieces = [" " + p for p in rest]
-        return [head, *pieces] if head else pieces
-    return [text]
+# How much of a text may be cut: not at all, before spaces, or also around marks and line ends.
+_WHOLE, _SPACES, _MARKS = range(3)
+
 
+def _piece_starts(data: np.ndarray, bounds: np.ndarray, ways: np.ndarray) -> np.ndarray:
+    """Where pieces begin. They cover all bytes; a piece keeps the space it begins with.
 
-def _space_dropped(text: str, simple: bool) -> list[str]:
-    """Pieces for a vocabulary that drops white space and has no piece across it."""
-    if simple:
-        return text.replace("\n", " ").replace(". ", " . ").replace(", ", " , ").split()
-    return [text] if _ODD_SPACE.search(text) else text.split()
+    A mark that ends a word is a piece of its own, as is a line end in a text
+    that may be cut there; a mark led by a space keeps it.
+    """
+    way = np.repeat(ways, np.diff(bounds))
+    start = np.zeros(len(data), bool)
+    start[bounds[:-1][bounds[:-1] < bounds[1:]]] = True
+    white = (data == 0x20) | (data == 0x0A)
+    start |= (data == 0x20) & (way != _WHOLE)
+    lines = (data == 0x0A) & (way == _MARKS)
+    start |= lines
+    start[1:] |= lines[:-1] & (way[1:] == _MARKS)
+    closing = ((data == 0x2E) | (data == 0x2C)) & (way == _MARKS)
+    closing[-1:] = False
+    closing[:-1] &= white[1:]
+    closing[1:] &= data[:-1] != 0x20
+    ends = bounds[1:][bounds[:-1] < bounds[1:]] - 1
+    closing[ends] = False
+    return np.flatnonzero(start | closing)
 
 
 class Encoder:
-    """Ids of texts by one vocabulary file; ``space_led`` says how its words begin."""
+    """Ids of texts by one vocabulary file; ``space_led`` says how its words begin.
+
+    A vocabulary whose words begin with their space must not lose one beside other white
+    space; one that drops white space must not meet a space that it does not know.
+    """
 
     def __init__(self, path: str, space_led: bool):
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
-        self._cut = _space_led if space_led else _space_dropped
-        self._known: dict[str, int] = {}
-        self._ids = np.zeros(1 << 16, np.uint32)
-        self._ends = np.zeros(1 << 16, np.int64)
-
-    def _learn(self, pieces: list[str], places: dict[str, int], used: int) -> None:
+        self._odd = _JOINED_SPACE if space_led else _ODD_SPACE
+        # Pieces known so far, and their ids one after the other.
+        self._known = pa.array([], pa.large_binary())
+        self._ids = np.zeros(0, np.uint32)
+        self._ends = np.zeros(1, np.int64)
+
+    def _encoded(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces by the library, joined, and the number of each."""
+        ids, sizes = [], []
         for first in range(0, len(pieces), 4096):
-            part = pieces[first : first + 4096]
-            found = self._library.encode_batch_fast(part, add_special_tokens=False)
-            end = int(self._ends[used])
-            if used + len(part) + 1 > len(self._ends):
-                self._ends = np.resize(self._ends, 2 * (used + len(part) + 1))
-            for piece, got in zip(part, found):
-                ids = got.ids
-                if end + len(ids) > len(self._ids):
-                    self._ids = np.resize(self._ids, 2 * (end + len(ids)))
-                self._ids[end : end + len(ids)] = ids
-                end += len(ids)
-                places[piece] = used
-                used += 1
-                self._ends[used] = end
+            texts = [p.decode() for p in pieces.slice(first, 4096).to_pylist()]
+            found = [x.ids for x in self._library.encode_batch_fast(texts, add_special_tokens=False)]
+            sizes += map(len, found)
+            ids.append(np.fromiter(chain.from_iterable(found), np.uint32))
+        return np.concatenate(ids), np.array(sizes, np.int64)
+
+    def _ways(self, column: pa.Array) -> np.ndarray:
+        simple = simple_texts(column)
+        ways = np.where(simple, _MARKS, _SPACES)
+        rest = np.flatnonzero(~simple)
+        for i, text in zip(rest, column.take(pa.array(rest)).to_pylist()):
+            if text and self._odd.search(text):
+                ways[i] = _WHOLE
+        return ways
+
+    def _look_up(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where the ids of different pieces begin, how many there are, and the ids."""
+        found = pc.index_in(pieces, value_set=self._known)
+        new = pieces.filter(pc.is_null(found))
+        at = pc.fill_null(found, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        held, ends = self._ids, self._ends
+        if len(new):
+            ids, sizes = self._encoded(new)
+            at[found.is_null().to_numpy(zero_copy_only=False)] = len(self._known) + np.arange(len(new))
+            held = np.concatenate([held, ids])
+            ends = np.concatenate([ends, ends[-1] + np.cumsum(sizes)])
+            if len(self._known) + len(new) <= CACHED_PIECES:
+                self._known = pa.concat_arrays([self._known, new])
+                self._ids, self._ends = held, ends
+        return ends[at], ends[at + 1] - ends[at], held
 
     def encode(self, column: pa.Array) -> list[np.ndarray]:
-        """An id array for each text of an Arrow array; null counts as empty."""
-        simple = simple_texts(column).tolist()
-        pieces: list[str] = []
-        counts = []
-        for text, plain in zip(column.to_pylist(), simple):
-            cut = self._cut(text, plain) if text else []
-            pieces += cut
-            counts.append(len(cut))
-        found = list(map(self._known.get, pieces))
-        if None in found:
-            missing = {p for p, at in zip(pieces, found) if at is None}
-            kept = len(self._known)
-            full = kept + len(missing) > CACHED_PIECES
-            places: dict[str, int] = {} if full else self._known
-            self._learn(list(missing), places, kept)
-            found = [places[p] if at is None else at for p, at in zip(pieces, found)]
-        at = np.array(found, np.int64)
-        starts = self._ends[at]
-        lengths = self._ends[at + 1] - starts
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        shift = np.repeat(starts - ends[:-1], lengths)
-        ids = self._ids[np.arange(len(shift)) + shift]
-        return np.split(ids, ends[np.cumsum(counts)[:-1]]) if counts else []
+        """An id array for each text of an Arrow array; null counts as empty.
+
+        Pieces stay in the Arrow buffer; Arrow tells different ones apart by their
+        bytes, and only those are looked up.
+        """
+        if not len(column):
+            return []
+        data, bounds = flat(column)
+        if not len(data):
+            return [np.zeros(0, np.uint32)] * len(column)
+        starts = _piece_starts(data, bounds, self._ways(column))
+        edges = np.append(starts, len(data)).astype(np.int64)
+        cut = pa.Array.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(data)]
+        ).dictionary_encode()
+        firsts, sizes, held = self._look_up(cut.dictionary)
+        each = cut.indices.to_numpy()
+        ends = np.concatenate([[0], np.cumsum(sizes[each])])
+        shift = np.repeat(firsts[each] - ends[:-1], sizes[each])
+        ids = held[np.arange(len(shift)) + shift]
+        return np.split(ids, ends[np.searchsorted(starts, bounds[1:-1])])
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
