@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewmill.llm.conversations import lend_heads, number_turns, prefix_trie
 from reviewmill.llm.exact_copies import exact_groups
 from reviewmill.llm.mixing import mix_sources
 from reviewmill.llm.near_copies import near_groups
@@ -121,6 +122,11 @@ def op11_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, conversations = number_turns(_table(spark, sf_dir, "conversations"))
+    return prefix_trie(*lend_heads(turns, conversations)).drop("high", "low")
+
+
 def queries() -> dict[str, Query]:
     named = {
         "op1_site_quality": op1_site_quality,
@@ -134,6 +140,7 @@ def queries() -> dict[str, Query]:
         "op9_exact_copies": op9_exact_copies,
         "op10_repeats": op10_repeats,
         "op11_stratified_shards": op11_stratified_shards,
+        "op12_prefix_trie": op12_prefix_trie,
     }
     return {name: _shipped(query) for name, query in named.items()}
 
@@ -243,4 +250,40 @@ def oracle_sql() -> dict[str, str]:
                 CAST(shard AS INTEGER) AS shard, place - 1 - shard * total // {SHARDS} AS slot,
                 CAST(NULL AS INTEGER) AS grown_shard
             FROM cut, crc_table""",
+        "op12_prefix_trie": f"""
+            WITH {_CRC_TABLE.strip()},
+            numbered AS (
+                SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                    row_number() OVER (PARTITION BY conv_id
+                        ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+                FROM conversations WHERE conv_id IS NOT NULL),
+            convs AS (
+                SELECT c, {_crc32("CAST(c AS VARCHAR)")} % 6 AS h FROM (SELECT DISTINCT c FROM numbered), crc_table),
+            rebuilt AS (
+                SELECT v.c, row_number() OVER (PARTITION BY v.c ORDER BY origin, place) AS d, role, text
+                FROM convs v JOIN (
+                    SELECT v.c, 0 AS origin, place, role, text
+                    FROM convs v JOIN numbered n ON n.c = v.c - v.c % 100 AND place <= h
+                    UNION ALL
+                    SELECT v.c, 1, place, role, text FROM convs v JOIN numbered n ON n.c = v.c AND place > h) t USING (c)),
+            paths AS (
+                SELECT c, d, length(text) AS size, string_agg(sha256(length(role) || ':' || role || text), '')
+                    OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING) AS path
+                FROM rebuilt
+                UNION ALL SELECT c, 0, 0, '' FROM convs),
+            keyed AS (SELECT c, d, size, sha256(path) AS id, lag(sha256(path)) OVER (PARTITION BY c ORDER BY d) AS up,
+                d = max(d) OVER (PARTITION BY c) AS last FROM paths),
+            nodes AS (
+                SELECT d, id, any_value(up) AS up, any_value(size) AS size, min(c) AS c, count(*) AS n,
+                    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (last), '')) AS ends
+                FROM keyed GROUP BY d, id),
+            children AS (SELECT d - 1 AS d, up AS id, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+            grown AS (SELECT *, coalesce(n_children, 0) AS kids FROM nodes LEFT JOIN children USING (d, id)),
+            sums AS (
+                SELECT k.d, k.id, count(*) FILTER (g.kids = 0) AS n_leaves, sum((g.n - 1) * g.size) AS saved
+                FROM grown g JOIN keyed k ON k.c = g.c AND k.d <= g.d GROUP BY ALL)
+            SELECT g.c AS conv_id, d AS depth, p.c AS parent_conv_id, g.n AS n_convs, kids AS n_children,
+                n_leaves, CAST(saved AS BIGINT) AS saved_tokens, g.ends AS ends_sha256
+            FROM grown g JOIN sums s USING (d, id)
+            LEFT JOIN (SELECT d + 1 AS d, id AS up, c FROM nodes) p USING (d, up)""",
     }
