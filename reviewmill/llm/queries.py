@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewmill.llm.collocations import collocations
 from reviewmill.llm.conversations import lend_heads, number_turns, prefix_trie
 from reviewmill.llm.exact_copies import exact_groups
 from reviewmill.llm.mixing import mix_sources
@@ -127,6 +128,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(*lend_heads(turns, conversations)).drop("high", "low")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     named = {
         "op1_site_quality": op1_site_quality,
@@ -141,6 +146,7 @@ def queries() -> dict[str, Query]:
         "op10_repeats": op10_repeats,
         "op11_stratified_shards": op11_stratified_shards,
         "op12_prefix_trie": op12_prefix_trie,
+        "op13_collocations": op13_collocations,
     }
     return {name: _shipped(query) for name, query in named.items()}
 
@@ -286,4 +292,41 @@ def oracle_sql() -> dict[str, str]:
                 n_leaves, CAST(saved AS BIGINT) AS saved_tokens, g.ends AS ends_sha256
             FROM grown g JOIN sums s USING (d, id)
             LEFT JOIN (SELECT d + 1 AS d, id AS up, c FROM nodes) p USING (d, up)""",
+        "op13_collocations": r"""
+            WITH pieces AS (
+                SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+                FROM documents),
+            words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+            totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+            sizes AS (SELECT unnest(range(1, 5)) AS size),
+            found AS (
+                SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+                FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM words, sizes)),
+            f AS (SELECT lang, size, phrase, count(*) AS f FROM found GROUP BY ALL HAVING count(*) >= 30),
+            cuts AS (
+                SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k
+                FROM f WHERE size > 1),
+            scored AS (
+                SELECT c.lang, c.size, c.phrase, a, k, x.f AS l, y.f AS r,
+                    CAST(a AS HUGEINT) * 2000000 // (x.f + y.f) AS score
+                FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[:k], ' ')
+                JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+            lowest AS (
+                SELECT * FROM scored
+                QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+            inner_parts AS (
+                SELECT lang, f, w, size, i FROM (
+                    SELECT lang, f, w, size, unnest(range(1, length - size + 2)) AS i FROM (
+                        SELECT lang, f, size AS length, string_split(phrase, ' ') AS w, unnest(range(2, size)) AS size
+                        FROM f WHERE size > 2))),
+            around AS (
+                SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(f) AS most
+                FROM inner_parts GROUP BY ALL),
+            stay AS (
+                SELECT lowest.* FROM lowest LEFT JOIN around USING (lang, phrase)
+                WHERE most IS NULL OR CAST(most AS HUGEINT) * 100 < CAST(a AS HUGEINT) * 80)
+            SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+                phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+            FROM stay JOIN totals USING (lang) QUALIFY rank <= 2000""",
     }
