@@ -11,7 +11,7 @@ SQL = oracle_sql()
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_same_rows_as_sql(spark, sf_dir, rows, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages", "embeddings"):
+    for table in ("documents", "pages", "embeddings", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     expected = connection.sql(SQL[name])
     frame = queries()[name](spark, sf_dir)
