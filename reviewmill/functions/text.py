@@ -19,6 +19,7 @@ nor on the partitioning.
 from __future__ import annotations
 
 from collections.abc import Callable, Collection, Iterator, Mapping
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pandas as pd
@@ -116,12 +117,25 @@ def lexicon_table(spark: SparkSession, lexicon: DataFrame | Mapping[str, float])
 def literal_weights(
     spark: SparkSession, lexicon: DataFrame | Mapping[str, float]
 ) -> dict[str, int] | None:
-    """Weights as plan literals, or None when the lexicon has too many words."""
+    """Weights as plan literals, or None when the lexicon has too many words.
+
+    A mapping without spellings to merge is weighed here, as ``lexicon_units`` would,
+    which saves each labelling a job.
+    """
+    if isinstance(lexicon, Mapping) and all(word.isascii() and word == word.lower() for word in lexicon):
+        if len(lexicon) > LITERAL_WORDS:
+            return None
+        return {word: _units(float(weight)) for word, weight in lexicon.items()}
     units = lexicon_units(lexicon_table(spark, lexicon))
     rows = units.limit(LITERAL_WORDS + 1).collect()
     return dict(map(tuple, rows)) if len(rows) <= LITERAL_WORDS else None
 
 
+def _units(weight: float) -> int:
+    """Whole millionths, halves away from zero, as Spark rounds."""
+    return int(Decimal(repr(weight * UNITS)).to_integral_value(ROUND_HALF_UP))
+
+
 def _weight_of(word: Column, by_weight: list[tuple[int, list[str]]]) -> Column:
     """Weight of a known lexicon word: a search tree of hashed word sets."""
     if len(by_weight) == 1:
@@ -281,10 +295,11 @@ def label_sentiment(
         return label_by_scorer(df, scorer, text, label)
     if lexicon is None:
         raise ValueError("give a lexicon or a scorer")
+    plain = isinstance(lexicon, Mapping) and not negators
     table = lexicon_table(df.sparkSession, lexicon)
     if negators:
         table = with_negated(table)
-    weights = literal_weights(df.sparkSession, table)
+    weights = literal_weights(df.sparkSession, lexicon if plain else table)
     if weights is not None:
         return df.withColumn(label, sentiment(F.col(text), weights, negators))
     way = label_by_lookup if df.isStreaming else label_by_join

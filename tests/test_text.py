@@ -146,3 +146,11 @@ def test_read_lexicon(spark, tmp_path):
                 T.read_lexicon(spark, path)
         else:
             assert sorted(map(tuple, T.read_lexicon(spark, path).collect())) == good
+
+
+def test_mapping_and_table_are_weighed_alike(spark):
+    lexicon = {"good": 0.5, "bad": -0.1234565, "fine": 1e-7, "odd": 0.3000005, "poor": -0.0000005}
+    table = T.lexicon_table(spark, lexicon)
+    assert T.literal_weights(spark, lexicon) == T.literal_weights(spark, table)
+    spelled = {"Good": 0.5, "good": 0.25}
+    assert T.literal_weights(spark, spelled) == {"good": 375_000}
