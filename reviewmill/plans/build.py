@@ -22,14 +22,46 @@ from reviewmill.session import materialize
 _COUNTS = ("review_count", "positive_reviews", "negative_reviews")
 
 
-def review_rollup(reviews: DataFrame) -> DataFrame:
-    """Sums and counts per month and business, from which any mean follows."""
-    return reviews.groupBy("review_year", "review_month", "business_id").agg(
+def _sums() -> list[Column]:
+    return [
         F.sum("stars").alias("stars_sum"),
         F.count("stars").alias("stars_count"),
         F.count("review_id").alias("review_count"),
         labelled(POSITIVE).alias("positive_reviews"),
         labelled(NEGATIVE).alias("negative_reviews"),
+    ]
+
+
+def review_rollup(reviews: DataFrame) -> DataFrame:
+    """Sums and counts per month and business, from which any mean follows."""
+    return reviews.groupBy("review_year", "review_month", "business_id").agg(*_sums())
+
+
+def review_levels(reviews: DataFrame) -> DataFrame:
+    """The same sums per month and business, and (``total``) per business, in one aggregate.
+
+    A stream keeps both levels in its state, so a batch emits the new totals of the
+    businesses it touches and reads no earlier result.
+    """
+    month = F.struct(F.lit(False).alias("total"), "review_year", "review_month")
+    whole = F.struct(
+        F.lit(True).alias("total"),
+        F.lit(None).cast("int").alias("review_year"),
+        F.lit(None).cast("int").alias("review_month"),
+    )
+    slim = reviews.select("business_id", "review_id", "stars", "sentiment", F.inline(F.array(month, whole)))
+    return slim.groupBy("total", "review_year", "review_month", "business_id").agg(*_sums())
+
+
+def daily_rollup(reviews: DataFrame) -> DataFrame:
+    """Sums and counts per day of event time and business; partial ones add up."""
+    return reviews.groupBy("day", "business_id").agg(*_sums())
+
+
+def daily_from_rollup(rollup: DataFrame) -> DataFrame:
+    return rollup.groupBy("business_id", "day").agg(
+        _mean(F.sum("stars_sum"), F.sum("stars_count")),
+        *[F.sum(c).alias(c) for c in _COUNTS],
     )
 
 

@@ -324,6 +324,19 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
         "FROM review WHERE CAST(try_cast(date AS TIMESTAMP) AS DATE) < "
         "(SELECT max(CAST(try_cast(date AS TIMESTAMP) AS DATE)) FROM review)",
     ),
+    # Closed days, open days and late reviews together: every review, once.
+    "stream_daily_complete": (
+        _LABELLED_REVIEWS,
+        "SELECT business_id, count(review_id) AS review_count, "
+        "count(*) FILTER (sentiment = 'Positive') AS positive_reviews, "
+        "count(*) FILTER (sentiment = 'Negative') AS negative_reviews "
+        "FROM review_labels GROUP BY business_id",
+    ),
+    "stream_one_version": (
+        ["review"],
+        "SELECT CAST(b AS INTEGER) AS batch, TRUE AS agree, count(review_id) AS review_count "
+        "FROM range(3) AS t(b) JOIN review ON CAST(review_id AS BIGINT) % 3 <= b GROUP BY b",
+    ),
     "review_labels_unicode": (
         ["unicode_lexicon", "review", "review_labels"],
         _REVIEW_LABELS,
@@ -394,10 +407,6 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
         ["review"],
         "SELECT review_id, business_id, user_id, stars, text, date FROM review",
     ),
-    "list_tables": (
-        [],
-        "SELECT * FROM (VALUES ('business'), ('checkin'), ('review'), ('tip'), ('user')) AS v(name)",
-    ),
 }
 
 # Streams must end with the same rows as the batch query of the same table.

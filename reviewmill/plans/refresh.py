@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from reviewmill.operators.names import business_names
 from reviewmill.plans import charts
 from reviewmill.schemas import RESULTS
-from reviewmill.sources.results import read_result
+from reviewmill.sources.results import read_result, read_versions
 
 # chart table -> (result table, builder, whether it takes the business names)
 CHARTS = {
@@ -46,6 +46,16 @@ def chart_tables(
 def refresh(
     spark: SparkSession, result_root: str, businesses: DataFrame
 ) -> dict[str, DataFrame]:
-    """Chart tables over the result tables as they are now."""
-    results = {table: read_result(spark, result_root, table) for table in RESULTS}
+    """Chart tables over the result tables as they are now.
+
+    Tables that one query keeps are read at one version, so their charts agree
+    while the stream goes on.
+    """
+    versions = read_versions(spark, result_root)
+    charted = {table for table, _, _ in CHARTS.values()}
+    results = {
+        table: read_result(spark, result_root, table, versions.get(table))
+        for table in RESULTS
+        if table in charted
+    }
     return chart_tables(results, businesses)

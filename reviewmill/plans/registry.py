@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions.columns import with_date_parts, with_event_time
 from reviewmill.functions.text import (
+    NEGATIVE,
+    POSITIVE,
     label_by_join,
     label_sentiment,
     lexicon_table,
     literal_weights,
     polarity,
 )
-from reviewmill.operators.aggregates import category_ratings, popularity_aggregation
+from reviewmill.operators.aggregates import category_ratings, labelled, popularity_aggregation
 from reviewmill.operators.names import business_names
 from reviewmill.operators.recommend import dense_indexes, fit_score, index_of
 from reviewmill.plans import charts
@@ -32,8 +34,9 @@ from reviewmill.plans.oracle import BUILT, DEDUPED, REFRESHED, STREAMED, oracle_
 from reviewmill.plans.refresh import CHARTS, refresh
 from reviewmill.plans.tables import RESULT_TABLES, result_table
 from reviewmill.session import materialize, scratch_path, stream_session
-from reviewmill.sources.results import read_result, table_path
-from reviewmill.sources.tables import limited_export, list_tables
+from reviewmill.sources.results import read_result, read_versions, table_path, write_batch
+from reviewmill.sources.storage import delete_folder
+from reviewmill.sources.tables import limited_export
 from reviewmill.sources.topics import (
     encode_records,
     parse_records,
@@ -143,16 +146,6 @@ def _limited_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return limited_export(read_fixture(spark, sf_dir, "business"), "business_id", 100)
 
 
-def _list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Record tables that a session of its own has registered."""
-    session = spark.newSession()
-    for record_type in ("business", "checkin", "review", "tip", "user"):
-        read_fixture(session, sf_dir, record_type).createOrReplaceTempView(record_type)
-    known = {t.name for t in spark.catalog.listTables()}
-    names = [(name,) for name in list_tables(session) if name not in known]
-    return spark.createDataFrame(names, "name string")
-
-
 def _business_lookup_last(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids with many names each; the last one by an order column counts."""
     parts = spark.read.parquet(f"{sf_dir}/part.parquet")
@@ -353,23 +346,77 @@ def _stream_review_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All closed days; the newest day stays open."""
     topics = _Topics(spark, sf_dir, "stream-daily")
     _in_event_order(topics, partial(streams.start_daily_reviews, lexicon=LEXICON))
-    # A stream with nothing new still closes what the watermark has passed.
-    streams.start_daily_reviews(
-        topics.subscribe, topics.base, LEXICON, availableNow=True
-    ).awaitTermination()
-    return spark.read.parquet(table_path(streams.results_root(topics.base), "daily_reviews"))
+    return topics.result(spark, "daily_reviews")
 
 
 def _stream_review_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All reviews once more, after their days were closed."""
     topics = _Topics(spark, sf_dir, "stream-late")
-    _in_event_order(topics, streams.start_late_reviews)
+    start = partial(streams.start_daily_reviews, lexicon=LEXICON)
+    _in_event_order(topics, start)
     publish_to_files(topics.read("review").coalesce(1), topics.base, PREFIX, "review")
-    streams.start_late_reviews(topics.subscribe, topics.base, availableNow=True).awaitTermination()
-    late = spark.read.parquet(table_path(streams.results_root(topics.base), "late_reviews"))
+    start(topics.subscribe, topics.base, availableNow=True).awaitTermination()
+    late = topics.result(spark, "late_reviews").where("day IS NOT NULL")
     return late.select("review_id", "business_id", "day")
 
 
+def _stream_daily_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed days, open days and late reviews of a stream out of order: each review once."""
+    topics = _Topics(spark, sf_dir, "stream-complete")
+    reviews = topics.read("review")
+    # Files of very different sizes, event times in no order.
+    number = F.pmod(F.xxhash64("review_id"), F.lit(16))
+    part = F.when(number == 0, 0).when(number < 4, 1).when(number < 5, 2).when(number < 14, 3).otherwise(4)
+    for own in range(5):
+        publish_to_files(reviews.where(part == own).coalesce(1), topics.base, PREFIX, "review")
+        streams.start_daily_reviews(
+            topics.subscribe, topics.base, LEXICON, availableNow=True
+        ).awaitTermination()
+    late = topics.result(spark, "late_reviews").groupBy("business_id").agg(
+        F.count("review_id").alias("review_count"),
+        labelled(POSITIVE).alias("positive_reviews"),
+        labelled(NEGATIVE).alias("negative_reviews"),
+    )
+    days = topics.result(spark, "daily_reviews").unionByName(streams.open_days(spark, topics.base))
+    parts = days.select(*late.columns).union(late)
+    return parts.groupBy("business_id").agg(*[F.sum(c).alias(c) for c in late.columns[1:]])
+
+
+def _stream_one_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of both review tables, read at one version between the batches of a stream.
+
+    A row for each batch: whether the totals agree, and the reviews counted so far. Another
+    batch of one of the tables is there already, as it is when a reader meets a running query.
+    """
+    topics = _Topics(spark, sf_dir, "stream-version")
+    root = streams.results_root(topics.base)
+    reviews = topics.read("review")
+    rows = []
+    for own in range(BATCHES):
+        part = F.pmod(F.col("review_id").cast("bigint"), F.lit(BATCHES)) == own
+        publish_to_files(reviews.where(part).coalesce(1), topics.base, PREFIX, "review")
+        streams.start_review_tables(
+            topics.subscribe, topics.base, LEXICON, availableNow=True
+        ).awaitTermination()
+        ahead = topics.result(spark, "sentiment_aggregation").withColumn("review_count", F.lit(-1).cast("bigint"))
+        write_batch(ahead, 1000, table_path(root, "sentiment_aggregation"))
+        versions = read_versions(spark, root)
+        totals = [
+            read_result(spark, root, table, versions[table]).agg(
+                F.sum("review_count").alias(f"{i}_reviews"), F.sum("positive_reviews").alias(f"{i}_positive")
+            )
+            for i, table in enumerate(("sentiment_aggregation", "review_trend_aggregation"))
+        ]
+        delete_folder(spark, f"{table_path(root, 'sentiment_aggregation')}/batch_id=1000")
+        rows.append(totals)
+    found = None
+    for own, (left, right) in enumerate(rows):
+        each = left.withColumn("batch", F.lit(own)).join(right.withColumn("batch", F.lit(own)), "batch")
+        found = each if found is None else found.unionByName(each)
+    agree = (F.col("0_reviews") == F.col("1_reviews")) & (F.col("0_positive") == F.col("1_positive"))
+    return found.select("batch", agree.alias("agree"), F.col("0_reviews").alias("review_count"))
+
+
 def _stream_review_tables(name: str) -> Query:
     """One of the two tables that share a streaming query."""
 
@@ -431,7 +478,6 @@ def queries() -> dict[str, Query]:
         "business_lookup_last": _business_lookup_last,
         "json_roundtrip": _json_roundtrip,
         "json_roundtrip_ids": _json_roundtrip_ids,
-        "list_tables": _list_tables,
         "limited_export": _limited_export,
         **{name: _chart(name) for name in CHARTS},
         "category_pie": _category_pie,
@@ -452,6 +498,8 @@ def queries() -> dict[str, Query]:
         "stream_labels_large_lexicon": _stream_labels_large_lexicon,
         "stream_review_daily": _stream_review_daily,
         "stream_review_late": _stream_review_late,
+        "stream_daily_complete": _stream_daily_complete,
+        "stream_one_version": _stream_one_version,
         "stream_predictions": _stream_predictions,
         "stream_predictions_coverage": _stream_predictions_coverage,
         **{f"refresh_{name}": _refresh(name) for name in REFRESHED},

@@ -68,8 +68,19 @@ RESULTS = {
         "negative_tips bigint"
     ),
     "predictions": "user_id string, business_id string, prediction float",
+    "daily_reviews": (
+        "business_id string, day date, average_rating double, review_count bigint, "
+        "positive_reviews bigint, negative_reviews bigint"
+    ),
+    "late_reviews": (
+        "review_id string, business_id string, event_time timestamp, day date, "
+        "stars double, sentiment string"
+    ),
 }
 
+# Tables of which a micro-batch writes new rows; all of them count.
+APPENDED = ("predictions", "daily_reviews", "late_reviews")
+
 # Keys of the running tables of which a micro-batch writes the changed rows only.
 RESULT_KEYS = {
     "sentiment_aggregation": ["business_id"],

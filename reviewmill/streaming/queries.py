@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from contextlib import contextmanager
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +18,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reviewmill.functions.columns import with_event_time, with_ingest_time
 from reviewmill.functions.text import label_sentiment
-from reviewmill.operators.aggregates import daily_reviews
 from reviewmill.operators.recommend import fit_score, usable_ratings
 from reviewmill.plans.build import (
     categories_from_rollup,
     category_rollup,
-    review_rollup,
+    daily_from_rollup,
+    daily_rollup,
+    review_levels,
     sentiment_from_rollup,
     trend_from_rollup,
 )
@@ -36,12 +38,14 @@ from reviewmill.plans.tables import (
 from reviewmill.schemas import RESULT_KEYS
 from reviewmill.session import materialize, scratch_path
 from reviewmill.sources.results import (
+    commit_version,
     complete_batches,
+    merge_spans,
     table_path,
     write_batch,
     write_snapshot,
 )
-from reviewmill.sources.storage import delete_folder
+from reviewmill.sources.storage import delete_folder, matching
 from reviewmill.sources.topics import parse_records
 
 # record type -> streaming frame with a ``value`` column
@@ -85,8 +89,15 @@ def _start(frame: DataFrame, name: str, mode: str, base: str, trigger: dict) ->
     if mode == "append":
         # Spark's file sink logs each batch, so a replay adds nothing twice.
         return writer.format("parquet").option("path", path).start()
-    write = write_batch if changes else write_snapshot
-    return writer.foreachBatch(lambda batch, batch_id: write(batch, batch_id, path)).start()
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not changes:
+            write_snapshot(batch, batch_id, path)
+            return
+        write_batch(batch, batch_id, path)
+        merge_spans(batch.sparkSession, path, name, batch_id)
+
+    return writer.foreachBatch(write).start()
 
 
 def start_table(
@@ -139,6 +150,7 @@ def start_predictions(
                 ratings = materialize(ratings, "ratings", folder)
             scored = fit_score(ratings, fresh, folder=folder, **options)
             write_batch(scored, batch_id, predictions)
+        merge_spans(spark, predictions, "predictions", batch_id)
 
     columns = ["user_id", "business_id", "stars"]
     records = parse_records(subscribe(record_type), record_type, columns=columns)
@@ -161,59 +173,113 @@ def start_daily_reviews(
     delay: str = WATERMARK,
     **trigger,
 ) -> StreamingQuery:
-    """Reviews per business and day, each day written once it is complete.
+    """Reviews per business and day, each day written once it is complete, and the late ones.
 
-    Records later than ``delay`` behind the newest event time are dropped, and
-    the state of a finished day is forgotten.
-    """
-    records = with_event_time(parse_records(subscribe("review"), "review"), delay)
-    frame = daily_reviews(label_sentiment(records, lexicon, scorer))
-    return _start(frame, "daily_reviews", "append", base, trigger)
-
-
-IDENTITY = "_identity"
+    A day is closed when the newest event time of all batches so far is ``delay``
+    behind its end. Each review goes to one place: into the sums of its day while that
+    is open, or else, as it is, into ``late_reviews``; so do reviews without an event
+    time, whose day is null. ``open_days`` reads the days that are still open.
 
-
-def start_late_reviews(
-    subscribe: Subscribe, base: str, delay: str = WATERMARK, **trigger
-) -> StreamingQuery:
-    """Keep the reviews that come after their day was closed, and so are in no daily row.
-
-    Each batch is held against the newest event time of the batches before it, as
-    a watermark is. The newest time is one row per batch on shared storage, so a
-    replayed batch sees the same one.
+    A batch adds its own sums to the open days, in folders by day, and reads those of
+    the days it closes; sums of closed days go with a later batch. What it costs follows
+    the batch and the days it closes, not the age of the stream. One row
+    per batch says which day is the first open one, so a replayed batch decides alike.
     """
-    table = table_path(results_root(base), "late_reviews")
-    newest = f"{base.rstrip('/')}/history/newest_event_time"
+    root = results_root(base)
+    held, marks = _daily_folders(base)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = [b for b in complete_batches(spark, newest) if b < batch_id]
-        limit = F.lit(None).cast("timestamp")
-        if before:
-            seen = spark.read.parquet(f"{newest}/batch_id={before[-1]}")
-            limit = F.lit(seen.first()["newest"]).cast("timestamp")
-        day = F.to_date("event_time")
-        closed = F.date_add(day, 1).cast("timestamp") <= limit - F.expr(f"INTERVAL '{delay}'")
-        late = batch.where(closed).withColumn("day", day)
-        write_batch(late.select("review_id", "business_id", "event_time", "day"), batch_id, table)
-        here = batch.agg(F.max("event_time").alias("newest"))
-        here = here.select(F.greatest("newest", limit).alias("newest"))
-        write_batch(here, batch_id, newest)
-
-    columns = ["review_id", "business_id", "date"]
-    records = parse_records(subscribe("review"), "review", columns=columns)
+        with _scratch(spark, "daily") as folder:
+            slim = batch.select(
+                "review_id", "business_id", "event_time", F.to_date("event_time").alias("day"), "stars", "sentiment"
+            )
+            reviews = materialize(slim, "reviews", folder)
+            first_open = _first_open_day(spark, marks, batch_id)
+            late = F.col("day").isNull() | F.coalesce(F.col("day") < F.lit(first_open), F.lit(False))
+            write_batch(reviews.where(late), batch_id, table_path(root, "late_reviews"))
+            sums = daily_rollup(reviews.where(~late))
+            sums.write.mode("overwrite").partitionBy("day").parquet(f"{held}/batch_id={batch_id}")
+
+            passed = F.to_date(F.max("event_time") - F.expr(f"INTERVAL '{delay}'"))
+            here = reviews.where("day IS NOT NULL").agg(passed.alias("first_open"))
+            here = here.select(F.greatest("first_open", F.lit(first_open).cast("date")).alias("first_open"))
+            now_open = here.first()[0]
+            closing = _days_between(spark, held, first_open, now_open, batch_id)
+            closed = daily_from_rollup(_read_sums(spark, closing))
+            write_batch(closed, batch_id, table_path(root, "daily_reviews"))
+            for path in _days_between(spark, held, None, first_open, batch_id):
+                # Closed by an earlier batch, which is not run again.
+                delete_folder(spark, path)
+        for table in ("daily_reviews", "late_reviews"):
+            merge_spans(spark, table_path(root, table), table, batch_id)
+        commit_version(spark, root, "daily_reviews", batch_id, ["daily_reviews", "late_reviews"])
+        write_snapshot(spark.createDataFrame([(now_open,)], "first_open date").coalesce(1), batch_id, marks)
+
+    records = with_event_time(parse_records(subscribe("review"), "review"))
     writer = (
-        with_event_time(records)
-        .writeStream.queryName("late_reviews")
+        label_sentiment(records, lexicon, scorer)
+        .writeStream.queryName("daily_reviews")
         .foreachBatch(write)
-        .option("checkpointLocation", _checkpoint(base, "late_reviews"))
+        .option("checkpointLocation", _checkpoint(base, "daily_reviews"))
     )
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
 
 
+def _daily_folders(base: str) -> tuple[str, str]:
+    """Where the sums of open days are, and the first open day after each batch."""
+    return f"{base.rstrip('/')}/open_days", f"{base.rstrip('/')}/history/first_open_day"
+
+
+def _first_open_day(spark: SparkSession, marks: str, batch_id: int) -> date | None:
+    """What was open when the batch began; null before any event time."""
+    before = [b for b in complete_batches(spark, marks) if b < batch_id]
+    return spark.read.parquet(f"{marks}/batch_id={before[-1]}").first()[0] if before else None
+
+
+def _days_between(
+    spark: SparkSession, held: str, first: date | None, end: date | None, batch_id: int
+) -> list[str]:
+    """Folders of sums by batches up to this one for days from ``first`` to before ``end``."""
+    found = []
+    for path in matching(spark, f"{held}/batch_id=*/day=*"):
+        number, day = (part.split("=")[1] for part in path.split("/")[-2:])
+        low = first is None or day >= first.isoformat()
+        if int(number) <= batch_id and low and end is not None and day < end.isoformat():
+            found.append(path)
+    return sorted(found)
+
+
+_SUMS = (
+    "business_id string, stars_sum double, stars_count bigint, review_count bigint, "
+    "positive_reviews bigint, negative_reviews bigint"
+)
+
+
+def _read_sums(spark: SparkSession, folders: list[str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], f"day date, {_SUMS}")
+    frame = spark.read.schema(_SUMS).parquet(*folders)
+    day = F.regexp_extract(F.input_file_name(), r"day=([0-9-]+)/[^/]*$", 1)
+    return frame.withColumn("day", day.cast("date"))
+
+
+def open_days(spark: SparkSession, base: str) -> DataFrame:
+    """The sums so far of the days that ``start_daily_reviews`` has not closed."""
+    held, marks = _daily_folders(base)
+    done = complete_batches(spark, marks)
+    if not done:
+        return daily_from_rollup(_read_sums(spark, []))
+    first_open = _first_open_day(spark, marks, done[-1] + 1)
+    folders = _days_between(spark, held, first_open, date.max, done[-1])
+    return daily_from_rollup(_read_sums(spark, folders))
+
+
+IDENTITY = "_identity"
+
+
 def drop_redelivered(records: DataFrame, key: str, within: str = "1 hour") -> DataFrame:
     """Drop records that arrive again within the given time of arrival.
 
@@ -267,79 +333,66 @@ def start_review_tables(
     drop_malformed: bool = False,
     **trigger,
 ) -> StreamingQuery:
-    """Keep both review tables from one query.
+    """Keep both review tables from one query, and one version of both.
 
-    Reads and scores every review once instead of once per table: the query
-    keeps the monthly roll-up. A batch stores the months it has changed; the
-    trend table gets these, and the sentiment table the new totals of their
-    businesses.
+    Reads and scores every review once instead of once per table. The state holds
+    the sums of each month and of each business; a batch emits those it has changed
+    and reads nothing of earlier batches, so its cost does not grow with the stream's age.
     """
     records = parse_records(subscribe("review"), "review", drop_malformed)
-    rollup = review_rollup(prepare_records(records, "review", lexicon, scorer))
-    months = f"{base.rstrip('/')}/rollups/review"
+    levels = review_levels(prepare_records(records, "review", lexicon, scorer))
+
+    def tables(changed: DataFrame) -> dict[str, DataFrame]:
+        return {
+            "review_trend_aggregation": trend_from_rollup(changed.where("NOT total")),
+            "sentiment_aggregation": sentiment_from_rollup(changed.where("total")),
+        }
+
+    return _start_group("review_tables", levels, "update", tables, base, trigger)
+
+
+def _start_group(
+    name: str,
+    frame: DataFrame,
+    mode: str,
+    tables: Callable[[DataFrame], dict[str, DataFrame]],
+    base: str,
+    trigger: dict,
+) -> StreamingQuery:
+    """A query that writes several tables from each batch, then one version of them all."""
     root = results_root(base)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, batch_id, months)
-        changed = rollup_batches(batch.sparkSession, months, batch_id, batch.schema, last_only=True)
-        write_batch(trend_from_rollup(changed), batch_id, table_path(root, "review_trend_aggregation"))
-        touched = changed.select("business_id").distinct()
-        every = rollup_batches(batch.sparkSession, months, batch_id, batch.schema)
-        same = every["business_id"].eqNullSafe(touched["business_id"])
-        totals = sentiment_from_rollup(every.join(touched, same, "left_semi"))
-        write_batch(totals, batch_id, table_path(root, "sentiment_aggregation"))
+        spark = batch.sparkSession
+        with _scratch(spark, name) as folder:
+            found = tables(materialize(batch, "batch", folder))
+            for table, rows in found.items():
+                path = table_path(root, table)
+                if table in RESULT_KEYS:
+                    write_batch(rows, batch_id, path)
+                    merge_spans(spark, path, table, batch_id)
+                else:
+                    write_snapshot(rows, batch_id, path)
+        commit_version(spark, root, name, batch_id, found)
 
     writer = (
-        rollup.writeStream.queryName("review_tables")
-        .outputMode("update")
+        frame.writeStream.queryName(name)
+        .outputMode(mode)
         .foreachBatch(write)
-        .option("checkpointLocation", _checkpoint(base, "review_tables"))
+        .option("checkpointLocation", _checkpoint(base, name))
     )
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
 
 
-def rollup_batches(
-    spark: SparkSession, path: str, batch_id: int, schema, last_only: bool = False
-) -> DataFrame:
-    """Changed months of one batch, or the newest row of every month up to it."""
-    reader = spark.read.schema(schema)
-    if last_only:
-        return reader.parquet(f"{path}/batch_id={batch_id}")
-    kept = [b for b in complete_batches(spark, path) if b <= batch_id]
-    number = F.regexp_extract(F.input_file_name(), r"batch_id=([0-9]+)/[^/]*$", 1)
-    frame = reader.parquet(*[f"{path}/batch_id={b}" for b in kept])
-    keys = ["review_year", "review_month", "business_id"]
-    rest = [c for c in frame.columns if c not in keys]
-    newest = F.max_by(F.struct(*rest), "_batch").alias("row")
-    numbered = frame.withColumn("_batch", number.cast("bigint"))
-    return numbered.groupBy(*keys).agg(newest).select(*keys, "row.*")
-
-
 def start_category_tables(
     subscribe: Subscribe, base: str, drop_malformed: bool = False, **trigger
 ) -> StreamingQuery:
     """Keep both category tables from one query that splits every list once."""
     records = parse_records(subscribe("business"), "business", drop_malformed)
     rollup = category_rollup(prepare_records(records, "business"))
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        with _scratch(spark, "category-tables") as folder:
-            stored = materialize(batch, "rollup", folder)
-            for name, table in categories_from_rollup(stored).items():
-                write_snapshot(table, batch_id, table_path(results_root(base), name))
-
-    writer = (
-        rollup.writeStream.queryName("category_tables")
-        .outputMode("complete")
-        .foreachBatch(write)
-        .option("checkpointLocation", _checkpoint(base, "category_tables"))
-    )
-    if trigger:
-        writer = writer.trigger(**trigger)
-    return writer.start()
+    return _start_group("category_tables", rollup, "complete", categories_from_rollup, base, trigger)
 
 
 # Tables that one query can keep together, and how.

@@ -174,9 +174,101 @@ def test_late_record_is_dropped_from_closed_days(rows, topics):
     for number, day in enumerate(days):
         topics.reviews(review(number, "a", day))
         S.start_daily_reviews(topics.subscribe, topics.base, LEX, **NOW).awaitTermination()
-    path = R.table_path(S.results_root(topics.base), "daily_reviews")
-    got = topics.spark.read.parquet(path).selectExpr("cast(day as string)", "review_count")
+    got = topics.result("daily_reviews").selectExpr("cast(day as string)", "review_count")
     assert rows(got) == [("2018-01-01", 1), ("2018-06-01", 2)]
+    late = topics.result("late_reviews").selectExpr("review_id", "cast(day as string)", "sentiment")
+    assert rows(late) == [("r2", "2018-01-01", "Positive")]
+    still = S.open_days(topics.spark, topics.base).selectExpr("cast(day as string)", "review_count")
+    assert rows(still) == [("2019-01-01", 1)]
+
+
+def _everywhere(topics):
+    """Ids or counts of the reviews in closed days, open days and the late table."""
+    days = topics.result("daily_reviews").unionByName(S.open_days(topics.spark, topics.base))
+    return (
+        sum(r.review_count for r in days.collect()),
+        sorted(r.review_id for r in topics.result("late_reviews").collect()),
+    )
+
+
+@pytest.mark.parametrize("files", [1, 9])
+def test_each_review_is_in_one_place(topics, files):
+    """Days out of order, in batches of one file or all at once, and one without a date."""
+    days = [10, 1, 20, 21, 11, 12, 1, 20, 22]
+    for number, day in enumerate(days):
+        topics.reviews(review(number, "a", f"2018-01-{day:02}"))
+    topics.reviews(("r99", "a", "u", 3.0, "good", "bad-date"))
+    subscribe = lambda kind: subscribe_to_files(
+        topics.spark, topics.base, "t", kind, maxFilesPerTrigger=str(files)
+    )
+    S.start_daily_reviews(subscribe, topics.base, LEX, **NOW).awaitTermination()
+    counted, late = _everywhere(topics)
+    assert counted + len(late) == 10
+    assert "r99" in late
+    # Files of one second come in no order, so which reviews are late is not fixed; none is in both.
+    assert counted == 10 - len(set(late))
+
+
+def test_replayed_daily_batch_changes_nothing(rows, topics):
+    for number, day in enumerate([10, 20, 1, 21]):
+        topics.reviews(review(number, "a", f"2018-01-{day:02}"))
+        S.start_daily_reviews(topics.subscribe, topics.base, LEX, **NOW).awaitTermination()
+    before = rows(topics.result("daily_reviews")), _everywhere(topics)
+    commits = os.path.join(topics.base, "checkpoints/daily_reviews/commits")
+    last = max((f for f in os.listdir(commits) if f.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        if os.path.exists(os.path.join(commits, name)):
+            os.remove(os.path.join(commits, name))
+    S.start_daily_reviews(topics.subscribe, topics.base, LEX, **NOW).awaitTermination()
+    assert (rows(topics.result("daily_reviews")), _everywhere(topics)) == before
+
+
+def test_batches_cost_what_they_change(rows, topics, monkeypatch):
+    """What a batch reads does not grow with the stream: later ones read as many folders as early ones."""
+    monkeypatch.setattr(R, "FAN_IN", 4)
+    read = []
+    real = R._state
+
+    def counting(spark, path, table, folders):
+        read.append(len(folders))
+        return real(spark, path, table, folders)
+
+    monkeypatch.setattr(R, "_state", counting)
+    per_batch = []
+    for number in range(18):
+        topics.reviews(review(number, f"b{number % 3}", f"2018-{number % 12 + 1:02}-01"))
+        read.clear()
+        S.start_review_tables(topics.subscribe, topics.base, LEX, **NOW).awaitTermination()
+        per_batch.append(sum(read))
+    numbers = topics.batches("sentiment_aggregation")
+    assert len(numbers) >= 18
+    # Only batches that end a group read, and never more than FAN_IN folders a table and size.
+    assert per_batch.count(0) >= 8 and max(per_batch) <= 2 * 4 * 2
+    live = R.live_folders(topics.spark, R.table_path(S.results_root(topics.base), "sentiment_aggregation"))
+    assert len(live) <= 6
+    assert rows(topics.result("sentiment_aggregation"), "business_id", "review_count") == [
+        ("b0", 6), ("b1", 6), ("b2", 6),
+    ]
+    trend = topics.result("review_trend_aggregation")
+    assert trend.agg(F.sum("review_count")).first()[0] == 18
+
+
+def test_merged_folders_replace_their_parts(rows, spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(R, "FAN_IN", 2)
+    name, root = "popularity_aggregation", str(tmp_path)
+    path = R.table_path(root, name)
+    for batch in range(7):
+        frame = spark.createDataFrame([(f"k{batch % 3}", batch + 1)], "business_id string, count bigint")
+        R.write_batch(frame, batch, path)
+        R.merge_spans(spark, path, name, batch, retention=0 if batch == 6 else 3600)
+        R.commit_version(spark, root, "one", batch, [name])
+    assert R.live_folders(spark, path) == ["span_id=0_3", "span_id=4_5", "batch_id=6"]
+    assert R.complete_batches(spark, path) == [6]
+    expected = [("k0", 7), ("k1", 5), ("k2", 6)]
+    assert rows(R.read_result(spark, root, name)) == expected
+    assert rows(R.read_result(spark, root, name, R.read_versions(spark, root)[name])) == expected
+    R.compact_result(spark, root, name, retention=0)
+    assert R.live_folders(spark, path) == ["base_id=6"] and rows(R.read_result(spark, root, name)) == expected
 
 
 def test_redelivered_records_count_once(rows, topics):
@@ -306,6 +398,6 @@ def test_failed_query_stops_the_others(topics):
 def test_refresh_before_any_result(spark, tmp_path):
     businesses = spark.createDataFrame([], RECORDS["business"])
     tables = refresh(spark, str(tmp_path), businesses)
-    assert set(RESULTS) == {table for table, _, _ in CHARTS.values()}
+    assert set(RESULTS) - {"daily_reviews", "late_reviews"} == {table for table, _, _ in CHARTS.values()}
     assert tables["popularity_top"].count() == 0
     assert tables["tips_scale_bound"].first().scale_bound is None
