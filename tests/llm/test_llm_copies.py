@@ -48,7 +48,31 @@ def test_kept_rows_have_all_columns(crowded, rows):
     assert rows(kept, "doc_id") == [(2,), (3,)]
 
 
+def test_one_row_of_each_group_stays(docs, rows):
+    same = [(None, "a"), (None, "a"), (4, "a "), (None, "b"), (None, "b"), (5, "c"), (5, "c"), (5, "d"), (6, "a b"), (6, "ab ")]
+    kept = keep_exact(docs(same))
+    assert rows(kept, "doc_id", "text") in (
+        [(4, "a "), (5, "c"), (5, "d"), (6, x), (None, "b")] for x in ("a b", "ab ")
+    )
+    assert rows(keep_exact(docs([(1, "x"), (None, "x"), (None, "x"), (None, "y")])), "doc_id") == [(1,), (None,)]
+    assert keep_exact(docs([])).count() == 0
+
+
+def test_extreme_ids(docs, rows):
+    ids = [-(2**63), 2**63 - 1, 0, -1]
+    got = exact_groups(docs([(i, "a") for i in ids] + [(None, "a")]))
+    assert rows(got.select("keep_id").distinct()) == [(-(2**63),)]
+
+
 def test_large_group_moves_no_texts(docs, spark):
-    """Copies shrink in the tasks: one row for each task and text is moved."""
-    plan = exact_groups(docs(["same text"] * 100))._jdf.queryExecution().executedPlan().toString()
+    """What comes after the groups are found moves hashes and marks, not contents."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = exact_groups(docs(["same text"] * 100))
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "CartesianProduct" not in plan and "Python" not in plan
+    lines = plan.split("\n")
+    below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert below and not any("content#" in line.split("AS ")[-1] and "sha2" not in line for line in below)
