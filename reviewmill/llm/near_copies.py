@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.llm.graph import components
+from reviewmill.llm.rows import column, keep_one, mark
 from reviewmill.llm.texts import shingles, slices
 from reviewmill.session import materialize
 
@@ -37,7 +38,12 @@ FREQUENT = 16
 # Lists up to this long are compared by a join, longer ones in blocks of BLOCK.
 SHORT, BLOCK = 64, 1024
 
-_SKETCHED = "doc_id long, n_shingles long, digest string, sketch array<int>"
+# Pairs of one text that meet in one task; a text in more pairs is sent to several.
+TOGETHER = 256
+# A shared value goes into a dense product if more rows than this have it.
+DENSE = 64
+
+_SKETCHED = "doc_id long, mark string, n_shingles long, digest string, sketch array<int>"
 
 
 def _sketch(width: int, size: int):
@@ -57,11 +63,12 @@ def _sketch(width: int, size: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
+                        part.column("mark"),
                         pa.array(sizes, pa.int64()),
                         pa.array(digests, pa.string()),
                         pa.ListArray.from_arrays(offsets, pa.array(_signed(flat))),
                     ],
-                    ["doc_id", "n_shingles", "digest", "sketch"],
+                    ["doc_id", "mark", "n_shingles", "digest", "sketch"],
                 )
 
     return run
@@ -78,36 +85,36 @@ def _set_digest(values: np.ndarray) -> str | None:
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """(value, doc_id, hot): the rarest of each sketch's lowest values.
+    """(value, node, hot): the rarest of each sketch's lowest values.
 
     ``hot`` counts the frequent values of the text; the text with the most is the
     most central of a list.
     """
-    low = classes.select("doc_id", F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
+    low = classes.select("node", F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
     frequent = low.groupBy("value").agg(F.count("*").alias("df")).filter(F.col("df") > FREQUENT)
-    ranked = low.join(frequent, "value", "left").groupBy("doc_id").agg(
+    ranked = low.join(frequent, "value", "left").groupBy("node").agg(
         F.sort_array(
             F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "value"))
         ).alias("values"),
         F.count("df").alias("hot"),
     )
     return ranked.select(
-        "doc_id", "hot", F.explode(F.slice("values", 1, LISTED)).alias("one")
-    ).select(F.col("one.value").alias("value"), "doc_id", "hot")
+        "node", "hot", F.explode(F.slice("values", 1, LISTED)).alias("one")
+    ).select(F.col("one.value").alias("value"), "node", "hot")
 
 
 def _stars(postings: DataFrame) -> DataFrame:
     """Each member of a list with the most central one; one row per member."""
     centres = (
         postings.groupBy("value")
-        .agg(F.max(F.struct("hot", F.bitwise_not("doc_id").alias("rank"))).alias("best"), F.count("*").alias("n"))
+        .agg(F.max(F.struct("hot", F.bitwise_not("node").alias("rank"))).alias("best"), F.count("*").alias("n"))
         .filter("n > 1")
         .select("value", F.bitwise_not("best.rank").alias("centre"))
     )
     return (
         postings.join(centres, "value")
-        .filter("doc_id <> centre")
-        .select(F.greatest("doc_id", "centre").alias("a"), F.least("doc_id", "centre").alias("b"))
+        .filter("node <> centre")
+        .select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b"))
         .distinct()
     )
 
@@ -117,8 +124,8 @@ def _estimates(threshold: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = batch.column("left").to_pylist(), batch.column("right").to_pylist()
-            sizes = zip(batch.column("left_n").to_pylist(), batch.column("right_n").to_pylist())
+            left, right = batch.column("left_sketch").to_pylist(), batch.column("right_sketch").to_pylist()
+            sizes = zip(*(batch.column(f"{c}_n_shingles").to_pylist() for c in ("left", "right")))
             good = [
                 estimate(np.array(x), np.array(y)) >= threshold - slack(m + n, threshold)
                 for x, y, (m, n) in zip(left, right, sizes)
@@ -149,11 +156,36 @@ def estimate(left: np.ndarray, right: np.ndarray) -> float:
     return np.count_nonzero(common <= union[-1]) / len(union) if len(union) else 0.0
 
 
+def _salted(pairs: DataFrame) -> DataFrame:
+    """Pairs (a, b) with salts that spread those of one text over tasks of TOGETHER pairs."""
+    for side, other in (("a", "b"), ("b", "a")):
+        ways = F.ceil(F.count("*") / TOGETHER).cast("int").alias("ways")
+        hot = pairs.groupBy(side).agg(ways).filter("ways > 1")
+        salt = F.pmod(F.xxhash64(other), F.coalesce("ways", F.lit(1))).cast("int")
+        pairs = pairs.join(hot, side, "left").withColumn(f"salt_{side}", salt).drop("ways")
+    return materialize(pairs, "salted-pairs")
+
+
+def _attach(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """``pairs`` with the columns of both nodes' ``rows``, as left_* and right_*.
+
+    A node's row is sent to each task that has some of its pairs, so a text that is
+    compared with a third of all others is no task's alone.
+    """
+    salted = _salted(pairs)
+    joined = salted
+    for side, prefix in (("a", "left"), ("b", "right")):
+        needed = salted.select(F.col(side).alias("node"), F.col(f"salt_{side}")).distinct()
+        payload = [c for c in rows.columns if c != "node"]
+        sent = rows.join(needed, "node").withColumnRenamed("node", side)
+        for c in payload:
+            sent = sent.withColumnRenamed(c, f"{prefix}_{c}")
+        joined = joined.join(sent, [side, f"salt_{side}"])
+    return joined.drop("salt_a", "salt_b")
+
+
 def _promising(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    small = classes.select("doc_id", "sketch", "n_shingles").join(ids, "doc_id", "left_semi")
-    both = pairs.join(small.toDF("a", "left", "left_n"), "a")
-    both = both.join(small.toDF("b", "right", "right_n"), "b")
+    both = _attach(pairs, classes.select("node", "sketch", "n_shingles"))
     return both.mapInArrow(_estimates(threshold), "a long, b long")
 
 
@@ -164,7 +196,7 @@ def _confirm(width: int, percent: int):
             for first in range(0, batch.num_rows, 64):
                 part = batch.slice(first, 64)
                 sets = []
-                for name in ("left", "right"):
+                for name in ("left_text", "right_text"):
                     values, bounds = shingles(part.column(name), width)
                     sets.append([np.unique(values[s:e]) for s, e in zip(bounds[:-1], bounds[1:])])
                 for x, y in zip(*sets):
@@ -176,19 +208,18 @@ def _confirm(width: int, percent: int):
 
 
 def confirm_links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are similar on their full sets of shingles."""
-    both = pairs.join(texts.toDF("a", "left"), "a").join(texts.toDF("b", "right"), "b")
-    return both.mapInArrow(_confirm(width, percent), "a long, b long")
+    """The pairs (a, b) that are similar on their full sets of shingles; texts by node."""
+    return _attach(pairs, texts).mapInArrow(_confirm(width, percent), "a long, b long")
 
 
 def _open_lists(postings: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the lists that still hold more than one component.
 
-    The largest component of a list needs no comparison within itself, so each
+    The largest component of a list needs no comparison within itself, so only each
     other member (``open``) meets all members, in blocks of BLOCK rows.
     """
-    placed = postings.join(labels, "doc_id", "left").select(
-        "value", "doc_id", F.coalesce("component", "doc_id").alias("component")
+    placed = postings.join(labels, "node", "left").select(
+        "value", "node", F.coalesce("component", "node").alias("component")
     )
     sizes = placed.groupBy("value", "component").agg(F.count("*").alias("n"))
     lists = sizes.groupBy("value").agg(
@@ -201,21 +232,22 @@ def _open_lists(postings: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("largest.component").alias("main"),
         "members",
         F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"),
+        F.ceil((F.col("members") - F.col("largest.n")) / BLOCK).cast("int").alias("open_blocks"),
     )
     return placed.join(lists, "value").select(
         "value",
-        "doc_id",
+        "node",
         "component",
         (F.col("component") != F.col("main")).alias("open"),
         "members",
         "blocks",
-        F.pmod(F.xxhash64("doc_id", "value"), F.col("blocks")).cast("int").alias("own"),
+        "open_blocks",
     )
 
 
 def _short_pairs(members: DataFrame) -> DataFrame:
     """Pairs of different components within short lists."""
-    short = members.filter(F.col("members") <= SHORT).select("value", "doc_id", "component", "open")
+    short = members.filter(F.col("members") <= SHORT).select("value", "node", "component", "open")
     left = short.filter("open").toDF("value", "left", "left_home", "left_open")
     right = short.toDF("value", "right", "right_home", "right_open")
     found = left.join(right, "value").filter("left_home <> right_home")
@@ -225,59 +257,105 @@ def _short_pairs(members: DataFrame) -> DataFrame:
 
 
 def _long_pairs(members: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """Likewise for long lists; each row meets every block, and sketches decide in the task."""
-    dealt = members.filter(F.col("members") > SHORT).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    """Likewise for long lists: blocks of open members meet blocks of all members.
+
+    A member is sent once for each block of open members, an open one also once for
+    each block of members: with few open ones, each member moves once.
+    """
+    long = members.filter(F.col("members") > SHORT)
+
+    def dealt(rows: DataFrame, own: str, other: str, asks: bool) -> DataFrame:
+        block = F.pmod(F.xxhash64("node", "value"), F.col(f"{own}s")).cast("int").alias(own)
+        every = F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)).alias(other)
+        return rows.select("value", block, every, "node", "component", F.lit(asks).alias("asks"))
+
+    parts = dealt(long, "block", "open_block", False).unionByName(
+        dealt(long.filter("open"), "open_block", "block", True)
     )
-    dealt = dealt.select(
-        "value",
-        F.least("own", "other").alias("x"),
-        F.greatest("own", "other").alias("y"),
-        "own",
-        "doc_id",
-        "component",
-        "open",
-    ).join(classes.select("doc_id", "sketch", "n_shingles"), "doc_id")
-    found = dealt.groupBy("value", "x", "y").applyInPandas(_compare(threshold), "a long, b long")
+    parts = parts.join(classes.select("node", "sketch", "n_shingles"), "node")
+    found = parts.groupBy("value", "block", "open_block").applyInPandas(_compare(threshold), "a long, b long")
     return found.distinct()
 
 
+def common_values(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each of the ``left`` sets shares with each of the ``right`` ones.
+
+    Values that few rows have are counted pair by pair, the others by a product of
+    marks in slabs of columns, so memory follows the result, not the number of values.
+    """
+    sets = [*left, *right]
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    here = owner < len(left)
+    n_values = int(codes.max()) + 1 if len(codes) else 0
+    ask, told = np.bincount(codes[here], minlength=n_values), np.bincount(codes[~here], minlength=n_values)
+    shared = np.zeros(len(left) * len(right), np.int32)
+    dense = np.maximum(ask, told) > DENSE
+    dense &= (ask > 0) & (told > 0)
+    sparse = (ask > 0) & (told > 0) & ~dense
+
+    def entries(side: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        mine = np.flatnonzero(side & wanted[codes])
+        mine = mine[np.argsort(codes[mine], kind="stable")]
+        return owner[mine] - (0 if side is here else len(left)), codes[mine]
+
+    rows, own = entries(here, sparse)
+    columns, their = entries(~here, sparse)
+    starts = np.searchsorted(their, own)
+    counts = told[own]
+    ends = np.cumsum(counts)
+    first = 0
+    while first < len(rows):
+        # So many pairs at a time.
+        stop = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + (1 << 20), "right")))
+        some = counts[first:stop]
+        before = np.cumsum(some) - some
+        at = np.repeat(starts[first:stop] - before, some) + np.arange(some.sum())
+        places = np.repeat(rows[first:stop], some) * len(right) + columns[at]
+        np.add.at(shared, places, 1)
+        first = stop
+    shared = shared.reshape(len(left), len(right))
+    number = np.cumsum(dense) - 1
+    rows, own = entries(here, dense)
+    columns, their = entries(~here, dense)
+    for low in range(0, int(dense.sum()), 1024):
+        marks = []
+        for count, at, value in ((len(left), rows, number[own]), (len(right), columns, number[their])):
+            slab = np.zeros((count, 1024), np.float32)
+            inside = (value >= low) & (value < low + 1024)
+            slab[at[inside], value[inside] - low] = 1
+            marks.append(slab)
+        shared += (marks[0] @ marks[1].T).astype(np.int32)
+    return shared
+
+
 def _compare(threshold: float):
-    """Pairs of different components in one group of rows, at least one of them open."""
+    """Pairs of an asking row and another of a different component that may be similar."""
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        is_open = part["open"].to_numpy(bool)
-        ids, home = part["doc_id"].to_numpy(), part["component"].to_numpy()
-        own, sizes = part["own"].to_numpy(), part["n_shingles"].to_numpy()
+        asks = part["asks"].to_numpy(bool)
+        ids, home, sizes = (part[c].to_numpy() for c in ("node", "component", "n_shingles"))
         sketches = [np.asarray(s) for s in part["sketch"]]
-        lengths = np.array([len(s) for s in sketches])
-        values, codes = np.unique(np.concatenate(sketches), return_inverse=True)
-        owner = np.repeat(np.arange(len(part)), lengths)
-        often = np.bincount(codes, minlength=len(values)) > 1
-        column = np.cumsum(often) - 1
-        marks = np.zeros((len(part), int(often.sum())), np.float32)
-        hit = often[codes]
-        marks[owner[hit], column[codes[hit]]] = 1
-        found = []
-        rows = np.flatnonzero(is_open)
-        for first in range(0, len(rows), 256):
+        found = set()
+        others = np.flatnonzero(~asks)
+        rows = np.flatnonzero(asks)
+        for first in range(0, len(rows) if len(others) else 0, 256):
             some = rows[first : first + 256]
-            both = sizes[some][:, None] + sizes[None, :]
-            larger = np.maximum(sizes[some][:, None], sizes[None, :])
+            shared = common_values([sketches[i] for i in some], [sketches[i] for i in others])
+            both = sizes[some][:, None] + sizes[others][None, :]
+            larger = np.maximum(sizes[some][:, None], sizes[others][None, :])
             # Common values lie below the lower of both limits, so they stand for
             # as many more as the larger set has values to one of its sketch.
-            common = marks[some] @ marks.T * np.maximum(1.0, larger / SKETCH)
+            common = shared * np.maximum(1.0, larger / SKETCH)
             similar = common / np.maximum(both - common, 1)
             maybe = similar >= threshold - 2 * slack(both, threshold)
-            maybe &= home[some][:, None] != home[None, :]
-            if part["x"].iat[0] != part["y"].iat[0]:
-                maybe &= own[some][:, None] != own[None, :]
+            maybe &= home[some][:, None] != home[others][None, :]
             for i, j in zip(*np.nonzero(maybe)):
-                left = some[i]
-                chance = slack(sizes[left] + sizes[j], threshold)
-                if estimate(sketches[left], sketches[j]) >= threshold - chance:
-                    found.append((max(ids[left], ids[j]), min(ids[left], ids[j])))
-        pairs = np.array(sorted(set(found)), np.int64).reshape(-1, 2)
+                left, right = some[i], others[j]
+                chance = slack(sizes[left] + sizes[right], threshold)
+                if estimate(sketches[left], sketches[right]) >= threshold - chance:
+                    found.add((max(ids[left], ids[right]), min(ids[left], ids[right])))
+        pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     return run
@@ -295,68 +373,98 @@ def near_groups(
     Words are runs of anything but ``[\\x20\\x09-\\x0D]``, A-Z lower-cased. Two texts
     are linked if 100 * common >= percent * union over their sets of ``width``-word
     shingles; a text with fewer words has the whole sequence as its one shingle.
-    ``component_id`` is the smallest id reachable by links, itself included.
+    ``component_id`` is the smallest id reachable by links, itself included; ``kept``
+    says whether it is the row's own.
 
     Null and empty texts, and texts without words, have no shingles and link with
-    nothing. Equal sets are one node, whatever their number. Rows that repeat
-    an id all get the result of its smallest text. Rows without an id have the
-    component of an equal set with an id and are not kept, else they stay alone and
-    are. An empty table gives no rows; other columns are ignored.
+    nothing. Equal sets are one node, whatever their number. Every text of an id
+    that repeats is compared, and the id reaches what any of its texts does. A text without an
+    id links like others; its component is null if no id is in it. An empty table gives
+    no rows; other columns are ignored. Very long texts are shingled whole, one at a time.
 
     Each list of the index costs one row per member in the first pass. Texts
     move only if they share a listed value with another one.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    size = rows.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
-    if size[0] == size[1]:
-        return _groups(rows, percent, width)
-    named = rows.filter("doc_id IS NOT NULL")
-    nodes = named.groupBy("doc_id").agg(F.min("text").alias("text"))
-    nodes = materialize(nodes.union(rows.filter("doc_id IS NULL")), "one-text-an-id")
-    found = materialize(_groups(nodes, percent, width), "groups")
-    again = named.select("doc_id").join(found, "doc_id")
-    return again.union(found.filter("doc_id IS NULL"))
-
-
-def _groups(rows: DataFrame, percent: int, width: int) -> DataFrame:
-    """``near_groups`` of (doc_id, text) without a repeated id."""
+    found = _groups(docs, id_col, text_col, percent, width)
+    component = F.col("component_id")
+    found = found.select(
+        "doc_id", "n_shingles", component, F.col("doc_id").eqNullSafe(component).alias("kept")
+    )
+    homes = found.filter("doc_id IS NOT NULL AND component_id IS NOT NULL").select("doc_id", "component_id")
+    ids = homes.groupBy("doc_id").agg(F.min("component_id").alias("least"), F.max("component_id").alias("most"))
+    if ids.filter("least <> most").isEmpty():
+        return found
+    # An id that repeats ties the components of its texts.
+    tied = materialize(components(homes, "doc_id", "component_id").toDF("component_id", "tied"), "tied-ids")
+    joined = found.join(tied, "component_id", "left")
+    component = F.coalesce("tied", "component_id")
+    kept = F.col("doc_id").eqNullSafe(component).alias("kept")
+    return joined.select("doc_id", "n_shingles", component.alias("component_id"), kept)
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, percent: int, width: int) -> DataFrame:
+    """Per row doc_id, mark, n_shingles, component_id, and ``stays``: whether its mark is that
+    of its component's first row. Ids that repeat are not tied."""
     threshold = percent / 100
+    rows = docs.select(
+        column(id_col).cast("long").alias("doc_id"),
+        column(text_col).alias("text"),
+        mark(id_col, text_col).alias("mark"),
+    )
     sketched = materialize(rows.mapInArrow(_sketch(width, SKETCH), _SKETCHED), "sketches")
-
-    usable = sketched.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
-    firsts = usable.groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    classes = materialize(usable.join(firsts, ["digest", "doc_id"], "left_semi"), "classes")
+    sets = sketched.filter("digest IS NOT NULL").groupBy("digest").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")).alias("first"),
+        F.first("n_shingles").alias("n_shingles"),
+        F.first("sketch").alias("sketch"),
+    )
+    # Nodes are numbered in the order of their first rows, so the smallest has the smallest id.
+    order = ["first", "digest"]
+    sets = sets.repartitionByRange(*order).sortWithinPartitions(*order)
+    sets = sets.withColumn("node", F.monotonically_increasing_id())
+    classes = materialize(sets.select("node", "digest", "first.doc_id", "first.mark", "n_shingles", "sketch"), "classes")
     postings = materialize(_postings(classes), "postings")
     shared = postings.groupBy("value").count().filter("count > 1").select("value")
-    met = postings.join(shared, "value", "left_semi").select("doc_id").distinct()
+    met = postings.join(shared, "value", "left_semi").select("node").distinct()
     # Only texts that share a listed value with another one are ever compared.
-    texts = materialize(rows.join(met, "doc_id", "left_semi"), "met-texts")
+    met = materialize(classes.select("node", "mark").join(met, "node"), "met")
+    texts = rows.select("mark", "text").join(met, "mark").groupBy("node").agg(F.first("text").alias("text"))
+    texts = materialize(texts, "met-texts")
 
     stars = materialize(_promising(_stars(postings), classes, threshold), "star-pairs")
     links = materialize(confirm_links(stars, texts, width, percent), "star-links")
-    labels = materialize(components(links, "a", "b").toDF("doc_id", "component"), "labels")
+    labels = materialize(components(links, "a", "b").toDF("node", "component"), "labels")
 
     members = materialize(_open_lists(postings, labels), "open-lists")
-    rest = _promising(_short_pairs(members), classes, threshold)
+    short = materialize(_short_pairs(members), "short-pairs")
+    rest = _promising(short, classes, threshold)
     rest = rest.union(_long_pairs(members, classes, threshold)).distinct()
     rest = materialize(rest.join(stars, ["a", "b"], "left_anti"), "open-pairs")
     more = materialize(confirm_links(rest, texts, width, percent), "open-links")
-    labels = components(links.union(more), "a", "b").toDF("first_id", "component")
+    labels = materialize(components(links.union(more), "a", "b").toDF("node", "component"), "labels")
 
-    placed = sketched.join(firsts.toDF("digest", "first_id"), "digest", "left")
-    placed = placed.join(materialize(labels, "labels"), "first_id", "left")
-    component = F.coalesce("component", "first_id", "doc_id")
+    roots = classes.select(F.col("node").alias("component"), F.col("doc_id").alias("root_id"), F.col("mark").alias("root"))
+    named = classes.select("digest", "node").join(labels, "node", "left")
+    named = named.select("digest", F.coalesce("component", "node").alias("component")).join(roots, "component")
+    placed = sketched.drop("sketch").join(materialize(named.drop("component"), "homes"), "digest", "left")
     return placed.select(
         "doc_id",
+        "mark",
         "n_shingles",
-        component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
+        F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("root_id")).alias("component_id"),
+        F.coalesce(F.col("mark") == F.col("root"), F.lit(True)).alias("stays"),
     )
 
 
-
-def keep_near(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    groups = near_groups(docs, id_col=id_col, **options)
-    gone = groups.filter("NOT kept").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(materialize(gone, "near-copies"), id_col, "left_anti")
+def keep_near(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    percent: int = 85,
+    width: int = WIDTH,
+) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: one of each group of linked
+    texts, whatever its id, the one with the smallest id if there is one."""
+    groups = _groups(docs, id_col, text_col, percent, width).filter("n_shingles > 0").select("mark", "stays")
+    groups = materialize(groups, "near-copies")
+    alike = groups.filter("stays").groupBy("mark").count().filter("count > 1").select("mark")
+    return keep_one(docs, id_col, text_col, groups.filter("NOT stays").select("mark"), alike)

@@ -60,6 +60,7 @@ def test_same_components_as_all_pairs(docs, rows, monkeypatch, percent, short):
     monkeypatch.setattr(N, "SHORT", short)
     monkeypatch.setattr(N, "BLOCK", 16)
     monkeypatch.setattr(N, "FREQUENT", 4)
+    monkeypatch.setattr(N, "TOGETHER", 8)
     pairs = family(percent)
     assert rows(N.near_groups(docs(pairs), percent=percent)) == brute(pairs, percent)
 
@@ -76,11 +77,10 @@ def test_odd_rows(docs, crowded, rows):
     assert rows(N.near_groups(docs(pairs))) == brute(pairs, 85)
     assert rows(N.near_groups(crowded(pairs))) == brute(pairs, 85)
     assert N.near_groups(docs([])).count() == 0
-    twice = [(1, "z"), (1, "a b c"), (1, None), (2, "z"), (3, "A B c"), (None, "a b c"), (None, None)]
-    assert rows(N.near_groups(docs(twice))) == sorted(
-        [(1, 1, 1, True)] * 3 + [(2, 1, 2, True), (3, 1, 1, False), (None, 1, 1, False), (None, 0, None, True)],
-        key=repr,
-    )
+    twice = [(1, "z"), (1, "a b c"), (1, None), (2, "z"), (3, "A B c"), (None, "a b c"), (None, None), (4, "q"), (None, "x")]
+    expected = [(1, 1, 1, True)] * 2 + [(1, 0, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 1, 4, True)]
+    expected += [(None, 1, 1, False), (None, 0, None, True), (None, 1, None, True)]
+    assert rows(N.near_groups(docs(twice))) == sorted(expected, key=repr)
 
 
 def test_copies_are_one_node(docs, rows):
@@ -93,6 +93,36 @@ def test_keep_near(docs, rows):
     assert rows(kept, "doc_id") == [(1,), (3,), (4,)]
 
 
+def test_every_text_of_an_id_is_judged(docs, rows):
+    """A clean text is not dropped with a copy under its id; copies go without one as well."""
+    same = [(1, "one copy here"), (5, "one copy here"), (5, "a clean text"), (None, "One copy HERE"), (None, "other")]
+    assert rows(N.keep_near(docs(same)), "doc_id", "text") == [(1, "one copy here"), (5, "a clean text"), (None, "other")]
+    bare = [(None, "x y"), (None, "x y"), (None, "X y"), (None, "z"), (7, "w"), (7, "w"), (None, ""), (None, "")]
+    kept = rows(N.keep_near(docs(bare)), "doc_id", "text")
+    assert len(kept) == 5 and sum((t or "").lower() == "x y" for _, t in kept) == 1
+    assert (7, "w") in kept and kept.count((None, "")) == 2
+
+
+@pytest.mark.parametrize("shares", [2, 40, 600])
+def test_common_values(shares):
+    rng = np.random.default_rng(shares)
+    sets = [np.unique(rng.integers(0, 120_000 // shares, 256)) for _ in range(300)]
+    got = N.common_values(sets[:100], sets[100:])
+    assert got.tolist() == [[len(np.intersect1d(a, b)) for b in sets[100:]] for a in sets[:100]]
+
+
+def test_memory_of_one_block():
+    """2,048 rows whose values are each shared by two rows."""
+    import tracemalloc
+
+    pairs = [np.arange(i * 256, (i + 1) * 256) for i in range(1024)]
+    tracemalloc.start()
+    for first in range(0, 1024, 256):
+        N.common_values(pairs[first : first + 256], pairs)
+    assert tracemalloc.get_traced_memory()[1] < 500e6
+    tracemalloc.stop()
+
+
 def test_shingles_depend_on_the_text_alone():
     texts = ["a b c d e f", "", "b", None, "a b c d e", "x y  z"]
     together, bounds = shingles(pa.array(texts), 5)
