@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -47,6 +49,11 @@ _LOOSE_AT = re.compile(
     r"[\w-]{1,63}(?:(?:\.|\x20?[\[(](?:dot|DOT)[\])]\x20?)[\w-]{1,63}){1,8}"
 )
 _LOOSE_NUMBER = re.compile(r"[+(]{0,2}[0-9](?:[\x20().,/_-]{0,3}[0-9]){6,40}")
+_CARD_GROUPS = re.compile(r"(?<![0-9])[0-9]++(?:[\x20-][0-9]++)+")
+_DIGITS = re.compile(r"[0-9]+")
+_SPELLED_AT = re.compile(r"\x20?[\[(](?:at|AT)[\])]\x20?")
+_SPELLED_DOT = re.compile(r"\x20?[\[(](?:dot|DOT)[\])]\x20?")
+_ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _PLAIN_NUMBER = re.compile(r"[0-9.-]{7,}")
 _HINT = re.compile(r"[@0-9]|[\[(](?:at|AT)[\])]")
 _CUE = re.compile(
@@ -114,9 +121,59 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
                 found.add((start, CARD, end))
             if 7 <= digits <= 16:
                 found.add((start, PHONE, end))
+    for m in _CARD_GROUPS.finditer(text):
+        # Cards may stand among other numbers: runs of whole groups with as many digits.
+        groups = [(g.start(), g.end()) for g in _DIGITS.finditer(text, *m.span())]
+        for i, (start, _) in enumerate(groups):
+            digits = 0
+            for low, end in groups[i : i + 8]:
+                digits += end - low
+                if digits > 19:
+                    break
+                if digits >= 14:
+                    found.add((start, CARD, end))
     return sorted(found)
 
 
+class Taken:
+    """Spans that others may not touch; asks in the logarithm of their number."""
+
+    def __init__(self, spans: list[tuple[int, int, int]]):
+        """``spans`` in order of start."""
+        self._starts = [s for s, _, _ in spans]
+        self._ends = list(accumulate((e for _, _, e in spans), max))
+
+    def touches(self, start: int, end: int) -> bool:
+        # Of the spans that begin before the end, the farthest reaches beyond the start or none does.
+        before = bisect_left(self._starts, end)
+        return before > 0 and self._ends[before - 1] > start
+
+
+def true_span(text: str, start: int, kind: int, end: int) -> bool | None:
+    """Whether a candidate is personal data by rules stricter than the base patterns, which
+    also see what those miss; None where the rules cannot tell."""
+    span = text[start:end]
+    left, right = text[max(0, start - 24) : start], text[end : end + 1]
+    whole = not (left[-1:].isalnum() or right.isalnum())
+    digits = re.sub(r"[^0-9]", "", span)
+    if kind == EMAIL:
+        plain = _SPELLED_DOT.sub(".", _SPELLED_AT.sub("@", span))
+        top = plain.rsplit(".", 1)[-1]
+        return whole and _ADDRESS.fullmatch(plain) is not None and top.isalpha() and len(top) > 1
+    if kind == IP:
+        return whole and _octets(span) and left[-1:] != "." and not re.match(r"\.[0-9]", text[end : end + 2])
+    if kind == CARD:
+        # One printed layout, not digits of neighbours, and one of the first digits that cards have.
+        sizes = [len(g) for g in _DIGITS.findall(span)]
+        layout = len(sizes) == 1 or (len(set(sizes[:-1])) == 1 and sizes[0] == 4 and 2 <= sizes[-1] <= 7)
+        good = 14 <= len(digits) <= 19 and luhn(digits) and layout and digits[0] in "3456"
+        return good and whole and len(set(digits)) > 2
+    cue = re.search(r"(?i)(tel|phone|fax|call|mobile|kontakt|contact)\W{0,3}\+?\(?$", left)
+    if cue and 7 <= len(digits) <= 15 and whole:
+        return True
+    return None if span.startswith("+") or left.endswith("+") else False
+
+
 FEATURES = (
     "kind length digits groups longest_group shortest_group dots hyphens spaces brackets plus at "
     "hidden_at luhn octets top_domain domain_labels different_digits zero_start before after "
@@ -190,9 +247,12 @@ def _example_rows(text: str | None) -> Iterator[tuple[int, float, list[float]]]:
         first = max(0, start - 40)
         for around, s, k, e in _loosened(text[first : end + 40], start - first, kind, end - first):
             yield k, 1.0, list(map(float, features(around, s, k, e)))
+    taken = Taken(base)
     for start, kind, end in candidates(text):
-        if not any(s < end and start < e for s, _, e in base):
-            yield kind, 0.0, list(map(float, features(text, start, kind, end)))
+        if not taken.touches(start, end):
+            label = true_span(text, start, kind, end)
+            if label is not None:
+                yield kind, float(label), list(map(float, features(text, start, kind, end)))
 
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,8 +340,9 @@ def fit_trees(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     hash of their ids; every fourth of these and all other documents are held out for
     the thresholds.
 
-    Base spans, also in looser forms, are the true examples, candidates that touch no
-    base span the false ones. A kind whose true spans all lie in documents fitted on is
+    Base spans, also in looser forms, are true examples. Candidates that touch no base span
+    are labelled by ``true_span``: rules on the checks and layouts of whole spans, which find
+    what the base patterns miss; those it cannot tell are no examples. A kind whose true spans all lie in documents fitted on is
     calibrated on these as well. A kind whose spans never reach PRECISION gets
     no threshold; without both sorts of examples nothing is added at all.
     """
@@ -347,17 +408,38 @@ def all_spans(text: str, trees: Trees) -> tuple[list, list]:
     if not text or not _HINT.search(text):
         return [], []
     base = base_spans(text)
-    proposed = candidates(text) if len(trees.roots) else []
-    proposed = [c for c in proposed if not any(s < c[2] and c[0] < e for s, _, e in base)]
-    if not proposed:
+    if not len(trees.roots):
         return base, base
-    scores = trees.scores(np.array([features(text, *c) for c in proposed], float))
-    chosen: list[tuple[int, int, int]] = []
-    for score, span in sorted(zip(scores, proposed), key=lambda x: (-x[0], x[1][0] - x[1][2], x[1])):
-        start, kind, end = span
-        if score >= trees.cuts[kind] and not any(s < end and start < e for s, _, e in chosen):
-            chosen.append(span)
-    return base, sorted(base + chosen)
+    taken = Taken(base)
+    proposed = [c for c in candidates(text) if not taken.touches(c[0], c[2])]
+    good: list[tuple[float, tuple[int, int, int]]] = []
+    for first in range(0, len(proposed), 4096):
+        some = proposed[first : first + 4096]
+        scores = trees.scores(np.array([features(text, *c) for c in some], float))
+        good += [(score, c) for score, c in zip(scores.tolist(), some) if score >= trees.cuts[c[1]]]
+    return base, sorted(base + _best_apart(good))
+
+
+def _best_apart(scored: list[tuple[float, tuple[int, int, int]]]) -> list[tuple[int, int, int]]:
+    """Spans of which none overlap, better ones first; ``scored`` in order of start.
+
+    Only spans that overlap, one after the other, are held against one another.
+    """
+    chosen, group, reach = [], [], 0
+    for score, span in [*scored, (0.0, (1 << 62, 0, 1 << 62))]:
+        if span[0] >= reach and group:
+            group.sort(key=lambda x: (-x[0], x[1][0] - x[1][2], x[1]))
+            own: list[tuple[int, int]] = []
+            for _, (start, kind, end) in group:
+                at = bisect_left(own, (start, end))
+                before = at > 0 and own[at - 1][1] > start
+                if not before and not (at < len(own) and own[at][0] < end):
+                    own.insert(at, (start, end))
+                    chosen.append((start, kind, end))
+            group = []
+        group.append((score, span))
+        reach = max(reach, span[2])
+    return chosen
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:
@@ -401,7 +483,8 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Spans are written ``kind:start:end`` in code points, by start and then kind;
     ``spans`` has the base spans and those that the trees add. Null and empty texts have
     none. Rows that repeat an id, or have none, are judged one by one. An empty table
-    gives no rows; other columns are ignored. Texts never leave their task.
+    gives no rows; other columns are ignored. Texts never leave their task; a very long
+    one takes time in proportion to its length.
     """
     trees = fit_trees(docs, id_col, text_col)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

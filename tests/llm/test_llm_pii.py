@@ -1,5 +1,7 @@
+import random
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -50,6 +52,88 @@ def test_very_long_runs_end_soon():
         pii.candidates(text)
 
 
+def test_very_long_texts_are_swept():
+    """Megabytes of numbers in seconds: time follows the text, not its square."""
+    import time
+
+    trees = pii.Trees(
+        np.array([0]), np.array([0.0]), np.array([0]), np.array([0]), np.array([1.0]), np.array([0]), np.array([1.0]),
+        (0.5,) * 4,
+    )
+    line = "10.0.0.1 - 2024-01-02 03:04:05 id 4111111111111111 tel 555-0100-200 a@b.cd 12345678901\n"
+    took = []
+    for copies in (500, 4000):
+        text = line * copies
+        began = time.process_time()
+        base, spans = pii.all_spans(text, trees)
+        took.append(time.process_time() - began)
+        assert len(base) >= 3 * copies and len(spans) > len(base)
+        assert sum(1 for _ in pii._example_rows(text)) > copies
+    assert took[1] < 8 * took[0] * 3
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 30), st.integers(0, 3), st.integers(1, 8), st.integers(0, 3)), max_size=14))
+def test_spans_that_do_not_touch(made):
+    spans = sorted((s, k, s + n) for s, k, n, _ in made)
+    taken = pii.Taken(spans)
+    for a in range(40):
+        for b in range(a + 1, 41):
+            assert taken.touches(a, b) == any(s < b and a < e for s, _, e in spans)
+    scored = sorted(((q / 3, (s, k, s + n)) for s, k, n, q in made), key=lambda x: x[1])
+    slow = []
+    for _, span in sorted(scored, key=lambda x: (-x[0], x[1][0] - x[1][2], x[1])):
+        if not any(s < span[2] and span[0] < e for s, _, e in slow):
+            slow.append(span)
+    assert sorted(pii._best_apart(scored)) == sorted(slow)
+
+
+def planted(rng, i):
+    """A text with personal data that the base patterns miss, and look-alikes; and the true spans."""
+    def card(first):
+        body = first + "".join(rng.choice("0123456789") for _ in range(14))
+        return body + next(d for d in "0123456789" if pii.luhn(body + d))
+
+    number = card(rng.choice("45"))
+    wrong = number[:-1] + str((int(number[-1]) + 1) % 10)
+    spaced = " ".join(number[j : j + 4] for j in range(0, 16, 4))
+    parts = [
+        ("email", f"jo{i}.m (at) mail{i % 7}.example.com"),
+        ("email", f"kim{i}[at]post[dot]example[dot]org"),
+        ("card", spaced),
+        ("phone", f"555-{i % 900 + 100}-{rng.randrange(1000, 9999)}"),
+        (None, wrong),
+        (None, f"2024{i:06d}1234"),
+        (None, f"version 1.{i}.300.{i % 9}"),
+        (None, f"chapter {i} at home"),
+    ]
+    leads = {"phone": "call ", "card": f"order {rng.randrange(100, 999)} ", "email": "write to "}
+    text, spans = f"text {i}: ", []
+    for kind, part in rng.sample(parts, 5):
+        text += leads.get(kind, "see ")
+        if kind:
+            spans.append((kind, len(text), len(text) + len(part)))
+        text += part + " and so on\n"
+    return text, spans
+
+
+def test_precision_and_recall_on_planted_spans(docs):
+    """Held out: the trees are fitted on other documents, made by another seed."""
+    rng = random.Random(1)
+    known = [planted(rng, i)[0] + f"mail a{i}@b.example.com ip 10.0.{i % 250}.1 tel +1 (555) 010-{i:04d}" for i in range(400)]
+    trees = pii.fit_trees(docs(known))
+    rng = random.Random(2)
+    hits = found = true = 0
+    for i in range(1000, 1300):
+        text, spans = planted(rng, i)
+        base, every = pii.all_spans(text, trees)
+        added = {(pii.KINDS[k], s, e) for s, k, e in set(every) - set(base)}
+        wanted = set(spans) - {(pii.KINDS[k], s, e) for s, k, e in base}
+        hits, found, true = hits + len(added & wanted), found + len(added), true + len(wanted)
+    print(f"precision {hits / found:.3f} recall {hits / true:.3f} of {true}")
+    assert hits / found >= 0.9 and hits / true >= 0.9
+
+
 @pytest.fixture
 def private(docs):
     def build(extra):
