@@ -1,8 +1,9 @@
 """Token files: concatenated ids with Elias-Fano coded document boundaries.
 
 A file is Parquet with one row per block: ids as little-endian 16- or 32-bit
-integers, and the boundaries of its documents as an Elias-Fano sequence (low
-bits packed, high bits in unary, every 256th set bit sampled for select). A
+integers, and two Elias-Fano sequences (low bits packed, high bits in unary, every
+256th set bit sampled for select): the boundaries of its documents, and their
+ascending ids less the first one. Readers take any boundary or id by select. A
 block holds whole documents, BLOCK_IDS ids or one longer document. The folder
 also has a small ``parts`` table with the ids before each part, so offsets in
 the whole file need no 64-bit table of documents.
@@ -25,9 +26,11 @@ from reviewmill.llm.tokens import ENCODED_BYTES, encoder
 BLOCK_IDS = 1 << 20
 SAMPLE = 256
 
+_CODE = "struct<count: int, width: int, low: binary, high: binary, samples: binary>"
+# ``nameless`` documents without an id come first in a block.
 BLOCK = (
-    "part int, block int, first_id long, n_ids long, n_docs int, id_bytes int, doc_ids array<long>, "
-    "ids binary, low_width int, low binary, high binary, samples binary"
+    "part int, block int, first_id long, n_ids long, n_docs int, id_bytes int, ids binary, "
+    f"bounds {_CODE}, nameless int, first_doc long, docs {_CODE}"
 )
 _DOCUMENT = "doc_id long, part int, local_start long, n_tokens long, ids_crc32 long"
 
@@ -63,16 +66,18 @@ class EliasFano:
 
     def _low_bits(self, first: int, count: int) -> np.ndarray:
         if not self.width:
-            return np.zeros(count, np.int64)
+            return np.zeros(count, np.uint64)
         start, stop = first * self.width, (first + count) * self.width
         raw = np.frombuffer(self._low, np.uint8)[start // 8 : (stop + 7) // 8]
         bits = np.unpackbits(raw, bitorder="little")[start % 8 :][: stop - start]
-        return bits.reshape(count, self.width).astype(np.int64) @ (1 << np.arange(self.width))
+        return bits.reshape(count, self.width).astype(np.uint64) @ (np.uint64(1) << np.arange(self.width, dtype=np.uint64))
 
     def select(self, i: int) -> int:
-        """The i-th value: from the nearest sampled bit on, not from the start."""
-        place, before = int(self._samples[i // SAMPLE]), i % SAMPLE
-        high = np.frombuffer(self._high, np.uint8)[place // 8 :]
+        """The i-th value: only bits between two sampled ones are looked at."""
+        near, before = divmod(i, SAMPLE)
+        place = int(self._samples[near])
+        stop = int(self._samples[near + 1]) // 8 + 1 if near + 1 < len(self._samples) else None
+        high = np.frombuffer(self._high, np.uint8)[place // 8 : stop]
         counts = np.cumsum(np.bitwise_count(high), dtype=np.int64)
         target = before + int(bin(int(high[0]) & ((1 << place % 8) - 1)).count("1"))
         byte = int(np.searchsorted(counts, target, "right"))
@@ -83,15 +88,21 @@ class EliasFano:
 
     def all(self) -> np.ndarray:
         ones = np.flatnonzero(np.unpackbits(np.frombuffer(self._high, np.uint8), bitorder="little"))
-        return (ones - np.arange(self.count) << self.width) | self._low_bits(0, self.count)
+        upper = (ones - np.arange(self.count)).astype(np.uint64) << np.uint64(self.width)
+        return upper | self._low_bits(0, self.count)
+
+    def row(self) -> dict:
+        low, high, samples = self.parts()
+        return {"count": self.count, "width": self.width, "low": low, "high": high, "samples": samples}
 
 
 def _block_row(part: int, block: int, first: int, docs: list, ids: list) -> dict:
     joined = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
     narrow = not len(joined) or int(joined.max()) < 1 << 16
     bounds = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
-    code = EliasFano.build(bounds)
-    low, high, samples = code.parts()
+    named = [d for d in docs if d is not None]
+    # Differences of 64-bit ids need not fit into 64 signed bits.
+    steps = np.array([d - named[0] for d in named], np.uint64)
     return {
         "part": part,
         "block": block,
@@ -99,12 +110,11 @@ def _block_row(part: int, block: int, first: int, docs: list, ids: list) -> dict
         "n_ids": len(joined),
         "n_docs": len(docs),
         "id_bytes": 2 if narrow else 4,
-        "doc_ids": docs,
         "ids": joined.astype("<u2" if narrow else "<u4").tobytes(),
-        "low_width": code.width,
-        "low": low,
-        "high": high,
-        "samples": samples,
+        "bounds": EliasFano.build(bounds).row(),
+        "nameless": len(docs) - len(named),
+        "first_doc": named[0] if named else None,
+        "docs": EliasFano.build(steps).row(),
     }
 
 
@@ -133,6 +143,9 @@ def _blocks(vocabulary: str, space_led: bool, end_id: int):
     return write
 
 
+_CODE_ARROW = pa.struct(
+    [("count", pa.int32()), ("width", pa.int32()), ("low", pa.binary()), ("high", pa.binary()), ("samples", pa.binary())]
+)
 _BLOCK_ARROW = pa.schema(
     [
         ("part", pa.int32()),
@@ -141,12 +154,11 @@ _BLOCK_ARROW = pa.schema(
         ("n_ids", pa.int64()),
         ("n_docs", pa.int32()),
         ("id_bytes", pa.int32()),
-        ("doc_ids", pa.list_(pa.int64())),
         ("ids", pa.binary()),
-        ("low_width", pa.int32()),
-        ("low", pa.binary()),
-        ("high", pa.binary()),
-        ("samples", pa.binary()),
+        ("bounds", _CODE_ARROW),
+        ("nameless", pa.int32()),
+        ("first_doc", pa.int64()),
+        ("docs", _CODE_ARROW),
     ]
 )
 
@@ -165,7 +177,8 @@ def write_token_files(
     Ranges of ids go to tasks, so no task sees more than its share, and the
     order of parts is the order of ids. Null and empty texts give the end id
     alone. Rows that repeat an id are documents of their own, one after the
-    other; null ids come first. An empty table gives a readable, empty file.
+    other; null ids come first. An empty table gives a readable, empty file. A very long
+    text is a block of its own.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ranged = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
@@ -184,16 +197,18 @@ def write_token_files(
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for b in batch.to_pylist():
-            code = EliasFano(b["n_docs"] + 1, b["low_width"], b["low"], b["high"], b["samples"])
-            bounds = code.all()
+            bounds, docs = EliasFano(**b["bounds"]), EliasFano(**b["docs"])
+            edges = np.array([bounds.select(i) for i in range(b["n_docs"] + 1)], np.int64)
+            named = b["n_docs"] - b["nameless"]
+            doc_ids = [None] * b["nameless"] + [b["first_doc"] + docs.select(i) for i in range(named)]
             ids = np.frombuffer(b["ids"], f"<u{b['id_bytes']}").astype("<u4")
-            crcs = [zlib.crc32(ids[s:e]) for s, e in zip(bounds[:-1], bounds[1:])]
+            crcs = [zlib.crc32(ids[s:e]) for s, e in zip(edges[:-1], edges[1:])]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "doc_id": pa.array(b["doc_ids"], pa.int64()),
+                    "doc_id": pa.array(doc_ids, pa.int64()),
                     "part": pa.array([b["part"]] * b["n_docs"], pa.int32()),
-                    "local_start": pa.array(bounds[:-1] + b["first_id"], pa.int64()),
-                    "n_tokens": pa.array(np.diff(bounds), pa.int64()),
+                    "local_start": pa.array(edges[:-1] + b["first_id"], pa.int64()),
+                    "n_tokens": pa.array(np.diff(edges), pa.int64()),
                     "ids_crc32": pa.array(crcs, pa.int64()),
                 }
             )

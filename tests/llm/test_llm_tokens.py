@@ -65,7 +65,7 @@ def test_elias_fano(seed):
 def test_token_files_round_trip(spark, docs, rows, tmp_path, prose, monkeypatch):
     monkeypatch.setattr(token_files, "BLOCK_IDS", 3000)
     name, led = FILES[0]
-    pairs = [*prose[:80], (10**9, None), (10**9 + 1, ""), (-5, "last first " * 5000)]
+    pairs = [*prose[:80], (10**9, None), (10**9 + 1, ""), (-5, "last first " * 5000), (-(2**63), "a"), (2**63 - 1, "b")]
     random.Random(1).shuffle(pairs)
     token_files.write_token_files(docs(pairs), str(tmp_path / "t"), vocabulary(name), led, 1)
     expected, start = [], 0
@@ -141,6 +141,47 @@ def test_plan_uses_every_length(seed):
     assert used == counts
 
 
+def one_at_a_time(lengths, size):
+    """Best-two-fit over a list of documents, each sequence by itself."""
+    left, bins = sorted(lengths), []
+    while left:
+        own, gap = [], size
+        while fits := [x for x in left if x <= gap]:
+            own.append(fits[-1])
+            left.remove(fits[-1])
+            gap -= fits[-1]
+        if gap and len(own) > 1:
+            room = gap + own[-1]
+            pairs = [(a + b, a, b) for i, a in enumerate(left) for b in left[i + 1 :] if own[-1] < a + b <= room]
+            if pairs:
+                _, a, b = max(pairs, key=lambda p: p[0])
+                left = sorted([*left, own.pop()])
+                left.remove(a)
+                left.remove(b)
+                own += [a, b]
+        bins.append(sum(own))
+    return sorted(bins)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_plan_against_one_at_a_time(seed):
+    """As many sequences, and as full, as when each is packed by itself."""
+    rng = random.Random(seed)
+    lengths = [rng.choice([1, 2, 3, 5, 8, 13, rng.randrange(1, 60)]) for _ in range(300)]
+    counts = {x: lengths.count(x) for x in lengths}
+    planned = [sum(own) for times, own in packing.plan_bins(counts, 64) for _ in range(times)]
+    slow = one_at_a_time(lengths, 64)
+    assert sum(planned) == sum(slow) and abs(len(planned) - len(slow)) <= 1
+    full = [sum(x == 64 for x in bins) for bins in (planned, slow)]
+    assert abs(full[0] - full[1]) <= 2
+
+
+def test_select_over_wide_ranges():
+    values = [0, 1, 2**40, 2**63, 2**64 - 1]
+    code = token_files.EliasFano.build(np.array(values, np.uint64))
+    assert [code.select(i) for i in range(5)] == values == code.all().tolist()
+
+
 def test_two_replace_the_smallest():
     """6 + 3 leaves a gap of 1; for the 3, the pair 2 + 2 fills the sequence."""
     assert packing.plan_bins({6: 1, 3: 1, 2: 2}, 10)[0] == (1, [6, 2, 2])
