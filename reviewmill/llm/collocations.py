@@ -3,8 +3,9 @@
 Counting is by top-order marginalisation: each word starts one window, padded to
 LONGEST words, and only these windows are counted. One ROLLUP over the columns of a
 window sums them to all shorter phrases, as a phrase occurs as often as windows
-begin with it. A first pass keeps upper bounds for words and pairs of words in a
-sketch of bounded size; a window ends before a pair that is too rare for any phrase.
+begin with it. A first pass keeps upper bounds for the counts of phrases in a hashed
+sketch of bounded size; a window ends before a word with which it is too rare. So what
+moves are the windows of frequent phrases, as long as the sketch has room.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,15 +28,15 @@ WORDS = [f"w{i + 1}" for i in range(LONGEST)]
 PAD = ""
 
 # Texts are read in slices of so many bytes, longer ones in stretches between pieces.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 # The sketch has a counter for every 16 bytes of text within these limits: the larger
-# it is, the fewer rare pairs pass for frequent ones. At most 128 MB of bits.
+# it is, the fewer rare phrases pass for frequent ones. At most 128 MB of bits.
 LEAST_BITS, MOST_BITS, BYTES_A_COUNTER = 16, 30, 16
 # Counters of one row on their way, and sketched occurrences held in a task.
-_RANGE_BITS, _HELD = 16, 4 << 20
+_RANGE_BITS, _HELD = 16, 3 << 20
 
 # Rows that rank within a language in one task: salts of two rounds before the last.
-_SALTS = (512, 16)
+_SALTS = (256, 4)
 
 _WORD, _BLANK, _BREAK = range(3)
 _KIND = np.full(256, _WORD, np.uint8)
@@ -82,20 +84,22 @@ class _Words:
         self.codes = coded.indices.to_numpy().astype(np.int64)
         text = np.searchsorted(bounds, starts, "right") - 1
         self.lang = langs[text]
-        piece = np.cumsum(kind == _BREAK)[starts]
-        # Whether the next word follows in the same piece.
-        self.follows = np.zeros(len(starts), bool)
-        self.follows[:-1] = (piece[1:] == piece[:-1]) & (text[1:] == text[:-1])
+        piece = np.cumsum(kind == _BREAK, dtype=np.int32)[starts]
+        follows = (piece[1:] == piece[:-1]) & (text[1:] == text[:-1])
+        # Words from each one on in its piece, up to LONGEST.
+        self.run = np.ones(len(starts), np.int8)
+        for _ in range(LONGEST - 1):
+            self.run[:-1][follows] = np.minimum(self.run[1:][follows] + 1, LONGEST)
         own, held = flat(self.words.cast(pa.large_string()))
         self._hashes = word_hashes(own, held[:-1], held[1:])[self.codes]
         self._lang_hashes = lang_hashes[self.lang]
 
-    def word_keys(self) -> np.ndarray:
-        return mix(self._hashes * PLACES[1] + self._lang_hashes)
-
-    def pair_keys(self) -> np.ndarray:
-        """Of each word with the next; the last has none."""
-        return mix(self._hashes[:-1] * PLACES[2] + self._hashes[1:] * PLACES[3] + self._lang_hashes[:-1])
+    def keys(self, at: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of the phrases of ``size`` words that start at these words."""
+        total = self._lang_hashes[at]
+        for place in range(size):
+            total = total + self._hashes[at + place] * PLACES[8 * size + place]
+        return mix(total)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Words, list[str]]]:
@@ -112,7 +116,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[_Words, list[str]
 
 
 def _sketch(bits: int, least: int):
-    """Counters of words and pairs, in ranges: places within the range and counts, up to ``least``."""
+    """Counters of all phrases, in ranges: places within the range and counts, up to ``least``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> pa.RecordBatch:
@@ -133,12 +137,13 @@ def _sketch(bits: int, least: int):
 
         held, size = [], 0
         for words, _ in _read(batches):
-            for keys in (words.word_keys(), words.pair_keys()[words.follows[:-1]]):
-                held.append((keys >> np.uint64(64 - bits)).astype(np.int64))
-                size += len(keys)
-            if size >= _HELD:
-                yield rows()
-                held, size = [], 0
+            for count in range(1, LONGEST + 1):
+                at = np.flatnonzero(words.run >= count)
+                held.append((words.keys(at, count) >> np.uint64(64 - bits)).astype(np.int64))
+                size += len(at)
+                if size >= _HELD:
+                    yield rows()
+                    held, size = [], 0
         if size:
             yield rows()
 
@@ -186,7 +191,7 @@ def _bounds_of_counts(rows: DataFrame, least: int) -> tuple[int, np.ndarray]:
 
 
 def _windows(bits: int, shared):
-    """Padded windows with their counts; words that are in no frequent phrase count under PAD."""
+    """Windows with their counts; words that are in no frequent phrase count as the empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = shared.value
@@ -196,15 +201,10 @@ def _windows(bits: int, shared):
             return (frequent[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
         for words, names in _read(batches):
-            if not len(words.codes):
-                continue
-            pair = np.zeros(len(words.codes), bool)
-            pair[:-1] = words.follows[:-1]
-            pair[pair] = passes(words.pair_keys()[pair[:-1]])
-            length = np.ones(len(pair), np.int64)
-            for _ in range(LONGEST - 1):
-                length[:-1] = np.where(pair[:-1], np.minimum(length[1:] + 1, LONGEST), 1)
-            length[~passes(words.word_keys())] = 0
+            length = np.zeros(len(words.codes), np.int8)
+            for size in range(1, LONGEST + 1):
+                at = np.flatnonzero((words.run >= size) & (length == size - 1))
+                length[at[passes(words.keys(at, size))]] = size
             for size in range(LONGEST + 1):
                 at = np.flatnonzero(length == size)
                 if len(at):
@@ -222,13 +222,13 @@ def _counted(words: _Words, names: list[str], at: np.ndarray, size: int) -> pa.R
     _, first, counts = np.unique(key, return_index=True, return_counts=True)
     at = at[first]
     spoken = words.words.cast(pa.large_string())
-    columns = [pa.array(names).take(pa.array(words.lang[at]))]
-    for place in range(LONGEST):
-        if place < size:
-            columns.append(spoken.take(pa.array(words.codes[at + place])).cast(pa.string()))
-        else:
-            columns.append(pa.array([PAD] * len(at), pa.string()))
-    return pa.RecordBatch.from_arrays([*columns, pa.array(counts)], ["lang", *WORDS, "n"])
+    parts = [spoken.take(pa.array(words.codes[at + place])) for place in range(size)]
+    if parts:
+        joined = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
+    else:
+        joined = pa.array([PAD] * len(at), pa.large_string())
+    lang = pa.array(names).take(pa.array(words.lang[at]))
+    return pa.RecordBatch.from_arrays([lang, joined.cast(pa.string()), pa.array(counts)], ["lang", "window", "n"])
 
 
 def phrase_counts(docs: DataFrame, least: int, lang_col: str, text_col: str) -> DataFrame:
@@ -241,8 +241,12 @@ def phrase_counts(docs: DataFrame, least: int, lang_col: str, text_col: str) ->
     )
     bits, frequent = _bounds_of_counts(rows, least)
     shared = spark.sparkContext.broadcast(frequent)
-    schema = "lang string, " + ", ".join(f"{w} string" for w in WORDS) + ", n long"
-    windows = rows.mapInArrow(_windows(bits, shared), schema)
+    windows = rows.mapInArrow(_windows(bits, shared), "lang string, window string, n long")
+    # Different windows only from here on; the columns after a window's last word are PAD.
+    windows = windows.groupBy("lang", "window").agg(F.sum("n").alias("n"))
+    spoken = F.split("window", " ")
+    columns = [F.coalesce(F.get(spoken, F.lit(i)), F.lit(PAD)).alias(w) for i, w in enumerate(WORDS)]
+    windows = windows.select("lang", *columns, "n")
     rolled = spark.sql(
         f"""SELECT lang, {", ".join(WORDS)}, sum(n) AS f FROM {{windows}}
             GROUP BY lang, ROLLUP ({", ".join(WORDS)})""",
