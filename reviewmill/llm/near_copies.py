@@ -156,32 +156,25 @@ def estimate(left: np.ndarray, right: np.ndarray) -> float:
     return np.count_nonzero(common <= union[-1]) / len(union) if len(union) else 0.0
 
 
-def _salted(pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b) with salts that spread those of one text over tasks of TOGETHER pairs."""
-    for side, other in (("a", "b"), ("b", "a")):
-        ways = F.ceil(F.count("*") / TOGETHER).cast("int").alias("ways")
-        hot = pairs.groupBy(side).agg(ways).filter("ways > 1")
-        salt = F.pmod(F.xxhash64(other), F.coalesce("ways", F.lit(1))).cast("int")
-        pairs = pairs.join(hot, side, "left").withColumn(f"salt_{side}", salt).drop("ways")
-    return materialize(pairs, "salted-pairs")
-
-
 def _attach(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """``pairs`` with the columns of both nodes' ``rows``, as left_* and right_*.
+    """Stored pairs (a, b) with the columns of both nodes' ``rows``, as left_* and right_*.
 
-    A node's row is sent to each task that has some of its pairs, so a text that is
-    compared with a third of all others is no task's alone.
+    The row of a text in many pairs is sent to a task for each TOGETHER of them, so one that
+    is compared with a third of all others is no task's alone.
     """
-    salted = _salted(pairs)
-    joined = salted
-    for side, prefix in (("a", "left"), ("b", "right")):
-        needed = salted.select(F.col(side).alias("node"), F.col(f"salt_{side}")).distinct()
-        payload = [c for c in rows.columns if c != "node"]
-        sent = rows.join(needed, "node").withColumnRenamed("node", side)
-        for c in payload:
-            sent = sent.withColumnRenamed(c, f"{prefix}_{c}")
-        joined = joined.join(sent, [side, f"salt_{side}"])
-    return joined.drop("salt_a", "salt_b")
+    joined = pairs
+    for side, other, prefix in (("a", "b", "left"), ("b", "a", "right")):
+        ways = F.ceil(F.count("*") / TOGETHER).cast("int").alias("ways")
+        # Few rows; stored, so that Spark knows and moves nothing else for these joins.
+        hot = materialize(pairs.groupBy(side).agg(ways).filter("ways > 1"), "hot-texts")
+        split = F.coalesce("ways", F.lit(1))
+        salt = F.pmod(F.xxhash64(other), split).cast("int").alias("salt")
+        joined = joined.join(hot, side, "left").select("*", salt).drop("ways")
+        names = {c: f"{prefix}_{c}" for c in rows.columns if c != "node"}
+        sent = rows.withColumnsRenamed({"node": side, **names}).join(hot, side, "left")
+        sent = sent.select("*", F.explode(F.sequence(F.lit(0), split - 1)).alias("salt")).drop("ways")
+        joined = joined.join(sent, [side, "salt"]).drop("salt")
+    return joined
 
 
 def _promising(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
@@ -430,7 +423,8 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, percent: int, width: in
     texts = rows.select("mark", "text").join(met, "mark").groupBy("node").agg(F.first("text").alias("text"))
     texts = materialize(texts, "met-texts")
 
-    stars = materialize(_promising(_stars(postings), classes, threshold), "star-pairs")
+    stars = materialize(_stars(postings), "stars")
+    stars = materialize(_promising(stars, classes, threshold), "star-pairs")
     links = materialize(confirm_links(stars, texts, width, percent), "star-links")
     labels = materialize(components(links, "a", "b").toDF("node", "component"), "labels")
 
