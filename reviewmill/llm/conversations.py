@@ -21,6 +21,8 @@ from reviewmill.session import materialize
 
 # Turns in a block, and blocks in a stretch along which digests are added in one task.
 BLOCK, STRETCH = 4, 1024
+# Tasks among which the blocks after one prefix are dealt.
+SALTS = 64
 
 _NODE = ["depth", "high", "low"]
 _EMPTY = hashlib.sha256(b"").hexdigest()
@@ -191,9 +193,12 @@ def prefix_trie(turns: DataFrame, conversations: DataFrame) -> DataFrame:
         F.count("*").alias("n_convs"), F.min("conv_id").alias("conv_id"), F.first("turns").alias("turns")
     )
     edges = materialize(edges, "blocks")
-    forks = edges.groupBy(*parent).agg(F.count("*").alias("ways")).filter("ways > 1").select(*parent)
-    together = _turn_nodes(edges.join(forks, parent, "left_anti"))
-    apart = _turn_nodes(edges.join(forks, parent, "left_semi")).groupBy(*_NODE).agg(
+    forks = edges.groupBy(*parent).agg(F.count("*").alias("ways")).filter("ways > 1")
+    # All conversations may fork at one prefix: what follows it is dealt over SALTS tasks.
+    forks = forks.select(*parent, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = edges.withColumn("salt", F.pmod("high", F.lit(SALTS)).cast("int"))
+    together = _turn_nodes(salted.join(forks, [*parent, "salt"], "left_anti"))
+    apart = _turn_nodes(salted.join(forks, [*parent, "salt"], "left_semi")).groupBy(*_NODE).agg(
         F.first("high_parent").alias("high_parent"),
         F.first("low_parent").alias("low_parent"),
         F.first("size").alias("size"),

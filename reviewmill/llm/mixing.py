@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewmill.llm.rows import column, fresh, mark
 from reviewmill.session import materialize
 
 # Blocks a source is dealt to. Their number is fixed, so the order of a source's
@@ -204,11 +205,27 @@ def mix_sources(
 def take_mix(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix with all their columns, once per copy.
 
-    Rows that repeat an id are copied equally often.
+    Where ids repeat, rows are told apart by id and text, and rows that repeat both
+    stand for one another, so the budget holds for rows.
     """
-    id_col = options.get("id_col", "doc_id")
-    copies = mix_sources(docs, **options).groupBy("doc_id").agg(F.count_distinct("pass"))
-    copies = materialize(copies, "mix-copies").toDF("_mix_id", "_mix_copies")
-    found = docs.join(copies, docs[id_col].eqNullSafe(F.col("_mix_id")))
-    found = found.withColumn("_mix_copies", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))))
-    return found.drop("_mix_id", "_mix_copies")
+    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
+    if docs.groupBy(column(id_col)).count().filter("count > 1").isEmpty():
+        return _copied(docs, mix_sources(docs, **options), id_col)
+    name = fresh("mark", docs)
+    marked = docs.withColumn(name, mark(id_col, text_col))
+    copies = mix_sources(marked, **{**options, "id_col": name})
+    alike = materialize(marked.groupBy(name).count().filter("count > 1").select(name), "alike-rows")
+    one = marked.join(alike, name, "left_anti").unionByName(
+        marked.join(alike, name, "left_semi").dropDuplicates([name])
+    )
+    return _copied(one, copies, name).drop(name)
+
+
+def _copied(docs: DataFrame, copies: DataFrame, key: str) -> DataFrame:
+    """Rows of ``docs``, one for each key, as often as the mix has them."""
+    own, times = fresh("own_key", docs), fresh("times", docs)
+    counts = copies.groupBy("doc_id").agg(F.count("*").cast("int"))
+    counts = materialize(counts, "mix-copies").toDF(own, times)
+    found = docs.join(counts, column(key).eqNullSafe(F.col(own)))
+    found = found.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times))))
+    return found.drop(own, times)

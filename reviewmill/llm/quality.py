@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from reviewmill.llm.rows import fresh
 from reviewmill.llm.texts import PLACES, flat, mix, slices, spans, word_hashes
 from reviewmill.session import materialize
 
@@ -258,10 +259,18 @@ def judge_quality(
 
     Null and empty texts have no evidence but that of a text without words. A
     null host or path is a group of its own. Rows that repeat an id are judged
-    one by one. Without labels all odds are even and all documents are kept. No rows
+    one by one; very long texts are read whole. Without labels all odds are even and all documents are kept. No rows
     give no rows. Columns of ``docs`` with the names of results are replaced.
     """
     results = ["text_odds", "host_mean", "path_mean", "quality", "kept"]
+    own = [EVIDENCE, "_host", "_path", "_host_mean", "_n", "_good"]
+    clashing = {c: fresh(f"{c}_of_docs", docs) for c in docs.columns if c.lower() in own}
+    if clashing:
+        # Columns called like ours give way meanwhile.
+        named = [clashing.get(c, c) for c in (id_col, text_col, host_col, path_col)]
+        rated = labels.withColumnsRenamed({id_col: named[0]})
+        judged = judge_quality(docs.withColumnsRenamed(clashing), rated, *named, threshold, fit_rows)
+        return judged.withColumnsRenamed({new: c for c, new in clashing.items()})
     plain = docs.drop(*[c for c in results if c not in (host_col, path_col, text_col, id_col)])
     model = fit_classifier(docs, labels, id_col, text_col, fit_rows=fit_rows)
     site = plain.select(F.col(host_col).alias("host"), F.col(path_col).alias("path"), F.col(text_col).alias("text"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewmill.llm.rows import column, fresh
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HOST = r"(?s)^.*?://([^/?#]*)"
 PATH = r"(?s)^.*?://[^/?#]*([^?#]*)"
@@ -64,7 +66,7 @@ def judge_urls(
     A null url, or one without ``://``, has an empty host and path, fits no rule
     and gets the default. Repeated pages get equal verdicts. Rules with a null
     host, path or verdict never fit; repeated rules count once. No rules or no
-    pages are fine.
+    pages are fine. Very long urls are cut no deeper than the deepest rule.
     """
     usable = rules.select("host", "path", "verdict").dropna().distinct()
     limits = usable.agg(
@@ -96,11 +98,12 @@ def judge_urls(
     )
     plain = pages.drop("host", "path", "rule", "verdict")
     # A column of pages may be called like one of ours.
-    winners = winners.select(F.col("u").alias("_judged_url"), F.col("won").alias("_judged_won"))
-    return plain.join(winners, F.col(url_col) == F.col("_judged_url"), "left").select(
-        *plain.columns,
+    own, won = fresh("judged_url", plain), fresh("judged_won", plain)
+    winners = winners.select(F.col("u").alias(own), F.col("won").alias(won))
+    return plain.join(winners, F.col(url_col) == F.col(own), "left").select(
+        *map(column, plain.columns),
         host_of(F.col(url_col)).alias("host"),
         path_of(F.col(url_col)).alias("path"),
-        F.col("_judged_won.rule").alias("rule"),
-        F.coalesce("_judged_won.verdict", F.lit(default)).alias("verdict"),
+        F.col(f"{won}.rule").alias("rule"),
+        F.coalesce(f"{won}.verdict", F.lit(default)).alias("verdict"),
     )

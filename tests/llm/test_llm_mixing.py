@@ -90,3 +90,13 @@ def test_odd_tables(docs, crowded, rows):
     taken = M.take_mix(crowded(pairs))
     assert sorted(taken.columns) == sorted(crowded(pairs).columns)
     assert rows(taken, "doc_id") == [(1,), (1,), (2,), (None,)]
+
+
+def test_rows_of_a_repeated_id_are_told_apart(docs, rows):
+    """A budget for half of all tokens is not overrun by rows that share an id."""
+    frame = docs([(1, f"w{i} x") for i in range(400)], source=lambda i: "s")
+    assert abs(M.take_mix(frame, budget=400).count() - 200) <= 1
+    named = frame.withColumn("mark", F.lit("x")).withColumn("times", F.lit(5)).withColumn("own_key", F.lit(5))
+    taken = M.take_mix(named, budget=400)
+    assert sorted(taken.columns) == sorted(named.columns) and abs(taken.count() - 200) <= 1
+    assert rows(M.take_mix(docs([(1, "a")] * 7 + [(2, "b")], source=lambda i: "s")), "doc_id") == [(1,)] * 7 + [(2,)]

@@ -98,6 +98,15 @@ def test_odd_rows(spark, docs, crowded, rows):
     assert Q.judge_quality(lost, nothing).count() == 6
 
 
+def test_columns_called_like_ours(spark, docs):
+    frame = docs(["a b", "c", None])
+    for name in ("_host", "_n", "_good", "_text_log_odds", "_host_mean"):
+        frame = frame.withColumn(name, F.lit("x"))
+    got = Q.judge_quality(frame, labels(spark, [(0, 1), (1, 0)]))
+    assert set(frame.columns) < set(got.columns)
+    assert {(r._host, r._n, r._text_log_odds) for r in got.collect()} == {("x", "x", "x")}
+
+
 def test_features_depend_on_the_text_alone():
     some = [*texts(20), "", None, "ÉTÉ été", "a"]
     together = Q.text_features(pa.array(some))

@@ -53,3 +53,9 @@ def test_no_pages_and_bad_rules(spark):
     assert judge_urls(pages, spark.createDataFrame(URL_RULES, RULES)).count() == 0
     with pytest.raises(ValueError):
         judge_urls(pages, spark.createDataFrame([("a.com", "/x", "block")], RULES))
+
+
+def test_columns_called_like_ours(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/x/", "p", "q")], "page_id long, url string, judged_url string, judged_won string")
+    got = judge_urls(pages, spark.createDataFrame([("a.com", "/x/", "block")], RULES)).collect()
+    assert [(r.judged_url, r.judged_won, r.verdict) for r in got] == [("p", "q", "block")]
