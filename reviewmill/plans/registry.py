@@ -19,6 +19,7 @@ from reviewmill.functions.text import (
     polarity,
 )
 from reviewmill.operators.aggregates import category_ratings, labelled, popularity_aggregation
+from reviewmill.operators.factors import fit_factors, fold_in, predict
 from reviewmill.operators.names import business_names
 from reviewmill.operators.recommend import dense_indexes, fit_score, index_of
 from reviewmill.plans import charts
@@ -222,6 +223,53 @@ def _predictions_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(F.broadcast(error))
 
 
+# Users that are not there when the factors are fitted.
+_NEW_USER = "CAST(user_id AS BIGINT) % 5 = 0"
+_HALF_STEPS = 3
+
+
+def _fitted_without_new(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All ratings, and business factors fitted on those of the other users."""
+    ratings = materialize(read_fixture(spark, sf_dir, "rating"), "ratings")
+    _, businesses = fit_factors(ratings.where(f"NOT ({_NEW_USER})"), iterations=_HALF_STEPS)
+    return ratings, businesses
+
+
+def _judged_predictions(ratings: DataFrame, users: DataFrame, businesses: DataFrame) -> DataFrame:
+    """How many ratings of new users are predicted, and whether better than by their mean."""
+    scored = predict(ratings.where(_NEW_USER), users, businesses)
+    keys = ["user_id", "business_id"]
+    each = scored.groupBy(*keys).agg(F.max("prediction").alias("prediction"), F.count("*").alias("n"))
+    stars = ratings.where(_NEW_USER).groupBy(*keys).agg(
+        F.sum("stars").alias("sum"), F.sum(F.col("stars") * F.col("stars")).alias("squares"), F.count("*").alias("n")
+    )
+    joined = stars.join(each.drop("n"), keys)
+    p, n = F.col("prediction").cast("double"), F.col("n")
+    squared = F.sum(F.col("squares") - 2 * p * F.col("sum") + n * p * p)
+    spread = F.sum("squares") - F.sum("sum") * F.sum("sum") / F.sum("n")
+    return joined.agg(F.sum("n").alias("predictions"), (squared < spread).alias("better_than_mean"))
+
+
+def _predictions_fold_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New users against factors that were fitted without them."""
+    ratings, businesses = _fitted_without_new(spark, sf_dir)
+    users = materialize(fold_in(ratings.where(_NEW_USER), businesses), "users")
+    return _judged_predictions(ratings, users, businesses)
+
+
+def _stream_predictions_fold_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with the new users' ratings in several batches of a stream."""
+    topics = _Topics(spark, sf_dir, "stream-fold-in")
+    ratings, businesses = _fitted_without_new(spark, sf_dir)
+    path = f"{topics.base}/factors"
+    businesses.write.parquet(path)
+    topics.publish("review", ratings.where(_NEW_USER))
+    streams.start_user_factors(
+        topics.subscribe, topics.base, path, trigger={"availableNow": True}
+    ).awaitTermination()
+    return _judged_predictions(ratings, topics.result(spark, "user_factors"), businesses)
+
+
 def _predictions_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The top list over predictions by a fixed expression, with ties and unnamed ids."""
     user, business = F.col("user_id").cast("bigint"), F.col("business_id").cast("bigint")
@@ -489,6 +537,8 @@ def queries() -> dict[str, Query]:
         "predictions_coverage": _predictions_coverage,
         "predictions_quality": _predictions_quality,
         "predictions_ranked": _predictions_ranked,
+        "predictions_fold_in": _predictions_fold_in,
+        "stream_predictions_fold_in": _stream_predictions_fold_in,
         **{f"built_{name}": _built(name) for name in BUILT},
         **{f"stream_{name}": _stream_table(name) for name in STREAMED},
         "stream_shared_sentiment": _stream_review_tables("sentiment_aggregation"),

@@ -68,6 +68,7 @@ RESULTS = {
         "negative_tips bigint"
     ),
     "predictions": "user_id string, business_id string, prediction float",
+    "user_factors": "user_id string, features array<double>",
     "daily_reviews": (
         "business_id string, day date, average_rating double, review_count bigint, "
         "positive_reviews bigint, negative_reviews bigint"
@@ -87,6 +88,7 @@ RESULT_KEYS = {
     "popularity_aggregation": ["business_id"],
     "review_trend_aggregation": ["review_year", "review_month", "business_id"],
     "tip_sentiment_aggregation": ["business_id"],
+    "user_factors": ["user_id"],
 }
 
 

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reviewmill.functions.columns import with_event_time, with_ingest_time
 from reviewmill.functions.text import label_sentiment
+from reviewmill.operators.factors import RANK, REGULARISATION, factor_sums, solve_factors
 from reviewmill.operators.recommend import fit_score, usable_ratings
 from reviewmill.plans.build import (
     categories_from_rollup,
@@ -165,6 +166,43 @@ def start_predictions(
     return writer.start()
 
 
+def start_user_factors(
+    subscribe: Subscribe,
+    base: str,
+    factors_path: str,
+    rank: int = RANK,
+    regularisation: float = REGULARISATION,
+    record_type: str = "review",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keep the factors of all users against the business factors stored at ``factors_path``.
+
+    The state holds the sums of each user's ratings, of all batches so far. A batch adds
+    its own and solves for the users it touches, so predictions learn from the whole
+    history without keeping it and without fitting again. Ratings of businesses that have no
+    factors yet count for nothing; fit those now and then, and start afresh on them.
+    """
+    path = table_path(results_root(base), "user_factors")
+    records = parse_records(subscribe(record_type), record_type, columns=["user_id", "business_id", "stars"])
+    ratings = usable_ratings(records)
+    factors = ratings.sparkSession.read.parquet(factors_path).select("business_id", "features")
+    sums = factor_sums(ratings.join(factors, "business_id"), "user_id", rank)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(solve_factors(batch, "user_id", rank, regularisation), batch_id, path)
+        merge_spans(batch.sparkSession, path, "user_factors", batch_id)
+
+    writer = (
+        sums.writeStream.queryName("user_factors")
+        .outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", _checkpoint(base, "user_factors"))
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
 def start_daily_reviews(
     subscribe: Subscribe,
     base: str,

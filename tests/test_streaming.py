@@ -4,6 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from reviewmill.operators.factors import fold_in
 from reviewmill.plans.charts import users_top
 from reviewmill.plans.refresh import CHARTS, refresh
 from reviewmill.plans.tables import RESULT_TABLES, result_table
@@ -352,6 +353,22 @@ def ratings(users, businesses, shift):
     ]
 
 
+def test_user_factors_learn_from_every_batch(spark, topics):
+    """Two batches of one user give what both together give, and read no earlier batch."""
+    made = [("b0", [1.0, 0.2]), ("b1", [0.1, 0.9]), ("b2", [0.5, 0.5])]
+    factors = spark.createDataFrame(made, "business_id string, features array<double>")
+    path = f"{topics.base}/factors"
+    factors.write.parquet(path)
+    for part in ([0, 1], [2]):
+        topics.reviews(*[(f"r{b}", f"b{b}", "u1", float(b + 1), None, None) for b in part], ("r9", "unknown", "u2", 3.0, None, None))
+        S.start_user_factors(topics.subscribe, topics.base, path, rank=2, trigger=NOW).awaitTermination()
+    ratings = spark.createDataFrame([("u1", f"b{b}", float(b + 1)) for b in range(3)], "user_id string, business_id string, stars double")
+    expected = fold_in(ratings, factors, rank=2).collect()
+    got = topics.result("user_factors").collect()
+    assert [r.user_id for r in got] == ["u1"]
+    assert got[0].features == pytest.approx(expected[0].features)
+
+
 @pytest.mark.parametrize("accumulate", [False, True])
 def test_predictions_per_micro_batch(topics, accumulate):
     for shift in range(2):
@@ -398,6 +415,7 @@ def test_failed_query_stops_the_others(topics):
 def test_refresh_before_any_result(spark, tmp_path):
     businesses = spark.createDataFrame([], RECORDS["business"])
     tables = refresh(spark, str(tmp_path), businesses)
-    assert set(RESULTS) - {"daily_reviews", "late_reviews"} == {table for table, _, _ in CHARTS.values()}
+    charted = {table for table, _, _ in CHARTS.values()}
+    assert set(RESULTS) - charted == {"daily_reviews", "late_reviews", "user_factors"}
     assert tables["popularity_top"].count() == 0
     assert tables["tips_scale_bound"].first().scale_bound is None
