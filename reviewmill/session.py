@@ -6,9 +6,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reviewmill.sources.storage import delete_folder
+
 # Settings the plans in this package are written for. Nothing here depends on
 # the data volume: AQE sizes the partitions, splits skewed join partitions and
 # picks broadcast joins from measured sizes.
@@ -76,15 +81,49 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# The folder of the operator that is running, if it removes its tables itself.
+_run_folder: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
+def contained(label: str):
+    """Runs a function that returns a DataFrame with a scratch folder of its own.
+
+    Tables that ``materialize`` writes meanwhile lie there and go at the end, whether it
+    succeeds or not; the result is written beside the folder and read back.
+    """
+
+    def wrap(build: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        @wraps(build)
+        def run(*args, **options) -> DataFrame:
+            spark = SparkSession.active()
+            folder = scratch_path(spark, label)
+            token = _run_folder.set(folder)
+            try:
+                found = build(*args, **options)
+                _run_folder.reset(token)
+                token = None
+                return materialize(found, label)
+            finally:
+                if token is not None:
+                    _run_folder.reset(token)
+                delete_folder(spark, folder)
+
+        return run
+
+    return wrap
+
+
 def materialize(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage in a way that survives lost executors, and gives the
     optimizer the true size of the data. Like checkpoint files, the tables stay
     until their folder is removed; a job that runs again and again gives its
-    own ``folder`` below the shared one and removes it at the end.
+    own ``folder`` below the shared one and removes it at the end, and an operator that
+    is ``contained`` does so by itself.
     """
     spark = df.sparkSession
+    folder = folder or _run_folder.get()
     path = scratch_path(spark, label)
     if folder is not None:
         path = f"{folder}/{label}-{uuid.uuid4().hex}"

@@ -127,3 +127,27 @@ def test_hot_key_costs_one_row_per_task(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert metrics["rows"] <= 6
+
+
+def test_contained_operators_leave_their_result_only(spark):
+    import os
+
+    from reviewmill.session import contained, materialize, scratch_root
+
+    def left():
+        return {f.split("-")[0] for f in os.listdir(scratch_root(spark)) if f.startswith("contained")}
+
+    @contained("containedresult")
+    def build(fail):
+        inner = materialize(materialize(spark.range(5), "containedstep"), "containedstep")
+        if fail:
+            raise ValueError("no result")
+        return inner.where("id > 1")
+
+    with pytest.raises(ValueError):
+        build(True)
+    assert left() == set()
+    found = build(False)
+    assert left() == {"containedresult"} and found.count() == 3
+    materialize(spark.range(1), "containedlater")
+    assert left() == {"containedresult", "containedlater"}
