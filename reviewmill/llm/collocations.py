@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewmill.llm.texts import LOWER, PLACES, flat, mix, slices, word_hashes
-from reviewmill.session import materialize
+from reviewmill.session import contained, materialize
 
 LONGEST = 4
 WORDS = [f"w{i + 1}" for i in range(LONGEST)]
@@ -268,6 +268,7 @@ def _part(phrase: str, start: Column, count: Column) -> Column:
     return F.array_join(F.slice(F.split(phrase, " "), start, count), " ")
 
 
+@contained("collocations")
 def collocations(
     docs: DataFrame,
     least: int = 30,

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewmill.session import materialize
+from reviewmill.session import contained, materialize
 
 # Turns in a block, and blocks in a stretch along which digests are added in one task.
 BLOCK, STRETCH = 4, 1024
@@ -172,6 +172,7 @@ def _turn_nodes(edges: DataFrame) -> DataFrame:
     return edges.select(F.inline(every), "n_convs", "conv_id")
 
 
+@contained("prefix-trie")
 def prefix_trie(turns: DataFrame, conversations: DataFrame) -> DataFrame:
     """One row per distinct prefix of (role, text) turns, from the empty one at depth 0.
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from reviewmill.llm.graph import components
 from reviewmill.llm.rows import column, keep_one, mark
 from reviewmill.llm.texts import shingles, slices
-from reviewmill.session import materialize
+from reviewmill.session import contained, materialize
 
 WIDTH = 5
 # Values in a sketch, 32 bits each. A text with fewer shingles is held whole.
@@ -395,6 +395,7 @@ def near_groups(
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), kept)
 
 
+@contained("near-groups")
 def _groups(docs: DataFrame, id_col: str, text_col: str, percent: int, width: int) -> DataFrame:
     """Per row doc_id, mark, n_shingles, component_id, and ``stays``: whether its mark is that
     of its component's first row. Ids that repeat are not tied."""
