@@ -482,6 +482,7 @@ def oracle_sql() -> dict[str, str]:
     queries["stream_shared_sentiment"] = _QUERIES["sentiment_aggregation"]
     queries["stream_shared_trend"] = _QUERIES["review_trend_aggregation"]
     queries["stream_dedup_reviews"] = _QUERIES["sentiment_aggregation"]
+    queries["stream_dedup_long"] = _QUERIES["sentiment_aggregation"]
     return {
         name: ("WITH " + ",\n".join(_STEPS[step] for step in steps) + "\n" if steps else "") + select
         for name, (steps, select) in queries.items()

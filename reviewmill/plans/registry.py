@@ -351,6 +351,18 @@ def _stream_dedup_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.result(spark, name)
 
 
+def _stream_dedup_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every review is delivered in each of three runs, by a query without a time limit."""
+    name = "sentiment_aggregation"
+    topics = _Topics(spark, sf_dir, "stream-dedup-long")
+    for _ in range(3):
+        publish_to_files(topics.read("review").coalesce(1), topics.base, PREFIX, "review")
+        streams.start_deduplicated_table(
+            name, "review_id", topics.subscribe, topics.base, LEXICON, within=None, availableNow=True
+        ).awaitTermination()
+    return topics.result(spark, name)
+
+
 def _stream_dedup_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews and lines that are no records, all delivered twice."""
     topics = _Topics(spark, sf_dir, "stream-malformed")
@@ -544,6 +556,7 @@ def queries() -> dict[str, Query]:
         "stream_shared_sentiment": _stream_review_tables("sentiment_aggregation"),
         "stream_shared_trend": _stream_review_tables("review_trend_aggregation"),
         "stream_dedup_reviews": _stream_dedup_reviews,
+        "stream_dedup_long": _stream_dedup_long,
         "stream_dedup_malformed": _stream_dedup_malformed,
         "stream_labels_large_lexicon": _stream_labels_large_lexicon,
         "stream_review_daily": _stream_review_daily,

@@ -318,15 +318,22 @@ def open_days(spark: SparkSession, base: str) -> DataFrame:
 IDENTITY = "_identity"
 
 
-def drop_redelivered(records: DataFrame, key: str, within: str = "1 hour") -> DataFrame:
-    """Drop records that arrive again within the given time of arrival.
+def drop_redelivered(records: DataFrame, key: str, within: str | None = "1 hour") -> DataFrame:
+    """Drop records that arrive again within the given time of arrival, or ever if it is None.
 
     The clock is the arrival time, not the event time: copies arrive close to
     each other, while event times may be years apart and out of order. Records
     without a key, malformed ones too, are told apart by their bytes, which
     ``parse_records`` has put into the IDENTITY column.
+
+    Without a limit every key stays in the state. The state lies on disk (RocksDB), a batch
+    looks up its own keys only and checkpoints what it adds, so the cost of a batch does
+    not follow the number of keys; the disk of an executor does.
     """
     identity = F.when(F.col(key).isNull(), F.col(IDENTITY))
+    if within is None:
+        marked = records.withColumn(IDENTITY, identity)
+        return marked.dropDuplicates([key, IDENTITY]).drop(IDENTITY)
     return (
         with_ingest_time(records, within)
         .withColumn(IDENTITY, identity)
@@ -342,12 +349,14 @@ def start_deduplicated_table(
     base: str,
     lexicon: Lexicon | None = None,
     scorer: Callable[[str], float] | None = None,
-    within: str = "1 hour",
+    within: str | None = "1 hour",
     drop_malformed: bool = False,
     **trigger,
 ) -> StreamingQuery:
     """``start_table`` for topics that deliver a record more than once.
 
+    ``within=None`` is for a producer that repeats its records for ever.
+
     The arrival-time watermark takes the place of the event-time one: Spark
     allows one watermark per query. Texts are labelled before the copies are
     dropped, so that the shuffle by key carries labels and no texts.

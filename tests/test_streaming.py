@@ -272,6 +272,22 @@ def test_merged_folders_replace_their_parts(rows, spark, tmp_path, monkeypatch):
     assert R.live_folders(spark, path) == ["base_id=6"] and rows(R.read_result(spark, root, name)) == expected
 
 
+def test_copies_after_any_time_count_once(rows, topics):
+    """No clock is asked, so copies of the first delivery are known after any number of batches."""
+    first, other = review(1, "a", "2018-01-01"), review(2, "b", "2018-01-01")
+    later = ("r3", "a", "u", 3.0, "bad", "2018-09-01 12:00:00")
+    for values in ([first, other], [later], [first, first, later], [other]):
+        topics.reviews(*values)
+        query = S.start_deduplicated_table(
+            "sentiment_aggregation", "review_id", topics.subscribe, topics.base, LEX, within=None, **NOW
+        )
+        query.awaitTermination()
+    assert rows(topics.result("sentiment_aggregation")) == [("a", 3.0, 2, 1, 1), ("b", 3.0, 1, 1, 0)]
+    # One state row for each record, whatever the number of copies.
+    rows_kept = [s["numRowsTotal"] for s in query.lastProgress["stateOperators"] if "dedup" in s["operatorName"].lower()]
+    assert rows_kept == [3]
+
+
 def test_redelivered_records_count_once(rows, topics):
     first, second = review(1, "a", "2018-01-01"), review(2, "a", "2017-01-01", "bad")
     bad_date = ("r3", "a", "u", 3.0, "good", "bad-date")
