@@ -341,6 +341,11 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
     # New users' ratings of businesses that other users have rated.
     "predictions_fold_in": (["rating"], _FOLDED_IN),
     "stream_predictions_fold_in": (["rating"], _FOLDED_IN),
+    "stream_user_index": (
+        ["review"],
+        "SELECT user_id, row_number() OVER (ORDER BY CAST(user_id AS BIGINT) % 3, user_id) - 1 AS user_index "
+        "FROM (SELECT DISTINCT user_id FROM review)",
+    ),
     "stream_one_version": (
         ["review"],
         "SELECT CAST(b AS INTEGER) AS batch, TRUE AS agree, count(review_id) AS review_count "

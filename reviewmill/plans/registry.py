@@ -351,6 +351,17 @@ def _stream_dedup_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.result(spark, name)
 
 
+def _stream_user_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users come in three parts, each with those of the parts before; numbers stay."""
+    topics = _Topics(spark, sf_dir, "stream-index")
+    reviews = topics.read("review")
+    for own in range(BATCHES):
+        known = reviews.where(F.col("user_id").cast("bigint") % BATCHES <= own)
+        publish_to_files(known.coalesce(1), topics.base, PREFIX, "review")
+        streams.start_index("user_id", topics.subscribe, topics.base, availableNow=True).awaitTermination()
+    return topics.result(spark, "user_index")
+
+
 def _stream_dedup_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every review is delivered in each of three runs, by a query without a time limit."""
     name = "sentiment_aggregation"
@@ -557,6 +568,7 @@ def queries() -> dict[str, Query]:
         "stream_shared_trend": _stream_review_tables("review_trend_aggregation"),
         "stream_dedup_reviews": _stream_dedup_reviews,
         "stream_dedup_long": _stream_dedup_long,
+        "stream_user_index": _stream_user_index,
         "stream_dedup_malformed": _stream_dedup_malformed,
         "stream_labels_large_lexicon": _stream_labels_large_lexicon,
         "stream_review_daily": _stream_review_daily,

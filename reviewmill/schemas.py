@@ -69,6 +69,8 @@ RESULTS = {
     ),
     "predictions": "user_id string, business_id string, prediction float",
     "user_factors": "user_id string, features array<double>",
+    "user_index": "user_id string, user_index bigint",
+    "business_index": "business_id string, business_index bigint",
     "daily_reviews": (
         "business_id string, day date, average_rating double, review_count bigint, "
         "positive_reviews bigint, negative_reviews bigint"
@@ -80,7 +82,7 @@ RESULTS = {
 }
 
 # Tables of which a micro-batch writes new rows; all of them count.
-APPENDED = ("predictions", "daily_reviews", "late_reviews")
+APPENDED = ("predictions", "daily_reviews", "late_reviews", "user_index", "business_index")
 
 # Keys of the running tables of which a micro-batch writes the changed rows only.
 RESULT_KEYS = {

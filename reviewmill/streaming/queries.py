@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from reviewmill.functions.columns import with_event_time, with_ingest_time
 from reviewmill.functions.text import label_sentiment
 from reviewmill.operators.factors import RANK, REGULARISATION, factor_sums, solve_factors
-from reviewmill.operators.recommend import fit_score, usable_ratings
+from reviewmill.operators.recommend import dense_indexes, fit_score, index_of, usable_ratings
 from reviewmill.plans.build import (
     categories_from_rollup,
     category_rollup,
@@ -203,6 +203,45 @@ def start_user_factors(
     return writer.start()
 
 
+def start_index(
+    key: str, subscribe: Subscribe, base: str, record_type: str = "review", **trigger
+) -> StreamingQuery:
+    """Number the ids of a column as they come, from 0; a number once given stays.
+
+    ``key`` is user_id or business_id; the table is user_index or business_index. The
+    state holds the ids seen so far and passes each once, so the table is never read. New
+    ids of a batch are numbered in their own order after all earlier ones; one row per
+    batch says how many there are, so a replayed batch numbers alike.
+    """
+    name = key.replace("_id", "_index")
+    path = table_path(results_root(base), name)
+    marks = f"{base.rstrip('/')}/history/{name}"
+    records = parse_records(subscribe(record_type), record_type, columns=[key])
+    fresh = records.select(key).dropna().dropDuplicates([key])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = [b for b in complete_batches(spark, marks) if b < batch_id]
+        given = spark.read.parquet(f"{marks}/batch_id={before[-1]}").first()[0] if before else 0
+        with _scratch(spark, name) as folder:
+            numbers = index_of(dense_indexes(batch, [key], folder), key, name)
+            numbered = numbers.select(key, (F.col(name) + F.lit(given).cast("bigint")).alias(name))
+            write_batch(numbered, batch_id, path)
+        count = given + spark.read.parquet(f"{path}/batch_id={batch_id}").count()
+        merge_spans(spark, path, name, batch_id)
+        write_snapshot(spark.createDataFrame([(count,)], "given bigint").coalesce(1), batch_id, marks)
+
+    writer = (
+        fresh.writeStream.queryName(name)
+        .outputMode("append")
+        .foreachBatch(write)
+        .option("checkpointLocation", _checkpoint(base, name))
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
 def start_daily_reviews(
     subscribe: Subscribe,
     base: str,

@@ -272,6 +272,23 @@ def test_merged_folders_replace_their_parts(rows, spark, tmp_path, monkeypatch):
     assert R.live_folders(spark, path) == ["base_id=6"] and rows(R.read_result(spark, root, name)) == expected
 
 
+def test_ids_keep_their_numbers(rows, topics):
+    def users(*names):
+        topics.reviews(*[(f"r{n}", "b", n, 3.0, None, None) for n in names])
+        S.start_index("user_id", topics.subscribe, topics.base, **NOW).awaitTermination()
+        return rows(topics.result("user_index"))
+
+    assert users("b", "c", "b") == [("b", 0), ("c", 1)]
+    assert users("a", "c", None, "d") == [("a", 2), ("b", 0), ("c", 1), ("d", 3)]
+    commits = os.path.join(topics.base, "checkpoints/user_index/commits")
+    last = max((f for f in os.listdir(commits) if f.isdigit()), key=int)
+    for name in (last, f".{last}.crc"):
+        if os.path.exists(os.path.join(commits, name)):
+            os.remove(os.path.join(commits, name))
+    # A replayed batch numbers its ids as before, and new ones come after all others.
+    assert users("0", "a") == [("0", 4), ("a", 2), ("b", 0), ("c", 1), ("d", 3)]
+
+
 def test_copies_after_any_time_count_once(rows, topics):
     """No clock is asked, so copies of the first delivery are known after any number of batches."""
     first, other = review(1, "a", "2018-01-01"), review(2, "b", "2018-01-01")
@@ -432,6 +449,8 @@ def test_refresh_before_any_result(spark, tmp_path):
     businesses = spark.createDataFrame([], RECORDS["business"])
     tables = refresh(spark, str(tmp_path), businesses)
     charted = {table for table, _, _ in CHARTS.values()}
-    assert set(RESULTS) - charted == {"daily_reviews", "late_reviews", "user_factors"}
+    assert set(RESULTS) - charted == {
+        "daily_reviews", "late_reviews", "user_factors", "user_index", "business_index",
+    }
     assert tables["popularity_top"].count() == 0
     assert tables["tips_scale_bound"].first().scale_bound is None
