@@ -16,7 +16,7 @@ DEFAULT_SEED = 42
 # Parts that ALS cuts users and businesses into. Start values follow the parts, so
 # the number is a setting of its own and never follows the data: raise it with the
 # cluster, and keep it for as long as predictions have to be comparable.
-DEFAULT_BLOCKS = 10
+DEFAULT_BLOCKS = 8
 
 
 def dense_indexes(df: DataFrame, keys: list[str], folder: str | None = None) -> DataFrame:

@@ -118,6 +118,26 @@ UNICODE_LEXICON = {"für": 0.5, "ré": -0.5, "é": 0.25, "según": 0.5, "ê": -0
 # Frequent words that stand before words of the lexicon.
 NEGATORS = ("the", "of", "und", "les", "el", "de")
 
+# Phrases (weight) and degree words (factor) of the invented prose: phrase, weight, factor.
+PHRASES = [
+    ("of the", -0.75, None),
+    ("to the", 0.5, None),
+    ("in the", 0.25, None),
+    ("and of the", 1.0, None),
+    ("de la", 0.75, None),
+    ("of", 0.5, None),
+    ("and", -0.5, None),
+    ("is", 0.75, None),
+    ("it", -0.75, None),
+    ("der", 0.25, None),
+    ("que", 0.25, None),
+    ("en", -0.25, None),
+    ("the", None, 1.5),
+    ("for", None, -0.5),
+    ("die", None, 2.0),
+    ("el", None, -1.0),
+]
+
 # Invented words of a lexicon too large for a plan; none occurs in a text.
 RARE_WORDS = 25_000
 

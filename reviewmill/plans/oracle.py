@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from reviewmill.plans.fixtures import NEGATORS, UNICODE_LEXICON, fixture_sql, lexicon_sql
+from reviewmill.plans.fixtures import NEGATORS, PHRASES, UNICODE_LEXICON, fixture_sql, lexicon_sql
 
 _LABELS = r"""
 {name}_labels AS (
@@ -165,6 +165,40 @@ def _index_sql(key: str, index: str) -> str:
     )
 
 
+def _phrases_sql() -> str:
+    """Matches in order of place, the longest first, folded from the left."""
+    rows = ", ".join(
+        f"('{p}', {p.count(' ') + 1}, "
+        f"{'NULL' if w is None else round(w * 1_000_000)}, {'NULL' if f is None else round(f * 1000)})"
+        for p, w, f in PHRASES
+    )
+    first = "struct_pack(place := -1, size := 0, units := NULL, factor := 0, stop := 0, after := -1, times := 0, total := 0)"
+    free = "m.place >= acc.stop"
+    return rf"""SELECT review_id, CASE WHEN text IS NULL THEN NULL WHEN coalesce(total, 0) > 0 THEN 'Positive'
+            WHEN coalesce(total, 0) < 0 THEN 'Negative' ELSE 'Neutral' END AS sentiment
+        FROM review LEFT JOIN (
+            SELECT review_id, list_reduce(list_prepend({first}::STRUCT(place BIGINT, size BIGINT, units BIGINT,
+                    factor BIGINT, stop BIGINT, after BIGINT, times BIGINT, total BIGINT), found),
+                lambda acc, m: struct_pack(place := m.place, size := m.size, units := m.units, factor := m.factor,
+                    stop := CASE WHEN {free} AND m.units IS NOT NULL THEN m.place + m.size ELSE acc.stop END,
+                    after := CASE WHEN {free} AND m.units IS NULL THEN m.place + 1 ELSE acc.after END,
+                    times := CASE WHEN {free} AND m.units IS NULL THEN m.factor ELSE acc.times END,
+                    total := acc.total + CASE WHEN {free} AND m.units IS NOT NULL
+                        THEN m.units * CASE WHEN acc.after = m.place THEN acc.times ELSE 1000 END ELSE 0 END)).total AS total
+            FROM (
+                SELECT review_id, list(struct_pack(place := place, size := size, units := units, factor := factor,
+                    stop := 0, after := 0, times := 0, total := 0)::STRUCT(place BIGINT, size BIGINT, units BIGINT,
+                    factor BIGINT, stop BIGINT, after BIGINT, times BIGINT, total BIGINT)
+                    ORDER BY place, size DESC) AS found
+                FROM (
+                    SELECT review_id, w, unnest(range(1, len(w) + 1)) AS place
+                    FROM (SELECT review_id, regexp_extract_all(lower(text), '\p{{L}}+') AS w FROM review)
+                ) t JOIN (SELECT * FROM (VALUES {rows}) AS v(phrase, size, units, factor)) p
+                ON array_to_string(t.w[place:place + size - 1], ' ') = p.phrase
+                GROUP BY review_id)
+        ) USING (review_id)"""
+
+
 _FOLDED_IN = (
     "SELECT CAST(count(*) AS BIGINT) AS predictions, TRUE AS better_than_mean FROM rating "
     "WHERE CAST(user_id AS BIGINT) % 5 = 0 AND business_id IN "
@@ -351,6 +385,7 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
         "SELECT CAST(b AS INTEGER) AS batch, TRUE AS agree, count(review_id) AS review_count "
         "FROM range(3) AS t(b) JOIN review ON CAST(review_id AS BIGINT) % 3 <= b GROUP BY b",
     ),
+    "review_labels_phrases": (["review"], _phrases_sql()),
     "review_labels_unicode": (
         ["unicode_lexicon", "review", "review_labels"],
         _REVIEW_LABELS,

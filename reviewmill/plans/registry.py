@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.functions.columns import with_date_parts, with_event_time
+from reviewmill.functions.phrases import label_by_phrases
 from reviewmill.functions.text import (
     NEGATIVE,
     POSITIVE,
@@ -27,6 +28,7 @@ from reviewmill.plans.build import build_tables
 from reviewmill.plans.fixtures import (
     LEXICON,
     NEGATORS,
+    PHRASES,
     UNICODE_LEXICON,
     large_lexicon,
     read_fixture,
@@ -116,6 +118,12 @@ def _review_labels_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.select("review_id", "sentiment")
 
 
+def _review_labels_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reviews = read_fixture(spark, sf_dir, "review").select("review_id", "text")
+    lexicon = spark.createDataFrame(PHRASES, "phrase string, weight double, factor double")
+    return label_by_phrases(reviews, lexicon).select("review_id", "sentiment")
+
+
 def _review_polarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     mean = polarity(F.col("text"), literal_weights(spark, LEXICON))
     return read_fixture(spark, sf_dir, "review").select(
@@ -541,6 +549,7 @@ def queries() -> dict[str, Query]:
         "review_labels_by_join": _review_labels_by_join,
         "review_labels_unicode": _labels("review", ["review_id"], lambda spark: UNICODE_LEXICON),
         "review_labels_negation": _review_labels_negation,
+        "review_labels_phrases": _review_labels_phrases,
         "review_labels_large_lexicon": _labels("review", ["review_id"], large_lexicon),
         "review_polarity": _review_polarity,
         "tip_labels": _labels("tip", ["business_id", "compliment_count"]),

@@ -1,0 +1,55 @@
+import random
+import re
+
+import pytest
+
+from reviewmill.functions import phrases as P
+
+LEXICON = [
+    ("good", 0.5, None), ("not good", -0.7, None), ("not good at all", -0.9, None), ("bad", -0.5, None),
+    ("very", None, 1.5), ("hardly", None, -0.5), ("at all", 0.1, None), ("very bad", -0.2, None),
+]
+
+
+def brute(text, lexicon=LEXICON):
+    if text is None:
+        return None
+    entries = {tuple(p.split()): (w, f) for p, w, f in lexicon}
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    total, at, factor = 0.0, 0, 1.0
+    while at < len(words):
+        size = next((n for n in range(4, 0, -1) if tuple(words[at : at + n]) in entries and at + n <= len(words)), 0)
+        weight, times = entries.get(tuple(words[at : at + size]), (None, None))
+        if size and weight is not None:
+            total, at, factor = total + factor * weight, at + size, 1.0
+        elif size:
+            at, factor = at + size, times
+        else:
+            at, factor = at + 1, 1.0
+    return "Positive" if total > 1e-9 else "Negative" if total < -1e-9 else "Neutral"
+
+
+@pytest.fixture
+def label(spark):
+    lexicon = spark.createDataFrame(LEXICON, "phrase string, weight double, factor double")
+
+    def run(texts):
+        df = spark.createDataFrame(list(enumerate(texts)), "i int, text string").repartition(3)
+        return [r.sentiment for r in P.label_by_phrases(df, lexicon).orderBy("i").collect()]
+
+    return run
+
+
+def test_longest_phrase_and_degree_words(label):
+    texts = [
+        "good", "not good", "Not GOOD at all", "very good", "hardly good", "hardly bad", "very very bad", "not", "",
+        None, "good not good at all", "at all bad", "hardly, good!", "good very", "good",
+    ]
+    assert label(texts) == [brute(t) for t in texts]
+
+
+def test_against_brute_force(label):
+    rng = random.Random(4)
+    words = ["good", "not", "at", "all", "bad", "very", "hardly", "x"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(14))) for _ in range(300)]
+    assert label(texts) == [brute(t) for t in texts]
