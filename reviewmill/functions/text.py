@@ -41,6 +41,8 @@ UNITS = 1_000_000
 # Up to this many words go into the plan; more are joined or looked up, with
 # the same labels.
 LITERAL_WORDS = 20_000
+# Words that an executor holds for look-ups, at most: some hundred megabytes.
+LOOKUP_WORDS = 5_000_000
 
 
 # Put before a token that follows a negator. No token begins with it, and the
@@ -235,11 +237,14 @@ def label_by_lookup(
     """Label texts row by row against a lexicon of any size; works on streams.
 
     Every executor holds the lexicon once, so its size is bounded by a
-    vocabulary, never by the texts. Tokens come from the JVM and are looked up
+    vocabulary, never by the texts: more than LOOKUP_WORDS words raise ValueError, for
+    which ``label_by_join`` is the way. Tokens come from the JVM and are looked up
     a batch at a time.
     """
     spark = df.sparkSession
-    table = lexicon_units(lexicon).toPandas()
+    table = lexicon_units(lexicon).limit(LOOKUP_WORDS + 1).toPandas()
+    if len(table) > LOOKUP_WORDS:
+        raise ValueError(f"more than {LOOKUP_WORDS} words; join them with label_by_join")
     shared = spark.sparkContext.broadcast(
         (table["word"].tolist(), table["units"].to_numpy(np.int64))
     )

@@ -154,3 +154,11 @@ def test_mapping_and_table_are_weighed_alike(spark):
     assert T.literal_weights(spark, lexicon) == T.literal_weights(spark, table)
     spelled = {"Good": 0.5, "good": 0.25}
     assert T.literal_weights(spark, spelled) == {"good": 375_000}
+
+
+def test_lookup_refuses_what_no_executor_should_hold(spark, monkeypatch):
+    monkeypatch.setattr(T, "LOOKUP_WORDS", 2)
+    df = spark.createDataFrame([("a",)], WORDS)
+    with pytest.raises(ValueError, match="label_by_join"):
+        T.label_by_lookup(df, T.lexicon_table(spark, {"a": 1.0, "b": 1.0, "c": 1.0}))
+    assert T.label_by_lookup(df, T.lexicon_table(spark, {"a": 1.0, "b": 1.0})).first().sentiment == "Positive"
