@@ -375,6 +375,12 @@ _QUERIES: dict[str, tuple[list[str], str]] = {
     # New users' ratings of businesses that other users have rated.
     "predictions_fold_in": (["rating"], _FOLDED_IN),
     "stream_predictions_fold_in": (["rating"], _FOLDED_IN),
+    "stream_business_lookup": (
+        ["business"],
+        "SELECT business_id, name || CASE WHEN CAST(business_id AS BIGINT) % 3 = 0 THEN ' 2' "
+        "WHEN CAST(business_id AS BIGINT) % 2 = 0 THEN ' 1' ELSE '' END AS name "
+        "FROM business WHERE name IS NOT NULL",
+    ),
     "stream_user_index": (
         ["review"],
         "SELECT user_id, row_number() OVER (ORDER BY CAST(user_id AS BIGINT) % 3, user_id) - 1 AS user_index "

@@ -44,10 +44,12 @@ def chart_tables(
 
 
 def refresh(
-    spark: SparkSession, result_root: str, businesses: DataFrame
+    spark: SparkSession, result_root: str, businesses: DataFrame | None = None
 ) -> dict[str, DataFrame]:
     """Chart tables over the result tables as they are now.
 
+    Names come from ``businesses``, or without it from the table that
+    ``start_business_names`` keeps, one row a business.
     Tables that one query keeps are read at one version, so their charts agree
     while the stream goes on.
     """
@@ -58,4 +60,6 @@ def refresh(
         for table in RESULTS
         if table in charted
     }
+    if businesses is None:
+        businesses = read_result(spark, result_root, "business_names")
     return chart_tables(results, businesses)

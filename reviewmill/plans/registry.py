@@ -359,6 +359,19 @@ def _stream_dedup_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topics.result(spark, name)
 
 
+def _stream_business_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All businesses, then every second and every third one under a new name."""
+    topics = _Topics(spark, sf_dir, "stream-names")
+    businesses = topics.read("business")
+    for own in range(BATCHES):
+        renamed = businesses.where(F.col("business_id").cast("bigint") % (own + 1) == 0)
+        if own:
+            renamed = renamed.withColumn("name", F.concat("name", F.lit(f" {own}")))
+        publish_to_files(renamed.coalesce(1), topics.base, PREFIX, "business")
+        streams.start_business_names(topics.subscribe, topics.base, availableNow=True).awaitTermination()
+    return business_names(topics.result(spark, "business_names"))
+
+
 def _stream_user_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users come in three parts, each with those of the parts before; numbers stay."""
     topics = _Topics(spark, sf_dir, "stream-index")
@@ -578,6 +591,7 @@ def queries() -> dict[str, Query]:
         "stream_dedup_reviews": _stream_dedup_reviews,
         "stream_dedup_long": _stream_dedup_long,
         "stream_user_index": _stream_user_index,
+        "stream_business_lookup": _stream_business_lookup,
         "stream_dedup_malformed": _stream_dedup_malformed,
         "stream_labels_large_lexicon": _stream_labels_large_lexicon,
         "stream_review_daily": _stream_review_daily,

@@ -69,6 +69,7 @@ RESULTS = {
     ),
     "predictions": "user_id string, business_id string, prediction float",
     "user_factors": "user_id string, features array<double>",
+    "business_names": "business_id string, name string",
     "user_index": "user_id string, user_index bigint",
     "business_index": "business_id string, business_index bigint",
     "daily_reviews": (
@@ -91,6 +92,7 @@ RESULT_KEYS = {
     "review_trend_aggregation": ["review_year", "review_month", "business_id"],
     "tip_sentiment_aggregation": ["business_id"],
     "user_factors": ["user_id"],
+    "business_names": ["business_id"],
 }
 
 

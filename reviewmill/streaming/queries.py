@@ -203,6 +203,18 @@ def start_user_factors(
     return writer.start()
 
 
+def start_business_names(subscribe: Subscribe, base: str, **trigger) -> StreamingQuery:
+    """Keep the last name of each business: that of its newest batch, the greatest of equals.
+
+    The state holds one name a business; a batch emits the names of the businesses it brings.
+    ``refresh`` reads this table instead of reducing all business records.
+    """
+    records = parse_records(subscribe("business"), "business", columns=["business_id", "name"])
+    last = F.max_by("name", F.struct("ingest_time", "name")).alias("name")
+    named = with_ingest_time(records.dropna()).groupBy("business_id").agg(last)
+    return _start(named, "business_names", "complete", base, trigger)
+
+
 def start_index(
     key: str, subscribe: Subscribe, base: str, record_type: str = "review", **trigger
 ) -> StreamingQuery:

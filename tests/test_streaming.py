@@ -272,6 +272,19 @@ def test_merged_folders_replace_their_parts(rows, spark, tmp_path, monkeypatch):
     assert R.live_folders(spark, path) == ["base_id=6"] and rows(R.read_result(spark, root, name)) == expected
 
 
+def test_charts_take_the_last_names(rows, topics):
+    topics.reviews(review(1, "a", "2018-01-01"), review(2, "b", "2018-01-01", "bad"))
+    topics.run("sentiment_aggregation")
+    empty = topics.spark.createDataFrame([], RECORDS["business"])
+    for names in ([("a", "old"), ("b", "B"), (None, "none")], [("a", "new"), ("a", "Anew"), ("b", None)]):
+        made = topics.spark.createDataFrame(names, "business_id string, name string")
+        topics.publish("business", empty.unionByName(made, allowMissingColumns=True).coalesce(1))
+        S.start_business_names(topics.subscribe, topics.base, **NOW).awaitTermination()
+    assert rows(topics.result("business_names")) == [("a", "new"), ("b", "B")]
+    shown = refresh(topics.spark, S.results_root(topics.base))["sentiment_top_positive"]
+    assert rows(shown, "business_id", "name")[0] == ("a", "new")
+
+
 def test_ids_keep_their_numbers(rows, topics):
     def users(*names):
         topics.reviews(*[(f"r{n}", "b", n, 3.0, None, None) for n in names])
@@ -450,7 +463,7 @@ def test_refresh_before_any_result(spark, tmp_path):
     tables = refresh(spark, str(tmp_path), businesses)
     charted = {table for table, _, _ in CHARTS.values()}
     assert set(RESULTS) - charted == {
-        "daily_reviews", "late_reviews", "user_factors", "user_index", "business_index",
+        "daily_reviews", "late_reviews", "user_factors", "user_index", "business_index", "business_names",
     }
     assert tables["popularity_top"].count() == 0
     assert tables["tips_scale_bound"].first().scale_bound is None
