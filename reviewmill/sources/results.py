@@ -129,8 +129,11 @@ def merge_spans(
 ) -> None:
     """Merge the folders that the batch has made complete a group of FAN_IN, of any size.
 
-    Depends on the number of the batch alone, so a replayed batch does the same again.
+    Depends on the number of the batch alone, so a replayed batch does the same again. Other
+    batches do not even list the folders.
     """
+    if (batch_id + 1) % FAN_IN:
+        return
     size = FAN_IN
     while (batch_id + 1) % size == 0:
         first = batch_id + 1 - size

@@ -261,7 +261,7 @@ def test_merged_folders_replace_their_parts(rows, spark, tmp_path, monkeypatch):
     for batch in range(7):
         frame = spark.createDataFrame([(f"k{batch % 3}", batch + 1)], "business_id string, count bigint")
         R.write_batch(frame, batch, path)
-        R.merge_spans(spark, path, name, batch, retention=0 if batch == 6 else 3600)
+        R.merge_spans(spark, path, name, batch, retention=0 if batch == 5 else 3600)
         R.commit_version(spark, root, "one", batch, [name])
     assert R.live_folders(spark, path) == ["span_id=0_3", "span_id=4_5", "batch_id=6"]
     assert R.complete_batches(spark, path) == [6]
