@@ -160,20 +160,25 @@ def _attach(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """Stored pairs (a, b) with the columns of both nodes' ``rows``, as left_* and right_*.
 
     The row of a text in many pairs is sent to a task for each TOGETHER of them, so one that
-    is compared with a third of all others is no task's alone.
+    is compared with a third of all others is no task's alone. The other rows are dealt
+    once, those in no pair not at all.
     """
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    some = rows.join(needed, "node", "left_semi")
     joined = pairs
     for side, other, prefix in (("a", "b", "left"), ("b", "a", "right")):
+        names = {"node": side} | {c: f"{prefix}_{c}" for c in rows.columns if c != "node"}
         ways = F.ceil(F.count("*") / TOGETHER).cast("int").alias("ways")
         # Few rows; stored, so that Spark knows and moves nothing else for these joins.
         hot = materialize(pairs.groupBy(side).agg(ways).filter("ways > 1"), "hot-texts")
-        split = F.coalesce("ways", F.lit(1))
-        salt = F.pmod(F.xxhash64(other), split).cast("int").alias("salt")
-        joined = joined.join(hot, side, "left").select("*", salt).drop("ways")
-        names = {c: f"{prefix}_{c}" for c in rows.columns if c != "node"}
-        sent = rows.withColumnsRenamed({"node": side, **names}).join(hot, side, "left")
-        sent = sent.select("*", F.explode(F.sequence(F.lit(0), split - 1)).alias("salt")).drop("ways")
-        joined = joined.join(sent, [side, "salt"]).drop("salt")
+        if hot.isEmpty():
+            joined = joined.join(some.withColumnsRenamed(names), side)
+            continue
+        split = rows.withColumnsRenamed(names).join(hot, side)
+        split = split.select("*", F.explode(F.sequence(F.lit(0), F.col("ways") - 1)).alias("salt")).drop("ways")
+        salted = joined.join(hot, side).withColumn("salt", F.pmod(F.xxhash64(other), "ways").cast("int")).drop("ways")
+        few = joined.join(hot, side, "left_anti").join(some.withColumnsRenamed(names), side)
+        joined = few.unionByName(salted.join(split, [side, "salt"]).drop("salt"))
     return joined
 
 
@@ -421,7 +426,11 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, percent: int, width: in
     met = postings.join(shared, "value", "left_semi").select("node").distinct()
     # Only texts that share a listed value with another one are ever compared.
     met = materialize(classes.select("node", "mark").join(met, "node"), "met")
-    texts = rows.select("mark", "text").join(met, "mark").groupBy("node").agg(F.first("text").alias("text"))
+    texts = rows.select("mark", "text").join(met, "mark").select("node", "text")
+    again = sketched.groupBy("mark").count().filter("count > 1").join(met, "mark", "left_semi")
+    if not again.isEmpty():
+        # Rows that repeat id and text are one node's, so one of them is enough.
+        texts = texts.dropDuplicates(["node"])
     texts = materialize(texts, "met-texts")
 
     stars = materialize(_stars(postings), "stars")
