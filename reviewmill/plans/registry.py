@@ -317,6 +317,8 @@ class _Topics:
         self.spark = stream_session(spark)
         self.sf_dir = sf_dir
         self.base = scratch_path(spark, label)
+        # Files of a micro-batch; without a number it takes all that are there.
+        self.limit: dict[str, str] = {}
 
     def read(self, record_type: str) -> DataFrame:
         return read_fixture(self.spark, self.sf_dir, record_type)
@@ -324,12 +326,16 @@ class _Topics:
     def publish(self, record_type: str, frame: DataFrame | None = None) -> None:
         """All records, in BATCHES files."""
         frame = self.read(record_type) if frame is None else frame
+        self.limit = {"maxFilesPerTrigger": "1"}
         publish_to_files(frame.repartition(BATCHES), self.base, PREFIX, record_type)
 
+    def publish_batch(self, record_type: str, frame: DataFrame) -> None:
+        """The records of one micro-batch, written where they are read."""
+        self.limit = {}
+        publish_to_files(frame, self.base, PREFIX, record_type)
+
     def subscribe(self, record_type: str) -> DataFrame:
-        return subscribe_to_files(
-            self.spark, self.base, PREFIX, record_type, maxFilesPerTrigger="1"
-        )
+        return subscribe_to_files(self.spark, self.base, PREFIX, record_type, **self.limit)
 
     def result(self, spark: SparkSession, table: str) -> DataFrame:
         return read_result(spark, streams.results_root(self.base), table)
@@ -367,7 +373,7 @@ def _stream_business_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         renamed = businesses.where(F.col("business_id").cast("bigint") % (own + 1) == 0)
         if own:
             renamed = renamed.withColumn("name", F.concat("name", F.lit(f" {own}")))
-        publish_to_files(renamed.coalesce(1), topics.base, PREFIX, "business")
+        topics.publish_batch("business", renamed)
         streams.start_business_names(topics.subscribe, topics.base, availableNow=True).awaitTermination()
     return business_names(topics.result(spark, "business_names"))
 
@@ -378,7 +384,7 @@ def _stream_user_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     reviews = topics.read("review")
     for own in range(BATCHES):
         known = reviews.where(F.col("user_id").cast("bigint") % BATCHES <= own)
-        publish_to_files(known.coalesce(1), topics.base, PREFIX, "review")
+        topics.publish_batch("review", known)
         streams.start_index("user_id", topics.subscribe, topics.base, availableNow=True).awaitTermination()
     return topics.result(spark, "user_index")
 
@@ -388,7 +394,7 @@ def _stream_dedup_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = "sentiment_aggregation"
     topics = _Topics(spark, sf_dir, "stream-dedup-long")
     for _ in range(3):
-        publish_to_files(topics.read("review").coalesce(1), topics.base, PREFIX, "review")
+        topics.publish_batch("review", topics.read("review"))
         streams.start_deduplicated_table(
             name, "review_id", topics.subscribe, topics.base, LEXICON, within=None, availableNow=True
         ).awaitTermination()
@@ -429,8 +435,7 @@ def _in_event_order(topics: _Topics, start: Callable[..., object]) -> None:
     day = F.datediff(F.to_date("event_time"), F.lit("2018-01-01").cast("date"))
     part = F.floor(F.coalesce(day, F.lit(0)) * BATCHES / 730)
     for number in range(BATCHES):
-        frame = reviews.where(part == number).drop("event_time").coalesce(1)
-        publish_to_files(frame, topics.base, PREFIX, "review")
+        topics.publish_batch("review", reviews.where(part == number).drop("event_time"))
         start(topics.subscribe, topics.base, availableNow=True).awaitTermination()
 
 
@@ -446,7 +451,7 @@ def _stream_review_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics = _Topics(spark, sf_dir, "stream-late")
     start = partial(streams.start_daily_reviews, lexicon=LEXICON)
     _in_event_order(topics, start)
-    publish_to_files(topics.read("review").coalesce(1), topics.base, PREFIX, "review")
+    topics.publish_batch("review", topics.read("review"))
     start(topics.subscribe, topics.base, availableNow=True).awaitTermination()
     late = topics.result(spark, "late_reviews").where("day IS NOT NULL")
     return late.select("review_id", "business_id", "day")
@@ -460,7 +465,7 @@ def _stream_daily_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.pmod(F.xxhash64("review_id"), F.lit(16))
     part = F.when(number == 0, 0).when(number < 4, 1).when(number < 5, 2).when(number < 14, 3).otherwise(4)
     for own in range(5):
-        publish_to_files(reviews.where(part == own).coalesce(1), topics.base, PREFIX, "review")
+        topics.publish_batch("review", reviews.where(part == own))
         streams.start_daily_reviews(
             topics.subscribe, topics.base, LEXICON, availableNow=True
         ).awaitTermination()
@@ -486,7 +491,7 @@ def _stream_one_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = []
     for own in range(BATCHES):
         part = F.pmod(F.col("review_id").cast("bigint"), F.lit(BATCHES)) == own
-        publish_to_files(reviews.where(part).coalesce(1), topics.base, PREFIX, "review")
+        topics.publish_batch("review", reviews.where(part))
         streams.start_review_tables(
             topics.subscribe, topics.base, LEXICON, availableNow=True
         ).awaitTermination()
