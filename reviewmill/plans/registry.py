@@ -54,7 +54,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 __all__ = ["queries", "oracle_sql"]
 
 PREFIX = "records"
-# Pieces that a topic is published in; each is a micro-batch of its own.
+# Pieces that a topic is published in; each is a micro-batch of its own, of as many
+# files as the input has parts.
 BATCHES = 3
 
 
@@ -324,10 +325,11 @@ class _Topics:
         return read_fixture(self.spark, self.sf_dir, record_type)
 
     def publish(self, record_type: str, frame: DataFrame | None = None) -> None:
-        """All records, in BATCHES files."""
+        """All records, in BATCHES micro-batches; no task writes more than its part of the input."""
         frame = self.read(record_type) if frame is None else frame
-        self.limit = {"maxFilesPerTrigger": "1"}
-        publish_to_files(frame.repartition(BATCHES), self.base, PREFIX, record_type)
+        files = -(-frame.rdd.getNumPartitions() // BATCHES)
+        self.limit = {"maxFilesPerTrigger": str(files)}
+        publish_to_files(frame.repartition(files * BATCHES), self.base, PREFIX, record_type)
 
     def publish_batch(self, record_type: str, frame: DataFrame) -> None:
         """The records of one micro-batch, written where they are read."""

@@ -16,6 +16,15 @@ def reviews(spark, sf_dir):
     return registry.read_fixture(spark, sf_dir, "review").repartition(12)
 
 
+def test_no_task_publishes_more_than_its_part_of_the_input(spark, sf_dir, reviews):
+    total = reviews.count()
+    topics = registry._Topics(spark, sf_dir, "publish")
+    topics.publish("review", reviews)
+    found = counts(spark, topics)
+    assert sum(found) == total and len(found) == 12 and max(found) <= total / 12 + 12
+    assert topics.limit == {"maxFilesPerTrigger": "4"}
+
+
 def test_a_batch_is_written_where_it_is_read(spark, sf_dir, reviews):
     topics = registry._Topics(spark, sf_dir, "publish-batch")
     topics.publish_batch("review", reviews)
@@ -23,7 +32,7 @@ def test_a_batch_is_written_where_it_is_read(spark, sf_dir, reviews):
     assert sum(found) == reviews.count() and len(found) == 12
 
 
-@pytest.mark.parametrize("name", ["stream_dedup_long", "stream_review_daily"])
+@pytest.mark.parametrize("name", ["stream_dedup_long", "stream_review_daily", "stream_shared_trend"])
 def test_queries_publish_by_several_tasks(spark, sf_dir, monkeypatch, name):
     """Over an input of several parts, and as many micro-batches as before."""
     seen = []
@@ -43,4 +52,5 @@ def test_queries_publish_by_several_tasks(spark, sf_dir, monkeypatch, name):
     monkeypatch.setattr(registry, "subscribe_to_files", limited)
     registry.queries()[name](spark, sf_dir)
     assert {x for x in seen if isinstance(x, int)} == {6}
-    assert all(x == {} for x in seen if isinstance(x, dict))
+    whole = name != "stream_shared_trend"
+    assert all(x == ({} if whole else {"maxFilesPerTrigger": "2"}) for x in seen if isinstance(x, dict))
