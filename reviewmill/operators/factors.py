@@ -2,9 +2,13 @@
 
 A user's factors against fixed business factors solve a small non-negative least
 squares problem, of which the ratings enter by sums only: one number for each pair of
-factors and one for each factor. Spark adds these sums up in every task before it moves
-them, so a user or business with a third of all ratings costs a task one row, and
-sums of new ratings are added to old ones without reading these again.
+factors and one for each factor. Sums of new ratings are added to old ones without reading
+these again. The sums of a key are as large as seven ratings, so ``spread_sums`` adds up before
+it moves only what is at least as many: a key with a third of all ratings costs a batch of rows one.
+
+``fit_factors`` moves the ratings once: users and businesses are dealt into blocks, which
+hold their ratings, and a half-step sends each block the factors that occur in it, once. Only
+ids with a large share of all ratings go by ``factor_sums``.
 """
 
 from __future__ import annotations
@@ -13,6 +17,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,20 +27,93 @@ from reviewmill.session import materialize
 RANK, ITERATIONS, REGULARISATION = 10, 10, 0.1
 # Sweeps over the factors of a problem; each sets one factor to its best value.
 _SWEEPS = 60
+# Blocks that users and businesses are dealt into; at most 62. More take less memory a task
+# and move more factors. Results do not depend on it.
+BLOCKS = 24
+# Partitions that blocks are hashed into: enough that few of them share one.
+_PARTITIONS = 12 * BLOCKS
+# Ratings whose sums are made at once.
+_CHUNK = 1 << 17
 
 
 def _pairs(rank: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(rank) for j in range(i, rank)]
 
 
+def _summed(v: np.ndarray, stars: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Products and targets of each run of rows, in the order of ``_pairs``."""
+    rank = v.shape[1]
+    columns = [np.add.reduceat(v[:, i] * v[:, j], starts) for i, j in _pairs(rank)]
+    columns += [np.add.reduceat(stars * v[:, i], starts) for i in range(rank)]
+    return np.stack(columns, axis=1)
+
+
+def _runs(codes: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    places = np.arange(0, values.size + 1, max(1, values.shape[1]), dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(places), pa.array(values.ravel()))
+
+
+def _combined(ratings: DataFrame, key: str, rank: int) -> DataFrame:
+    """Rows (key, n, stars, features, sums): ratings as they are, or the sums of several."""
+    worth = len(_pairs(rank)) // rank + 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, features = batch.column(key), batch.column("features")
+            codes = names.dictionary_encode("encode").indices.to_numpy()
+            many = np.bincount(codes, minlength=1)[codes] >= worth
+            single = batch.filter(pa.array(~many))
+            none = pa.nulls(single.num_rows, pa.list_(pa.float64()))
+            rows = [single.column(key), pa.array(np.ones(single.num_rows, np.int64))]
+            yield pa.RecordBatch.from_arrays([*rows, single.column("stars"), single.column("features"), none], fields)
+            if many.any():
+                at = np.flatnonzero(many)
+                at = at[np.argsort(codes[at], kind="stable")]
+                v = features.take(pa.array(at)).flatten().to_numpy().reshape(len(at), rank)
+                starts = _runs(codes[at])
+                sums = _lists(_summed(v, batch.column("stars").to_numpy()[at], starts))
+                rows = [names.take(pa.array(at[starts])), pa.array(np.diff(np.r_[starts, len(at)]))]
+                none = [pa.nulls(len(starts), pa.float64()), pa.nulls(len(starts), pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays([*rows, *none, sums], fields)
+
+    fields = [key, "n", "stars", "features", "sums"]
+    kind = ratings.schema[key].dataType.simpleString()
+    # Factors beyond the rank count for nothing.
+    slim = ratings.select(key, F.col("stars").cast("double"), F.slice("features", 1, rank).alias("features"))
+    return slim.mapInArrow(run, f"`{key}` {kind}, n long, stars double, features array<double>, sums array<double>")
+
+
 def factor_sums(ratings: DataFrame, key: str, rank: int = RANK) -> DataFrame:
-    """The sums of each ``key`` over its rows of ``stars`` and ``features`` (of the other side)."""
+    """The sums of each ``key`` over its rows of ``stars`` and ``features`` (of the other side).
+
+    Every task adds up all it has before it moves them: for keys with many rows in each task.
+    """
     v = [F.col("features")[i] for i in range(rank)]
     products = [F.sum(v[i] * v[j]).alias(f"p{i}_{j}") for i, j in _pairs(rank)]
     targets = [F.sum(F.col("stars") * v[i]).alias(f"t{i}") for i in range(rank)]
     return ratings.groupBy(key).agg(F.count("*").alias("ratings"), *products, *targets)
 
 
+def spread_sums(ratings: DataFrame, key: str, rank: int = RANK) -> DataFrame:
+    """The sums of each ``key`` over its rows of ``stars`` and ``features`` (of the other side).
+
+    The same as ``factor_sums``, for keys of which a task has a few rows only: these move as
+    they are, and what a batch of rows holds more often moves as its sums.
+    """
+    v, sums = F.col("features"), F.col("sums")
+    products = [
+        F.sum(F.coalesce(v[i] * v[j], sums[k])).alias(f"p{i}_{j}") for k, (i, j) in enumerate(_pairs(rank))
+    ]
+    first = len(products)
+    targets = [F.sum(F.coalesce(F.col("stars") * v[i], sums[first + i])).alias(f"t{i}") for i in range(rank)]
+    moved = _combined(ratings, key, rank).repartition(key)
+    return moved.groupBy(key).agg(F.sum("n").alias("ratings"), *products, *targets)
+
+
 def _solve(products: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Non-negative x with the least x'Px - 2t'x, for many P and t at once."""
     x = np.zeros_like(targets)
@@ -48,8 +127,14 @@ def _solve(products: np.ndarray, targets: np.ndarray) -> np.ndarray:
     return x
 
 
+def _penalised(products: np.ndarray, targets: np.ndarray, counts: np.ndarray, regularisation: float) -> np.ndarray:
+    each = np.arange(targets.shape[1])
+    products[:, each, each] += np.maximum(regularisation * counts, 1e-12)[:, None]
+    return _solve(products, targets) if len(targets) else targets
+
+
 def solve_factors(sums: DataFrame, key: str, rank: int = RANK, regularisation: float = REGULARISATION) -> DataFrame:
-    """(key, features) from ``factor_sums``; the penalty grows with the ratings, as ALS has it."""
+    """(key, features) from the sums; the penalty grows with the ratings, as ALS has it."""
     names = [f"p{i}_{j}" for i, j in _pairs(rank)], [f"t{i}" for i in range(rank)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,12 +144,8 @@ def solve_factors(sums: DataFrame, key: str, rank: int = RANK, regularisation: f
             for name, (i, j) in zip(names[0], _pairs(rank)):
                 products[:, i, j] = products[:, j, i] = batch.column(name).to_numpy()
             targets = np.stack([batch.column(name).to_numpy() for name in names[1]], axis=1)
-            penalty = regularisation * batch.column("ratings").to_numpy()
-            products[:, np.arange(rank), np.arange(rank)] += np.maximum(penalty, 1e-12)[:, None]
-            solved = _solve(products, targets) if count else targets
-            places = pa.array(np.arange(0, count * rank + 1, rank, dtype=np.int32))
-            features = pa.ListArray.from_arrays(places, pa.array(solved.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(key), features], [key, "features"])
+            solved = _penalised(products, targets, batch.column("ratings").to_numpy(), regularisation)
+            yield pa.RecordBatch.from_arrays([batch.column(key), _lists(solved)], [key, "features"])
 
     kind = sums.schema[key].dataType.simpleString()
     return sums.mapInArrow(run, f"`{key}` {kind}, features array<double>")
@@ -85,7 +166,7 @@ def fold_in(
     else gets no row. Swap ``key`` and ``other`` for new businesses.
     """
     known = ratings.select(key, other, "stars").dropna().join(factors.select(other, "features"), other)
-    return solve_factors(factor_sums(known, key, rank), key, rank, regularisation)
+    return solve_factors(spread_sums(known, key, rank), key, rank, regularisation)
 
 
 def _start(key: str, rank: int, seed: int) -> Column:
@@ -94,6 +175,67 @@ def _start(key: str, rank: int, seed: int) -> Column:
     return F.array(*each).alias("features")
 
 
+def _block(key: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit("block"), key), F.lit(BLOCKS)).cast("int")
+
+
+def _frequent(rated: DataFrame, key: str) -> list[str]:
+    """Ids with so large a share of all ratings that a block should not hold them.
+
+    The counts are estimates: they decide the way, not the result.
+    """
+    found = rated.agg(F.call_function("approx_top_k", F.col(key), F.lit(8 * BLOCKS)), F.count("*")).first()
+    return [x["item"] for x in found[0] or [] if x["count"] > found[1] / (4 * BLOCKS)]
+
+
+def _dealt(rated: DataFrame, key: str, other: str, frequent: list[str]) -> DataFrame:
+    """The ratings of all but frequent ids, once and for all in the blocks of ``key``.
+
+    Kept on the executors' disks in the order a half-step asks for; a lost block is read again.
+    """
+    rows = rated.where(~F.col(key).isin(frequent)) if frequent else rated
+    blocks = rows.select(_block(key).alias("block"), key, other, _block(other).cast("byte").alias("other_block"), "stars")
+    return blocks.repartition(_PARTITIONS, "block").sortWithinPartitions("block", key).persist(StorageLevel.DISK_ONLY)
+
+
+def _half_step(dealt: DataFrame, factors: DataFrame, key: str, other: str, rank: int, regularisation: float) -> DataFrame:
+    """(key, features, blocks) of the dealt ids; ``blocks`` has a bit for each block that rates them."""
+    named = F.expr(f"filter(sequence(0, {BLOCKS - 1}), b -> shiftright(blocks, b) & 1 = 1)")
+    sent = factors.select(F.explode(named).alias("block"), other, F.col("features").cast("array<float>").alias("features"))
+
+    def solve(ratings: pa.Table, known: pa.Table) -> pa.Table:
+        features = np.zeros((0, rank), np.float32)
+        if known.num_rows:
+            features = np.concatenate([x.flatten().to_numpy() for x in known.column("features").chunks]).reshape(-1, rank)
+        # Every id that is rated has factors, so each is found.
+        at = pc.index_in(ratings.column(other), value_set=known.column(other).combine_chunks()).to_numpy()
+        names = ratings.column(key).combine_chunks().dictionary_encode()
+        codes = names.indices.to_numpy()
+        stars, others = ratings.column("stars").to_numpy(), ratings.column("other_block").to_numpy()
+        starts = _runs(codes) if len(codes) else np.zeros(0, np.int64)
+        ends = np.append(starts[1:], len(codes))
+        solved, blocks = np.zeros((len(starts), rank)), np.zeros(len(starts), np.int64)
+        first = 0
+        while first < len(starts):
+            last = max(first + 1, int(np.searchsorted(ends, starts[first] + _CHUNK, "right")))
+            rows, own = slice(starts[first], ends[last - 1]), starts[first:last] - starts[first]
+            sums = _summed(features[at[rows]].astype(np.float64), stars[rows], own)
+            products = np.zeros((last - first, rank, rank))
+            for k, (i, j) in enumerate(_pairs(rank)):
+                products[:, i, j] = products[:, j, i] = sums[:, k]
+            counts = ends[first:last] - starts[first:last]
+            targets = sums[:, len(_pairs(rank)) :]
+            solved[first:last] = _penalised(products, targets, counts, regularisation)
+            blocks[first:last] = np.bitwise_or.reduceat(np.int64(1) << others[rows].astype(np.int64), own)
+            first = last
+        ids = names.dictionary.take(pa.array(codes[starts]))
+        return pa.table([ids, _lists(solved), pa.array(blocks)], [key, "features", "blocks"])
+
+    left, right = dealt.groupBy("block"), sent.repartition(_PARTITIONS, "block").groupBy("block")
+    kind = dealt.schema[key].dataType.simpleString()
+    return left.cogroup(right).applyInArrow(solve, f"`{key}` {kind}, features array<double>, blocks long")
+
+
 def fit_factors(
     ratings: DataFrame,
     rank: int = RANK,
@@ -105,17 +247,35 @@ def fit_factors(
     """Factors of users and of businesses by explicit, non-negative ALS over summed half-steps.
 
     Takes ids as they are, without an index. Results depend neither on the partitioning
-    nor on a number of blocks, but for the order of additions.
+    nor on a number of blocks, but for the order of additions. Between the blocks factors
+    travel as 32-bit floats, as those of Spark's ALS do.
     """
-    rated = materialize(ratings.select("user_id", "business_id", "stars").dropna(), "rated", folder)
-    businesses = rated.select("business_id").distinct().select("business_id", _start("business_id", rank, seed))
-    businesses = materialize(businesses, "factors", folder)
+    rated = materialize(ratings.select("user_id", "business_id", F.col("stars").cast("double")).dropna(), "rated", folder)
+    sides = {"user_id": "business_id", "business_id": "user_id"}
+    frequent = {key: _frequent(rated, key) for key in sides}
+    dealt = {key: _dealt(rated, key, other, frequent[key]) for key, other in sides.items()}
+    found = {}
+
+    def half_step(key: str) -> None:
+        other = sides[key]
+        solved = _half_step(dealt[key], found[other], key, other, rank, regularisation)
+        if frequent[key]:
+            rest = rated.where(F.col(key).isin(frequent[key])).join(found[other], other)
+            large = solve_factors(factor_sums(rest, key, rank), key, rank, regularisation)
+            solved = solved.unionByName(large.withColumn("blocks", F.lit((1 << BLOCKS) - 1).cast("long")))
+        found[key] = materialize(solved, "factors", folder)
+
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), _block("user_id"))
+    first = rated.groupBy("business_id").agg(F.bit_or(bit).alias("blocks"))
+    found["business_id"] = materialize(
+        first.select("business_id", _start("business_id", rank, seed), "blocks"), "factors", folder
+    )
     for _ in range(iterations):
-        users = fold_in(rated, businesses, "user_id", "business_id", rank, regularisation)
-        users = materialize(users, "factors", folder)
-        businesses = fold_in(rated, users, "business_id", "user_id", rank, regularisation)
-        businesses = materialize(businesses, "factors", folder)
-    return users, businesses
+        half_step("user_id")
+        half_step("business_id")
+    for frame in dealt.values():
+        frame.unpersist()
+    return found["user_id"].drop("blocks"), found["business_id"].drop("blocks")
 
 
 def predict(pairs: DataFrame, users: DataFrame, businesses: DataFrame) -> DataFrame:

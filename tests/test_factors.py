@@ -74,3 +74,31 @@ def test_odd_ratings(spark, rows):
     factors = spark.createDataFrame([("x", [1.0, 0.0])], "business_id string, features array<double>")
     assert rows(A.fold_in(ratings, factors, rank=2).select("user_id")) == [("a",)]
     assert A.fold_in(ratings.limit(0), factors, rank=2).count() == 0
+
+
+def test_blocks_and_frequent_ids_give_what_whole_half_steps_give(spark, monkeypatch):
+    ratings = low_rank(spark, 400, 150, hot=1200).repartition(3)
+    assert A._frequent(ratings, "business_id") == ["b0"] and A._frequent(ratings, "user_id") == []
+    found = A.fit_factors(ratings, rank=3, iterations=2)
+    businesses = ratings.select("business_id").distinct().select("business_id", A._start("business_id", 3, 42))
+    for _ in range(2):
+        known = ratings.join(businesses, "business_id")
+        users = A.solve_factors(A.factor_sums(known, "user_id", 3), "user_id", 3).localCheckpoint()
+        known = ratings.join(users, "user_id")
+        businesses = A.solve_factors(A.factor_sums(known, "business_id", 3), "business_id", 3).localCheckpoint()
+    for ours, whole, key in ((found[0], users, "user_id"), (found[1], businesses, "business_id")):
+        ours, whole = dict(map(tuple, ours.collect())), dict(map(tuple, whole.collect()))
+        assert ours.keys() == whole.keys()
+        assert max(np.abs(np.subtract(ours[k], whole[k])).max() for k in whole) < 1e-4
+
+
+def test_sums_move_only_where_they_are_smaller_than_the_ratings(spark):
+    rows = [(f"u{i}", float(i % 5), [1.0, 2.0 + i]) for i in range(60)] + [("hot", 2.0, [0.5, float(i)]) for i in range(90)]
+    ratings = spark.createDataFrame(rows, "user_id string, stars double, features array<double>").coalesce(1)
+    moved = A._combined(ratings, "user_id", 2)
+    assert moved.count() == 61 and moved.where("sums IS NOT NULL").count() == 1
+    sums = [sorted(map(tuple, f(ratings, "user_id", 2).collect())) for f in (A.spread_sums, A.factor_sums)]
+    assert sums[0] == sums[1]
+    plan = A.spread_sums(ratings, "user_id", 2)._jdf.queryExecution().executedPlan().toString()
+    # Ratings move, then all sums of a key are made in one place.
+    assert plan.rindex("partial_sum") < plan.index("Exchange hashpartitioning(user_id") and plan.count("Exchange") == 1
