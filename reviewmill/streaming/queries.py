@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from reviewmill.functions.columns import with_event_time, with_ingest_time
 from reviewmill.functions.text import label_sentiment
-from reviewmill.operators.factors import RANK, REGULARISATION, factor_sums, solve_factors
+from reviewmill.operators.factors import RANK, REGULARISATION, solve_factors, spread_sums
 from reviewmill.operators.recommend import dense_indexes, fit_score, index_of, usable_ratings
 from reviewmill.plans.build import (
     categories_from_rollup,
@@ -186,7 +186,7 @@ def start_user_factors(
     records = parse_records(subscribe(record_type), record_type, columns=["user_id", "business_id", "stars"])
     ratings = usable_ratings(records)
     factors = ratings.sparkSession.read.parquet(factors_path).select("business_id", "features")
-    sums = factor_sums(ratings.join(factors, "business_id"), "user_id", rank)
+    sums = spread_sums(ratings.join(factors, "business_id"), "user_id", rank)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(solve_factors(batch, "user_id", rank, regularisation), batch_id, path)

@@ -399,6 +399,20 @@ def ratings(users, businesses, shift):
     ]
 
 
+def test_user_factors_move_ratings_where_sums_would_be_larger(spark, topics):
+    made = [(f"b{i}", [1.0 + i, 0.5]) for i in range(3)]
+    path = f"{topics.base}/factors"
+    spark.createDataFrame(made, "business_id string, features array<double>").write.parquet(path)
+    topics.reviews(*ratings(20, 3, 0))
+    query = S.start_user_factors(topics.subscribe, topics.base, path, rank=2, trigger=NOW)
+    query.awaitTermination()
+    # From the top: all sums of a user are made after the one exchange by users.
+    plan = query._jsq.explainInternal(False)
+    exchange = plan.index("Exchange hashpartitioning(user_id")
+    assert plan.rindex("partial_sum") < exchange < plan.index("MapInArrow")
+    assert topics.result("user_factors").count() == 20
+
+
 def test_user_factors_learn_from_every_batch(spark, topics):
     """Two batches of one user give what both together give, and read no earlier batch."""
     made = [("b0", [1.0, 0.2]), ("b1", [0.1, 0.9]), ("b2", [0.5, 0.5])]
