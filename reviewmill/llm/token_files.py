@@ -3,7 +3,7 @@
 A file is Parquet with one row per block: ids as little-endian 16- or 32-bit
 integers, and two Elias-Fano sequences (low bits packed, high bits in unary, every
 256th set bit sampled for select): the boundaries of its documents, and their
-ascending ids less the first one. Readers take any boundary or id by select. A
+ascending ids less the first one. Readers take any boundary or id, or a run, by select. A
 block holds whole documents, BLOCK_IDS ids or one longer document. The folder
 also has a small ``parts`` table with the ids before each part, so offsets in
 the whole file need no 64-bit table of documents.
@@ -25,6 +25,8 @@ from reviewmill.llm.tokens import ENCODED_BYTES, encoder
 
 BLOCK_IDS = 1 << 20
 SAMPLE = 256
+# Values that a reader of all documents selects at once.
+_RUN = 16 * SAMPLE
 
 _CODE = "struct<count: int, width: int, low: binary, high: binary, samples: binary>"
 # ``nameless`` documents without an id come first in a block.
@@ -86,6 +88,19 @@ class EliasFano:
         one = place // 8 * 8 + byte * 8 + bit
         return (one - i << self.width) | int(self._low_bits(i, 1)[0])
 
+    def span(self, first: int, count: int) -> np.ndarray:
+        """The values from the first-th on: only bits from its sampled one to that after the last."""
+        if not count:
+            return np.zeros(0, np.uint64)
+        near, after = first // SAMPLE, (first + count - 1) // SAMPLE + 1
+        byte = int(self._samples[near]) // 8
+        stop = int(self._samples[after]) // 8 + 1 if after < len(self._samples) else None
+        bits = np.unpackbits(np.frombuffer(self._high, np.uint8)[byte:stop], bitorder="little")
+        bits[: int(self._samples[near]) % 8] = 0
+        ones = np.flatnonzero(bits)[first - near * SAMPLE :][:count] + byte * 8
+        upper = (ones - np.arange(first, first + count)).astype(np.uint64) << np.uint64(self.width)
+        return upper | self._low_bits(first, count)
+
     def all(self) -> np.ndarray:
         ones = np.flatnonzero(np.unpackbits(np.frombuffer(self._high, np.uint8), bitorder="little"))
         upper = (ones - np.arange(self.count)).astype(np.uint64) << np.uint64(self.width)
@@ -194,13 +209,19 @@ def write_token_files(
     spark.createDataFrame(starts, "part int, start long").coalesce(1).write.parquet(f"{path}/parts")
 
 
+def _spans(code: EliasFano, count: int) -> np.ndarray:
+    """The first values, a run of them at each select."""
+    runs = [code.span(i, min(_RUN, count - i)) for i in range(0, count, _RUN)]
+    return np.concatenate(runs) if runs else np.zeros(0, np.uint64)
+
+
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for b in batch.to_pylist():
             bounds, docs = EliasFano(**b["bounds"]), EliasFano(**b["docs"])
-            edges = np.array([bounds.select(i) for i in range(b["n_docs"] + 1)], np.int64)
-            named = b["n_docs"] - b["nameless"]
-            doc_ids = [None] * b["nameless"] + [b["first_doc"] + docs.select(i) for i in range(named)]
+            edges = _spans(bounds, b["n_docs"] + 1).astype(np.int64)
+            steps = _spans(docs, b["n_docs"] - b["nameless"]).tolist()
+            doc_ids = [None] * b["nameless"] + [b["first_doc"] + step for step in steps]
             ids = np.frombuffer(b["ids"], f"<u{b['id_bytes']}").astype("<u4")
             crcs = [zlib.crc32(ids[s:e]) for s, e in zip(edges[:-1], edges[1:])]
             yield pa.RecordBatch.from_pydict(

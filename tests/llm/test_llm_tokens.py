@@ -185,3 +185,28 @@ def test_select_over_wide_ranges():
 def test_two_replace_the_smallest():
     """6 + 3 leaves a gap of 1; for the 3, the pair 2 + 2 fills the sequence."""
     assert packing.plan_bins({6: 1, 3: 1, 2: 2}, 10)[0] == (1, [6, 2, 2])
+
+
+def test_runs_are_what_select_gives_and_look_at_their_own_bits(monkeypatch):
+    values = np.cumsum(np.random.default_rng(1).integers(0, 900, 3000)).astype(np.uint64)
+    code = token_files.EliasFano.build(values)
+    seen, unpack = [], np.unpackbits
+    monkeypatch.setattr(token_files.np, "unpackbits", lambda a, **k: seen.append(len(a)) or unpack(a, **k))
+    for first, count in ((0, 3000), (0, 1), (255, 2), (256, 256), (700, 1000), (2999, 1), (5, 0)):
+        seen.clear()
+        assert code.span(first, count).tolist() == values[first : first + count].tolist()
+        assert sum(seen) <= (count + 2 * token_files.SAMPLE) * (code.width + 3) / 8 + 8
+    assert token_files._spans(code, 3000).tolist() == values.tolist()
+    odd = [[], [0], [0] * 700, [0, 2**62], [2**63 - 1] * 3]
+    for each in odd:
+        assert token_files._spans(token_files.EliasFano.build(np.array(each, np.uint64)), len(each)).tolist() == each
+
+
+def test_documents_are_not_read_value_by_value(monkeypatch):
+    monkeypatch.setattr(token_files.EliasFano, "select", None)
+    row = token_files._block_row(0, 0, 5, [None, 3, 9], [np.arange(n, dtype=np.uint32) for n in (2, 1, 4)])
+    batch = pa.RecordBatch.from_pylist([row], token_files._BLOCK_ARROW)
+    found = pa.Table.from_batches(token_files._documents(iter([batch])))
+    assert found.column("doc_id").to_pylist() == [None, 3, 9]
+    assert found.column("local_start").to_pylist() == [5, 7, 8]
+    assert found.column("n_tokens").to_pylist() == [2, 1, 4]
