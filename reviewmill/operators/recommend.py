@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +20,13 @@ DEFAULT_SEED = 42
 # the number is a setting of its own and never follows the data: raise it with the
 # cluster, and keep it for as long as predictions have to be comparable.
 DEFAULT_BLOCKS = 8
+# Blocks of businesses that are scored together, and the ratings of one of them beyond which
+# they are cut by users. Results depend on neither.
+SCORE_BLOCKS, CELL_ROWS = 8, 4_000_000
+# Partitions a cell: enough that few cells share one.
+_CELL_PARTITIONS = 8
+# Ratings that are scored at once.
+_CHUNK = 1 << 17
 
 
 def dense_indexes(df: DataFrame, keys: list[str], folder: str | None = None) -> DataFrame:
@@ -76,12 +86,13 @@ def usable_ratings(ratings: DataFrame) -> DataFrame:
     return ratings.select("user_id", "business_id", "stars").dropna()
 
 
-def index_ratings(ratings: DataFrame, folder: str | None = None) -> DataFrame:
-    """Add integer ids. Small indexes are broadcast, large ones joined by shuffle."""
-    indexes = dense_indexes(ratings, ["user_id", "business_id"], folder)
-    return ratings.join(index_of(indexes, "user_id", "user_index"), "user_id").join(
-        index_of(indexes, "business_id", "business_index"), "business_id"
-    )
+def index_ratings(ratings: DataFrame, indexes: DataFrame) -> DataFrame:
+    """(user_index, business_index, stars). Small indexes are broadcast, large ones joined by shuffle."""
+    users = index_of(indexes, "user_id", "user_index")
+    businesses = index_of(indexes, "business_id", "business_index")
+    # Each join drops the text it has looked up.
+    numbered = ratings.join(users, "user_id").select("user_index", "business_id", "stars")
+    return numbered.join(businesses, "business_id").select("user_index", "business_index", "stars")
 
 
 def fit_ratings(
@@ -99,11 +110,67 @@ def fit_ratings(
         numItemBlocks=blocks,
         **params,
     )
-    return als.fit(indexed.select("user_index", "business_index", "stars"))
+    return als.fit(indexed)
+
+
+def _named_factors(factors: DataFrame, indexes: DataFrame, key: str, name: str) -> DataFrame:
+    numbered = factors.select(F.col("id").alias(name), "features")
+    return numbered.join(index_of(indexes, key, name), name)
+
 
+def score(model: ALSModel, indexed: DataFrame, indexes: DataFrame, stars: bool = False) -> DataFrame:
+    """(user_id, business_id, prediction) of each row, and its stars if asked for.
 
-def score(model: ALSModel, indexed: DataFrame) -> DataFrame:
-    return model.transform(indexed).select("user_id", "business_id", "prediction")
+    Ratings move as numbers. A user's factors go once to each block of businesses that the
+    user rates, with the list of these; the names go with the factors. Blocks that would
+    hold more than CELL_ROWS ratings are cut by users, so what a task holds of an even table
+    does not grow with it; a business with a large share of all ratings is cut as often.
+    """
+    parts = -(-max(indexed.count(), 1) // (SCORE_BLOCKS * CELL_ROWS))
+    partitions = _CELL_PARTITIONS * SCORE_BLOCKS * parts
+    block = F.pmod("business_index", F.lit(SCORE_BLOCKS)) * parts
+    users = _named_factors(model.userFactors, indexes, "user_id", "user_index")
+    businesses = _named_factors(model.itemFactors, indexes, "business_id", "business_index")
+    lists = ["business_index", "stars"] if stars else ["business_index"]
+    rated = (
+        indexed.select("user_index", (block + F.pmod("user_index", F.lit(parts))).alias("cell"), *lists)
+        .repartition("user_index")
+        .groupBy("user_index", "cell")
+        .agg(*[F.collect_list(c).alias(c) for c in lists])
+        .join(users, "user_index")
+        .select("cell", "user_id", "features", *lists)
+    )
+    part = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    known = businesses.withColumn("part", part).select(
+        (block + F.col("part")).alias("cell"), "business_index", "business_id", "features"
+    )
+    rank = model.rank
+    columns = ["user_id", "business_id", "prediction", *lists[1:]]
+
+    def run(ratings: pa.Table, found: pa.Table) -> pa.Table:
+        lengths = pc.list_value_length(ratings.column("business_index")).to_numpy()
+        asked = pc.list_flatten(ratings.column("business_index"))
+        u = np.repeat(np.arange(ratings.num_rows), lengths)
+        # Every business that is rated has factors, so each is found.
+        v = pc.index_in(asked, value_set=found.column("business_index").combine_chunks()).to_numpy()
+        left = pc.list_flatten(ratings.column("features")).to_numpy().reshape(-1, rank)
+        right = pc.list_flatten(found.column("features")).to_numpy().reshape(-1, rank)
+        predicted = np.zeros(len(u), np.float32)
+        for first in range(0, len(u), _CHUNK):
+            rows = slice(first, first + _CHUNK)
+            a, b = left[u[rows]], right[v[rows]]
+            for i in range(rank):
+                predicted[rows] += a[:, i] * b[:, i]
+        names = [ratings.column("user_id").take(pa.array(u)), found.column("business_id").take(pa.array(v))]
+        given = [pc.list_flatten(ratings.column(c)) for c in lists[1:]]
+        scored = pa.table([*names, pa.array(predicted), *given], columns)
+        return scored.filter(pa.array(~np.isnan(predicted)))
+
+    kinds = {"user_id": users, "business_id": businesses}
+    schema = ", ".join(f"{c} {f.schema[c].dataType.simpleString()}" for c, f in kinds.items())
+    schema += ", prediction float" + ", stars double" * stars
+    cells = [f.repartition(partitions, "cell").groupBy("cell") for f in (rated, known)]
+    return cells[0].cogroup(cells[1]).applyInArrow(run, schema)
 
 
 def fit_score(
@@ -112,22 +179,24 @@ def fit_score(
     seed: int = DEFAULT_SEED,
     blocks: int = DEFAULT_BLOCKS,
     folder: str | None = None,
+    stars: bool = False,
     **params,
 ) -> DataFrame:
     """Train on ``ratings``; one prediction per row of ``to_score`` (or of ``ratings``).
 
     Rows to score whose user or business has no rating get no prediction. The
     ratings are read twice, so hand in a stored table rather than a long plan.
+    With ``stars`` each prediction has the stars of its row beside it.
     The result reads tables below ``folder``, see ``materialize``.
     """
-    usable = usable_ratings(ratings)
+    usable = usable_ratings(ratings).withColumn("stars", F.col("stars").cast("double"))
     if usable.isEmpty():
-        return usable.sparkSession.createDataFrame([], result_schema("predictions"))
-    indexed = materialize(index_ratings(usable, folder), "indexed-ratings", folder)
+        schema = result_schema("predictions")
+        return usable.sparkSession.createDataFrame([], schema.add("stars", "double") if stars else schema)
+    indexes = dense_indexes(usable, ["user_id", "business_id"], folder)
+    indexed = materialize(index_ratings(usable, indexes), "indexed-ratings", folder)
     model = fit_ratings(indexed, seed, blocks, **params)
     if to_score is None:
-        return score(model, indexed)
-    users = indexed.select("user_id", "user_index").distinct()
-    businesses = indexed.select("business_id", "business_index").distinct()
-    wanted = usable_ratings(to_score).join(users, "user_id").join(businesses, "business_id")
-    return score(model, wanted)
+        return score(model, indexed, indexes, stars)
+    wanted = usable_ratings(to_score).withColumn("stars", F.col("stars").cast("double"))
+    return score(model, materialize(index_ratings(wanted, indexes), "wanted", folder), indexes, stars)

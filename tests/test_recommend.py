@@ -82,3 +82,46 @@ def test_unknown_users_get_no_prediction(spark, rows):
 
 def test_no_ratings(spark):
     assert R.fit_score(spark.createDataFrame([], COLUMNS)).count() == 0
+
+
+def test_scores_are_those_of_the_model(ratings, monkeypatch):
+    """Also where blocks are cut by users; no rating moves with factors of its own."""
+    monkeypatch.setattr(R, "CELL_ROWS", 100)
+    usable = R.usable_ratings(ratings)
+    indexes = R.dense_indexes(usable, ["user_id", "business_id"])
+    indexed = R.materialize(R.index_ratings(usable, indexes), "indexed")
+    model = R.fit_ratings(indexed, maxIter=2)
+    found = R.score(model, indexed, indexes, stars=True)
+    names = [R.index_of(indexes, f"{k}_id", f"{k}_index") for k in ("user", "business")]
+    columns = ["user_id", "business_id", "prediction", "stars"]
+    expected = model.transform(indexed).join(names[0], "user_index").join(names[1], "business_index").select(columns)
+    assert found.columns == columns
+    assert found.exceptAll(expected).isEmpty() and expected.exceptAll(found).isEmpty()
+
+
+def test_no_rating_moves_with_factors_of_its_own(spark):
+    """Factors are sent once a user and block of businesses, not once a rating."""
+    made = spark.range(6000).selectExpr(
+        "CAST(id % 100 AS STRING) AS user_id", "CAST(id DIV 100 AS STRING) AS business_id", "CAST(id % 5 AS DOUBLE) AS stars"
+    )
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in off}
+    moved = []
+
+    def walk(node):
+        if node.nodeName().startswith("Exchange") and "features" in node.output().toString():
+            moved.append(node.metrics().apply("shuffleRecordsWritten").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    for key, value in off.items():
+        spark.conf.set(key, value)
+    try:
+        scored = R.fit_score(made, maxIter=1)
+        assert len(scored.collect()) == 6000
+        walk(scored._jdf.queryExecution().executedPlan())
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    # To the names, then to the blocks of businesses.
+    assert moved and sum(moved) <= 100 + 60 + 100 * R.SCORE_BLOCKS + 60
