@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,17 +120,22 @@ def _stars(postings: DataFrame) -> DataFrame:
     )
 
 
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    """The lists of a column as views of its numbers; null counts as empty."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())
+    return np.split(column.flatten().to_numpy(), ends[:-1]) if len(ends) else []
+
+
 def _estimates(threshold: float):
     """Passes pairs whose union sketch reaches the threshold, less what may be chance."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = batch.column("left_sketch").to_pylist(), batch.column("right_sketch").to_pylist()
-            sizes = zip(*(batch.column(f"{c}_n_shingles").to_pylist() for c in ("left", "right")))
-            good = [
-                estimate(np.array(x), np.array(y)) >= threshold - slack(m + n, threshold)
-                for x, y, (m, n) in zip(left, right, sizes)
-            ]
+            # Never as Python numbers, of which a batch would take hundreds of MB.
+            left, right = _lists(batch.column("left_sketch")), _lists(batch.column("right_sketch"))
+            both = [batch.column(f"{c}_n_shingles").to_numpy() for c in ("left", "right")]
+            limits = threshold - slack(both[0] + both[1], threshold)
+            good = [estimate(x, y) >= limit for x, y, limit in zip(left, right, limits)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return run

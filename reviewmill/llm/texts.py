@@ -26,8 +26,9 @@ _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 PLACES = _RANDOM.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: dict[int, np.ndarray] = {}
 
-# A slice of a batch holds at most so many bytes, or one text.
-SLICE_BYTES = 2 << 20
+# A slice of a batch holds at most so many bytes, or one text. Work on it takes some fifty
+# times as much, which a worker process keeps.
+SLICE_BYTES = 1 << 19
 
 
 def _power_table(base: int, n: int) -> np.ndarray:

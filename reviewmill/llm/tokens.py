@@ -25,7 +25,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 CACHED_PIECES = 2_000_000
 
 # Texts are encoded in slices of so many bytes, or one text.
-ENCODED_BYTES = 8 << 20
+ENCODED_BYTES = 2 << 20
 
 # Spaces that the library may keep together with white space around them.
 _JOINED_SPACE = re.compile(r"\s \s|\s \Z|[\x1c-\x1f\x85]")
@@ -121,7 +121,7 @@ class Encoder:
 
     def _ways(self, column: pa.Array) -> np.ndarray:
         simple = simple_texts(column)
-        ways = np.where(simple, _MARKS, _SPACES)
+        ways = np.where(simple, _MARKS, _SPACES).astype(np.int8)
         rest = np.flatnonzero(~simple)
         for i, text in zip(rest, column.take(pa.array(rest)).to_pylist()):
             if text and self._odd.search(text):

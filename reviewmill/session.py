@@ -34,6 +34,10 @@ STREAM_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Bytes of one batch of rows on its way to a Python worker. Spark's default of 64 MB is held
+# by the executor and by the worker for each task, next to what the worker makes of it.
+BATCH_BYTES = 4 << 20
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -58,6 +62,14 @@ def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkS
     return session
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """From now on batches for Python workers hold BATCH_BYTES, or one row; a size that the
+    session was given stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by spark.checkpoint.dir."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -149,3 +150,48 @@ def test_components(spark, rows, seed):
     frame = spark.createDataFrame(edges, "a long, b long")
     assert rows(components(frame, "a", "b")) == sorted(home.items(), key=repr)
     assert components(frame.limit(0), "a", "b").count() == 0
+
+
+def traced_peak(work):
+    """MB that ``work`` holds at most beyond what was there before, and its result."""
+    tracemalloc.start()
+    try:
+        found = work()
+        return tracemalloc.get_traced_memory()[1] / 1e6, found
+    finally:
+        tracemalloc.stop()
+
+
+def test_estimates_take_little_memory():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(-(2**31), 2**31, int(n), dtype=np.int32)) for n in rng.integers(1, 257, 3000)]
+    others = [s if i % 3 else np.unique(s // 2) for i, s in enumerate(sets)]
+
+    def lists(found):
+        ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+        return pa.ListArray.from_arrays(ends, np.concatenate(found))
+
+    sizes = [pa.array([len(s) for s in x], pa.int64()) for x in (sets, others)]
+    ids = pa.array(np.arange(len(sets)))
+    names = ["a", "b", "left_sketch", "left_n_shingles", "right_sketch", "right_n_shingles"]
+    batch = pa.RecordBatch.from_arrays([ids, ids, lists(sets), sizes[0], lists(others), sizes[1]], names)
+    # Also a batch that is a part of another one, and an empty one.
+    batches = [batch.slice(0, 1000), batch.slice(1000), batch.slice(0, 0)]
+    N.estimate(sets[0], others[0])
+    peak, found = traced_peak(lambda: [b.column("a").to_pylist() for b in N._estimates(0.8)(iter(batches))])
+    wanted = [
+        i for i, (x, y) in enumerate(zip(sets, others))
+        if N.estimate(x, y) >= 0.8 - N.slack(len(x) + len(y), 0.8)
+    ]
+    assert sum(found, []) == wanted and 0 < len(wanted) < len(sets)
+    assert peak < 5
+
+
+def test_sketches_take_little_memory():
+    rng = random.Random(6)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(500)]
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(texts), pa.array(texts)], ["doc_id", "mark", "text"])
+    peak, found = traced_peak(lambda: sum(b.num_rows for b in N._sketch(5, N.SKETCH)(iter([batch]))))
+    assert found == 2000
+    assert peak < 60
