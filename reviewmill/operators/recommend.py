@@ -9,6 +9,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewmill.operators.runs import Factors, fit_by_runs
 from reviewmill.schemas import result_schema
 from reviewmill.session import materialize
 
@@ -20,6 +21,9 @@ DEFAULT_SEED = 42
 # the number is a setting of its own and never follows the data: raise it with the
 # cluster, and keep it for as long as predictions have to be comparable.
 DEFAULT_BLOCKS = 8
+# Ratings up to which Spark's ALS fits; it is quicker there and writes little. Both ways give
+# the same factors, but for rounding.
+SMALL_RATINGS = 1_000_000
 # Blocks of businesses that are scored together, and the ratings of one of them beyond which
 # they are cut by users. Results depend on neither.
 SCORE_BLOCKS, CELL_ROWS = 8, 4_000_000
@@ -96,9 +100,17 @@ def index_ratings(ratings: DataFrame, indexes: DataFrame) -> DataFrame:
 
 
 def fit_ratings(
-    indexed: DataFrame, seed: int = DEFAULT_SEED, blocks: int = DEFAULT_BLOCKS, **params
-) -> ALSModel:
-    """Explicit, non-negative ALS."""
+    indexed: DataFrame,
+    seed: int = DEFAULT_SEED,
+    blocks: int = DEFAULT_BLOCKS,
+    folder: str | None = None,
+    **params,
+) -> ALSModel | Factors:
+    """Explicit, non-negative ALS over indexes that count from 0 without gaps.
+
+    Spark's ALS writes each id's factors once for every block in every half-step, so many
+    ratings are fitted by ``fit_by_runs``.
+    """
     als = ALS(
         userCol="user_index",
         itemCol="business_index",
@@ -110,6 +122,10 @@ def fit_ratings(
         numItemBlocks=blocks,
         **params,
     )
+    # Parameters that the runs know nothing of are for Spark's ALS alone.
+    plain = als.getNonnegative() and not als.getImplicitPrefs() and als.getMaxIter() > 0
+    if plain and indexed.count() > SMALL_RATINGS:
+        return fit_by_runs(indexed, als, folder)
     return als.fit(indexed)
 
 
@@ -118,7 +134,7 @@ def _named_factors(factors: DataFrame, indexes: DataFrame, key: str, name: str)
     return numbered.join(index_of(indexes, key, name), name)
 
 
-def score(model: ALSModel, indexed: DataFrame, indexes: DataFrame, stars: bool = False) -> DataFrame:
+def score(model: ALSModel | Factors, indexed: DataFrame, indexes: DataFrame, stars: bool = False) -> DataFrame:
     """(user_id, business_id, prediction) of each row, and its stars if asked for.
 
     Ratings move as numbers. A user's factors go once to each block of businesses that the
@@ -195,7 +211,7 @@ def fit_score(
         return usable.sparkSession.createDataFrame([], schema.add("stars", "double") if stars else schema)
     indexes = dense_indexes(usable, ["user_id", "business_id"], folder)
     indexed = materialize(index_ratings(usable, indexes), "indexed-ratings", folder)
-    model = fit_ratings(indexed, seed, blocks, **params)
+    model = fit_ratings(indexed, seed, blocks, folder, **params)
     if to_score is None:
         return score(model, indexed, indexes, stars)
     wanted = usable_ratings(to_score).withColumn("stars", F.col("stars").cast("double"))

@@ -125,6 +125,12 @@ def contained(label: str):
     return wrap
 
 
+def table_path(spark: SparkSession, label: str, folder: str | None = None) -> str:
+    """Where ``materialize`` writes a table of that label."""
+    folder = folder or _run_folder.get()
+    return f"{folder}/{label}-{uuid.uuid4().hex}" if folder is not None else scratch_path(spark, label)
+
+
 def materialize(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -135,9 +141,6 @@ def materialize(df: DataFrame, label: str, folder: str | None = None) -> DataFra
     is ``contained`` does so by itself.
     """
     spark = df.sparkSession
-    folder = folder or _run_folder.get()
-    path = scratch_path(spark, label)
-    if folder is not None:
-        path = f"{folder}/{label}-{uuid.uuid4().hex}"
+    path = table_path(spark, label, folder)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

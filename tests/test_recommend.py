@@ -3,6 +3,7 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from reviewmill.operators import recommend as R
+from reviewmill.operators import runs as N
 from reviewmill.plans.fixtures import read_fixture
 
 COLUMNS = "user_id string, business_id string, stars double"
@@ -125,3 +126,67 @@ def test_no_rating_moves_with_factors_of_its_own(spark):
             spark.conf.set(key, value)
     # To the names, then to the blocks of businesses.
     assert moved and sum(moved) <= 100 + 60 + 100 * R.SCORE_BLOCKS + 60
+
+
+def skewed(spark):
+    """Indexed ratings, of which business 0 has a third and user 0 many."""
+    made = spark.range(3000).selectExpr(
+        "CAST(IF(id % 10 = 0, 0, id % 97) AS INT) AS user_index",
+        "CAST(IF(id % 3 = 0, 0, (id * 7) % 41) AS INT) AS business_index",
+        "CAST(1 + (id * id) % 9 * 0.5 AS DOUBLE) AS stars",
+    )
+    return R.materialize(made.repartition(3), "skewed")
+
+
+def gap(left, right):
+    """The largest difference of two tables of factors, which hold the same ids."""
+    keys = [sorted(r.id for r in f.select("id").collect()) for f in (left, right)]
+    assert keys[0] == keys[1] == list(range(len(keys[0])))
+    both = left.join(right.withColumnRenamed("features", "other"), "id")
+    each = F.explode(F.zip_with("features", "other", lambda a, b: F.abs(a - b)))
+    return both.select(each.alias("d")).agg(F.max("d")).first()[0]
+
+
+@pytest.mark.parametrize("held", [1 << 19, 64])
+def test_many_ratings_get_the_factors_of_the_library(spark, monkeypatch, held):
+    """Also where the ratings of one id come in several runs."""
+    indexed = skewed(spark)
+    few = R.fit_ratings(indexed, maxIter=5)
+    monkeypatch.setattr(R, "SMALL_RATINGS", 100)
+    monkeypatch.setattr(N, "_HELD", held)
+    many = R.fit_ratings(indexed, maxIter=5)
+    assert isinstance(many, N.Factors) and many.rank == few.rank
+    assert gap(few.userFactors, many.userFactors) < 1e-4
+    assert gap(few.itemFactors, many.itemFactors) < 1e-4
+
+
+def test_many_ratings_write_factors_once_a_half_step(spark, monkeypatch):
+    """No half-step shuffles, each is one task a block, and Spark's ALS gives start values only."""
+    steps, fits = [], []
+    half_step, fit = N._half_step, R.ALS.fit
+
+    def watched(*args):
+        made = half_step(*args)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        steps.append(("Exchange" in plan, made.rdd.getNumPartitions(), args[2]))
+        return made
+
+    def counted(als, ratings):
+        fits.append((als.getMaxIter(), ratings.count()))
+        return fit(als, ratings)
+
+    monkeypatch.setattr(R, "SMALL_RATINGS", 100)
+    monkeypatch.setattr(N, "_half_step", watched)
+    monkeypatch.setattr(R.ALS, "fit", counted)
+    R.fit_ratings(skewed(spark), maxIter=2)
+    assert fits == [(0, 97)]
+    assert steps == [(False, N.RUN_BLOCKS, 97), (False, N.RUN_BLOCKS, 41)] * 2
+
+
+def test_predictions_of_many_ratings_are_those_of_few(ratings, predictions, monkeypatch):
+    monkeypatch.setattr(R, "SMALL_RATINGS", 100)
+    again = R.fit_score(ratings).groupBy("user_id", "business_id").agg(F.max("prediction").alias("q"), F.count("*").alias("m"))
+    first = predictions.groupBy("user_id", "business_id").agg(F.max("prediction").alias("p"), F.count("*").alias("n"))
+    both = again.join(first, ["user_id", "business_id"], "full")
+    far = both.where("m IS NULL OR n IS NULL OR m <> n OR abs(p - q) > 1e-3")
+    assert far.isEmpty()
