@@ -6,9 +6,9 @@ factors and one for each factor. Sums of new ratings are added to old ones witho
 these again. The sums of a key are as large as seven ratings, so ``spread_sums`` adds up before
 it moves only what is at least as many: a key with a third of all ratings costs a batch of rows one.
 
-``fit_factors`` moves the ratings once: users and businesses are dealt into blocks, which
-hold their ratings, and a half-step sends each block the factors that occur in it, once. Only
-ids with a large share of all ratings go by ``factor_sums``.
+``fit_factors`` deals the ratings once into blocks of users and of businesses, kept as runs (see
+``runs``): a half-step writes the factors once, and a block's task holds the factors that it needs but
+no ratings. Only ids with a large share of all ratings go by ``factor_sums``.
 """
 
 from __future__ import annotations
@@ -17,23 +17,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.session import materialize
+from reviewmill.operators.recommend import dense_indexes, index_of
+from reviewmill.operators.runs import Apart, fit_runs
+from reviewmill.session import materialize, table_path
+from reviewmill.sources.storage import delete_folder
 
 RANK, ITERATIONS, REGULARISATION = 10, 10, 0.1
 # Sweeps over the factors of a problem; each sets one factor to its best value.
 _SWEEPS = 60
-# Blocks that users and businesses are dealt into; at most 62. More take less memory a task
-# and move more factors. Results do not depend on it.
-BLOCKS = 24
-# Partitions that blocks are hashed into: enough that few of them share one.
-_PARTITIONS = 12 * BLOCKS
-# Ratings whose sums are made at once.
-_CHUNK = 1 << 17
+# An id with more than this part of all ratings is no block's. Results do not depend on it.
+_FREQUENT = 96
 
 
 def _pairs(rank: int) -> list[tuple[int, int]]:
@@ -175,65 +171,13 @@ def _start(key: str, rank: int, seed: int) -> Column:
     return F.array(*each).alias("features")
 
 
-def _block(key: str) -> Column:
-    return F.pmod(F.xxhash64(F.lit("block"), key), F.lit(BLOCKS)).cast("int")
-
-
-def _frequent(rated: DataFrame, key: str) -> list[str]:
+def _frequent(rated: DataFrame, key: str) -> list:
     """Ids with so large a share of all ratings that a block should not hold them.
 
     The counts are estimates: they decide the way, not the result.
     """
-    found = rated.agg(F.call_function("approx_top_k", F.col(key), F.lit(8 * BLOCKS)), F.count("*")).first()
-    return [x["item"] for x in found[0] or [] if x["count"] > found[1] / (4 * BLOCKS)]
-
-
-def _dealt(rated: DataFrame, key: str, other: str, frequent: list[str]) -> DataFrame:
-    """The ratings of all but frequent ids, once and for all in the blocks of ``key``.
-
-    Kept on the executors' disks in the order a half-step asks for; a lost block is read again.
-    """
-    rows = rated.where(~F.col(key).isin(frequent)) if frequent else rated
-    blocks = rows.select(_block(key).alias("block"), key, other, _block(other).cast("byte").alias("other_block"), "stars")
-    return blocks.repartition(_PARTITIONS, "block").sortWithinPartitions("block", key).persist(StorageLevel.DISK_ONLY)
-
-
-def _half_step(dealt: DataFrame, factors: DataFrame, key: str, other: str, rank: int, regularisation: float) -> DataFrame:
-    """(key, features, blocks) of the dealt ids; ``blocks`` has a bit for each block that rates them."""
-    named = F.expr(f"filter(sequence(0, {BLOCKS - 1}), b -> shiftright(blocks, b) & 1 = 1)")
-    sent = factors.select(F.explode(named).alias("block"), other, F.col("features").cast("array<float>").alias("features"))
-
-    def solve(ratings: pa.Table, known: pa.Table) -> pa.Table:
-        features = np.zeros((0, rank), np.float32)
-        if known.num_rows:
-            features = np.concatenate([x.flatten().to_numpy() for x in known.column("features").chunks]).reshape(-1, rank)
-        # Every id that is rated has factors, so each is found.
-        at = pc.index_in(ratings.column(other), value_set=known.column(other).combine_chunks()).to_numpy()
-        names = ratings.column(key).combine_chunks().dictionary_encode()
-        codes = names.indices.to_numpy()
-        stars, others = ratings.column("stars").to_numpy(), ratings.column("other_block").to_numpy()
-        starts = _runs(codes) if len(codes) else np.zeros(0, np.int64)
-        ends = np.append(starts[1:], len(codes))
-        solved, blocks = np.zeros((len(starts), rank)), np.zeros(len(starts), np.int64)
-        first = 0
-        while first < len(starts):
-            last = max(first + 1, int(np.searchsorted(ends, starts[first] + _CHUNK, "right")))
-            rows, own = slice(starts[first], ends[last - 1]), starts[first:last] - starts[first]
-            sums = _summed(features[at[rows]].astype(np.float64), stars[rows], own)
-            products = np.zeros((last - first, rank, rank))
-            for k, (i, j) in enumerate(_pairs(rank)):
-                products[:, i, j] = products[:, j, i] = sums[:, k]
-            counts = ends[first:last] - starts[first:last]
-            targets = sums[:, len(_pairs(rank)) :]
-            solved[first:last] = _penalised(products, targets, counts, regularisation)
-            blocks[first:last] = np.bitwise_or.reduceat(np.int64(1) << others[rows].astype(np.int64), own)
-            first = last
-        ids = names.dictionary.take(pa.array(codes[starts]))
-        return pa.table([ids, _lists(solved), pa.array(blocks)], [key, "features", "blocks"])
-
-    left, right = dealt.groupBy("block"), sent.repartition(_PARTITIONS, "block").groupBy("block")
-    kind = dealt.schema[key].dataType.simpleString()
-    return left.cogroup(right).applyInArrow(solve, f"`{key}` {kind}, features array<double>, blocks long")
+    found = rated.agg(F.call_function("approx_top_k", F.col(key), F.lit(2 * _FREQUENT)), F.count("*")).first()
+    return [x["item"] for x in found[0] or [] if x["count"] > found[1] / _FREQUENT]
 
 
 def fit_factors(
@@ -246,36 +190,41 @@ def fit_factors(
 ) -> tuple[DataFrame, DataFrame]:
     """Factors of users and of businesses by explicit, non-negative ALS over summed half-steps.
 
-    Takes ids as they are, without an index. Results depend neither on the partitioning
-    nor on a number of blocks, but for the order of additions. Between the blocks factors
-    travel as 32-bit floats, as those of Spark's ALS do.
+    Results depend neither on the partitioning nor on a number of blocks, but for the order of
+    additions. Between the half-steps stars and factors are 32-bit floats, as those of Spark's ALS are.
     """
-    rated = materialize(ratings.select("user_id", "business_id", F.col("stars").cast("double")).dropna(), "rated", folder)
+    spark = ratings.sparkSession
+    work = table_path(spark, "fit", folder)
+    rated = materialize(ratings.select("user_id", "business_id", F.col("stars").cast("double")).dropna(), "rated", work)
     sides = {"user_id": "business_id", "business_id": "user_id"}
-    frequent = {key: _frequent(rated, key) for key in sides}
-    dealt = {key: _dealt(rated, key, other, frequent[key]) for key, other in sides.items()}
-    found = {}
-
-    def half_step(key: str) -> None:
-        other = sides[key]
-        solved = _half_step(dealt[key], found[other], key, other, rank, regularisation)
-        if frequent[key]:
-            rest = rated.where(F.col(key).isin(frequent[key])).join(found[other], other)
-            large = solve_factors(factor_sums(rest, key, rank), key, rank, regularisation)
-            solved = solved.unionByName(large.withColumn("blocks", F.lit((1 << BLOCKS) - 1).cast("long")))
-        found[key] = materialize(solved, "factors", folder)
-
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), _block("user_id"))
-    first = rated.groupBy("business_id").agg(F.bit_or(bit).alias("blocks"))
-    found["business_id"] = materialize(
-        first.select("business_id", _start("business_id", rank, seed), "blocks"), "factors", folder
-    )
-    for _ in range(iterations):
-        half_step("user_id")
-        half_step("business_id")
-    for frame in dealt.values():
-        frame.unpersist()
-    return found["user_id"].drop("blocks"), found["business_id"].drop("blocks")
+    names, indexed = {}, rated
+    for key in sides:
+        names[key] = index_of(dense_indexes(rated, [key], work), key, "id")
+        # Each join drops the text it has looked up.
+        indexed = indexed.join(names[key], key).drop(key).withColumnRenamed("id", key)
+    indexed = materialize(indexed, "indexed-ratings", work)
+    sizes = indexed.agg(*[F.coalesce(F.max(key) + 1, F.lit(0)).alias(key) for key in sides]).first().asDict()
+
+    def apart(key: str, ids: list[int]) -> Apart:
+        rows = indexed.where(F.col(key).isin(ids))
+
+        def solved(known: DataFrame) -> DataFrame:
+            features = F.col("features").cast("array<double>").alias("features")
+            rated = rows.join(known.select(F.col("id").alias(sides[key]), features), sides[key])
+            return solve_factors(factor_sums(rated, key, rank), key, rank, regularisation).withColumnRenamed(key, "id")
+
+        return ids, solved
+
+    frequent = {key: _frequent(indexed, key) for key in sides}
+    large = {key: apart(key, ids) for key, ids in frequent.items() if ids}
+    start = names["business_id"].select("id", _start("business_id", rank, seed))
+    found = fit_runs(indexed, start, sides, sizes, iterations, rank, regularisation, work, large)
+    features = F.col("features").cast("array<double>").alias("features")
+    users, businesses = [
+        materialize(names[key].join(found[key], "id").select(key, features), "factors", folder) for key in sides
+    ]
+    delete_folder(spark, work)
+    return users, businesses
 
 
 def predict(pairs: DataFrame, users: DataFrame, businesses: DataFrame) -> DataFrame:

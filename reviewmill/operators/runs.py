@@ -1,4 +1,4 @@
-"""ALS for many ratings: factors are written once a half-step, not once for each block.
+"""ALS over runs of ratings: factors are written once a half-step, not once for each block.
 
 The ratings of each side are dealt once into blocks of ids, sorted by id and kept as a table of
 runs: rows that hold the ratings of some thousand ids as packed numbers. A half-step is one task a
@@ -6,14 +6,14 @@ block. It reads the factors of the other side, keeps those that its block rates,
 block's runs by them, so it holds factors but no ratings. The new factors are written once, and every
 block of the next half-step reads them.
 
-Start values, penalty and order of the half-steps are those of Spark's ALS, so the factors
-are too, but for rounding. Task functions are nested and use no other function of the package, so
+``fit_by_runs`` has start values, penalty and order of the half-steps of Spark's ALS, so the factors
+are those of ALS too, but for rounding. Task functions are nested and use no other function of the package, so
 executors need not have it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from typing import NamedTuple
 
@@ -23,7 +23,7 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewmill.session import table_path
+from reviewmill.session import bound_batches, table_path
 from reviewmill.sources.storage import delete_folder
 
 # Blocks that the ids of a side are dealt into; at most 16. Results do not depend on it.
@@ -106,7 +106,11 @@ def _start(indexed: DataFrame, als: ALS, sizes: dict[str, int]) -> DataFrame:
     """
     every = indexed.sparkSession.range(max(sizes.values()))
     names = [(F.col("id") % size).cast("int").alias(key) for key, size in sizes.items()]
-    model = als.copy({als.maxIter: 0}).fit(every.select(*names, F.lit(1.0).alias("stars")))
+    return als.copy({als.maxIter: 0}).fit(every.select(*names, F.lit(1.0).alias("stars"))).userFactors
+
+
+def _packed(factors: DataFrame) -> DataFrame:
+    """(id, features) as rows of packed numbers, for every block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,7 +119,7 @@ def _start(indexed: DataFrame, als: ALS, sizes: dict[str, int]) -> DataFrame:
             row = [ids.astype(np.int32), features, np.full(len(ids), -1, np.int16)]
             yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in row], ["ids", "features", "blocks"])
 
-    return model.userFactors.mapInArrow(run, _FACTORS)
+    return factors.select("id", "features").mapInArrow(run, _FACTORS)
 
 
 def _solver(rank: int, penalty: float):
@@ -228,9 +232,11 @@ def _half_step(runs: DataFrame, factors: DataFrame, size: int, rank: int, penalt
 
 
 def _block_session(spark: SparkSession) -> SparkSession:
-    """A session in which a union of one-partition frames keeps a partition of each."""
+    """A session in which a union of one-partition frames keeps a partition of each, and a
+    worker gets small batches beside the factors that it holds."""
     session = spark.newSession()
     session.conf.set("spark.sql.unionOutputPartitioning", "false")
+    bound_batches(session)
     return session
 
 
@@ -249,26 +255,55 @@ def _unpacked(factors: DataFrame, rank: int) -> DataFrame:
     return factors.select("ids", "features").mapInArrow(run, "id int, features array<float>")
 
 
-def fit_by_runs(indexed: DataFrame, als: ALS, folder: str | None = None) -> Factors:
-    """The factors that ``als`` would fit to ``indexed``, whose indexes count from 0 without gaps."""
-    spark, rank, penalty = indexed.sparkSession, als.getRank(), als.getRegParam()
-    sides = {"user_index": "business_index", "business_index": "user_index"}
-    sizes = indexed.agg(*[(F.max(key) + 1).alias(key) for key in sides]).first().asDict()
-    own = _block_session(spark)
+# Ids of a side that are in no block, and what makes (id, features) of them from those of the other side.
+Apart = tuple[list[int], Callable[[DataFrame], DataFrame]]
+
+
+def fit_runs(
+    indexed: DataFrame,
+    start: DataFrame,
+    sides: dict[str, str],
+    sizes: dict[str, int],
+    iterations: int,
+    rank: int,
+    penalty: float,
+    folder: str | None = None,
+    apart: dict[str, Apart] | None = None,
+) -> dict[str, DataFrame]:
+    """(id, features) of each side of ``indexed``, whose indexes count from 0 without gaps.
+
+    ``sides`` has the side of each half-step and its other side, in order; ``start`` is (id, features)
+    of the last one. Ids that are ``apart`` are solved in another way, on the same factors.
+    """
+    spark = indexed.sparkSession
+    own, apart = _block_session(spark), apart or {}
     dealt, runs = table_path(spark, "runs", folder), {}
     for key, other in sides.items():
-        _deal(indexed, key, other, f"{dealt}/{key}")
+        ids = apart[key][0] if key in apart else []
+        _deal(indexed.where(~F.col(key).isin(ids)) if ids else indexed, key, other, f"{dealt}/{key}")
         runs[key] = own.read.schema(_RUN).parquet(f"{dealt}/{key}")
-    paths = {"user_index": table_path(spark, "factors", folder)}
-    _start(indexed, als, sizes).write.parquet(paths["user_index"])
-    for _ in range(als.getMaxIter()):
-        for key in ("business_index", "user_index"):
-            other, path = sides[key], table_path(spark, "factors", folder)
+    paths = {list(sides)[-1]: table_path(spark, "factors", folder)}
+    _packed(start).write.parquet(*paths.values())
+    for _ in range(iterations):
+        for key, other in sides.items():
+            path = table_path(spark, "factors", folder)
             known = own.read.schema(_FACTORS).parquet(paths[other])
             _half_step(runs[key], known, sizes[other], rank, penalty).write.parquet(path)
+            if key in apart:
+                known = _unpacked(spark.read.schema(_FACTORS).parquet(paths[other]), rank)
+                _packed(apart[key][1](known)).write.mode("append").parquet(path)
             # Only the newest factors of a side are read again.
             if key in paths:
                 delete_folder(spark, paths[key])
             paths[key] = path
     delete_folder(spark, dealt)
-    return Factors(rank, *[_unpacked(spark.read.schema(_FACTORS).parquet(paths[key]), rank) for key in sides])
+    return {key: _unpacked(spark.read.schema(_FACTORS).parquet(path), rank) for key, path in paths.items()}
+
+
+def fit_by_runs(indexed: DataFrame, als: ALS, folder: str | None = None) -> Factors:
+    """The factors that ``als`` would fit to ``indexed``, whose indexes count from 0 without gaps."""
+    sides = {"business_index": "user_index", "user_index": "business_index"}
+    sizes = indexed.agg(*[(F.max(key) + 1).alias(key) for key in sides]).first().asDict()
+    rank, start = als.getRank(), _start(indexed, als, {key: sizes[key] for key in reversed(sides)})
+    found = fit_runs(indexed, start, sides, sizes, als.getMaxIter(), rank, als.getRegParam(), folder)
+    return Factors(rank, found["user_index"], found["business_index"])

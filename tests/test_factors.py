@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from reviewmill.operators import factors as A
 from reviewmill.operators import recommend as R
+from reviewmill.operators import runs as N
 from reviewmill.plans.fixtures import read_fixture
+from reviewmill.session import BATCH_BYTES
 
 COLUMNS = "user_id string, business_id string, stars double"
 
@@ -92,6 +94,30 @@ def test_blocks_and_frequent_ids_give_what_whole_half_steps_give(spark, monkeypa
         assert max(np.abs(np.subtract(ours[k], whole[k])).max() for k in whole) < 1e-4
 
 
+def test_a_half_step_holds_no_ratings(spark, monkeypatch):
+    """Blocks of ratings pass by the factors in small batches; frequent ids of both sides are in no block."""
+    rows = [(i, j, float(1 + (i * j) % 5)) for i in range(150) for j in range(40)]
+    rows += [(i, 99, 3.0) for i in range(150)] + [(999, j, 2.0) for j in range(40) for _ in range(3)]
+    ratings = spark.createDataFrame(rows, "user_id long, business_id int, stars double")
+    steps, half_step = [], N._half_step
+
+    def watched(*args):
+        made = half_step(*args)
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        batch = made.sparkSession.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+        steps.append(("Exchange" in plan or "CoGroup" in plan, made.rdd.getNumPartitions(), args[2], int(batch)))
+        return made
+
+    monkeypatch.setattr(N, "_half_step", watched)
+    users, businesses = A.fit_factors(ratings, rank=2, iterations=1)
+    assert steps == [(False, N.RUN_BLOCKS, n, BATCH_BYTES) for n in (41, 151)]
+    # Ids keep their types, and each gets factors once.
+    assert [users.schema["user_id"].dataType.simpleString(), businesses.schema["business_id"].dataType.simpleString()] == ["bigint", "int"]
+    assert sorted(r.user_id for r in users.collect()) == [*range(150), 999]
+    assert sorted(r.business_id for r in businesses.collect()) == [*range(40), 99]
+    assert A.fit_factors(ratings.limit(0), rank=2, iterations=1)[1].count() == 0
+
+
 def test_sums_move_only_where_they_are_smaller_than_the_ratings(spark):
     rows = [(f"u{i}", float(i % 5), [1.0, 2.0 + i]) for i in range(60)] + [("hot", 2.0, [0.5, float(i)]) for i in range(90)]
     ratings = spark.createDataFrame(rows, "user_id string, stars double, features array<double>").coalesce(1)
