@@ -32,6 +32,9 @@ RUN_BLOCKS = 12
 _HELD = 1 << 19
 # Ratings whose sums are made at once.
 _CHUNK = 1 << 15
+# Rows of a table that Spark reads at once, and bytes that it collects before it writes them: a row
+# holds some thousand ids, so the defaults of 4096 rows and 128 MB would be a whole file for each task.
+_READ_ROWS, _WRITTEN_BYTES = 16, 8 << 20
 # Rounds in which all factors of a wrong sign change sides; then one a round, which always ends.
 _JOINT_ROUNDS = 12
 
@@ -233,13 +236,18 @@ def _half_step(runs: DataFrame, factors: DataFrame, size: int, rank: int, penalt
 
 def _block_session(spark: SparkSession) -> SparkSession:
     """A session in which a union of one-partition frames keeps a partition of each, and a
-    worker gets small batches beside the factors that it holds."""
+    task has a few rows at once beside the factors that its worker holds."""
     session = spark.newSession()
     session.conf.set("spark.sql.unionOutputPartitioning", "false")
+    session.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(_READ_ROWS))
     bound_batches(session)
     return session
 
 
+def _write(packed: DataFrame, path: str) -> None:
+    packed.write.mode("append").option("parquet.block.size", _WRITTEN_BYTES).parquet(path)
+
+
 def _unpacked(factors: DataFrame, rank: int) -> DataFrame:
     """(id, features), as Spark's model has them."""
 
@@ -283,15 +291,15 @@ def fit_runs(
         _deal(indexed.where(~F.col(key).isin(ids)) if ids else indexed, key, other, f"{dealt}/{key}")
         runs[key] = own.read.schema(_RUN).parquet(f"{dealt}/{key}")
     paths = {list(sides)[-1]: table_path(spark, "factors", folder)}
-    _packed(start).write.parquet(*paths.values())
+    _write(_packed(start), *paths.values())
     for _ in range(iterations):
         for key, other in sides.items():
             path = table_path(spark, "factors", folder)
             known = own.read.schema(_FACTORS).parquet(paths[other])
-            _half_step(runs[key], known, sizes[other], rank, penalty).write.parquet(path)
+            _write(_half_step(runs[key], known, sizes[other], rank, penalty), path)
             if key in apart:
                 known = _unpacked(spark.read.schema(_FACTORS).parquet(paths[other]), rank)
-                _packed(apart[key][1](known)).write.mode("append").parquet(path)
+                _write(_packed(apart[key][1](known)), path)
             # Only the newest factors of a side are read again.
             if key in paths:
                 delete_folder(spark, paths[key])
